@@ -129,7 +129,7 @@ marked AS (
   SELECT doc_id, page_no,
          coalesce(list(part_text ORDER BY ord) FILTER (WHERE keep), []) AS page_text,
          coalesce(list(fmt_kind || ':' || array_to_string(fonts, ',') || ':'
-                       || array_to_string(list_transform(sizes, lambda s: CAST(CAST(s AS BIGINT) AS VARCHAR)), ','))
+                       || array_to_string(list_transform(sizes, lambda s: CAST(CAST(s AS BIGINT) AS VARCHAR)), ',')
                   ORDER BY ord) FILTER (WHERE keep), []) AS line_format,
          coalesce(list(content ORDER BY ord) FILTER (WHERE keep AND kind = 'figure'), []) AS text_from_images,
          coalesce(list(content ORDER BY ord) FILTER (WHERE keep AND kind = 'rect'), []) AS text_from_tables,
