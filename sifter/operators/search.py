@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import WS_CLASS
 from ..functions.vectors import SCORE_DIGITS, round_score
-from ..session import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from ..session import DEFAULT_BROADCAST_ROWS, bounded_broadcast, row_count_at_most
 
 DEFAULT_K = 5
 # Most query vectors broadcast to the dense scorer in one block.
@@ -60,8 +60,9 @@ def idf(df_col: Column, n_docs: int) -> Column:
 
 
 def term_frequencies(df: DataFrame, keys: Sequence[str], text_col: str) -> DataFrame:
-    """``(keys..., term, tf)``; the partial aggregate collapses each passage's
-    tokens before the exchange."""
+    """``(keys..., term, tf)``: explode and group; the partial aggregate
+    collapses each passage's tokens map-side, so the exchange carries one
+    row per (passage, term)."""
     toks = df.select(*keys, F.explode(term_tokens(F.col(text_col))).alias("term"))
     return toks.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
 
@@ -95,20 +96,27 @@ class TfidfIndex:
 
 
 def tfidf_index(passages: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"), text_col: str = "passage",
-                n_docs: int | None = None, checkpoint: bool = False) -> TfidfIndex:
+                n_docs: int | None = None, checkpoint: bool = True) -> TfidfIndex:
     """Weight ``tf * ln((n + 1) / (df + 1))`` over lower-cased whitespace
     tokens; zero weights are dropped and zero-norm passages vanish.
 
-    With ``checkpoint=True`` the postings are written to the session's
-    checkpoint folder (lineage cut, reusable across query batches); their
-    partitioning by passage key survives the checkpoint."""
+    Term counts are a partial aggregate per (passage, term); document
+    frequencies a partial aggregate on term (hot terms collapse map-side); the weights join
+    them on term (AQE broadcasts the vocabulary when its measured size is
+    small, otherwise a shuffle join with skew splitting); the norm is a
+    window on the passage key. With ``checkpoint`` (default) ``doc_freq`` and
+    the postings are written to the session's checkpoint folder, so later
+    query batches reuse them (lineage cut, survives executor loss); pass
+    materialised passages for the same reason."""
     keys = tuple(keys)
     validate_passages(passages, text_col)
+    counts = term_frequencies(passages, keys, text_col)
+    doc_freq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    if checkpoint:
+        doc_freq = doc_freq.checkpoint(eager=True)
     if n_docs is None:
         n_docs = passages.count()
-    tf = term_frequencies(passages, keys, text_col)
-    doc_freq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    weighted = (tf.join(doc_freq, "term")
+    weighted = (counts.join(doc_freq, "term")
                 .select(*keys, "term", (F.col("tf") * idf(F.col("df"), n_docs)).alias("weight"))
                 .filter(F.col("weight") > 0))
     by_passage = Window.partitionBy(*keys)
@@ -122,10 +130,23 @@ def tfidf_index(passages: DataFrame, keys: Sequence[str] = ("doc_id", "line_no")
 # ---------------------------------------------------------------------------
 # V2: cosine scoring
 # ---------------------------------------------------------------------------
-def sparse_scores(index: TfidfIndex, query_weights: DataFrame) -> DataFrame:
+def query_terms_at_most(queries: DataFrame, text_col: str = "query", bound: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when the queries have at most ``bound`` tokens in all; this bounds
+    the query-weight rows and is counted on the query table alone."""
+    return row_count_at_most(queries.select(F.explode(term_tokens(F.col(text_col)))), bound)
+
+
+def sparse_scores(index: TfidfIndex, query_weights: DataFrame, queries_small: bool | None = None) -> DataFrame:
     """``(query_id, keys..., score)`` for every passage sharing a weighted
-    term with the query (exact cosine; other passages score 0)."""
-    qw = F.broadcast(query_weights.select("query_id", "term", "nqweight"))
+    term with the query (exact cosine; other passages score 0).
+
+    The query weights are broadcast when ``queries_small`` (see
+    ``query_terms_at_most``); ``None`` counts them here, which runs the
+    query weighting once more. Beyond the bound the join shuffles on term."""
+    qw = query_weights.select("query_id", "term", "nqweight")
+    if queries_small is None:
+        queries_small = row_count_at_most(qw, DEFAULT_BROADCAST_ROWS)
+    qw = F.broadcast(qw) if queries_small else qw
     joined = index.postings.select(*index.keys, "term", "nweight").join(qw, "term")
     return joined.groupBy("query_id", *index.keys).agg(
         F.sum(F.col("nqweight") * F.col("nweight")).alias("score"))
@@ -232,10 +253,16 @@ def topk(scores: DataFrame, k: int = DEFAULT_K, keys: Sequence[str] = ("doc_id",
 # V4, V6, V7
 # ---------------------------------------------------------------------------
 def attach_passages(hits: DataFrame, passages: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"),
-                    text_col: str = "passage", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    text_col: str = "passage", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    hits_small: bool | None = None) -> DataFrame:
     """Join hits to their passage text on the passage key; the hits (k per
-    query) are the broadcast side when they fit the bound."""
-    small = bounded_broadcast(hits, max_broadcast_rows)
+    query) are the broadcast side when they fit the bound. ``hits_small``
+    passes a bound the caller already knows (queries x k), which spares
+    counting the hits (a second run of the whole search)."""
+    if hits_small is None:
+        small = bounded_broadcast(hits, max_broadcast_rows)
+    else:
+        small = F.broadcast(hits) if hits_small else hits
     return passages.select(*keys, F.col(text_col).alias("corpus_passage")).join(small, list(keys))
 
 
@@ -258,5 +285,7 @@ def search_passages(passages: DataFrame, queries: DataFrame, k: int = DEFAULT_K,
     ``(query_id, rank, keys..., corpus_passage, score)``."""
     index = index or tfidf_index(passages, keys, text_col)
     qw = index.query_weights(queries, query_id_col, query_text_col)
-    hits = topk(sparse_scores(index, qw), k, keys)
-    return attach_passages(hits, passages, keys, text_col), index
+    hits = topk(sparse_scores(index, qw, query_terms_at_most(queries, query_text_col)), k, keys)
+    # at most k hits per query: the query count bounds the hit count
+    hits_small = row_count_at_most(queries, max(1, DEFAULT_BROADCAST_ROWS // max(k, 1)))
+    return attach_passages(hits, passages, keys, text_col, hits_small=hits_small), index

@@ -155,9 +155,10 @@ GROUP BY b.item_id""")
 def q_contains_ci(spark, sf):
     from ..session import bounded_broadcast
 
-    b = _t(spark, sf, "benchmark").select("item_id", F.col("text").alias("q"))
-    d = _docs(spark, sf).select("doc_id", F.col("text"))
-    hits = d.join(bounded_broadcast(b), tx.contains_ci(F.col("text"), F.col("q"))).groupBy("item_id").agg(
+    b = _t(spark, sf, "benchmark").select("item_id", F.lower("text").alias("q"))
+    d = _docs(spark, sf).select("doc_id", F.lower("text").alias("text"))
+    # both sides are lower-cased once, before the join, not once per pair
+    hits = d.join(bounded_broadcast(b), F.contains(F.col("text"), F.col("q"))).groupBy("item_id").agg(
         F.count(F.lit(1)).alias("n_docs"))
     return b.select("item_id").join(hits, "item_id", "left").select(
         "item_id", F.coalesce(F.col("n_docs"), F.lit(0)).cast("bigint").alias("n_docs"))
@@ -366,8 +367,14 @@ def q_corpus_union(spark, sf):
 # ---------------------------------------------------------------------------
 # Search (V1b-V9) and context (J3), jobs P1, P5
 # ---------------------------------------------------------------------------
+def _passages(spark, sf):
+    """Cleaned passages, written once to the checkpoint folder: the index
+    build, the counts and the hit text all read this table."""
+    return fx.passages(_docs(spark, sf)).checkpoint(eager=True)
+
+
 def _index(spark, sf):
-    psg = fx.passages(_docs(spark, sf))
+    psg = _passages(spark, sf)
     return psg, search.tfidf_index(psg)
 
 
@@ -398,8 +405,7 @@ def q_topk_sparse(spark, sf):
 @register("hit_passages", o.with_views("hit_text") + """
 SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, line_no, corpus_passage, score FROM hit_text""")
 def q_hit_passages(spark, sf):
-    psg = fx.passages(_docs(spark, sf))
-    hits, _ = search.search_passages(psg, _queries(spark, sf), K)
+    hits, _ = search.search_passages(_passages(spark, sf), _queries(spark, sf), K)
     return hits.select("query_id", _big(F.col("rank")).alias("rank"), "doc_id", "line_no", "corpus_passage", "score")
 
 
@@ -436,7 +442,7 @@ def q_search_unique(spark, sf):
 
 @register("best_match", o.with_views("best") + "SELECT query_id, best_match, score FROM best")
 def q_best_match(spark, sf):
-    hits, _ = search.search_passages(fx.passages(_docs(spark, sf)), _queries(spark, sf), K)
+    hits, _ = search.search_passages(_passages(spark, sf), _queries(spark, sf), K)
     return search.best_match(hits)
 
 
@@ -449,7 +455,7 @@ FROM (SELECT h.*, {o.terms('q.query')} AS qt, {o.terms('h.corpus_passage')} AS p
       FROM hit_text h JOIN queries q USING (query_id)) h""")
 def q_rerank_jaccard(spark, sf):
     q = _queries(spark, sf)
-    hits, _ = search.search_passages(fx.passages(_docs(spark, sf)), q, K)
+    hits, _ = search.search_passages(_passages(spark, sf), q, K)
     r = hooks.rerank(hits.join(q, "query_id"), hooks.jaccard_scorer)
     return r.select("query_id", _big(F.col("rank")).alias("rank"), "doc_id", "line_no", "score",
                     round_score("cross_score").alias("cross_score"))
@@ -458,7 +464,7 @@ def q_rerank_jaccard(spark, sf):
 @register("find_context", o.with_views("found") + "SELECT query_id, doc_id, page_no, context FROM found")
 def q_find_context(spark, sf):
     docs = _docs(spark, sf)
-    hits, _ = search.search_passages(fx.passages(docs), _queries(spark, sf), K)
+    hits, _ = search.search_passages(_passages(spark, sf), _queries(spark, sf), K)
     best = search.best_match(hits).checkpoint(eager=True)
     pages = ctx.prepare_pages(fx.doc_pages(docs))
     return ctx.find_context(best, pages)

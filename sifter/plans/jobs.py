@@ -42,9 +42,9 @@ def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAU
     return best.join(out, "query_id", "left").select("query_id", "best_match", "score", "doc_id", "page_no", "prompt")
 
 
-def search_unique(documents: DataFrame, queries: DataFrame, k: int = DEFAULT_K) -> DataFrame:
+def search_unique(documents: DataFrame, queries: DataFrame, k: int = DEFAULT_K, materialise: bool = True) -> DataFrame:
     """Top-k per query, then duplicate (passage, score) rows dropped."""
-    hits, _ = search_passages(make_passages(documents), queries, k)
+    hits, _ = search_passages(_materialise(make_passages(documents), materialise), queries, k)
     return dedupe_hits(hits)
 
 

@@ -61,3 +61,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition a scan on its row key when it yields fewer partitions
+    than the cluster can run at once (a small table in one row group would
+    otherwise put all text work in one task). At scale the scan already has
+    far more splits than cores and this is a no-op. Partitioning on the
+    document key also clusters every later per-document/page aggregate."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import REPLACEMENT_CHAR, clean_retrieval, is_not_blank, strip
+from ..session import spread
 
 LINES_PER_PAGE = 8
 
@@ -18,8 +19,15 @@ LINES_PER_PAGE = 8
 TEST_STOPWORDS = ["the", "of", "and", "de", "la"]
 
 
+# row key of each driver table: scans are spread on it (see ``spread``)
+TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "embeddings": "vec_id",
+              "benchmark": "item_id", "labels": "doc_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = TABLE_KEYS.get(name)
+    return spread(df, [key] if key else None)
 
 
 def split_lines(text: F.Column) -> F.Column:
