@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import WS_CLASS
 from ..functions.vectors import SCORE_DIGITS, round_score
-from ..session import DEFAULT_BROADCAST_ROWS, bounded_broadcast, row_count_at_most
+from ..session import DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialise, row_count_at_most
 
 DEFAULT_K = 5
 # Most query vectors broadcast to the dense scorer in one block.
@@ -51,7 +51,7 @@ def validate_passages(df: DataFrame, text_col: str = "passage") -> DataFrame:
 # ---------------------------------------------------------------------------
 def term_tokens(text: Column) -> Column:
     """Lower-cased whitespace tokens, empty ones dropped."""
-    return F.filter(F.split(F.lower(text), WS_CLASS, -1), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), WS_CLASS, -1), "")
 
 
 def idf(df_col: Column, n_docs: int) -> Column:
@@ -105,15 +105,15 @@ def tfidf_index(passages: DataFrame, keys: Sequence[str] = ("doc_id", "line_no")
     them on term (AQE broadcasts the vocabulary when its measured size is
     small, otherwise a shuffle join with skew splitting); the norm is a
     window on the passage key. With ``checkpoint`` (default) ``doc_freq`` and
-    the postings are written to the session's checkpoint folder, so later
-    query batches reuse them (lineage cut, survives executor loss); pass
-    materialised passages for the same reason."""
+    the postings are written as Parquet under the session's checkpoint
+    folder, so later query batches reuse them (lineage cut, survives executor
+    loss); pass materialised passages for the same reason."""
     keys = tuple(keys)
     validate_passages(passages, text_col)
     counts = term_frequencies(passages, keys, text_col)
     doc_freq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     if checkpoint:
-        doc_freq = doc_freq.checkpoint(eager=True)
+        doc_freq = materialise(doc_freq, "doc_freq")
     if n_docs is None:
         n_docs = passages.count()
     weighted = (counts.join(doc_freq, "term")
@@ -123,7 +123,7 @@ def tfidf_index(passages: DataFrame, keys: Sequence[str] = ("doc_id", "line_no")
     postings = weighted.withColumn("nweight", F.col("weight") / F.sqrt(
         F.sum(F.col("weight") * F.col("weight")).over(by_passage)))
     if checkpoint:
-        postings = postings.checkpoint(eager=True)
+        postings = materialise(postings, "postings")
     return TfidfIndex(postings=postings, doc_freq=doc_freq, n_docs=n_docs, keys=keys)
 
 

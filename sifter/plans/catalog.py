@@ -16,6 +16,7 @@ from ..functions.vectors import round_score
 from ..operators import context as ctx
 from ..operators import hooks, layout, search
 from ..plans import jobs
+from ..session import materialise
 from ..sources import fixtures as fx
 from . import oracle as o
 
@@ -370,7 +371,7 @@ def q_corpus_union(spark, sf):
 def _passages(spark, sf):
     """Cleaned passages, written once to the checkpoint folder: the index
     build, the counts and the hit text all read this table."""
-    return fx.passages(_docs(spark, sf)).checkpoint(eager=True)
+    return materialise(fx.passages(_docs(spark, sf)), "passages")
 
 
 def _index(spark, sf):
@@ -465,7 +466,7 @@ def q_rerank_jaccard(spark, sf):
 def q_find_context(spark, sf):
     docs = _docs(spark, sf)
     hits, _ = search.search_passages(_passages(spark, sf), _queries(spark, sf), K)
-    best = search.best_match(hits).checkpoint(eager=True)
+    best = materialise(search.best_match(hits), "best")
     pages = ctx.prepare_pages(fx.doc_pages(docs))
     return ctx.find_context(best, pages)
 

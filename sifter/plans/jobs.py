@@ -14,13 +14,14 @@ from ..operators.context import find_context, prepare_pages, prompts
 from ..operators.layout import assemble_pages, with_page_text
 from ..operators.search import (DEFAULT_K, best_match, dedupe_hits, dense_scores, search_passages, topk,
                                 validate_passages)
+from ..session import materialise
 from ..sources.fixtures import doc_pages, elements, passages as make_passages
 
 
-def _materialise(df: DataFrame, on: bool) -> DataFrame:
-    """Reliable checkpoint into the session's checkpoint folder (lineage cut,
-    survives executor loss)."""
-    return df.checkpoint(eager=True) if on else df
+def _materialise(df: DataFrame, on: bool, name: str = "table") -> DataFrame:
+    """Parquet table under the session's checkpoint folder (lineage cut,
+    survives executor loss, computed once)."""
+    return materialise(df, name) if on else df
 
 
 def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAULT_K, method: str = "anchor",

@@ -73,3 +73,17 @@ def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | N
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
+
+
+def materialise(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back: the lineage is cut, readers depend only on durable files
+    (an executor lost later costs no recomputation), and the plan runs once
+    (``checkpoint()`` without caching runs it twice)."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/sifter-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
