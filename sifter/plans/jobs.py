@@ -57,13 +57,30 @@ def page_corpus(documents: DataFrame) -> DataFrame:
 
 
 def turn_corpus(parts: DataFrame, file_col: str = "conv_id", order: Sequence[str] = ("turn",),
-                text_col: str = "text", lang: str = "en") -> DataFrame:
-    """P3 (slide corpus) over ordered parts: slide profile per part, strip,
-    drop blank lines. ``(file, order..., line)``."""
-    cleaned = parts.select(file_col, *order, strip(clean_slide(F.col(text_col), lang)).alias("line"))
+                text_col: str = "text", lang: str | None = "en") -> DataFrame:
+    """P3 (slide corpus) over ordered parts: slide profile per part (skipped
+    for ``lang=None``, text already cleaned), strip, drop blank lines.
+    ``(file, order..., line)``."""
+    text = F.col(text_col) if lang is None else clean_slide(F.col(text_col), lang)
+    cleaned = parts.select(file_col, *order, strip(text).alias("line"))
     return cleaned.filter(is_not_blank(F.col("line")))
 
 
+def slide_corpus(shapes: DataFrame, lang: str = "de") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """P3 over extracted shapes ``(file, slide_no, shape_ix, text[, error])``:
+    returns ``(nested, raw, clean)`` - the slide dictionary (L12, for K5), the
+    raw corpus of cleaned shape texts (K3) and the clean corpus with stripped,
+    non-blank lines (K4)."""
+    from ..operators.layout import nest_parts
+    from ..sources.slides import drop_unreadable
+
+    good = drop_unreadable(shapes) if "error" in shapes.columns else shapes
+    raw = good.select("file", "slide_no", "shape_ix", clean_slide(F.col("text"), lang).alias("line"))
+    nested = nest_parts(raw, "file", ["slide_no", "shape_ix"], "line")
+    clean = turn_corpus(raw, "file", ("slide_no", "shape_ix"), "line", lang=None)
+    return nested, raw, clean
+
+
 def clean_corpus_job(lines: DataFrame, stopwords: list[str] | None = None, apply_profile: bool = True,
                      keys: Sequence[str] = ("doc_id", "line_no"), line_col: str = "line") -> DataFrame:
     """Tokenise each line (as read, with its terminator), mask damaged
@@ -83,5 +100,5 @@ def semantic_search(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, k
     return topk(scores, k, [key_col]).select("query_id", "rank", key_col, "score")
 
 
-__all__ = ["retrieve_and_prompt", "search_unique", "page_corpus", "turn_corpus", "clean_corpus_job",
+__all__ = ["retrieve_and_prompt", "search_unique", "page_corpus", "turn_corpus", "slide_corpus", "clean_corpus_job",
            "semantic_search", "validate_passages"]
