@@ -29,4 +29,9 @@ def cosine(a: ColumnOrName, b: ColumnOrName) -> Column:
 
 
 def round_score(col: ColumnOrName) -> Column:
-    return F.round(_col(col), SCORE_DIGITS)
+    """Half-up rounding to ``SCORE_DIGITS`` digits in double arithmetic
+    (``F.round`` goes through a decimal per value and costs about five times
+    as much on millions of candidate scores)."""
+    scale = float(10 ** SCORE_DIGITS)
+    c = _col(col)
+    return F.when(F.isnan(c), c).otherwise(F.floor(c * scale + 0.5) / scale)

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import WS_CLASS
 from ..functions.vectors import SCORE_DIGITS, round_score
-from ..session import DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialise, row_count_at_most
+from ..session import DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialise, materialise_bucketed, row_count_at_most
 
 DEFAULT_K = 5
 # Most query vectors broadcast to the dense scorer in one block.
@@ -123,7 +123,9 @@ def tfidf_index(passages: DataFrame, keys: Sequence[str] = ("doc_id", "line_no")
     postings = weighted.withColumn("nweight", F.col("weight") / F.sqrt(
         F.sum(F.col("weight") * F.col("weight")).over(by_passage)))
     if checkpoint:
-        postings = materialise(postings, "postings")
+        # bucketed on the first passage key: scoring sums per (query, passage)
+        # inside each bucket, so candidate pairs are never shuffled
+        postings = materialise_bucketed(postings, keys[0], name="postings")
     return TfidfIndex(postings=postings, doc_freq=doc_freq, n_docs=n_docs, keys=keys)
 
 

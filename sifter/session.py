@@ -75,6 +75,23 @@ def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | N
     return df.repartition(want, *keys) if keys else df.repartition(want)
 
 
+def materialise_bucketed(df: DataFrame, key: str, buckets: int | None = None, name: str = "table") -> DataFrame:
+    """Like ``materialise`` but as a table bucketed (and sorted) on ``key``
+    in the checkpoint folder: reads of it are hash-partitioned on ``key``, so
+    aggregates and windows keyed on it (or on a superset of it) need no
+    exchange. ``buckets`` defaults to ``spark.sql.shuffle.partitions``."""
+    import uuid
+
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    tag = uuid.uuid4().hex
+    table_name = f"sifter_{name}_{tag}"
+    (df.write.mode("overwrite").bucketBy(n, key).sortBy(key)
+     .option("path", f"{base}/sifter-tables/{name}-{tag}").saveAsTable(table_name))
+    return spark.table(table_name)
+
+
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     read it back: the lineage is cut, readers depend only on durable files
