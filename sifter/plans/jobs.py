@@ -12,40 +12,50 @@ from ..functions.text import (DEFAULT_CONTEXT_SKIP, DEFAULT_PROMPT_TEMPLATE, cle
                               clean_tokens_line, is_not_blank, strip)
 from ..operators.context import find_context, prepare_pages, prompts
 from ..operators.layout import assemble_pages, with_page_text
-from ..operators.search import (DEFAULT_K, best_match, dedupe_hits, dense_scores, search_passages, topk,
-                                validate_passages)
-from ..session import materialise
+from ..operators.search import (DEFAULT_K, TfidfIndex, best_match, dedupe_hits, dense_scores, search_passages,
+                                topk, validate_passages)
+from ..session import materialise, materialise_bucketed
 from ..sources.fixtures import doc_pages, elements, passages as make_passages
 
 
-def _materialise(df: DataFrame, on: bool, name: str = "table") -> DataFrame:
+def _materialise(df: DataFrame, on: bool, name: str = "table", bucket_key: str | None = None) -> DataFrame:
     """Parquet table under the session's checkpoint folder (lineage cut,
-    survives executor loss, computed once)."""
-    return materialise(df, name) if on else df
+    survives executor loss, computed once); bucketed on ``bucket_key`` when
+    given, so later work keyed on it needs no exchange."""
+    if not on:
+        return df
+    return materialise_bucketed(df, bucket_key, name=name) if bucket_key else materialise(df, name)
 
 
 def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAULT_K, method: str = "anchor",
                         skip: int = DEFAULT_CONTEXT_SKIP, template: str = DEFAULT_PROMPT_TEMPLATE,
                         query_id_col: str = "query_id", query_col: str = "query",
-                        materialise: bool = True) -> DataFrame:
+                        materialise: bool = True, passages: DataFrame | None = None,
+                        index: TfidfIndex | None = None, pages: DataFrame | None = None) -> DataFrame:
     """Split documents into passages, clean them, score every query
     against every passage (TF-IDF cosine), keep the top k, de-duplicate,
     take the best match, find the first page that contains it and render the
     prompt. ``(query_id, best_match, score, doc_id, page_no, prompt)``; a
-    query whose best passage is on no page keeps null page and prompt."""
+    query whose best passage is on no page keeps null page and prompt.
+
+    ``passages``/``index``/``pages`` take corpus tables built earlier from the
+    same documents (reused across query batches); missing ones are built."""
     q = queries.select(F.col(query_id_col).alias("query_id"), F.col(query_col).alias("query"))
-    psg = _materialise(make_passages(documents), materialise)
-    hits, _ = search_passages(psg, q, k)
-    best = _materialise(best_match(hits), materialise)
-    pages = _materialise(prepare_pages(doc_pages(documents)), materialise)
+    psg = passages if passages is not None else _materialise(make_passages(documents), materialise, "passages", "doc_id")
+    hits, _ = search_passages(psg, q, k, index=index)
+    best = _materialise(best_match(hits), materialise, "best")
+    if pages is None:
+        pages = _materialise(prepare_pages(doc_pages(documents)), materialise, "pages")
     found = find_context(best, pages, method=method)
     out = prompts(found, q, skip=skip, template=template)
     return best.join(out, "query_id", "left").select("query_id", "best_match", "score", "doc_id", "page_no", "prompt")
 
 
-def search_unique(documents: DataFrame, queries: DataFrame, k: int = DEFAULT_K, materialise: bool = True) -> DataFrame:
+def search_unique(documents: DataFrame, queries: DataFrame, k: int = DEFAULT_K, materialise: bool = True,
+                  passages: DataFrame | None = None, index: TfidfIndex | None = None) -> DataFrame:
     """Top-k per query, then duplicate (passage, score) rows dropped."""
-    hits, _ = search_passages(_materialise(make_passages(documents), materialise), queries, k)
+    psg = passages if passages is not None else _materialise(make_passages(documents), materialise, "passages", "doc_id")
+    hits, _ = search_passages(psg, queries, k, index=index)
     return dedupe_hits(hits)
 
 
