@@ -70,9 +70,15 @@ def _anchor_matches(best: DataFrame, pages: DataFrame, order: Sequence[str], sma
             .select("query_id", *order, "context"))
 
 
+# Largest number of (passage, page) containment tests the nested-loop plan
+# takes on; above it ``auto`` uses the anchor join.
+NESTED_LOOP_MAX_PAIRS = 20_000_000
+
+
 def find_context(best: DataFrame, pages: DataFrame, passage_col: str = "best_match",
-                 order: Sequence[str] = ("doc_id", "page_no"), method: str = "anchor",
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 order: Sequence[str] = ("doc_id", "page_no"), method: str = "auto",
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 nested_max_pairs: int = NESTED_LOOP_MAX_PAIRS) -> DataFrame:
     """``(query_id, order..., context)`` with the first page containing the
     passage; queries without such a page get nulls (left join).
 
@@ -80,12 +86,19 @@ def find_context(best: DataFrame, pages: DataFrame, passage_col: str = "best_mat
     ``page_lc`` (its lower case), as made by ``prepare_pages``. ``best``
     should be materialised (checkpointed) by the caller: it is counted once to
     decide whether it and the frames it bounds (its tokens, anchors) are
-    broadcast; above the bound the planner's shuffle joins are used."""
+    broadcast; above the bound the planner's shuffle joins are used.
+    ``method="auto"`` takes the nested loop while passages x pages stays
+    under ``nested_max_pairs`` (pages should be materialised too, so that
+    counting them reads file metadata), else the anchor join."""
     order = list(order)
     b = best.select("query_id", F.lower(F.col(passage_col)).alias("_p_lc")).withColumn(
         "_toks", F.split(F.col("_p_lc"), " ", -1))
     small = row_count_at_most(b, max_broadcast_rows) and row_count_at_most(
         b.select(F.explode("_toks")), max_broadcast_rows)
+    if method == "auto":
+        # switch on size: the nested loop is cheaper for small products
+        n_best = b.limit(max_broadcast_rows + 1).count()
+        method = "nested" if small and n_best * pages.count() <= nested_max_pairs else "anchor"
     if method == "nested":
         matches = _nested_matches(b, pages, order, small)
     elif method == "anchor":

@@ -83,6 +83,10 @@ def materialise_bucketed(df: DataFrame, key: str, buckets: int | None = None, na
     import uuid
 
     spark = df.sparkSession
+    if spark.conf.get("spark.sql.catalogImplementation", "in-memory") != "in-memory":
+        # bucketed tables need a catalog entry: keep to the session's own
+        # in-memory catalog, never an external metastore
+        return materialise(df, name)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = ensure_checkpoint_dir(spark).rstrip("/")
     tag = uuid.uuid4().hex
