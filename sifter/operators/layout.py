@@ -131,26 +131,40 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols
     return df.groupBy(*keys).agg(s).select(*keys, *[F.col(f"_f.{c}").alias(c) for c in (*order, *cols)])
 
 
+# Most pages (or parts) nested into one row: a file's dictionary is the union
+# of its rows, so no row or task ever holds an unbounded group.
+MAX_NESTED_PER_ROW = 1000
+
+
 def nest_pages(pages: DataFrame, file_col: str = "doc_id", value_cols: Sequence[str] = (
-        "page_text", "line_format", "text_from_images", "text_from_tables", "page_content")) -> DataFrame:
-    """``(file, pages MAP<'Page_n', STRUCT<...>>)`` with pages in
-    numeric order; the first record of a page key wins."""
+        "page_text", "line_format", "text_from_images", "text_from_tables", "page_content"),
+        max_per_row: int = MAX_NESTED_PER_ROW) -> DataFrame:
+    """``(file, chunk, pages MAP<'Page_n', STRUCT<...>>)`` with pages in
+    numeric order; ``chunk = page_no div max_per_row``, so a file's
+    dictionary is the union of its chunk rows (one row for files up to
+    ``max_per_row`` pages)."""
     rec = F.struct(*[F.col(c) for c in value_cols])
-    grouped = pages.groupBy(file_col).agg(F.array_sort(F.collect_list(F.struct(F.col("page_no"), rec.alias("r")))).alias("_p"))
+    chunk = F.floor(F.col("page_no") / max_per_row).cast("bigint")
+    grouped = pages.groupBy(file_col, chunk.alias("chunk")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("page_no"), rec.alias("r")))).alias("_p"))
     # page keys are unique per file in practice; if not, sorting puts equal
     # page numbers side by side and the smallest record wins (deterministic)
     dedup = F.filter("_p", lambda x, i: (i == 0) | (x["page_no"] != F.get(F.col("_p"), i - 1)["page_no"]))
     return grouped.select(
-        file_col,
-        F.map_from_entries(F.transform(dedup, lambda x: F.struct(page_key(x["page_no"]).alias("key"), x["r"].alias("value")))).alias("pages"),
+        file_col, "chunk",
+        F.map_from_entries(F.transform(dedup, lambda x: F.struct(page_key(x["page_no"]).alias("key"),
+                                                                 x["r"].alias("value")))).alias("pages"),
     )
 
 
-def nest_parts(parts: DataFrame, file_col: str, order: Sequence[str], text_col: str = "text") -> DataFrame:
-    """``(file, parts ARRAY<STRING>)`` - a file's shape (or turn) texts
-    in slide and shape order."""
+def nest_parts(parts: DataFrame, file_col: str, order: Sequence[str], text_col: str = "text",
+               max_per_row: int = MAX_NESTED_PER_ROW) -> DataFrame:
+    """``(file, chunk, parts ARRAY<STRING>)`` - a file's shape (or turn)
+    texts in slide and shape order; ``chunk = order[0] div max_per_row``, the
+    file's list is its chunks' lists concatenated in chunk order."""
     packed = F.struct(*[F.col(c) for c in order], F.col(text_col).alias("_t"))
-    return parts.groupBy(file_col).agg(
+    chunk = F.floor(F.col(order[0]) / max_per_row).cast("bigint")
+    return parts.groupBy(file_col, chunk.alias("chunk")).agg(
         F.transform(F.array_sort(F.collect_list(packed)), lambda x: x["_t"]).alias("parts"))
 
 

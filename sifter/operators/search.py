@@ -83,9 +83,11 @@ class TfidfIndex:
         frequencies; terms absent from the corpus count with ``df = 0``."""
         qtf = term_frequencies(queries.select(F.col(id_col).alias("query_id"), F.col(text_col).alias("_q")),
                                ["query_id"], "_q")
-        wanted = bounded_broadcast(qtf.select("term").distinct(), max_broadcast_rows)
-        df_q = self.doc_freq.join(wanted, "term", "left_semi")
-        w = qtf.join(F.broadcast(df_q), "term", "left").select(
+        wanted = qtf.select("term").distinct()
+        small = row_count_at_most(wanted, max_broadcast_rows)
+        # the corpus frequencies of the query terms: at most |wanted| rows
+        df_q = self.doc_freq.join(F.broadcast(wanted) if small else wanted, "term", "left_semi")
+        w = qtf.join(F.broadcast(df_q) if small else df_q, "term", "left").select(
             "query_id", "term",
             (F.col("tf") * idf(F.coalesce(F.col("df"), F.lit(0)), self.n_docs)).alias("qweight"),
         )

@@ -303,27 +303,27 @@ def q_page_key(spark, sf):
     return _records(spark, sf).select("doc_id", "page_no", tf.page_key("page_no").alias("page_key"))
 
 
-@register("nest_pages", o.with_views("page_records") + """
-SELECT doc_id, CAST(count(*) AS BIGINT) AS n_pages,
+@register("nest_pages", o.with_views("page_records") + f"""
+SELECT doc_id, page_no // {layout.MAX_NESTED_PER_ROW} AS chunk, CAST(count(*) AS BIGINT) AS n_pages,
        string_agg('Page_' || CAST(page_no AS VARCHAR), ',' ORDER BY page_no) AS page_keys,
        string_agg(array_to_string(page_content, ''), chr(10) ORDER BY page_no) AS text
-FROM page_records GROUP BY doc_id""")
+FROM page_records GROUP BY doc_id, page_no // {layout.MAX_NESTED_PER_ROW}""")
 def q_nest_pages(spark, sf):
     nested = layout.nest_pages(_records(spark, sf))
     vals = F.map_values("pages")
-    return nested.select("doc_id", _big(F.size("pages")).alias("n_pages"),
+    return nested.select("doc_id", "chunk", _big(F.size("pages")).alias("n_pages"),
                          F.array_join(F.map_keys("pages"), ",").alias("page_keys"),
                          F.array_join(F.transform(vals, lambda v: tf.page_text(v["page_content"])), "\n").alias("text"))
 
 
 @register("nest_turns", f"""
-SELECT conv_id, CAST(count(*) AS BIGINT) AS n_parts,
+SELECT conv_id, turn // {layout.MAX_NESTED_PER_ROW} AS chunk, CAST(count(*) AS BIGINT) AS n_parts,
        string_agg({o.slide('text', 'en')}, '{SEP}' ORDER BY turn) AS parts
-FROM conversations GROUP BY conv_id""")
+FROM conversations GROUP BY conv_id, turn // {layout.MAX_NESTED_PER_ROW}""")
 def q_nest_turns(spark, sf):
     c = _t(spark, sf, "conversations").withColumn("text", tx.clean_slide("text", "en"))
     n = layout.nest_parts(c, "conv_id", ["turn"], "text")
-    return n.select("conv_id", _big(F.size("parts")).alias("n_parts"), _joined(F.col("parts")).alias("parts"))
+    return n.select("conv_id", "chunk", _big(F.size("parts")).alias("n_parts"), _joined(F.col("parts")).alias("parts"))
 
 
 @register("first_per_key", o.with_views("passages") + """

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 def write_per_document(pages: DataFrame, path: str, file_col: str = "doc_id", order: Sequence[str] = ("page_no",),
                        text_col: str = "text") -> None:
     """K1: one folder per document (``file=<key>``) holding its page texts,
-    one per line, in page order. Each document is written by one task."""
+    one per line, in page order. Range partitioning on (file, page) lets a
+    very large document span several tasks, whose part files follow each
+    other in page order."""
     (pages.select(file_col, *order, text_col)
-     .repartition(file_col)
+     .repartitionByRange(file_col, *order)
      .sortWithinPartitions(file_col, *order)
      .select(file_col, F.col(text_col).alias("value"))
      .write.mode("overwrite").partitionBy(file_col).text(path))
@@ -33,8 +35,9 @@ def write_corpus(lines: DataFrame, path: str, order: Sequence[str], text_col: st
 
 
 def write_page_dict(nested: DataFrame, path: str, file_col: str = "doc_id", value_col: str = "pages") -> None:
-    """K5: one JSON object ``{file: {"Page_n": record}}`` per line (the union
-    of the lines is the whole dictionary); parse-equal for any language."""
+    """K5: one JSON object ``{file: {"Page_n": record}}`` per nested row
+    (a file's chunk of pages); the union of the lines is the whole
+    dictionary, parse-equal for any language."""
     obj = F.to_json(F.create_map(F.col(file_col).cast("string"), F.col(value_col)))
     nested.select(obj.alias("value")).write.mode("overwrite").text(path)
 

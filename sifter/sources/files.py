@@ -67,12 +67,20 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def number_lines(lines: DataFrame) -> DataFrame:
-    """0-based ``line_no`` per file from the ``read_lines`` order (a window
-    per file: one task per file)."""
+    """0-based ``line_no`` per file from the ``read_lines`` order, without
+    putting a file in one task: the ids of one split are consecutive, so a
+    line's number is its split's offset in the file (a running sum over the
+    small per-split count table) plus its distance to the split's first id."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy("file").orderBy("block_start", "row_id")
-    return lines.withColumn("line_no", (F.row_number().over(w) - 1).cast("bigint")).drop("block_start", "row_id")
+    splits = lines.groupBy("file", "block_start").agg(F.count(F.lit(1)).alias("_n"),
+                                                      F.min("row_id").alias("_first"))
+    w = Window.partitionBy("file").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    # one row per split (input size / split size): small next to the lines
+    out = lines.join(offsets.select("file", "block_start", "_first", "_offset"), ["file", "block_start"])
+    return out.select("file", (F.col("_offset") + F.col("row_id") - F.col("_first")).cast("bigint").alias("line_no"),
+                      "line")
 
 
 def read_passages(spark: SparkSession, path: str) -> DataFrame:

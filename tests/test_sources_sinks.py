@@ -122,3 +122,23 @@ def test_sinks_and_page_dict_roundtrip(spark, small_dir):
     res = spark.createDataFrame([("p", 0.5)], "corpus_passage string, score double")
     write_result_csv(res, os.path.join(out, "csv"))
     assert spark.read.option("header", True).csv(os.path.join(out, "csv")).columns == ["corpus_passage", "score"]
+
+
+def test_number_lines_across_splits(spark):
+    d = tempfile.mkdtemp(prefix="sifter-split-")
+    lines = [f"line {i} " + "x" * (i % 37) for i in range(3000)]
+    with open(os.path.join(d, "big.txt"), "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+    with open(os.path.join(d, "small.txt"), "w", encoding="utf-8") as f:
+        f.write("a\nb\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        raw = files.read_lines(spark, d)
+        assert raw.rdd.getNumPartitions() > 5
+        got = files.number_lines(raw).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    big = sorted((r.line_no, r.line) for r in got if r.file.endswith("big.txt"))
+    assert big == list(enumerate(lines))
+    assert sorted((r.line_no, r.line) for r in got if r.file.endswith("small.txt")) == [(0, "a"), (1, "b")]
