@@ -51,13 +51,17 @@ def scan_slides(spark: SparkSession, path: str, require_special: bool = False) -
     return df
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:
     """Text lines ``(file, block_start, row_id, line)``. Order within a
     file is ``(block_start, row_id)``: the split's offset, then the row's
     position in its task (``monotonically_increasing_id`` grows along a
     split). Files are split across tasks as usual; no task sees a whole
-    large file."""
-    df = spark.read.text(path)
+    large file. ``line_sep=None`` ends lines at ``\n``, ``\r\n`` or
+    ``\r``, as Python's text reading does."""
+    r = spark.read.format("text")
+    if line_sep is not None:
+        r = r.option("lineSep", line_sep)
+    df = r.load(path)
     return df.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
@@ -66,30 +70,54 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def number_lines(lines: DataFrame) -> DataFrame:
-    """0-based ``line_no`` per file from the ``read_lines`` order, without
-    putting a file in one task: the ids of one split are consecutive, so a
-    line's number is its split's offset in the file (a running sum over the
-    small per-split count table) plus its distance to the split's first id."""
+def _split_offsets(lines: DataFrame) -> DataFrame:
+    """Per split: first row id and line offset within its file (a running sum
+    over the small per-split table: one row per split)."""
     from pyspark.sql import Window
 
     splits = lines.groupBy("file", "block_start").agg(F.count(F.lit(1)).alias("_n"),
-                                                      F.min("row_id").alias("_first"))
+                                                      F.min("row_id").alias("_first"),
+                                                      F.sum(F.octet_length("line")).alias("_bytes"))
     w = Window.partitionBy("file").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    # one row per split (input size / split size): small next to the lines
-    out = lines.join(offsets.select("file", "block_start", "_first", "_offset"), ["file", "block_start"])
+    return splits.withColumn("_offset", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+
+
+def number_lines(lines: DataFrame) -> DataFrame:
+    """0-based ``line_no`` per file from the ``read_lines`` order, without
+    putting a file in one task: the ids of one split are consecutive, so a
+    line's number is its split's offset in the file plus its distance to the
+    split's first id."""
+    offsets = _split_offsets(lines).select("file", "block_start", "_first", "_offset")
+    out = lines.join(offsets, ["file", "block_start"])
     return out.select("file", (F.col("_offset") + F.col("row_id") - F.col("_first")).cast("bigint").alias("line_no"),
                       "line")
 
 
 def read_passages(spark: SparkSession, path: str) -> DataFrame:
-    """Whole files split on ``\\n`` keeping every empty string, also the
-    trailing one: ``(file, passage_no, passage)``."""
-    df = spark.read.text(path, wholetext=True)
-    return df.select(F.col("_metadata.file_path").alias("file"),
-                     F.posexplode(F.split(F.col("value"), "\n", -1)).alias("passage_no", "passage")).withColumn(
-        "passage_no", F.col("passage_no").cast("bigint"))
+    """Files split on ``\n`` keeping every empty string, also the
+    trailing one: ``(file, passage_no, passage)``.
+
+    Lines are read split-parallel with ``\n`` as the only separator; a
+    file that ends in ``\n`` (or is empty) gets one more, empty, passage.
+    Whether it does is told by its length in the listing: the bytes of its
+    lines plus one per separator equal the length exactly when the last
+    line is terminated. Spark's file listing skips zero-length files, so an
+    empty file yields no passage (the original yields one empty one)."""
+    lines = read_lines(spark, path, line_sep="\n")
+    numbered = number_lines(lines).select("file", F.col("line_no").alias("passage_no"), F.col("line").alias("passage"))
+    per_file = _split_offsets(lines).groupBy("file").agg(F.sum("_n").alias("_n"), F.sum("_bytes").alias("_bytes"))
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
+        F.col("path").alias("_path"), "length")
+    # the text reader names files like the listing, but URL-decoded paths can
+    # differ in form: compare on the path after the scheme
+    norm = lambda c: F.regexp_replace(c, "^file:(//)?", "file:")
+    files = listing.join(per_file, norm(F.col("_path")) == norm(F.col("file")), "left").select(
+        F.coalesce(F.col("file"), F.col("_path")).alias("file"),
+        F.coalesce(F.col("_n"), F.lit(0)).alias("_n"),
+        (F.col("length") == F.coalesce(F.col("_bytes"), F.lit(0)) + F.coalesce(F.col("_n"), F.lit(0))).alias("_term"))
+    trailing = files.filter("_term").select("file", F.col("_n").cast("bigint").alias("passage_no"),
+                                            F.lit("").alias("passage"))
+    return numbered.unionByName(trailing)
 
 
 PAGE_RECORD = T.StructType([

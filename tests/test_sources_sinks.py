@@ -87,6 +87,20 @@ def test_read_lines_and_passages(spark):
     assert [r.passage for r in psg] == "l0\n\nl2 é\nl3\n".split("\n")
 
 
+def test_read_passages_edge_files(spark):
+    d = tempfile.mkdtemp(prefix="sifter-psg-")
+    texts = {"a.txt": "x\r\ny\n\n", "b.txt": "no newline at end", "c.txt": "", "d.txt": "\n"}
+    for name, t in texts.items():
+        with open(os.path.join(d, name), "w", encoding="utf-8", newline="") as f:
+            f.write(t)
+    got = files.read_passages(spark, d).collect()
+    for name, t in texts.items():
+        rows = sorted((r.passage_no, r.passage) for r in got if r.file.endswith("/" + name))
+        # Spark's file listing skips zero-length files, so an empty file
+        # gives no passage instead of one empty one
+        assert rows == (list(enumerate(t.split("\n"))) if t else []), name
+
+
 def test_sinks_and_page_dict_roundtrip(spark, small_dir):
     from sifter.operators.layout import assemble_pages, nest_pages, with_page_text
     from sifter.sources import fixtures as fx
