@@ -520,6 +520,16 @@ def q_find_context(spark, sf):
     return ctx.find_context(best, _pages(spark, sf))
 
 
+@register("find_context_anchor", o.with_views("found") + "SELECT query_id, doc_id, page_no, context FROM found")
+def q_find_context_anchor(spark, sf):
+    """J3 forced onto the anchor-token join (the plan ``auto`` takes on large
+    inputs), checked against the same oracle."""
+    psg, idx = _index(spark, sf)
+    hits, _ = search.search_passages(psg, _queries(spark, sf), K, index=idx)
+    best = materialise(search.best_match(hits), "best")
+    return ctx.find_context(best, _pages(spark, sf), method="anchor")
+
+
 @register("retrieve_and_prompt", o.with_views("found", "queries") + f"""
 SELECT b.query_id, b.best_match, b.score, f.doc_id, f.page_no,
        {_prompt_sql('substring(f.context, 1501)', 'q.query')} AS prompt

@@ -27,7 +27,7 @@ def _materialise(df: DataFrame, on: bool, name: str = "table", bucket_key: str |
     return materialise_bucketed(df, bucket_key, name=name) if bucket_key else materialise(df, name)
 
 
-def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAULT_K, method: str = "anchor",
+def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAULT_K, method: str = "auto",
                         skip: int = DEFAULT_CONTEXT_SKIP, template: str = DEFAULT_PROMPT_TEMPLATE,
                         query_id_col: str = "query_id", query_col: str = "query",
                         materialise: bool = True, passages: DataFrame | None = None,
