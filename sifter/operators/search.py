@@ -76,6 +76,16 @@ class TfidfIndex:
     doc_freq: DataFrame
     n_docs: int
     keys: tuple[str, ...]
+    _term_stats: DataFrame | None = None
+
+    def term_stats(self) -> DataFrame:
+        """``(term, df, max_nweight)``: the largest normalised weight of each
+        term over all passages, an upper bound for pruning. A partial
+        aggregate on term over the postings, written once."""
+        if self._term_stats is None:
+            mx = self.postings.groupBy("term").agg(F.max("nweight").alias("max_nweight"))
+            self._term_stats = materialise(self.doc_freq.join(mx, "term"), "term_stats")
+        return self._term_stats
 
     def query_weights(self, queries: DataFrame, id_col: str = "query_id", text_col: str = "query",
                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -156,6 +166,68 @@ def sparse_scores(index: TfidfIndex, query_weights: DataFrame, queries_small: bo
         F.sum(F.col("nqweight") * F.col("nweight")).alias("score"))
 
 
+# Rows of rare-term postings each query scores exactly to bound its k-th score.
+SEED_BUDGET = 1000
+# Safety margin on score bounds: above one rounding step plus summation error.
+PRUNE_MARGIN = 1e-5
+
+
+def sparse_topk(index: TfidfIndex, query_weights: DataFrame, k: int = DEFAULT_K, queries_small: bool = True,
+                seed_budget: int = SEED_BUDGET, margin: float = PRUNE_MARGIN) -> DataFrame:
+    """Exact top-k by sparse cosine, pruned MaxScore-style so that common
+    terms' posting lists are never expanded against the queries.
+
+    1. Each query term gets an upper bound ``u = nqweight * max_nweight`` on
+       what it can add to any passage's score.
+    2. Seed: the postings of each query's rarest terms (cumulative document
+       frequency within ``seed_budget``) name a few passages, scored exactly;
+       their k-th best score ``theta`` bounds the true k-th best from below.
+    3. Terms taken in increasing ``u`` while their running sum stays below
+       ``theta - margin`` are non-essential: a passage holding only those
+       terms scores under the k-th best (also after rounding to six digits),
+       so it cannot enter the top k.
+    4. Candidates come from the essential terms' postings only, and are
+       scored exactly by joining their own postings on the passage key (the
+       postings are bucketed on it, so only the candidates move).
+
+    A query whose seed holds fewer than k passages is not pruned. Returns
+    ``topk``'s rows, the same rows as ``topk(sparse_scores(...))``."""
+    keys = list(index.keys)
+    hint = F.broadcast if queries_small else (lambda d: d)
+    post = index.postings.select(*keys, "term", "nweight")
+    qw = materialise(query_weights.select("query_id", "term", "nqweight"), "query_weights")
+    stats = index.term_stats().join(hint(qw.select("term").distinct()), "term", "left_semi")
+    bounds = qw.join(F.broadcast(stats) if queries_small else stats, "term").withColumn(
+        "ub", F.col("nqweight") * F.col("max_nweight"))
+    # 2. seed passages from the rarest terms, scored exactly
+    by_rarity = Window.partitionBy("query_id").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, 0)
+    seed_terms = bounds.withColumn("_cum", F.sum("df").over(by_rarity)).filter(F.col("_cum") <= seed_budget)
+    seed_pairs = post.join(hint(seed_terms.select("query_id", "term")), "term").select("query_id", *keys).distinct()
+    seed_small = queries_small and row_count_at_most(qw.select("query_id").distinct(),
+                                                     max(1, DEFAULT_BROADCAST_ROWS // max(seed_budget, 1)))
+    seed_hint = F.broadcast if seed_small else (lambda d: d)
+    seed_passages = seed_pairs.select(*keys).distinct()
+    seed_scores = (post.join(seed_hint(seed_passages), keys)
+                   .join(hint(qw), "term")
+                   .join(seed_hint(seed_pairs), ["query_id", *keys])
+                   .groupBy("query_id", *keys).agg(F.sum(F.col("nqweight") * F.col("nweight")).alias("score")))
+    kth = Window.partitionBy("query_id").orderBy(F.col("score").desc())
+    theta = (seed_scores.withColumn("_r", F.row_number().over(kth)).filter(F.col("_r") == k)
+             .select("query_id", F.col("score").alias("theta")))
+    # 3. essential terms: the running bound reaches theta - margin
+    by_bound = Window.partitionBy("query_id").orderBy("ub", "term").rowsBetween(Window.unboundedPreceding, 0)
+    essential = (bounds.join(hint(theta), "query_id", "left")
+                 .withColumn("_prefix", F.sum("ub").over(by_bound))
+                 .filter(F.col("theta").isNull() | (F.col("_prefix") >= F.col("theta") - margin))
+                 .select("query_id", "term"))
+    # 4. candidates and their exact scores
+    cand = post.join(hint(essential), "term").select("query_id", *keys).distinct()
+    scores = (post.join(cand, keys)
+              .join(hint(qw), ["query_id", "term"])
+              .groupBy("query_id", *keys).agg(F.sum(F.col("nqweight") * F.col("nweight")).alias("score")))
+    return topk(scores, k, keys)
+
+
 def _query_blocks(queries: DataFrame, id_col: str, vec_col: str, block: int):
     """Yield (ids, matrix) blocks of at most ``block`` query vectors, read in
     id order. Only query vectors reach the driver, ``block`` at a time."""
@@ -284,12 +356,18 @@ def best_match(hits: DataFrame, text_col: str = "corpus_passage", group: str = "
 def search_passages(passages: DataFrame, queries: DataFrame, k: int = DEFAULT_K,
                     keys: Sequence[str] = ("doc_id", "line_no"), text_col: str = "passage",
                     query_id_col: str = "query_id", query_text_col: str = "query",
-                    index: TfidfIndex | None = None) -> tuple[DataFrame, TfidfIndex]:
+                    index: TfidfIndex | None = None, prune: bool = False) -> tuple[DataFrame, TfidfIndex]:
     """Lexical search of many queries at once: top-k hits with passage text,
-    ``(query_id, rank, keys..., corpus_passage, score)``."""
+    ``(query_id, rank, keys..., corpus_passage, score)``.
+
+    ``prune=True`` uses ``sparse_topk`` (same rows). It pays off when a few
+    very common terms dominate the postings. On the benchmark corpus, with
+    long queries, it removed 31% of the candidate pairs at sf0.1 and took
+    longer than the plain plan, so it is off by default."""
     index = index or tfidf_index(passages, keys, text_col)
     qw = index.query_weights(queries, query_id_col, query_text_col)
-    hits = topk(sparse_scores(index, qw, query_terms_at_most(queries, query_text_col)), k, keys)
+    small = query_terms_at_most(queries, query_text_col)
+    hits = sparse_topk(index, qw, k, small) if prune else topk(sparse_scores(index, qw, small), k, keys)
     # at most k hits per query: the query count bounds the hit count
     hits_small = row_count_at_most(queries, max(1, DEFAULT_BROADCAST_ROWS // max(k, 1)))
     return attach_passages(hits, passages, keys, text_col, hits_small=hits_small), index
