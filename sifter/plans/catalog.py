@@ -143,6 +143,13 @@ def q_clean_corpus_lines(spark, sf):
         "doc_id", "line_no", tx.clean_tokens_line("line", fx.TEST_STOPWORDS).alias("line"))
 
 
+@register("clean_corpus_lines_join", o.with_views("damaged_lines") + f"""
+SELECT doc_id, line_no, {o.clean_tokens_line('line')} AS line FROM damaged_lines""")
+def q_clean_corpus_lines_join(spark, sf):
+    """T7-T10 with the stopword list as a table: anti join."""
+    return jobs.clean_tokens_with_stopword_table(fx.damaged_lines(_docs(spark, sf)), fx.stopwords_frame(spark))
+
+
 @register("clean_corpus_job", o.with_views("damaged_lines") + f"""
 SELECT doc_id, line_no, {o.t3(o.clean_tokens_line('line'))} AS line FROM damaged_lines""")
 def q_clean_corpus_job(spark, sf):

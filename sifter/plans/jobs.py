@@ -91,6 +91,31 @@ def slide_corpus(shapes: DataFrame, lang: str = "de") -> tuple[DataFrame, DataFr
     return nested, raw, clean
 
 
+def clean_tokens_with_stopword_table(lines: DataFrame, stopwords: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"),
+                                     line_col: str = "line", word_col: str = "word",
+                                     terminated: bool = True) -> DataFrame:
+    """T7-T10 with the stopword list as a table (J4), for lists too large to
+    inline: tokens are exploded with their position, removed by a left anti
+    join (the list is broadcast only when its size passes the check; else a
+    shuffle join), and re-collected per line in position order (a line's
+    tokens: a bounded group). Damaged tokens are exempt and masked.
+    ``(keys..., line)``, the same rows as ``clean_tokens_line`` with a list."""
+    from ..functions.text import REPLACEMENT_CHAR, UNKNOWN_TOKEN, tokens
+    from ..session import bounded_broadcast
+
+    text = F.concat(F.col(line_col), F.lit("\n")) if terminated else F.col(line_col)
+    toks = lines.select(*keys, F.posexplode(tokens(text)).alias("pos", "tok"))
+    damaged = F.contains(F.col("tok"), F.lit(REPLACEMENT_CHAR))
+    sw = bounded_broadcast(stopwords.select(F.col(word_col).alias("tok")).distinct())
+    kept = toks.filter(damaged).unionByName(toks.filter(~damaged).join(sw, "tok", "left_anti"))
+    masked = F.when(F.contains(F.col("tok"), F.lit(REPLACEMENT_CHAR)), F.lit(UNKNOWN_TOKEN)).otherwise(F.col("tok"))
+    joined = kept.groupBy(*keys).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct(F.col("pos"), masked.alias("t")))), lambda x: x["t"]), " ").alias("line"))
+    # a line whose every token was a stopword keeps an empty line
+    return lines.select(*keys).join(joined, list(keys), "left").select(
+        *keys, F.coalesce(F.col("line"), F.lit("")).alias("line"))
+
+
 def clean_corpus_job(lines: DataFrame, stopwords: list[str] | None = None, apply_profile: bool = True,
                      keys: Sequence[str] = ("doc_id", "line_no"), line_col: str = "line") -> DataFrame:
     """Tokenise each line (as read, with its terminator), mask damaged
