@@ -31,7 +31,8 @@ def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAU
                         skip: int = DEFAULT_CONTEXT_SKIP, template: str = DEFAULT_PROMPT_TEMPLATE,
                         query_id_col: str = "query_id", query_col: str = "query",
                         materialise: bool = True, passages: DataFrame | None = None,
-                        index: TfidfIndex | None = None, pages: DataFrame | None = None) -> DataFrame:
+                        index: TfidfIndex | None = None, pages: DataFrame | None = None,
+                        generator_factory=None) -> DataFrame:
     """Split documents into passages, clean them, score every query
     against every passage (TF-IDF cosine), keep the top k, de-duplicate,
     take the best match, find the first page that contains it and render the
@@ -39,7 +40,10 @@ def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAU
     query whose best passage is on no page keeps null page and prompt.
 
     ``passages``/``index``/``pages`` take corpus tables built earlier from the
-    same documents (reused across query batches); missing ones are built."""
+    same documents (reused across query batches); missing ones are built.
+    With ``generator_factory`` (M1) an ``answer`` column is added by the
+    caller's model, one model per Python worker; null prompts stay
+    unanswered."""
     q = queries.select(F.col(query_id_col).alias("query_id"), F.col(query_col).alias("query"))
     psg = passages if passages is not None else _materialise(make_passages(documents), materialise, "passages", "doc_id")
     hits, _ = search_passages(psg, q, k, index=index)
@@ -48,7 +52,12 @@ def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAU
         pages = _materialise(prepare_pages(doc_pages(documents)), materialise, "pages")
     found = find_context(best, pages, method=method)
     out = prompts(found, q, skip=skip, template=template)
-    return best.join(out, "query_id", "left").select("query_id", "best_match", "score", "doc_id", "page_no", "prompt")
+    result = best.join(out, "query_id", "left").select("query_id", "best_match", "score", "doc_id", "page_no", "prompt")
+    if generator_factory is not None:
+        from ..operators.hooks import generate
+
+        result = generate(result, "prompt", generator_factory)
+    return result
 
 
 def search_unique(documents: DataFrame, queries: DataFrame, k: int = DEFAULT_K, materialise: bool = True,

@@ -82,3 +82,19 @@ def test_pruned_topk_equals_full(spark, small_dir, budget):
     full = sorted(map(key, search.topk(search.sparse_scores(idx, qw, True), 5).collect()))
     pruned = sorted(map(key, search.sparse_topk(idx, qw, 5, True, seed_budget=budget).collect()))
     assert pruned == full
+
+
+def test_retrieve_and_prompt_with_generator(spark, small_dir):
+    from sifter.plans import jobs
+
+    docs = fx.table(spark, small_dir, "documents")
+    q = fx.table(spark, small_dir, "benchmark").select(F.col("item_id").alias("query_id"),
+                                                       F.col("text").alias("query"))
+    rows = jobs.retrieve_and_prompt(docs, q, generator_factory=hooks.echo_generator).collect()
+    qtext = {r.query_id: r.query for r in q.collect()}
+    assert len(rows) == len(qtext)
+    for r in rows:
+        if r.prompt is None:
+            assert r.answer is None
+        else:
+            assert r.answer == qtext[r.query_id].split("\n")[0]
