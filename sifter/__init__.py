@@ -1,0 +1,9 @@
+"""sifter: corpus preparation and passage retrieval as Spark jobs.
+
+Packages: ``functions`` (column expressions), ``sources`` (readers and the
+views over the driver tables), ``operators`` (layout, search, context,
+model hooks), ``sinks`` (writers), ``plans`` (end-to-end jobs and the
+registered queries), ``streaming`` (incremental ingest).
+"""
+
+__version__ = "0.1.0"
