@@ -381,16 +381,16 @@ _CORPUS: dict[tuple, dict] = {}
 
 
 def _signature(spark: SparkSession, path: str) -> tuple:
-    """Identity of an input: its files with size and modification time."""
-    import os
-
-    files = tuple(sorted(spark.read.parquet(path).inputFiles()))
-    stats = []
-    for f in files:
-        local = f[5:] if f.startswith("file:") else f
-        st = os.stat(local) if os.path.exists(local) else None
-        stats.append((f, st.st_size if st else None, st.st_mtime_ns if st else None))
-    return tuple(stats)
+    """Identity of an input on any file system, as one row computed by
+    Spark from its own listing (contents are not read): file count, total
+    length, latest modification time and an order-free digest of
+    (path, length, time) over all files."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    row = listing.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"),
+                      F.max("modificationTime").alias("latest"),
+                      F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")).alias("digest")
+                      ).collect()[0]
+    return (path, row.n, row.bytes, str(row.latest), str(row.digest))
 
 
 def corpus(spark: SparkSession, sf: str) -> dict:

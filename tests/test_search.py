@@ -98,3 +98,20 @@ def test_retrieve_and_prompt_with_generator(spark, small_dir):
             assert r.answer is None
         else:
             assert r.answer == qtext[r.query_id].split("\n")[0]
+
+
+def test_corpus_cache_follows_input_version(spark, small_dir):
+    import os
+    import tempfile
+    import time as _time
+
+    from sifter.plans import catalog
+
+    d = tempfile.mkdtemp(prefix="sifter-ver-")
+    docs = fx.table(spark, small_dir, "documents")
+    docs.filter("doc_id < 20").write.parquet(os.path.join(d, "documents.parquet"))
+    first = catalog.corpus(spark, d)
+    assert catalog.corpus(spark, d) is first  # same input: same corpus tables
+    _time.sleep(1.1)
+    docs.filter("doc_id < 30").write.mode("overwrite").parquet(os.path.join(d, "documents.parquet"))
+    assert catalog.corpus(spark, d) is not first  # rewritten input: rebuilt
