@@ -385,6 +385,17 @@ def _signature(spark: SparkSession, path: str) -> tuple:
     Spark from its own listing (contents are not read): file count, total
     length, latest modification time and an order-free digest of
     (path, length, time) over all files."""
+    import os
+
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if os.path.exists(local):
+        # a local path: the same identity from the file system directly
+        entries = []
+        for root, _, names in os.walk(local) if os.path.isdir(local) else [(os.path.dirname(local), [], [os.path.basename(local)])]:
+            for name in names:
+                st = os.stat(os.path.join(root, name))
+                entries.append((os.path.join(root, name), st.st_size, st.st_mtime_ns))
+        return (path, tuple(sorted(entries)))
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     row = listing.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"),
                       F.max("modificationTime").alias("latest"),
