@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_CONTEXT_SKIP, DEFAULT_PROMPT_TEMPLATE, clean_retrieval, cut_context, render_prompt
-from ..session import DEFAULT_BROADCAST_ROWS, row_count_at_most
+from ..session import DEFAULT_BROADCAST_ROWS
 
 
 def prepare_pages(pages: DataFrame, text_col: str = "page_raw", order: Sequence[str] = ("doc_id", "page_no")) -> DataFrame:
@@ -93,11 +93,13 @@ def find_context(best: DataFrame, pages: DataFrame, passage_col: str = "best_mat
     order = list(order)
     b = best.select("query_id", F.lower(F.col(passage_col)).alias("_p_lc")).withColumn(
         "_toks", F.split(F.col("_p_lc"), " ", -1))
-    small = row_count_at_most(b, max_broadcast_rows) and row_count_at_most(
-        b.select(F.explode("_toks")), max_broadcast_rows)
+    # one pass over the (materialised, query-sized) best passages: their
+    # count and token total bound everything derived from them
+    stats = b.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("_toks")), F.lit(0)).alias("t")).collect()[0]
+    n_best = int(stats["n"])
+    small = n_best <= max_broadcast_rows and int(stats["t"]) <= max_broadcast_rows
     if method == "auto":
         # switch on size: the nested loop is cheaper for small products
-        n_best = b.limit(max_broadcast_rows + 1).count()
         method = "nested" if small and n_best * pages.count() <= nested_max_pairs else "anchor"
     if method == "nested":
         matches = _nested_matches(b, pages, order, small)

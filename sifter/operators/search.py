@@ -88,13 +88,14 @@ class TfidfIndex:
         return self._term_stats
 
     def query_weights(self, queries: DataFrame, id_col: str = "query_id", text_col: str = "query",
-                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
         """``(query_id, term, qweight, nqweight)`` using corpus document
         frequencies; terms absent from the corpus count with ``df = 0``."""
         qtf = term_frequencies(queries.select(F.col(id_col).alias("query_id"), F.col(text_col).alias("_q")),
                                ["query_id"], "_q")
         wanted = qtf.select("term").distinct()
-        small = row_count_at_most(wanted, max_broadcast_rows)
+        if small is None:
+            small = row_count_at_most(wanted, max_broadcast_rows)
         # the corpus frequencies of the query terms: at most |wanted| rows
         df_q = self.doc_freq.join(F.broadcast(wanted) if small else wanted, "term", "left_semi")
         w = qtf.join(F.broadcast(df_q) if small else df_q, "term", "left").select(
@@ -150,6 +151,15 @@ def query_terms_at_most(queries: DataFrame, text_col: str = "query", bound: int
     return row_count_at_most(queries.select(F.explode(term_tokens(F.col(text_col)))), bound)
 
 
+def query_batch_size(queries: DataFrame, text_col: str = "query") -> tuple[int, int]:
+    """``(queries, tokens)`` of a query batch in one pass over it. The token
+    total bounds the distinct query terms and the query-weight rows; the
+    query count bounds the hits (k per query)."""
+    row = queries.agg(F.count(F.lit(1)).alias("n"),
+                      F.coalesce(F.sum(F.size(term_tokens(F.col(text_col)))), F.lit(0)).alias("t")).collect()[0]
+    return int(row["n"]), int(row["t"])
+
+
 def sparse_scores(index: TfidfIndex, query_weights: DataFrame, queries_small: bool | None = None) -> DataFrame:
     """``(query_id, keys..., score)`` for every passage sharing a weighted
     term with the query (exact cosine; other passages score 0).
@@ -365,9 +375,10 @@ def search_passages(passages: DataFrame, queries: DataFrame, k: int = DEFAULT_K,
     long queries, it removed 31% of the candidate pairs at sf0.1 and took
     longer than the plain plan, so it is off by default."""
     index = index or tfidf_index(passages, keys, text_col)
-    qw = index.query_weights(queries, query_id_col, query_text_col)
-    small = query_terms_at_most(queries, query_text_col)
+    n_queries, n_tokens = query_batch_size(queries, query_text_col)
+    small = n_tokens <= DEFAULT_BROADCAST_ROWS
+    qw = index.query_weights(queries, query_id_col, query_text_col, small=small)
     hits = sparse_topk(index, qw, k, small) if prune else topk(sparse_scores(index, qw, small), k, keys)
     # at most k hits per query: the query count bounds the hit count
-    hits_small = row_count_at_most(queries, max(1, DEFAULT_BROADCAST_ROWS // max(k, 1)))
+    hits_small = n_queries <= max(1, DEFAULT_BROADCAST_ROWS // max(k, 1))
     return attach_passages(hits, passages, keys, text_col, hits_small=hits_small), index
