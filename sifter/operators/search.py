@@ -124,7 +124,9 @@ def tfidf_index(passages: DataFrame, keys: Sequence[str] = ("doc_id", "line_no")
     keys = tuple(keys)
     validate_passages(passages, text_col)
     counts = term_frequencies(passages, keys, text_col)
-    doc_freq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # each passage's distinct terms, counted per term (partial aggregate)
+    doc_freq = (passages.select(F.explode(F.array_distinct(term_tokens(F.col(text_col)))).alias("term"))
+                .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     if checkpoint:
         doc_freq = materialise(doc_freq, "doc_freq")
     if n_docs is None:
