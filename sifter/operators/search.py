@@ -258,21 +258,21 @@ def _query_blocks(queries: DataFrame, id_col: str, vec_col: str, block: int):
         start = int(qid[-1])
 
 
-def dense_scores(corpus: DataFrame, queries: DataFrame, k: int | None = None, key_col: str = "vec_id",
-                 vec_col: str = "embedding", query_id_col: str = "vec_id",
+def dense_scores(corpus: DataFrame, queries: DataFrame, k: int | None = None,
+                 key_col: str | Sequence[str] = "vec_id", vec_col: str = "embedding", query_id_col: str = "vec_id",
                  query_vec_col: str = "embedding", block: int = MAX_QUERY_BLOCK) -> DataFrame:
     """Exact cosine of every query against every corpus vector.
 
-    ``k=None`` returns every ``(query_id, key, score)``; with ``k`` each
+    ``key_col`` names the corpus key (one or more integer columns).
+    ``k=None`` returns every ``(query_id, keys..., score)``; with ``k`` each
     partition returns only rows that can be in the global top-k (its own
     top-k by rounded score then key, plus rows tied at the cut), and
     ``topk`` makes the final cut."""
     spark = corpus.sparkSession
-    out_schema = T.StructType([
-        T.StructField("query_id", T.LongType()),
-        T.StructField(key_col, T.LongType()),
-        T.StructField("score", T.DoubleType()),
-    ])
+    key_cols = [key_col] if isinstance(key_col, str) else list(key_col)
+    out_schema = T.StructType([T.StructField("query_id", T.LongType())]
+                              + [T.StructField(c, T.LongType()) for c in key_cols]
+                              + [T.StructField("score", T.DoubleType())])
     results = []
     for qid, qmat in _query_blocks(queries, query_id_col, query_vec_col, block):
         qnorm = np.linalg.norm(qmat, axis=1)
@@ -284,16 +284,15 @@ def dense_scores(corpus: DataFrame, queries: DataFrame, k: int | None = None, ke
             for pdf in batches:
                 if pdf.empty:
                     continue
-                keys = pdf[key_col].to_numpy(dtype=np.int64)
+                keys = {c: pdf[c].to_numpy(dtype=np.int64) for c in key_cols}
                 cmat = np.vstack(pdf[vec_col].to_numpy()).astype(np.float64)
                 cn = np.linalg.norm(cmat, axis=1)
                 s = (q_mat @ cmat.T) / np.where(cn == 0, np.nan, cn)[None, :]
                 if k is None:
-                    yield pd.DataFrame({
-                        "query_id": np.repeat(q_ids, len(keys)),
-                        key_col: np.tile(keys, len(q_ids)),
-                        "score": s.ravel(),
-                    })
+                    cols = {"query_id": np.repeat(q_ids, len(cmat))}
+                    cols.update({c: np.tile(v, len(q_ids)) for c, v in keys.items()})
+                    cols["score"] = s.ravel()
+                    yield pd.DataFrame(cols)
                     continue
                 rs = np.round(s, SCORE_DIGITS)
                 for i in range(len(q_ids)):
@@ -305,10 +304,12 @@ def dense_scores(corpus: DataFrame, queries: DataFrame, k: int | None = None, ke
                         keep = np.nonzero(row >= cut - 10.0 ** -SCORE_DIGITS)[0]
                     else:
                         keep = np.arange(len(row))
-                    yield pd.DataFrame({"query_id": np.full(len(keep), q_ids[i]), key_col: keys[keep],
-                                        "score": s[i, keep]})
+                    cols = {"query_id": np.full(len(keep), q_ids[i])}
+                    cols.update({c: v[keep] for c, v in keys.items()})
+                    cols["score"] = s[i, keep]
+                    yield pd.DataFrame(cols)
 
-        results.append(corpus.select(key_col, vec_col).mapInPandas(score_part, out_schema))
+        results.append(corpus.select(*key_cols, vec_col).mapInPandas(score_part, out_schema))
     if not results:
         return spark.createDataFrame([], out_schema)
     out = results[0]

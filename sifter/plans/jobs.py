@@ -144,5 +144,28 @@ def semantic_search(corpus: DataFrame, queries: DataFrame, k: int = DEFAULT_K, k
     return topk(scores, k, [key_col]).select("query_id", "rank", key_col, "score")
 
 
-__all__ = ["retrieve_and_prompt", "search_unique", "page_corpus", "turn_corpus", "slide_corpus", "clean_corpus_job",
+def semantic_search_passages(passages: DataFrame, queries: DataFrame, encoder_factory, k: int = DEFAULT_K,
+                             keys: Sequence[str] = ("doc_id", "line_no"), text_col: str = "passage",
+                             query_id_col: str = "query_id", query_col: str = "query",
+                             corpus_vectors: DataFrame | None = None) -> DataFrame:
+    """The original's semantic search with a model: embed passages and
+    queries with the caller's encoder (V1), exact cosine top-k (V2, V3), hit
+    text (V4), duplicate rows dropped (V6): ``(query_id, corpus_passage,
+    score)``. The corpus vectors are written once (pass ``corpus_vectors``
+    to reuse them across query batches); only queries are encoded per run."""
+    from ..operators.hooks import embed
+    from ..operators.search import attach_passages
+
+    keys = list(keys)
+    validate_passages(passages, text_col)
+    vecs = corpus_vectors if corpus_vectors is not None else materialise(
+        embed(passages.select(*keys, text_col), text_col, encoder_factory).drop(text_col), "passage_vectors")
+    qv = embed(queries.select(F.col(query_id_col).alias("query_id"), F.col(query_col).alias("query")),
+               "query", encoder_factory)
+    scores = dense_scores(vecs, qv, k, keys, "embedding", "query_id", "embedding")
+    hits = topk(scores, k, keys)
+    return dedupe_hits(attach_passages(hits, passages, keys, text_col))
+
+
+__all__ = ["semantic_search_passages", "retrieve_and_prompt", "search_unique", "page_corpus", "turn_corpus", "slide_corpus", "clean_corpus_job",
            "semantic_search", "validate_passages"]

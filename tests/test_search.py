@@ -115,3 +115,24 @@ def test_corpus_cache_follows_input_version(spark, small_dir):
     _time.sleep(1.1)
     docs.filter("doc_id < 30").write.mode("overwrite").parquet(os.path.join(d, "documents.parquet"))
     assert catalog.corpus(spark, d) is not first  # rewritten input: rebuilt
+
+
+def test_semantic_search_passages_with_encoder(spark, small_dir):
+    from sifter.plans import jobs
+
+    docs = fx.table(spark, small_dir, "documents")
+    psg = materialise(fx.passages(docs), "passages")
+    q = fx.table(spark, small_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    got = jobs.semantic_search_passages(psg, q, hooks.hashing_encoder, k=3).collect()
+    enc = hooks.hashing_encoder()
+    prow = psg.orderBy("doc_id", "line_no").collect()
+    pv = np.asarray(enc([r.passage for r in prow]), dtype=np.float32).astype(np.float64)
+    pv = pv / np.where(np.linalg.norm(pv, axis=1) == 0, np.nan, np.linalg.norm(pv, axis=1))[:, None]
+    want = set()
+    for r in q.collect():
+        qv = np.asarray(enc([r.query]), dtype=np.float32).astype(np.float64)[0]
+        sc = pv @ (qv / np.linalg.norm(qv))
+        order = sorted(((-np.floor(s * 1e6 + 0.5) / 1e6, (p.doc_id, p.line_no), p.passage) for s, p in zip(sc, prow)
+                        if not np.isnan(s)))[:3]
+        want |= {(r.query_id, text, -neg) for neg, _, text in order}
+    assert {(g.query_id, g.corpus_passage, g.score) for g in got} == want
