@@ -138,9 +138,10 @@ def tfidf_index(passages: DataFrame, keys: Sequence[str] = ("doc_id", "line_no")
     postings = weighted.withColumn("nweight", F.col("weight") / F.sqrt(
         F.sum(F.col("weight") * F.col("weight")).over(by_passage)))
     if checkpoint:
-        # bucketed on the first passage key: scoring sums per (query, passage)
-        # inside each bucket, so candidate pairs are never shuffled
-        postings = materialise_bucketed(postings, keys[0], name="postings")
+        # bucketed on the whole passage key: scoring sums per (query, passage)
+        # inside each bucket, so candidate pairs are never shuffled, and one
+        # very large document still spreads over all buckets
+        postings = materialise_bucketed(postings, keys, name="postings")
     return TfidfIndex(postings=postings, doc_freq=doc_freq, n_docs=n_docs, keys=keys)
 
 

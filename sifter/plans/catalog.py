@@ -413,11 +413,12 @@ def corpus(spark: SparkSession, sf: str) -> dict:
 
 def _passages(spark, sf):
     """Cleaned passages, written once to the checkpoint folder bucketed on
-    the document key: the index build (term counts, norms) runs on that
-    partitioning without an exchange; the hit text reads the same table."""
+    the passage key: the index build (term counts, norms) runs on that
+    partitioning without an exchange, and a very large document spreads over
+    all buckets; the hit text reads the same table."""
     c = corpus(spark, sf)
     if "passages" not in c:
-        c["passages"] = materialise_bucketed(fx.passages(_docs(spark, sf)), "doc_id", name="passages")
+        c["passages"] = materialise_bucketed(fx.passages(_docs(spark, sf)), ["doc_id", "line_no"], name="passages")
     return c["passages"]
 
 

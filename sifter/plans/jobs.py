@@ -18,7 +18,7 @@ from ..session import materialise, materialise_bucketed
 from ..sources.fixtures import doc_pages, elements, passages as make_passages
 
 
-def _materialise(df: DataFrame, on: bool, name: str = "table", bucket_key: str | None = None) -> DataFrame:
+def _materialise(df: DataFrame, on: bool, name: str = "table", bucket_key: str | list[str] | None = None) -> DataFrame:
     """Parquet table under the session's checkpoint folder (lineage cut,
     survives executor loss, computed once); bucketed on ``bucket_key`` when
     given, so later work keyed on it needs no exchange."""
@@ -45,7 +45,7 @@ def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAU
     caller's model, one model per Python worker; null prompts stay
     unanswered."""
     q = queries.select(F.col(query_id_col).alias("query_id"), F.col(query_col).alias("query"))
-    psg = passages if passages is not None else _materialise(make_passages(documents), materialise, "passages", "doc_id")
+    psg = passages if passages is not None else _materialise(make_passages(documents), materialise, "passages", ["doc_id", "line_no"])
     hits, _ = search_passages(psg, q, k, index=index)
     best = _materialise(best_match(hits), materialise, "best")
     if pages is None:
@@ -63,7 +63,7 @@ def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAU
 def search_unique(documents: DataFrame, queries: DataFrame, k: int = DEFAULT_K, materialise: bool = True,
                   passages: DataFrame | None = None, index: TfidfIndex | None = None) -> DataFrame:
     """Top-k per query, then duplicate (passage, score) rows dropped."""
-    psg = passages if passages is not None else _materialise(make_passages(documents), materialise, "passages", "doc_id")
+    psg = passages if passages is not None else _materialise(make_passages(documents), materialise, "passages", ["doc_id", "line_no"])
     hits, _ = search_passages(psg, queries, k, index=index)
     return dedupe_hits(hits)
 

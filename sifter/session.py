@@ -83,7 +83,8 @@ def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | N
     return df.repartition(want, *keys) if keys else df.repartition(want)
 
 
-def materialise_bucketed(df: DataFrame, key: str, buckets: int | None = None, name: str = "table") -> DataFrame:
+def materialise_bucketed(df: DataFrame, key: str | list[str] | tuple[str, ...], buckets: int | None = None,
+                         name: str = "table") -> DataFrame:
     """Like ``materialise`` but as a table bucketed on ``key``
     in the checkpoint folder: reads of it are hash-partitioned on ``key``, so
     aggregates and windows keyed on it (or on a superset of it) need no
@@ -99,7 +100,8 @@ def materialise_bucketed(df: DataFrame, key: str, buckets: int | None = None, na
     base = ensure_checkpoint_dir(spark).rstrip("/")
     tag = uuid.uuid4().hex
     table_name = f"sifter_{name}_{tag}"
-    (df.write.mode("overwrite").bucketBy(n, key)
+    cols = [key] if isinstance(key, str) else list(key)
+    (df.write.mode("overwrite").bucketBy(n, *cols)
      .option("path", f"{base}/sifter-tables/{name}-{tag}").saveAsTable(table_name))
     return spark.table(table_name)
 
