@@ -49,21 +49,44 @@ def _nested_matches(best: DataFrame, pages: DataFrame, order: Sequence[str], sma
     return pages.join(b, F.contains(F.col("page_lc"), F.col("_p_lc"))).select("query_id", *order, "context")
 
 
-def _anchor_matches(best: DataFrame, pages: DataFrame, order: Sequence[str], small: bool) -> DataFrame:
+def page_terms(pages: DataFrame, order: Sequence[str] = ("doc_id", "page_no")) -> DataFrame:
+    """``(order..., term)``: each page's distinct space-separated tokens of
+    its lower-cased cleaned text (the page side of the anchor join)."""
+    return pages.select(*order, F.explode(F.array_distinct(F.split(F.col("page_lc"), " ", -1))).alias("term"))
+
+
+def page_term_index(pages: DataFrame, order: Sequence[str] = ("doc_id", "page_no")) -> tuple[DataFrame, DataFrame]:
+    """``(page_terms, page_term_df)`` written once per corpus version under
+    the checkpoint folder, so query batches reuse them: the page tokens and
+    the number of pages holding each token (a partial aggregate on term)."""
+    from ..session import materialise
+
+    pt = materialise(page_terms(pages, order), "page_terms")
+    ptdf = materialise(pt.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "page_term_df")
+    return pt, ptdf
+
+
+def _anchor_matches(best: DataFrame, pages: DataFrame, order: Sequence[str], small: bool,
+                    index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     interior = best.select(
         "query_id", "_p_lc",
         F.explode(F.array_distinct(F.slice(F.col("_toks"), 2, F.size(F.col("_toks")) - 2))).alias("term"))
     wanted = interior.select("term").distinct()
-    page_terms = pages.select(*order, F.explode(F.array_distinct(F.split(F.col("page_lc"), " ", -1))).alias("term"))
-    # document frequency of the wanted terms only (semi join first)
-    term_df = (page_terms.join(_hint(wanted, small), "term", "left_semi")
-               .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    if index is not None:
+        # prebuilt page-term tables: the wanted terms' counts are a lookup
+        pterms, all_df = index
+        term_df = all_df.join(_hint(wanted, small), "term", "left_semi")
+    else:
+        pterms = page_terms(pages, order)
+        # document frequency of the wanted terms only (semi join first)
+        term_df = (pterms.join(_hint(wanted, small), "term", "left_semi")
+                   .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     # rarest interior token per passage, ties by the token; a token found on
     # no page (df 0) means no page can contain the passage
     ranked = interior.join(_hint(term_df, small), "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     anchor = ranked.groupBy("query_id").agg(F.min(F.struct("df", "term", "_p_lc")).alias("_a")).select(
         "query_id", F.col("_a.term").alias("term"), F.col("_a._p_lc").alias("_p_lc"))
-    cand = page_terms.join(_hint(anchor, small), "term").select("query_id", *order, "_p_lc")
+    cand = pterms.join(_hint(anchor, small), "term").select("query_id", *order, "_p_lc")
     # candidates are few per query; verify them against the page text
     return (pages.select(*order, "context", "page_lc").join(cand, list(order))
             .filter(F.contains(F.col("page_lc"), F.col("_p_lc")))
@@ -78,7 +101,8 @@ NESTED_LOOP_MAX_PAIRS = 20_000_000
 def find_context(best: DataFrame, pages: DataFrame, passage_col: str = "best_match",
                  order: Sequence[str] = ("doc_id", "page_no"), method: str = "auto",
                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 nested_max_pairs: int = NESTED_LOOP_MAX_PAIRS) -> DataFrame:
+                 nested_max_pairs: int = NESTED_LOOP_MAX_PAIRS,
+                 page_index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """``(query_id, order..., context)`` with the first page containing the
     passage; queries without such a page get nulls (left join).
 
@@ -89,7 +113,8 @@ def find_context(best: DataFrame, pages: DataFrame, passage_col: str = "best_mat
     broadcast; above the bound the planner's shuffle joins are used.
     ``method="auto"`` takes the nested loop while passages x pages stays
     under ``nested_max_pairs`` (pages should be materialised too, so that
-    counting them reads file metadata), else the anchor join."""
+    counting them reads file metadata), else the anchor join. ``page_index``
+    takes the ``page_term_index`` of the same pages, built once and reused."""
     order = list(order)
     b = best.select("query_id", F.lower(F.col(passage_col)).alias("_p_lc")).withColumn(
         "_toks", F.split(F.col("_p_lc"), " ", -1))
@@ -106,7 +131,7 @@ def find_context(best: DataFrame, pages: DataFrame, passage_col: str = "best_mat
     elif method == "anchor":
         long_p = b.filter(F.size("_toks") >= 3)
         short_p = b.filter(F.size("_toks") < 3)
-        matches = _anchor_matches(long_p, pages, order, small).unionByName(
+        matches = _anchor_matches(long_p, pages, order, small, page_index).unionByName(
             _nested_matches(short_p, pages, order, small))
     else:
         raise ValueError(f"unknown method {method!r}")

@@ -437,6 +437,13 @@ def _pages(spark, sf):
     return c["pages"]
 
 
+def _page_index(spark, sf):
+    c = corpus(spark, sf)
+    if "page_index" not in c:
+        c["page_index"] = ctx.page_term_index(_pages(spark, sf))
+    return c["page_index"]
+
+
 def build_corpus(spark: SparkSession, sf: str) -> None:
     """Build the reusable corpus tables (passages, TF-IDF index, cleaned
     pages) for ``sf`` now."""
@@ -546,7 +553,7 @@ def q_find_context_anchor(spark, sf):
     psg, idx = _index(spark, sf)
     hits, _ = search.search_passages(psg, _queries(spark, sf), K, index=idx)
     best = materialise(search.best_match(hits), "best")
-    return ctx.find_context(best, _pages(spark, sf), method="anchor")
+    return ctx.find_context(best, _pages(spark, sf), method="anchor", page_index=_page_index(spark, sf))
 
 
 @register("retrieve_and_prompt", o.with_views("found", "queries") + f"""

@@ -49,6 +49,8 @@ def test_anchor_equals_nested_and_brute_force(spark, small_dir):
     a = ctx.find_context(best, pages, method="anchor").orderBy("query_id").collect()
     n = ctx.find_context(best, pages, method="nested").orderBy("query_id").collect()
     assert a == n
+    indexed = ctx.find_context(best, pages, method="anchor", page_index=ctx.page_term_index(pages))
+    assert indexed.orderBy("query_id").collect() == a
     own = {r.query_id: (r.doc_id, r.page_no) for r in best.collect()}
     page_rows = pages.collect()
     for r in a:
