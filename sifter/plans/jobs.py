@@ -32,7 +32,7 @@ def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAU
                         query_id_col: str = "query_id", query_col: str = "query",
                         materialise: bool = True, passages: DataFrame | None = None,
                         index: TfidfIndex | None = None, pages: DataFrame | None = None,
-                        generator_factory=None) -> DataFrame:
+                        generator_factory=None, page_index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Split documents into passages, clean them, score every query
     against every passage (TF-IDF cosine), keep the top k, de-duplicate,
     take the best match, find the first page that contains it and render the
@@ -41,6 +41,7 @@ def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAU
 
     ``passages``/``index``/``pages`` take corpus tables built earlier from the
     same documents (reused across query batches); missing ones are built.
+    ``page_index`` (``page_term_index`` of the pages) serves the anchor plan.
     With ``generator_factory`` (M1) an ``answer`` column is added by the
     caller's model, one model per Python worker; null prompts stay
     unanswered."""
@@ -50,7 +51,7 @@ def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAU
     best = _materialise(best_match(hits), materialise, "best")
     if pages is None:
         pages = _materialise(prepare_pages(doc_pages(documents)), materialise, "pages")
-    found = find_context(best, pages, method=method)
+    found = find_context(best, pages, method=method, page_index=page_index)
     out = prompts(found, q, skip=skip, template=template)
     result = best.join(out, "query_id", "left").select("query_id", "best_match", "score", "doc_id", "page_no", "prompt")
     if generator_factory is not None:
