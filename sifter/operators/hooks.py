@@ -2,7 +2,9 @@
 answer generator (M1). Each is a factory returning a callable; it is built
 once per Python worker (cached across tasks while the worker is reused) and
 fed Arrow batches through ``mapInPandas``. The models themselves are the
-caller's; the deterministic test models below need no download."""
+caller's; the deterministic test models below need no download. Models
+are cached per Python worker when the factory is importable on the
+workers, else built once per task."""
 
 from __future__ import annotations
 
