@@ -75,6 +75,12 @@ def test_scan_and_extract_slides(spark):
     n = nested.filter(F.col("file").endswith("/a_1.pptx")).collect()[0]
     assert n.parts == ["Titleae linevtwo".replace("v", "\v"), "bc", "second"]
     assert clean.count() == 12
+    # K5 for slides: {file: [parts]} per line
+    out = tempfile.mkdtemp(prefix="sifter-slidedict-")
+    write_page_dict(nested, os.path.join(out, "d"), file_col="file", value_col="parts")
+    objs = [json.loads(r.value) for r in spark.read.text(os.path.join(out, "d")).collect()]
+    merged = {k: v for o in objs for k, v in o.items()}
+    assert merged[n.file] == n.parts and len(merged) == 4
 
 
 def test_read_lines_and_passages(spark):
