@@ -162,3 +162,15 @@ def test_number_lines_across_splits(spark):
     big = sorted((r.line_no, r.line) for r in got if r.file.endswith("big.txt"))
     assert big == list(enumerate(lines))
     assert sorted((r.line_no, r.line) for r in got if r.file.endswith("small.txt")) == [(0, "a"), (1, "b")]
+
+
+def test_scan_documents_recursive(spark):
+    root = deck_folder()
+    with open(os.path.join(root, "sub", "notes.txt"), "w", encoding="utf-8") as f:
+        f.write("text file")
+    names = lambda df: sorted(r.path.rsplit("/", 1)[-1] for r in df.select("path").collect())
+    assert names(files.scan_documents(spark, root)) == sorted(
+        ["(x).pptx", "a_-$.pptx", "a_1.pptx", "plain.pptx", "~$bad.pptx", "top_level.pptx", "notes.txt"])
+    assert names(files.scan_documents(spark, root, "*.txt")) == ["notes.txt"]
+    row = files.scan_documents(spark, root, "*.txt").collect()[0]
+    assert row.length == 9 and bytes(row.content) == b"text file"
