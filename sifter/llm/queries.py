@@ -1,11 +1,30 @@
-"""The registered queries of this subpackage and their DuckDB SQL."""
+"""The registered queries of this subpackage and their DuckDB SQL.
+
+Queries without SQL train a model, hash with functions DuckDB lacks or call a
+tokenizer; ``tests/llm`` holds them against brute force, round trips or
+held-out accuracy."""
 
 from __future__ import annotations
 
-from sifter.llm import simhash_dedup
+import corpus_pipeline
+from sifter.llm import (chat_format, decontaminate, language_id, line_dedup, line_quality, sentencepiece_codec,
+                        simhash_dedup, token_store)
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
     "op2_simhash_dedup": simhash_dedup.op2_simhash_dedup,
+    "op3_token_store": token_store.op3_token_store,
+    "op4_line_quality": line_quality.op4_line_quality,
+    "op6_sentencepiece": sentencepiece_codec.op6_sentencepiece,
+    "op7_chat_format": chat_format.op7_chat_format,
+    "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op4_line_quality": line_quality.ORACLE,
+    "op7_chat_format": chat_format.ORACLE,
+}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
