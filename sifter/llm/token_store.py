@@ -64,6 +64,19 @@ def word_safe(path: str) -> bool:
     return ok_norm and ok_pre and plain
 
 
+def spelling_rules(path: str) -> tuple[bool, set[bytes]]:
+    """Whether A-Z may be lower-cased first, and which marks are a pre-token of
+    their own behind a letter (the pattern keeps letters, single digits and
+    runs of other characters apart)."""
+    with open(path, encoding="utf-8") as f:
+        t = json.load(f)
+    lower = any(n["type"] == "Lowercase" for n in (t.get("normalizer") or {}).get("normalizers", []))
+    lower = lower and all(a["content"].startswith("<|") for a in t["added_tokens"])
+    pattern = t["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex", "")
+    apart = pattern.endswith("|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
+    return lower, {b".", b","} if apart else set()
+
+
 class WordEncoder:
     """Encodes texts to little-endian 32-bit id bytes with a word cache."""
 
@@ -77,6 +90,8 @@ class WordEncoder:
         self.old: dict[str, bytes] = {}
         mark = self.tok.encode(_MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
+        self.lower, self.marks = spelling_rules(path) if self.by_word else (False, set())
+        self.marks = {m: self._plain([m.decode()])[0] for m in self.marks}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         got = self.tok.encode_batch_fast(texts, add_special_tokens=False)
@@ -103,6 +118,26 @@ class WordEncoder:
                 out.update((w, raw[a:b]) for w, a, b in zip(group, starts.tolist(), stops.tolist()))
         return out
 
+    def _add(self, fresh: list[bytes]) -> None:
+        """Put unseen words in the cache. Spellings that differ in A-Z or in one
+        full stop or comma after an ASCII letter share the work: the mark is a
+        pre-token of its own there, and the tokenizer lower-cases."""
+        now = self.now
+        forms, need = [], {}
+        for w in fresh:
+            base, tail = w, b""
+            if self.lower and b"<|" not in w:
+                base = w.lower()
+            if self.marks and base[-1:] in self.marks and base[-2:-1].isalpha():
+                base, tail = base[:-1], base[-1:]
+            forms.append((w, base, tail))
+            if base not in now:
+                need[base] = None
+        if need:
+            learned = self._learn([w.decode() for w in need])
+            now.update((w, learned[w.decode()]) for w in need)
+        now.update((w, now[base] + self.marks[tail] if tail else now[base]) for w, base, tail in forms)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._plain(texts)
@@ -118,8 +153,7 @@ class WordEncoder:
                 else:
                     now[w] = got
         if fresh:
-            learned = self._learn([w.decode() for w in fresh])
-            now.update((w, learned[w.decode()]) for w in fresh)
+            self._add(fresh)
         look = now.__getitem__
         out = [b"".join(map(look, ws)) for ws in split]
         if len(now) > self.limit:
