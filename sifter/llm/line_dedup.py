@@ -183,8 +183,9 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         hurt = units.withColumn("h", F.explode("key")).join(bad, "h", "left_semi").select("key").distinct()
         units = units.join(hurt, "key", "left_anti")
     place = F.struct("id", "th", "at")
-    firsts = (units.groupBy("key", "kind").agg(F.min(place).alias("p"), F.count("*").alias("c")).where("c > 1")
-              .select(F.col("key").alias("key_"), F.col("kind").alias("kind_"), "p"))
+    # written first: the join then has two plain exchanges, and AQE can split the one of a hot unit
+    firsts = materialise(units.groupBy("key", "kind").agg(F.min(place).alias("p"), F.count("*").alias("c")).where("c > 1")
+                         .select(F.col("key").alias("key_"), F.col("kind").alias("kind_"), "p"), "firsts")
     again = (units.join(firsts, (F.col("key") == F.col("key_")) & (F.col("kind") == F.col("kind_")))
              .where(~place.eqNullSafe(F.col("p"))))
     per = again.groupBy("id", "th").agg(
@@ -212,7 +213,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows), plus ``__removed_lines`` and ``__removed_runs``."""
     cols = docs.columns
     runs = materialise(repeated_runs(docs, id_col, text_col, min_words), "runs")
-    runs = runs.select(F.col("id").alias("__id"), F.col("th").alias("__th"), "firsts", "stops")
+    # the same plan at every size: the runs grow with the corpus, so they are never broadcast
+    runs = runs.select(F.col("id").alias("__id"), F.col("th").alias("__th"), "firsts", "stops").hint("merge")
     on = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_col)) == F.col("__th"))
     lines = F.split(F.col(text_col), "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.exists(F.sequence(F.lit(0), F.size("firsts") - 1),
