@@ -7,16 +7,18 @@ held-out accuracy."""
 from __future__ import annotations
 
 import corpus_pipeline
-from sifter.llm import (chat_format, decontaminate, language_id, line_dedup, line_quality, sentencepiece_codec,
-                        simhash_dedup, token_store)
+from sifter.llm import (chat_format, decontaminate, language_id, line_dedup, line_quality, pseudo_likelihood,
+                        quality_classifier, sentencepiece_codec, simhash_dedup, token_store)
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_simhash_dedup": simhash_dedup.op2_simhash_dedup,
     "op3_token_store": token_store.op3_token_store,
     "op4_line_quality": line_quality.op4_line_quality,
+    "op5_quality_classifier": quality_classifier.op5_quality_classifier,
     "op6_sentencepiece": sentencepiece_codec.op6_sentencepiece,
     "op7_chat_format": chat_format.op7_chat_format,
+    "op8_pseudo_likelihood": pseudo_likelihood.op8_pseudo_likelihood,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "pipeline": corpus_pipeline.run,
