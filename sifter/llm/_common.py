@@ -30,9 +30,12 @@ BITMAP_LOG2 = 24
 
 def worker_cache(name: str) -> dict:
     """The worker-lifetime dictionary ``name`` (the same object in every task
-    that one Python worker runs)."""
+    that one Python worker runs). A worker keeps one at a time: it goes on to
+    another operator's stage with an empty hand."""
     home = sys.modules.setdefault("_sifter_llm_worker", types.ModuleType("_sifter_llm_worker"))
-    return home.__dict__.setdefault(f"cache_{name}", {})
+    for other in [k for k in vars(home) if k.startswith("cache_") and k != f"cache_{name}"]:
+        delattr(home, other)
+    return vars(home).setdefault(f"cache_{name}", {})
 
 
 def crc_mod4(id_col: Column) -> Column:
