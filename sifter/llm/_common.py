@@ -13,6 +13,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 
@@ -33,8 +35,14 @@ def worker_cache(name: str) -> dict:
     that one Python worker runs). A worker keeps one at a time: it goes on to
     another operator's stage with an empty hand."""
     home = sys.modules.setdefault("_sifter_llm_worker", types.ModuleType("_sifter_llm_worker"))
-    for other in [k for k in vars(home) if k.startswith("cache_") and k != f"cache_{name}"]:
+    others = [k for k in vars(home) if k.startswith("cache_") and k != f"cache_{name}"]
+    for other in others:
         delattr(home, other)
+    if others:
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed memory otherwise
+        if trim:
+            trim(0)
     return vars(home).setdefault(f"cache_{name}", {})
 
 

@@ -39,7 +39,7 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, Str
 from sifter.llm._common import read_table, worker_cache
 
 MARK = "▁"
-CACHE_UNITS = 500_000
+CACHE_UNITS = 200_000
 # fixed values of the model format
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -162,6 +162,7 @@ class SentencePieceCodec:
         self.unit_tok = build_tokenizer(spec, dummy_prefix=False)
         self.ref = sentencepiece.SentencePieceProcessor(model_file=path) if verify else None
         self.lone = np.array(self.unit_tok.encode(" ", add_special_tokens=False).ids, "<u4").tobytes()
+        self.begins = np.array([p.startswith(MARK) for p, _, _ in spec["pieces"]])
         self.limit = cache_units
         self.now: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -177,13 +178,34 @@ class SentencePieceCodec:
                     out[i] = want
         return out
 
-    def _learn(self, units: list[str]) -> list[bytes]:
+    def _one_by_one(self, units: list[str]) -> list[bytes]:
         """Units start with the blank that stands for the marker: for the
         sentencepiece library that blank is its dummy prefix. A lone blank is
         the marker itself (the library gives an empty text no prefix)."""
         got = self._checked([u[1:] for u in units], self.unit_tok.encode_batch_fast(units, add_special_tokens=False))
         return [self.lone if u == " " else g for u, g in zip(units, got)]
 
+    def _learn(self, units: list[str]) -> dict[str, bytes]:
+        """Ids of unseen units. Units of one blank and a word are encoded many
+        to a string and parted where a piece begins with the marker; a string
+        on which the libraries differ or the parts don't fit goes unit by unit."""
+        plain = [u for u in units if len(u) > 1 and u[1] != " "]
+        other = [u for u in units if not (len(u) > 1 and u[1] != " ")]
+        out: dict[str, bytes] = {}
+        groups = [plain[i:i + 200] for i in range(0, len(plain), 200)]
+        joined = ["".join(g) for g in groups]
+        want = self.ref.encode([x[1:] for x in joined], num_threads=1) if self.ref is not None else [None] * len(groups)
+        for group, e, w in zip(groups, self.unit_tok.encode_batch_fast(joined, add_special_tokens=False), want):
+            ids = np.array(e.ids, "<u4")
+            cut = np.flatnonzero(self.begins[ids])
+            if len(cut) != len(group) or (w is not None and w != e.ids):
+                other += group
+                continue
+            raw, at = ids.tobytes(), (np.append(cut, len(ids)) * 4).tolist()
+            out.update((u, raw[a:z]) for u, a, z in zip(group, at, at[1:]))
+        out.update(zip(other, self._one_by_one(other)))
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit id bytes per text."""
         if not self.units:
@@ -201,7 +223,7 @@ class SentencePieceCodec:
                     now[u] = got
         if fresh:
             # a unit without a leading blank cannot occur: every text starts with one and units end before blanks
-            now.update(zip(fresh, self._learn(fresh)))
+            now.update(self._learn(fresh))
         look = now.__getitem__
         out = [b"".join(map(look, us)) for us in split]
         if len(now) > self.limit:
