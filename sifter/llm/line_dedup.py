@@ -3,7 +3,8 @@
 A text is split on ``\\n`` and every line hashed. A rolling hash over each
 neighbouring pair of line hashes decides whether a chunk ends between them, so
 boundaries depend on content alone and move with it: a passage that other
-documents share is cut alike inside, wherever it stands. A chunk is named by its
+documents share is cut alike inside, wherever it stands. Four chunkings on other
+bits of the hash keep short passages from being missed. A chunk is named by its
 sequence of line hashes. Chunks that occur again anywhere in the corpus are
 candidates; the first occurrence (smallest id, text hash and place) stays.
 
@@ -17,8 +18,7 @@ Byte comparison: every line whose hash occurs twice or more in the corpus is
 grouped by hash and by its bytes; a hash that stands for two different lines is
 taken out of the matching, so equal sequences of hashes are equal bytes.
 
-The text crosses the network once, in the last join, and only for documents
-that lose lines; statistics move hashes. A line, chunk or pair that a third of
+The text crosses the network once, in the last join; statistics move hashes. A line, chunk or pair that a third of
 all rows share is combined map-side; the joins that bring first occurrences
 back are equi joins that AQE splits.
 
@@ -37,11 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm._common import bitmap_hits, hash_bitmap, read_table
+from sifter.llm._common import bitmap_hits, hash_bitmap, read_table, worker_cache
 from sifter.session import materialise
 
 #: A boundary falls between two lines if their rolling hash is below CUT of OF.
 CUT, OF = 3, 4
+#: Independent chunkings of every document.
+WAYS = 4
 MIN_WORDS = 50
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -59,18 +61,24 @@ def line_hashes(lines: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines))
 
 
-def chunk_starts(h: np.ndarray, cut: int = CUT, of: int = OF) -> np.ndarray:
-    """First line of every chunk."""
-    if len(h) == 0:
-        return np.zeros(0, np.int64)
-    ends = rolling(h) % np.uint64(of) < np.uint64(cut)
-    return np.concatenate(([0], np.flatnonzero(ends) + 1))
+def chunks_of(h: np.ndarray, cut: int = CUT, of: int = OF, ways: int = WAYS) -> tuple[np.ndarray, np.ndarray]:
+    """First line and number of lines of every chunk, each once, over ``ways``
+    chunkings that use other bits of the rolling hash: a short passage that one
+    of them cuts only at its edges has a whole chunk in another."""
+    r = rolling(h) if len(h) > 1 else np.zeros(0, np.uint64)
+    found = []
+    for w in range(ways):
+        s = np.concatenate(([0], np.flatnonzero((r >> np.uint64(13 * w)) % np.uint64(of) < np.uint64(cut)) + 1))
+        found.append(s * (1 << 32) + np.diff(np.append(s, len(h))))
+    both = np.unique(np.concatenate(found))
+    return both >> 32, both & 0xFFFFFFFF
 
 
 def _line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, th, lines array<bigint>, words array<int>)`` for texts that aren't null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("line_dedup")  # lets go of another operator's cache
         for b in batches:
             hs, ws, off = [], [], [0]
             for t in b.column(2).cast(pa.binary()):
@@ -108,9 +116,17 @@ def _colliding(docs: DataFrame, text_col: str, bitmap: bytes) -> DataFrame:
     return lines.groupBy("h", "line").count().groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
 
 
-def _units(table: DataFrame, cut: int, of: int) -> DataFrame:
+def _units(table: DataFrame, cut: int, of: int, bitmap: bytes) -> DataFrame:
     """Chunks and neighbouring pairs of every document:
-    ``(key array<bigint>, kind, id, th, at, n)``; kind 0 is a chunk, 1 a pair."""
+    ``(key array<bigint>, kind, id, th, at, n)``; kind 0 is a chunk, 1 a pair.
+    A unit with a line that occurs once in the corpus can't repeat: the bitmap
+    of repeated lines drops it here."""
+
+    def may_repeat(b: pa.RecordBatch) -> pa.RecordBatch:
+        key = b.column(0)
+        o = key.offsets.to_numpy().astype(np.int64)
+        once = ~bitmap_hits(np.frombuffer(bitmap, np.int64), key.values.to_numpy())
+        return b.filter(pa.array(np.add.reduceat(once, o[:-1]) == 0)) if b.num_rows else b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -119,14 +135,13 @@ def _units(table: DataFrame, cut: int, of: int) -> DataFrame:
             o, v = lines.offsets.to_numpy(), lines.values.to_numpy()
             for r in range(b.num_rows):
                 h = v[o[r]:o[r + 1]]
-                s = chunk_starts(h.view(np.uint64), cut, of)
-                size = np.diff(np.concatenate((s, [len(h)])))
+                s, size = chunks_of(h.view(np.uint64), cut, of)
                 pairs = len(h) - 1
                 own.append(np.full(len(s) + max(pairs, 0), r))
                 at.append(np.concatenate((s, np.arange(max(pairs, 0)))))
                 n.append(np.concatenate((size, np.full(max(pairs, 0), 2))))
                 kind.append(np.concatenate((np.zeros(len(s), np.int32), np.ones(max(pairs, 0), np.int32))))
-                keys.append(h)  # the chunks, one after the other, are the document
+                keys += [h[a:a + k] for a, k in zip(s.tolist(), size.tolist())]
                 if pairs > 0:
                     keys.append(np.stack([h[:-1], h[1:]], 1).ravel())
             if not own:
@@ -134,10 +149,10 @@ def _units(table: DataFrame, cut: int, of: int) -> DataFrame:
             size = np.concatenate(n)
             off = np.concatenate(([0], np.cumsum(size)))
             take = pa.array(np.concatenate(own))
-            yield pa.RecordBatch.from_arrays(
+            yield may_repeat(pa.RecordBatch.from_arrays(
                 [pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(np.concatenate(keys))), pa.array(np.concatenate(kind), pa.int32()),
                  b.column(0).take(take), b.column(1).take(take), pa.array(np.concatenate(at), pa.int32()), pa.array(size, pa.int32())],
-                names=["key", "kind", "id", "th", "at", "n"])
+                names=["key", "kind", "id", "th", "at", "n"]))
 
     kind = table.schema["id"].dataType.simpleString()
     return table.select("id", "th", "lines").mapInArrow(run, f"key array<bigint>, kind int, id {kind}, th bigint, at int, n int")
@@ -167,18 +182,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bitmap = hash_bitmap(counts, "h")
     bad = materialise(_colliding(docs, text_col, bitmap), "colliding")
 
-    # only units all of whose lines occur again can repeat: the bitmap drops the rest before the shuffle
-    def may_repeat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(bitmap, np.int64)
-        for b in batches:
-            key = b.column(0)
-            o = key.offsets.to_numpy().astype(np.int64)
-            hit = bitmap_hits(bits, key.values.to_numpy()[o[0]:o[-1]])
-            whole = np.add.reduceat(~hit, o[:-1] - o[0]) == 0 if len(o) > 1 else np.zeros(0, bool)
-            yield b.filter(pa.array(whole))
-
-    units = _units(table, cut, of)
-    units = materialise(units.mapInArrow(may_repeat, units.schema), "units")
+    units = materialise(_units(table, cut, of, bitmap), "units")
     if bad.limit(1).count():
         hurt = units.withColumn("h", F.explode("key")).join(bad, "h", "left_semi").select("key").distinct()
         units = units.join(hurt, "key", "left_anti")

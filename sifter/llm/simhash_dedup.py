@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sifter.llm._common import connected_components, read_table
+from sifter.llm._common import connected_components, read_table, worker_cache
 from sifter.session import materialise
 
 SEED = 42
@@ -82,6 +82,7 @@ def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     that tells rows of one id apart, ``fp`` the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("simhash")  # lets go of another operator's cache
         for b in batches:
             texts = b.column(2).cast(pa.binary())
             fps = np.fromiter((fingerprint(t.as_py() or b"", shingle) for t in texts), np.uint64, len(texts))
