@@ -252,8 +252,10 @@ def remove_stopwords(tok_array: ColumnOrName, stopwords: Sequence[str] | Column
     arr = _col(tok_array)
     if stopwords is None:
         return arr
-    sw = stopwords if isinstance(stopwords, Column) else F.array(*[F.lit(s) for s in stopwords]).cast("array<string>")
-    return F.filter(arr, lambda t: has_damage(t) | ~F.array_contains(sw, t))
+    if isinstance(stopwords, Column):
+        return F.filter(arr, lambda t: has_damage(t) | ~F.array_contains(stopwords, t))
+    words = list(stopwords)  # a hash set in the row
+    return F.filter(arr, lambda t: has_damage(t) | ~t.isin(words)) if words else arr
 
 
 def rejoin(tok_array: ColumnOrName) -> Column:

@@ -5,4 +5,4 @@ from .hooks import embed, generate, rerank
 from .layout import (assemble_pages, classify, corpus_union, first_per_key, mark_table_suppression, nest_pages,
                      nest_parts, order_elements, text_formats, with_page_text)
 from .search import (TfidfIndex, attach_passages, best_match, dedupe_hits, dense_scores, search_passages,
-                     sparse_scores, sparse_topk, tfidf_index, topk, validate_passages)
+                     sparse_scores, tfidf_index, topk, validate_passages)

@@ -93,15 +93,9 @@ def _anchor_matches(best: DataFrame, pages: DataFrame, order: Sequence[str], sma
             .select("query_id", *order, "context"))
 
 
-# Largest number of (passage, page) containment tests the nested-loop plan
-# takes on; above it ``auto`` uses the anchor join.
-NESTED_LOOP_MAX_PAIRS = 20_000_000
-
-
 def find_context(best: DataFrame, pages: DataFrame, passage_col: str = "best_match",
-                 order: Sequence[str] = ("doc_id", "page_no"), method: str = "auto",
+                 order: Sequence[str] = ("doc_id", "page_no"), method: str = "anchor",
                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 nested_max_pairs: int = NESTED_LOOP_MAX_PAIRS,
                  page_index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """``(query_id, order..., context)`` with the first page containing the
     passage; queries without such a page get nulls (left join).
@@ -111,10 +105,9 @@ def find_context(best: DataFrame, pages: DataFrame, passage_col: str = "best_mat
     should be materialised (checkpointed) by the caller: it is counted once to
     decide whether it and the frames it bounds (its tokens, anchors) are
     broadcast; above the bound the planner's shuffle joins are used.
-    ``method="auto"`` takes the nested loop while passages x pages stays
-    under ``nested_max_pairs`` (pages should be materialised too, so that
-    counting them reads file metadata), else the anchor join. ``page_index``
-    takes the ``page_term_index`` of the same pages, built once and reused."""
+    The plan is the anchor join at every size; ``method="nested"`` asks for the
+    nested loop, a brute-force check. ``page_index`` takes the
+    ``page_term_index`` of the same pages, built once and reused."""
     order = list(order)
     b = best.select("query_id", F.lower(F.col(passage_col)).alias("_p_lc")).withColumn(
         "_toks", F.split(F.col("_p_lc"), " ", -1))
@@ -123,9 +116,6 @@ def find_context(best: DataFrame, pages: DataFrame, passage_col: str = "best_mat
     stats = b.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("_toks")), F.lit(0)).alias("t")).collect()[0]
     n_best = int(stats["n"])
     small = n_best <= max_broadcast_rows and int(stats["t"]) <= max_broadcast_rows
-    if method == "auto":
-        # switch on size: the nested loop is cheaper for small products
-        method = "nested" if small and n_best * pages.count() <= nested_max_pairs else "anchor"
     if method == "nested":
         matches = _nested_matches(b, pages, order, small)
     elif method == "anchor":

@@ -179,90 +179,26 @@ def sparse_scores(index: TfidfIndex, query_weights: DataFrame, queries_small: bo
         F.sum(F.col("nqweight") * F.col("nweight")).alias("score"))
 
 
-# Rows of rare-term postings each query scores exactly to bound its k-th score.
-SEED_BUDGET = 1000
-# Safety margin on score bounds: above one rounding step plus summation error.
-PRUNE_MARGIN = 1e-5
-
-
-def sparse_topk(index: TfidfIndex, query_weights: DataFrame, k: int = DEFAULT_K, queries_small: bool = True,
-                seed_budget: int = SEED_BUDGET, margin: float = PRUNE_MARGIN) -> DataFrame:
-    """Exact top-k by sparse cosine, pruned MaxScore-style so that common
-    terms' posting lists are never expanded against the queries.
-
-    1. Each query term gets an upper bound ``u = nqweight * max_nweight`` on
-       what it can add to any passage's score.
-    2. Seed: the postings of each query's rarest terms (cumulative document
-       frequency within ``seed_budget``) name a few passages, scored exactly;
-       their k-th best score ``theta`` bounds the true k-th best from below.
-    3. Terms taken in increasing ``u`` while their running sum stays below
-       ``theta - margin`` are non-essential: a passage holding only those
-       terms scores under the k-th best (also after rounding to six digits),
-       so it cannot enter the top k.
-    4. Candidates come from the essential terms' postings only, and are
-       scored exactly by joining their own postings on the passage key (the
-       postings are bucketed on it, so only the candidates move).
-
-    A query whose seed holds fewer than k passages is not pruned. Returns
-    ``topk``'s rows, the same rows as ``topk(sparse_scores(...))``."""
-    keys = list(index.keys)
-    hint = F.broadcast if queries_small else (lambda d: d)
-    post = index.postings.select(*keys, "term", "nweight")
-    qw = materialise(query_weights.select("query_id", "term", "nqweight"), "query_weights")
-    stats = index.term_stats().join(hint(qw.select("term").distinct()), "term", "left_semi")
-    bounds = qw.join(F.broadcast(stats) if queries_small else stats, "term").withColumn(
-        "ub", F.col("nqweight") * F.col("max_nweight"))
-    # 2. seed passages from the rarest terms, scored exactly
-    by_rarity = Window.partitionBy("query_id").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, 0)
-    seed_terms = bounds.withColumn("_cum", F.sum("df").over(by_rarity)).filter(F.col("_cum") <= seed_budget)
-    seed_pairs = post.join(hint(seed_terms.select("query_id", "term")), "term").select("query_id", *keys).distinct()
-    seed_small = queries_small and row_count_at_most(qw.select("query_id").distinct(),
-                                                     max(1, DEFAULT_BROADCAST_ROWS // max(seed_budget, 1)))
-    seed_hint = F.broadcast if seed_small else (lambda d: d)
-    seed_passages = seed_pairs.select(*keys).distinct()
-    seed_scores = (post.join(seed_hint(seed_passages), keys)
-                   .join(hint(qw), "term")
-                   .join(seed_hint(seed_pairs), ["query_id", *keys])
-                   .groupBy("query_id", *keys).agg(F.sum(F.col("nqweight") * F.col("nweight")).alias("score")))
-    kth = Window.partitionBy("query_id").orderBy(F.col("score").desc())
-    theta = (seed_scores.withColumn("_r", F.row_number().over(kth)).filter(F.col("_r") == k)
-             .select("query_id", F.col("score").alias("theta")))
-    # 3. essential terms: the running bound reaches theta - margin
-    by_bound = Window.partitionBy("query_id").orderBy("ub", "term").rowsBetween(Window.unboundedPreceding, 0)
-    essential = (bounds.join(hint(theta), "query_id", "left")
-                 .withColumn("_prefix", F.sum("ub").over(by_bound))
-                 .filter(F.col("theta").isNull() | (F.col("_prefix") >= F.col("theta") - margin))
-                 .select("query_id", "term"))
-    # 4. candidates and their exact scores
-    cand = post.join(hint(essential), "term").select("query_id", *keys).distinct()
-    scores = (post.join(cand, keys)
-              .join(hint(qw), ["query_id", "term"])
-              .groupBy("query_id", *keys).agg(F.sum(F.col("nqweight") * F.col("nweight")).alias("score")))
-    return topk(scores, k, keys)
-
-
 def _query_blocks(queries: DataFrame, id_col: str, vec_col: str, block: int):
-    """Yield (ids, matrix) blocks of at most ``block`` query vectors, read in
-    id order. Only query vectors reach the driver, ``block`` at a time."""
-    ids = queries.select(F.col(id_col).alias("_qid"), F.col(vec_col).cast("array<double>").alias("_qv"))
-    start = None
-    while True:
-        part = ids if start is None else ids.filter(F.col("_qid") > F.lit(start))
-        rows = part.orderBy("_qid").limit(block).collect()
-        if not rows:
-            return
-        qid = np.array([r["_qid"] for r in rows], dtype=np.int64)
-        mat = np.array([r["_qv"] for r in rows], dtype=np.float64)
-        yield qid, mat
-        if len(rows) < block:
-            return
-        start = int(qid[-1])
+    """Yield (ids, matrix) blocks of at most ``block`` query vectors. Blocks are
+    cut by position, so rows that share an id are all kept; the query plan runs
+    once and only query vectors reach the driver, ``block`` at a time."""
+    ids, vecs = [], []
+    for r in queries.select(F.col(id_col).alias("_qid"), F.col(vec_col).cast("array<double>").alias("_qv")).toLocalIterator():
+        ids.append(r["_qid"])
+        vecs.append(r["_qv"])
+        if len(ids) == block:
+            yield np.array(ids, dtype=np.int64), np.array(vecs, dtype=np.float64)
+            ids, vecs = [], []
+    if ids:
+        yield np.array(ids, dtype=np.int64), np.array(vecs, dtype=np.float64)
 
 
 def dense_scores(corpus: DataFrame, queries: DataFrame, k: int | None = None,
                  key_col: str | Sequence[str] = "vec_id", vec_col: str = "embedding", query_id_col: str = "vec_id",
                  query_vec_col: str = "embedding", block: int = MAX_QUERY_BLOCK) -> DataFrame:
-    """Exact cosine of every query against every corpus vector.
+    """Exact cosine of every query against every corpus vector (0 if either is
+    a zero vector).
 
     ``key_col`` names the corpus key (one or more integer columns).
     ``k=None`` returns every ``(query_id, keys..., score)``; with ``k`` each
@@ -277,7 +213,7 @@ def dense_scores(corpus: DataFrame, queries: DataFrame, k: int | None = None,
     results = []
     for qid, qmat in _query_blocks(queries, query_id_col, query_vec_col, block):
         qnorm = np.linalg.norm(qmat, axis=1)
-        qn = qmat / np.where(qnorm == 0, np.nan, qnorm)[:, None]
+        qn = qmat / np.where(qnorm == 0, 1.0, qnorm)[:, None]
         bq = spark.sparkContext.broadcast((qid, qn))
 
         def score_part(batches, bq=bq, k=k):
@@ -288,7 +224,7 @@ def dense_scores(corpus: DataFrame, queries: DataFrame, k: int | None = None,
                 keys = {c: pdf[c].to_numpy(dtype=np.int64) for c in key_cols}
                 cmat = np.vstack(pdf[vec_col].to_numpy()).astype(np.float64)
                 cn = np.linalg.norm(cmat, axis=1)
-                s = (q_mat @ cmat.T) / np.where(cn == 0, np.nan, cn)[None, :]
+                s = (q_mat @ cmat.T) / np.where(cn == 0, 1.0, cn)[None, :]
                 if k is None:
                     cols = {"query_id": np.repeat(q_ids, len(cmat))}
                     cols.update({c: np.tile(v, len(q_ids)) for c, v in keys.items()})

@@ -548,7 +548,7 @@ def q_find_context(spark, sf):
 
 @register("find_context_anchor", o.with_views("found") + "SELECT query_id, doc_id, page_no, context FROM found")
 def q_find_context_anchor(spark, sf):
-    """J3 forced onto the anchor-token join (the plan ``auto`` takes on large
+    """J3 on the anchor-token join (the plan at every size, here on large
     inputs), checked against the same oracle."""
     psg, idx = _index(spark, sf)
     hits, _ = search.search_passages(psg, _queries(spark, sf), K, index=idx)
@@ -557,13 +557,13 @@ def q_find_context_anchor(spark, sf):
 
 
 @register("retrieve_and_prompt", o.with_views("found", "queries") + f"""
-SELECT b.query_id, b.best_match, b.score, f.doc_id, f.page_no,
+SELECT q.query_id, b.best_match, b.score, f.doc_id, f.page_no,
        {_prompt_sql('substring(f.context, 1501)', 'q.query')} AS prompt
-FROM best b JOIN found f USING (query_id) JOIN queries q USING (query_id)""")
+FROM queries q LEFT JOIN best b USING (query_id) LEFT JOIN found f USING (query_id)""")
 def q_retrieve_and_prompt(spark, sf):
     psg, idx = _index(spark, sf)
     return jobs.retrieve_and_prompt(_docs(spark, sf), _queries(spark, sf), passages=psg, index=idx,
-                                    pages=_pages(spark, sf))
+                                    pages=_pages(spark, sf), page_index=_page_index(spark, sf))
 
 
 def _emb(spark, sf):

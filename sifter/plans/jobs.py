@@ -27,17 +27,17 @@ def _materialise(df: DataFrame, on: bool, name: str = "table", bucket_key: str |
     return materialise_bucketed(df, bucket_key, name=name) if bucket_key else materialise(df, name)
 
 
-def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAULT_K, method: str = "auto",
+def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAULT_K, method: str = "anchor",
                         skip: int = DEFAULT_CONTEXT_SKIP, template: str = DEFAULT_PROMPT_TEMPLATE,
                         query_id_col: str = "query_id", query_col: str = "query",
                         materialise: bool = True, passages: DataFrame | None = None,
                         index: TfidfIndex | None = None, pages: DataFrame | None = None,
                         generator_factory=None, page_index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Split documents into passages, clean them, score every query
-    against every passage (TF-IDF cosine), keep the top k, de-duplicate,
-    take the best match, find the first page that contains it and render the
+    against every passage (TF-IDF cosine), keep the top k, take the best match, find the first page that contains it and render the
     prompt. ``(query_id, best_match, score, doc_id, page_no, prompt)``; a
-    query whose best passage is on no page keeps null page and prompt.
+    query whose best passage is on no page keeps null page and prompt, and one
+    that shares no term with any passage keeps nulls throughout.
 
     ``passages``/``index``/``pages`` take corpus tables built earlier from the
     same documents (reused across query batches); missing ones are built.
@@ -53,7 +53,7 @@ def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAU
         pages = _materialise(prepare_pages(doc_pages(documents)), materialise, "pages")
     found = find_context(best, pages, method=method, page_index=page_index)
     out = prompts(found, q, skip=skip, template=template)
-    result = best.join(out, "query_id", "left").select("query_id", "best_match", "score", "doc_id", "page_no", "prompt")
+    result = q.select("query_id").join(best, "query_id", "left").join(out, "query_id", "left").select("query_id", "best_match", "score", "doc_id", "page_no", "prompt")
     if generator_factory is not None:
         from ..operators.hooks import generate
 

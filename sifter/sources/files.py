@@ -27,10 +27,11 @@ def _file_name(path_col: F.Column) -> F.Column:
 
 
 def scan_documents(spark: SparkSession, path: str, glob: str | None = None,
-                   ignore_corrupt: bool = True) -> DataFrame:
+                   ignore_corrupt: bool = False) -> DataFrame:
     """Every file below ``path`` (recursively), optionally filtered by a
     file-name glob: ``(path, modificationTime, length, content)``. Real
-    files only; the path is the key."""
+    files only; the path is the key. An unreadable file fails the read; with
+    ``ignore_corrupt`` it is left out instead."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)

@@ -15,7 +15,10 @@ def con(small_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from sifter.plans import catalog
+
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)  # tests/llm holds the others, if they are present
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

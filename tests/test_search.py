@@ -74,17 +74,6 @@ def test_hooks(spark):
     assert g.answer == "why"
 
 
-@pytest.mark.parametrize("budget", [1000, 3])
-def test_pruned_topk_equals_full(spark, small_dir, budget):
-    from sifter.plans import catalog
-
-    psg, idx = catalog._index(spark, small_dir)
-    qw = idx.query_weights(catalog._queries(spark, small_dir))
-    key = lambda r: (r.query_id, r.rank, r.doc_id, r.line_no, r.score)
-    full = sorted(map(key, search.topk(search.sparse_scores(idx, qw, True), 5).collect()))
-    pruned = sorted(map(key, search.sparse_topk(idx, qw, 5, True, seed_budget=budget).collect()))
-    assert pruned == full
-
 
 def test_retrieve_and_prompt_with_generator(spark, small_dir):
     from sifter.plans import jobs
