@@ -263,19 +263,28 @@ def rejoin(tok_array: ColumnOrName) -> Column:
 
 
 def clean_tokens_line(line: ColumnOrName, stopwords: Sequence[str] | Column | None = None,
-                      terminated: bool = True) -> Column:
+                      terminated: bool | Column = True) -> Column:
     """T7 -> T9 -> T8 -> T10 for one line as read from a file. A line read
-    with its terminator ends in an empty token, hence a trailing space."""
-    text = F.concat(_col(line), F.lit("\n")) if terminated else _col(line)
+    with its terminator ends in an empty token, hence a trailing space;
+    ``terminated`` can be a column (a file's last line may have none)."""
+    if isinstance(terminated, Column):
+        text = F.concat(_col(line), F.when(terminated, F.lit("\n")).otherwise(F.lit("")))
+    else:
+        text = F.concat(_col(line), F.lit("\n")) if terminated else _col(line)
     return rejoin(mask_damaged(remove_stopwords(tokens(text), stopwords)))
 
 
 # ---------------------------------------------------------------------------
 # F2, T12, T13
 # ---------------------------------------------------------------------------
+def fold_case(col: ColumnOrName) -> Column:
+    """Lower case for matching: a word-final sigma equals any other sigma."""
+    return F.translate(F.lower(_col(col)), "\u03c2", "\u03c3")
+
+
 def contains_ci(haystack: ColumnOrName, needle: ColumnOrName) -> Column:
     """Case-insensitive literal containment (no regular expression)."""
-    return F.contains(F.lower(_col(haystack)), F.lower(_col(needle)))
+    return F.contains(fold_case(haystack), fold_case(needle))
 
 
 def cut_context(col: ColumnOrName, skip: int = DEFAULT_CONTEXT_SKIP) -> Column:

@@ -2,20 +2,19 @@
 then page order) whose cleaned text contains it, case-insensitively; then the
 context cut and the prompt.
 
-Two exact plans give the same rows:
-
-* ``nested``: the best passages (one per query, size-checked) are broadcast
-  and every page is tested with ``contains`` - a broadcast nested-loop join,
-  linear in the pages for a bounded query batch.
-* ``anchor``: a page that contains passage *p* contains every *interior*
-  token of *p* (not the first or last) as a whole space-bounded token. The
-  rarest interior token of each passage (document frequency counted only for
-  the wanted terms) is equi-joined with the page tokens, and only those
-  candidate pages are verified with ``contains``. Passages with fewer than
-  three tokens have no interior token and take the nested-loop path.
-
-The first page per query is a ``min(struct(file, page, ...))`` aggregate, so a
-passage found on a third of all pages still collapses map-side."""
+The plan has equi joins only, at every size. A page that contains passage *p*
+contains every *interior* token of *p* (not the first or last) as a whole
+space-bounded token; the rarest one is the passage's anchor, joined with the
+page tokens. A passage of one or two tokens has no interior token: its longest
+token lies inside some page token, so it is looked up by its first characters
+among the character grams of the *distinct* page tokens, and every page token
+that holds it is an anchor. Candidate pages are then verified with
+``contains``. ``method="nested"`` tests every page instead (a brute-force
+check).
+
+The first page per query is a minimum over the page keys alone, so a passage
+found on a third of all pages collapses map-side; the text of that one page is
+joined afterwards."""
 
 from __future__ import annotations
 
@@ -24,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import DEFAULT_CONTEXT_SKIP, DEFAULT_PROMPT_TEMPLATE, clean_retrieval, cut_context, render_prompt
+from ..functions.text import DEFAULT_CONTEXT_SKIP, DEFAULT_PROMPT_TEMPLATE, clean_retrieval, cut_context, fold_case, render_prompt
 from ..session import DEFAULT_BROADCAST_ROWS
 
 
@@ -32,12 +31,13 @@ def prepare_pages(pages: DataFrame, text_col: str = "page_raw", order: Sequence[
     """``(order..., context, page_lc)``: retrieval profile on the whole page
     (newlines deleted, so lines glue) and its lower-cased form for matching."""
     clean = clean_retrieval(F.col(text_col))
-    return pages.select(*order, clean.alias("context")).withColumn("page_lc", F.lower(F.col("context")))
+    return pages.select(*order, clean.alias("context")).withColumn("page_lc", fold_case(F.col("context")))
 
 
-def _first_page(matches: DataFrame, order: Sequence[str]) -> DataFrame:
-    first = matches.groupBy("query_id").agg(F.min(F.struct(*[F.col(c) for c in order], F.col("context"))).alias("_m"))
-    return first.select("query_id", *[F.col(f"_m.{c}").alias(c) for c in order], F.col("_m.context").alias("context"))
+def _first_page(matches: DataFrame, pages: DataFrame, order: Sequence[str]) -> DataFrame:
+    first = matches.groupBy("query_id").agg(F.min(F.struct(*[F.col(c) for c in order])).alias("_m"))
+    first = first.select("query_id", *[F.col(f"_m.{c}").alias(c) for c in order])
+    return first.join(pages.select(*order, "context"), list(order))
 
 
 def _hint(df: DataFrame, small: bool) -> DataFrame:
@@ -46,7 +46,7 @@ def _hint(df: DataFrame, small: bool) -> DataFrame:
 
 def _nested_matches(best: DataFrame, pages: DataFrame, order: Sequence[str], small: bool) -> DataFrame:
     b = _hint(best.select("query_id", "_p_lc"), small)
-    return pages.join(b, F.contains(F.col("page_lc"), F.col("_p_lc"))).select("query_id", *order, "context")
+    return pages.join(b, F.contains(F.col("page_lc"), F.col("_p_lc"))).select("query_id", *order)
 
 
 def page_terms(pages: DataFrame, order: Sequence[str] = ("doc_id", "page_no")) -> DataFrame:
@@ -66,31 +66,76 @@ def page_term_index(pages: DataFrame, order: Sequence[str] = ("doc_id", "page_no
     return pt, ptdf
 
 
-def _anchor_matches(best: DataFrame, pages: DataFrame, order: Sequence[str], small: bool,
-                    index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
-    interior = best.select(
+#: Longest character gram by which a short passage finds the page tokens that hold it.
+GRAM = 3
+
+
+def _short_anchors(short: DataFrame, vocabulary: DataFrame, small: bool) -> DataFrame:
+    """``(query_id, _p_lc, term)``: every distinct page token that holds the
+    longest token of a passage of one or two tokens."""
+    piece = F.element_at(F.array_sort(F.transform("_toks", lambda t: F.struct(F.length(t).alias("n"), t.alias("t")))), -1)["t"]
+    wanted = short.select("query_id", "_p_lc", piece.alias("_piece")).withColumn("gram", F.substring("_piece", 1, GRAM))
+    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda g: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length("term"), F.lit(1))), lambda i: F.substring(F.col("term"), i, g))))
+    # the empty gram belongs to every token: an empty passage is on every page
+    held = vocabulary.select("term", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), grams))).alias("gram"))
+    return held.join(_hint(wanted, small), "gram").where(F.contains(F.col("term"), F.col("_piece"))).select("query_id", "_p_lc", "term")
+
+
+def _anchors(b: DataFrame, vocabulary: DataFrame, small: bool, any_short: bool) -> DataFrame:
+    """``(query_id, _p_lc, term)``: the page tokens by which each passage finds
+    its candidate pages. The vocabulary is cut into grams only if there is a
+    short passage."""
+    interior = b.where(F.size("_toks") >= 3).select(
         "query_id", "_p_lc",
         F.explode(F.array_distinct(F.slice(F.col("_toks"), 2, F.size(F.col("_toks")) - 2))).alias("term"))
     wanted = interior.select("term").distinct()
-    if index is not None:
-        # prebuilt page-term tables: the wanted terms' counts are a lookup
-        pterms, all_df = index
-        term_df = all_df.join(_hint(wanted, small), "term", "left_semi")
-    else:
-        pterms = page_terms(pages, order)
-        # document frequency of the wanted terms only (semi join first)
-        term_df = (pterms.join(_hint(wanted, small), "term", "left_semi")
-                   .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    term_df = vocabulary.join(_hint(wanted, small), "term", "left_semi")
     # rarest interior token per passage, ties by the token; a token found on
     # no page (df 0) means no page can contain the passage
     ranked = interior.join(_hint(term_df, small), "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    anchor = ranked.groupBy("query_id").agg(F.min(F.struct("df", "term", "_p_lc")).alias("_a")).select(
-        "query_id", F.col("_a.term").alias("term"), F.col("_a._p_lc").alias("_p_lc"))
-    cand = pterms.join(_hint(anchor, small), "term").select("query_id", *order, "_p_lc")
-    # candidates are few per query; verify them against the page text
-    return (pages.select(*order, "context", "page_lc").join(cand, list(order))
-            .filter(F.contains(F.col("page_lc"), F.col("_p_lc")))
-            .select("query_id", *order, "context"))
+    rarest = ranked.groupBy("query_id", "_p_lc").agg(F.min(F.struct("df", "term")).alias("_a")).select(
+        "query_id", "_p_lc", F.col("_a.term").alias("term"))
+    if not any_short:
+        return rarest
+    return rarest.unionByName(_short_anchors(b.where(F.size("_toks").between(1, 2)), vocabulary, small))
+
+
+def _folded(needles: DataFrame, text_col: str) -> DataFrame:
+    return needles.select("query_id", fold_case(F.col(text_col)).alias("_p_lc")).withColumn(
+        "_toks", F.split(F.col("_p_lc"), " ", -1)).where(F.col("_p_lc").isNotNull())
+
+
+def _stats(b: DataFrame, max_broadcast_rows: int) -> tuple[bool, bool]:
+    # one pass over the query-sized table: its count and token total bound
+    # everything derived from it
+    s = b.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("_toks")), F.lit(0)).alias("t"),
+              F.count(F.when(F.size("_toks") < 3, 1)).alias("short")).collect()[0]
+    return max(s["n"], s["t"]) <= max_broadcast_rows, s["short"] > 0
+
+
+def containing(needles: DataFrame, pages: DataFrame, passage_col: str, order: Sequence[str] = ("doc_id", "page_no"),
+               method: str = "anchor", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+               page_index: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """``(query_id, order...)``: every page whose ``page_lc`` contains the
+    needle, ignoring case (F2). Null needles match nothing, an empty one
+    matches every page."""
+    order = list(order)
+    b = _folded(needles, passage_col)
+    small, any_short = _stats(b, max_broadcast_rows)
+    if method == "nested":
+        return _nested_matches(b, pages, order, small)
+    if method != "anchor":
+        raise ValueError(f"unknown method {method!r}")
+    if page_index is None:  # unwritten: the wanted terms filter the page tokens before they are counted
+        pterms = page_terms(pages, order)
+        page_index = pterms, pterms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    pterms, vocabulary = page_index
+    anchors = _hint(_anchors(b, vocabulary, small, any_short), small and not any_short)
+    # a short passage can meet one page through several of its tokens
+    cand = pterms.join(anchors, "term").select("query_id", *order, "_p_lc").distinct()
+    return (pages.select(*order, "page_lc").join(cand, order)
+            .filter(F.contains(F.col("page_lc"), F.col("_p_lc"))).select("query_id", *order))
 
 
 def find_context(best: DataFrame, pages: DataFrame, passage_col: str = "best_match",
@@ -100,32 +145,15 @@ def find_context(best: DataFrame, pages: DataFrame, passage_col: str = "best_mat
     """``(query_id, order..., context)`` with the first page containing the
     passage; queries without such a page get nulls (left join).
 
-    ``pages`` must carry ``order`` columns, ``context`` (cleaned page text) and
-    ``page_lc`` (its lower case), as made by ``prepare_pages``. ``best``
-    should be materialised (checkpointed) by the caller: it is counted once to
-    decide whether it and the frames it bounds (its tokens, anchors) are
+    ``pages`` must carry ``order`` columns (unique per page), ``context``
+    (cleaned page text) and ``page_lc`` (its folded case), as made by
+    ``prepare_pages``. ``best`` should be materialised by the caller: it is
+    counted once to decide whether the frames it bounds (its tokens) are
     broadcast; above the bound the planner's shuffle joins are used.
-    The plan is the anchor join at every size; ``method="nested"`` asks for the
-    nested loop, a brute-force check. ``page_index`` takes the
-    ``page_term_index`` of the same pages, built once and reused."""
-    order = list(order)
-    b = best.select("query_id", F.lower(F.col(passage_col)).alias("_p_lc")).withColumn(
-        "_toks", F.split(F.col("_p_lc"), " ", -1))
-    # one pass over the (materialised, query-sized) best passages: their
-    # count and token total bound everything derived from them
-    stats = b.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("_toks")), F.lit(0)).alias("t")).collect()[0]
-    n_best = int(stats["n"])
-    small = n_best <= max_broadcast_rows and int(stats["t"]) <= max_broadcast_rows
-    if method == "nested":
-        matches = _nested_matches(b, pages, order, small)
-    elif method == "anchor":
-        long_p = b.filter(F.size("_toks") >= 3)
-        short_p = b.filter(F.size("_toks") < 3)
-        matches = _anchor_matches(long_p, pages, order, small, page_index).unionByName(
-            _nested_matches(short_p, pages, order, small))
-    else:
-        raise ValueError(f"unknown method {method!r}")
-    found = _first_page(matches, order)
+    ``page_index`` takes the ``page_term_index`` of the same pages, built once
+    and reused; without it the page tokens are taken from the pages here."""
+    matches = containing(best, pages, passage_col, order, method, max_broadcast_rows, page_index)
+    found = _first_page(matches, pages, list(order)).select("query_id", *order, "context")
     return best.select("query_id").join(found, "query_id", "left")
 
 

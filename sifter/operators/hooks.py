@@ -2,17 +2,19 @@
 answer generator (M1). Each is a factory returning a callable; it is built
 once per Python worker (cached across tasks while the worker is reused) and
 fed Arrow batches through ``mapInPandas``. The models themselves are the
-caller's; the deterministic test models below need no download. Models
-are cached per Python worker when the factory is importable on the
-workers, else built once per task."""
+caller's; the deterministic test models below need no download."""
 
 from __future__ import annotations
 
+import hashlib
+import pickle
 import re
+import sys
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,26 +25,30 @@ Encoder = Callable[[list[str]], "np.ndarray"]
 PairScorer = Callable[[list[str], list[str]], Sequence[float]]
 Generator = Callable[[list[str]], Sequence[str]]
 
-_MODELS: dict[object, object] = {}
+def _pickled(factory: Callable[[], object]) -> bytes:
+    return cloudpickle.dumps(factory)
 
 
-def _model(factory: Callable[[], object]) -> object:
-    """One model per worker process and factory (the factory arrives pickled
-    in every task, so it is keyed by name rather than identity)."""
-    name = getattr(factory, "__qualname__", "")
-    key = (getattr(factory, "__module__", ""), name) if name and "<lambda>" not in name else id(factory)
-    if key not in _MODELS:
-        _MODELS[key] = factory()
-    return _MODELS[key]
+def _model(factory: bytes) -> object:
+    """One model per worker process and factory. Functions travel by value, so
+    a global of this module would be new in every task: the models hang on
+    ``sys``, under the digest of the pickled factory (two closures of one
+    function keep their own model)."""
+    models = sys.__dict__.setdefault("_sifter_models", {})
+    key = hashlib.sha256(factory).digest()
+    if key not in models:
+        models[key] = pickle.loads(factory)()
+    return models[key]
 
 
 def embed(df: DataFrame, text_col: str, encoder_factory: Callable[[], Encoder],
           out_col: str = "embedding") -> DataFrame:
     """V1: add ``out_col ARRAY<FLOAT>`` from a batch encoder."""
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.FloatType()))])
+    factory = _pickled(encoder_factory)
 
     def run(batches):
-        enc = _model(encoder_factory)
+        enc = _model(factory)
         for pdf in batches:
             texts = pdf[text_col].fillna("").tolist()
             vecs = np.asarray(enc(texts), dtype=np.float32) if texts else np.zeros((0, 0), np.float32)
@@ -58,9 +64,10 @@ def rerank(hits: DataFrame, scorer_factory: Callable[[], PairScorer], query_col:
     """V8: score each (query, hit) pair and add ``out_col``. Rows keep the
     cosine order unless ``reorder``, which re-ranks by the new score."""
     schema = T.StructType(hits.schema.fields + [T.StructField(out_col, T.DoubleType())])
+    factory = _pickled(scorer_factory)
 
     def run(batches):
-        scorer = _model(scorer_factory)
+        scorer = _model(factory)
         for pdf in batches:
             qs = pdf[query_col].fillna("").tolist()
             ps = pdf[passage_col].fillna("").tolist()
@@ -78,9 +85,10 @@ def generate(df: DataFrame, prompt_col: str, generator_factory: Callable[[], Gen
              out_col: str = "answer") -> DataFrame:
     """M1: answer every non-null prompt with the generator."""
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.StringType())])
+    factory = _pickled(generator_factory)
 
     def run(batches):
-        gen = _model(generator_factory)
+        gen = _model(factory)
         for pdf in batches:
             mask = pdf[prompt_col].notna()
             answers = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)

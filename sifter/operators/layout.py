@@ -64,11 +64,10 @@ def mark_table_suppression(el: DataFrame, page_keys: Sequence[str] = ("doc_id",
     return el.withColumn("keep", keep).withColumn("emits_table", emits)
 
 
-def _page_tables(page_keys: Sequence[str]) -> Column:
-    """All detected tables of the page in reading order (the rectangles')."""
-    w = _page_window(page_keys).orderBy("ord").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    tabs = F.collect_list(F.when((F.col("kind") == RECT) & F.col("table").isNotNull(), F.struct(F.col("ord"), F.col("table").alias("t")))).over(w)
-    return F.transform(F.array_sort(tabs), lambda x: x["t"])
+def _table_0(page_keys: Sequence[str]) -> Column:
+    """The page's first detected table in reading order."""
+    has_table = (F.col("kind") == RECT) & F.col("table").isNotNull()
+    return F.min_by("table", F.when(has_table, F.col("ord"))).over(_page_window(page_keys))
 
 
 def entries(el: DataFrame, page_keys: Sequence[str] = ("doc_id", "page_no")) -> DataFrame:
@@ -76,8 +75,8 @@ def entries(el: DataFrame, page_keys: Sequence[str] = ("doc_id", "page_no")) ->
     ``part_text`` (page_text), ``fmt_kind``/``fonts``/``sizes`` (line_format)
     and ``content`` (page_content)."""
     fonts, sizes = text_formats(F.col("chars"))
-    el = el.withColumn("_tables", _page_tables(page_keys))
-    table0 = table_to_text(F.get(F.col("_tables"), 0))
+    el = el.withColumn("_table_0", _table_0(page_keys))
+    table0 = table_to_text(F.col("_table_0"))
     kind = F.col("kind")
     return el.select(
         *page_keys, "ord", "kind", "keep",
@@ -131,40 +130,29 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols
     return df.groupBy(*keys).agg(s).select(*keys, *[F.col(f"_f.{c}").alias(c) for c in (*order, *cols)])
 
 
-# Most pages (or parts) nested into one row: a file's dictionary is the union
-# of its rows, so no row or task ever holds an unbounded group.
-MAX_NESTED_PER_ROW = 1000
-
-
 def nest_pages(pages: DataFrame, file_col: str = "doc_id", value_cols: Sequence[str] = (
         "page_text", "line_format", "text_from_images", "text_from_tables", "page_content"),
-        max_per_row: int = MAX_NESTED_PER_ROW) -> DataFrame:
-    """``(file, chunk, pages MAP<'Page_n', STRUCT<...>>)`` with pages in
-    numeric order; ``chunk = page_no div max_per_row``, so a file's
-    dictionary is the union of its chunk rows (one row for files up to
-    ``max_per_row`` pages)."""
+        position_col: str | None = None) -> DataFrame:
+    """``(file, pages MAP<'Page_n', STRUCT<...>>)``, one dictionary per
+    file with its pages in numeric order. Of several records of one page the
+    first by ``position_col`` stays (without it: the smallest record). The
+    page table is the form for large work; this view holds one file a row."""
     rec = F.struct(*[F.col(c) for c in value_cols])
-    chunk = F.floor(F.col("page_no") / max_per_row).cast("bigint")
-    grouped = pages.groupBy(file_col, chunk.alias("chunk")).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("page_no"), rec.alias("r")))).alias("_p"))
-    # page keys are unique per file in practice; if not, sorting puts equal
-    # page numbers side by side and the smallest record wins (deterministic)
-    dedup = F.filter("_p", lambda x, i: (i == 0) | (x["page_no"] != F.get(F.col("_p"), i - 1)["page_no"]))
+    first = (F.min_by(rec, position_col) if position_col else F.min(rec)).alias("r")
+    one = pages.groupBy(file_col, "page_no").agg(first)
+    grouped = one.groupBy(file_col).agg(F.array_sort(F.collect_list(F.struct("page_no", "r"))).alias("_p"))
     return grouped.select(
-        file_col, "chunk",
-        F.map_from_entries(F.transform(dedup, lambda x: F.struct(page_key(x["page_no"]).alias("key"),
-                                                                 x["r"].alias("value")))).alias("pages"),
+        file_col,
+        F.map_from_entries(F.transform("_p", lambda x: F.struct(page_key(x["page_no"]).alias("key"),
+                                                                x["r"].alias("value")))).alias("pages"),
     )
 
 
-def nest_parts(parts: DataFrame, file_col: str, order: Sequence[str], text_col: str = "text",
-               max_per_row: int = MAX_NESTED_PER_ROW) -> DataFrame:
-    """``(file, chunk, parts ARRAY<STRING>)`` - a file's shape (or turn)
-    texts in slide and shape order; ``chunk = order[0] div max_per_row``, the
-    file's list is its chunks' lists concatenated in chunk order."""
+def nest_parts(parts: DataFrame, file_col: str, order: Sequence[str], text_col: str = "text") -> DataFrame:
+    """``(file, parts ARRAY<STRING>)`` - a file's shape (or turn) texts in
+    slide and shape order, one list per file."""
     packed = F.struct(*[F.col(c) for c in order], F.col(text_col).alias("_t"))
-    chunk = F.floor(F.col(order[0]) / max_per_row).cast("bigint")
-    return parts.groupBy(file_col, chunk.alias("chunk")).agg(
+    return parts.groupBy(file_col).agg(
         F.transform(F.array_sort(F.collect_list(packed)), lambda x: x["_t"]).alias("parts"))
 
 

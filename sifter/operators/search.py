@@ -76,16 +76,6 @@ class TfidfIndex:
     doc_freq: DataFrame
     n_docs: int
     keys: tuple[str, ...]
-    _term_stats: DataFrame | None = None
-
-    def term_stats(self) -> DataFrame:
-        """``(term, df, max_nweight)``: the largest normalised weight of each
-        term over all passages, an upper bound for pruning. A partial
-        aggregate on term over the postings, written once."""
-        if self._term_stats is None:
-            mx = self.postings.groupBy("term").agg(F.max("nweight").alias("max_nweight"))
-            self._term_stats = materialise(self.doc_freq.join(mx, "term"), "term_stats")
-        return self._term_stats
 
     def query_weights(self, queries: DataFrame, id_col: str = "query_id", text_col: str = "query",
                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
@@ -141,7 +131,7 @@ def tfidf_index(passages: DataFrame, keys: Sequence[str] = ("doc_id", "line_no")
         # bucketed on the whole passage key: scoring sums per (query, passage)
         # inside each bucket, so candidate pairs are never shuffled, and one
         # very large document still spreads over all buckets
-        postings = materialise_bucketed(postings, keys, name="postings")
+        postings = materialise_bucketed(postings, keys, name="postings", clustered=True)
     return TfidfIndex(postings=postings, doc_freq=doc_freq, n_docs=n_docs, keys=keys)
 
 
@@ -188,10 +178,10 @@ def _query_blocks(queries: DataFrame, id_col: str, vec_col: str, block: int):
         ids.append(r["_qid"])
         vecs.append(r["_qv"])
         if len(ids) == block:
-            yield np.array(ids, dtype=np.int64), np.array(vecs, dtype=np.float64)
+            yield pd.Series(ids).to_numpy(), np.array(vecs, dtype=np.float64)
             ids, vecs = [], []
     if ids:
-        yield np.array(ids, dtype=np.int64), np.array(vecs, dtype=np.float64)
+        yield pd.Series(ids).to_numpy(), np.array(vecs, dtype=np.float64)
 
 
 def dense_scores(corpus: DataFrame, queries: DataFrame, k: int | None = None,
@@ -200,15 +190,16 @@ def dense_scores(corpus: DataFrame, queries: DataFrame, k: int | None = None,
     """Exact cosine of every query against every corpus vector (0 if either is
     a zero vector).
 
-    ``key_col`` names the corpus key (one or more integer columns).
+    ``key_col`` names the corpus key: one or more columns of any type, as is
+    the query id (a file path, say).
     ``k=None`` returns every ``(query_id, keys..., score)``; with ``k`` each
     partition returns only rows that can be in the global top-k (its own
     top-k by rounded score then key, plus rows tied at the cut), and
     ``topk`` makes the final cut."""
     spark = corpus.sparkSession
     key_cols = [key_col] if isinstance(key_col, str) else list(key_col)
-    out_schema = T.StructType([T.StructField("query_id", T.LongType())]
-                              + [T.StructField(c, T.LongType()) for c in key_cols]
+    out_schema = T.StructType([T.StructField("query_id", queries.schema[query_id_col].dataType)]
+                              + [T.StructField(c, corpus.schema[c].dataType) for c in key_cols]
                               + [T.StructField("score", T.DoubleType())])
     results = []
     for qid, qmat in _query_blocks(queries, query_id_col, query_vec_col, block):
@@ -221,7 +212,7 @@ def dense_scores(corpus: DataFrame, queries: DataFrame, k: int | None = None,
             for pdf in batches:
                 if pdf.empty:
                     continue
-                keys = {c: pdf[c].to_numpy(dtype=np.int64) for c in key_cols}
+                keys = {c: pdf[c].to_numpy() for c in key_cols}
                 cmat = np.vstack(pdf[vec_col].to_numpy()).astype(np.float64)
                 cn = np.linalg.norm(cmat, axis=1)
                 s = (q_mat @ cmat.T) / np.where(cn == 0, 1.0, cn)[None, :]
@@ -241,7 +232,7 @@ def dense_scores(corpus: DataFrame, queries: DataFrame, k: int | None = None,
                         keep = np.nonzero(row >= cut - 10.0 ** -SCORE_DIGITS)[0]
                     else:
                         keep = np.arange(len(row))
-                    cols = {"query_id": np.full(len(keep), q_ids[i])}
+                    cols = {"query_id": np.repeat(q_ids[i:i + 1], len(keep))}
                     cols.update({c: v[keep] for c, v in keys.items()})
                     cols["score"] = s[i, keep]
                     yield pd.DataFrame(cols)
@@ -306,19 +297,14 @@ def best_match(hits: DataFrame, text_col: str = "corpus_passage", group: str = "
 def search_passages(passages: DataFrame, queries: DataFrame, k: int = DEFAULT_K,
                     keys: Sequence[str] = ("doc_id", "line_no"), text_col: str = "passage",
                     query_id_col: str = "query_id", query_text_col: str = "query",
-                    index: TfidfIndex | None = None, prune: bool = False) -> tuple[DataFrame, TfidfIndex]:
+                    index: TfidfIndex | None = None) -> tuple[DataFrame, TfidfIndex]:
     """Lexical search of many queries at once: top-k hits with passage text,
-    ``(query_id, rank, keys..., corpus_passage, score)``.
-
-    ``prune=True`` uses ``sparse_topk`` (same rows). It pays off when a few
-    very common terms dominate the postings. On the benchmark corpus, with
-    long queries, it removed 31% of the candidate pairs at sf0.1 and took
-    longer than the plain plan, so it is off by default."""
+    ``(query_id, rank, keys..., corpus_passage, score)``."""
     index = index or tfidf_index(passages, keys, text_col)
     n_queries, n_tokens = query_batch_size(queries, query_text_col)
     small = n_tokens <= DEFAULT_BROADCAST_ROWS
     qw = index.query_weights(queries, query_id_col, query_text_col, small=small)
-    hits = sparse_topk(index, qw, k, small) if prune else topk(sparse_scores(index, qw, small), k, keys)
+    hits = topk(sparse_scores(index, qw, small), k, keys)
     # at most k hits per query: the query count bounds the hit count
     hits_small = n_queries <= max(1, DEFAULT_BROADCAST_ROWS // max(k, 1))
     return attach_passages(hits, passages, keys, text_col, hits_small=hits_small), index

@@ -5,6 +5,7 @@ six digits, integers as BIGINT."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,10 @@ from ..functions.vectors import round_score
 from ..operators import context as ctx
 from ..operators import hooks, layout, search
 from ..plans import jobs
-from ..session import materialise, materialise_bucketed
+from ..session import ensure_checkpoint_dir, materialise, materialise_bucketed
+from ..sinks.writers import write_corpus, write_page_dict
 from ..sources import fixtures as fx
+from ..sources.files import read_lines, read_page_dict
 from . import oracle as o
 
 SEP = " || "  # separator when an array is compared as one string
@@ -158,18 +161,15 @@ def q_clean_corpus_job(spark, sf):
 
 @register("contains_ci", """
 SELECT b.item_id, CAST(count(d.doc_id) AS BIGINT) AS n_docs
-FROM benchmark b LEFT JOIN documents d ON contains(lower(d.text), lower(b.text))
+FROM benchmark b LEFT JOIN documents d
+  ON contains(replace(lower(d.text), chr(962), chr(963)), replace(lower(b.text), chr(962), chr(963)))
 GROUP BY b.item_id""")
 def q_contains_ci(spark, sf):
-    from ..session import bounded_broadcast
-
-    b = _t(spark, sf, "benchmark").select("item_id", F.lower("text").alias("q"))
-    d = _docs(spark, sf).select("doc_id", F.lower("text").alias("text"))
-    # both sides are lower-cased once, before the join, not once per pair
-    hits = d.join(bounded_broadcast(b), F.contains(F.col("text"), F.col("q"))).groupBy("item_id").agg(
-        F.count(F.lit(1)).alias("n_docs"))
-    return b.select("item_id").join(hits, "item_id", "left").select(
-        "item_id", F.coalesce(F.col("n_docs"), F.lit(0)).cast("bigint").alias("n_docs"))
+    items = _t(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    d = _docs(spark, sf).select("doc_id", tx.fold_case("text").alias("page_lc"))
+    hits = ctx.containing(items, d, "text", ["doc_id"]).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_docs"))
+    return items.select("query_id").join(hits, "query_id", "left").select(
+        F.col("query_id").alias("item_id"), F.coalesce(F.col("n_docs"), F.lit(0)).cast("bigint").alias("n_docs"))
 
 
 @register("cut_context", "SELECT doc_id, substring(text, 1501) AS context FROM documents")
@@ -310,27 +310,27 @@ def q_page_key(spark, sf):
     return _records(spark, sf).select("doc_id", "page_no", tf.page_key("page_no").alias("page_key"))
 
 
-@register("nest_pages", o.with_views("page_records") + f"""
-SELECT doc_id, page_no // {layout.MAX_NESTED_PER_ROW} AS chunk, CAST(count(*) AS BIGINT) AS n_pages,
+@register("nest_pages", o.with_views("page_records") + """
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_pages,
        string_agg('Page_' || CAST(page_no AS VARCHAR), ',' ORDER BY page_no) AS page_keys,
        string_agg(array_to_string(page_content, ''), chr(10) ORDER BY page_no) AS text
-FROM page_records GROUP BY doc_id, page_no // {layout.MAX_NESTED_PER_ROW}""")
+FROM page_records GROUP BY doc_id""")
 def q_nest_pages(spark, sf):
     nested = layout.nest_pages(_records(spark, sf))
     vals = F.map_values("pages")
-    return nested.select("doc_id", "chunk", _big(F.size("pages")).alias("n_pages"),
+    return nested.select("doc_id", _big(F.size("pages")).alias("n_pages"),
                          F.array_join(F.map_keys("pages"), ",").alias("page_keys"),
                          F.array_join(F.transform(vals, lambda v: tf.page_text(v["page_content"])), "\n").alias("text"))
 
 
 @register("nest_turns", f"""
-SELECT conv_id, turn // {layout.MAX_NESTED_PER_ROW} AS chunk, CAST(count(*) AS BIGINT) AS n_parts,
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_parts,
        string_agg({o.slide('text', 'en')}, '{SEP}' ORDER BY turn) AS parts
-FROM conversations GROUP BY conv_id, turn // {layout.MAX_NESTED_PER_ROW}""")
+FROM conversations GROUP BY conv_id""")
 def q_nest_turns(spark, sf):
     c = _t(spark, sf, "conversations").withColumn("text", tx.clean_slide("text", "en"))
     n = layout.nest_parts(c, "conv_id", ["turn"], "text")
-    return n.select("conv_id", "chunk", _big(F.size("parts")).alias("n_parts"), _joined(F.col("parts")).alias("parts"))
+    return n.select("conv_id", _big(F.size("parts")).alias("n_parts"), _joined(F.col("parts")).alias("parts"))
 
 
 @register("first_per_key", o.with_views("passages") + """
@@ -354,7 +354,7 @@ def q_turn_corpus(spark, sf):
 SELECT doc_id, page_no, 'Page_' || CAST(page_no AS VARCHAR) AS page_key, array_to_string(page_content, '') AS text
 FROM page_records""")
 def q_page_corpus(spark, sf):
-    return jobs.page_corpus(_docs(spark, sf))
+    return jobs.page_corpus(fx.elements(_docs(spark, sf)))
 
 
 @register("corpus_union", o.with_views("page_records") + f"""
@@ -364,7 +364,7 @@ UNION ALL
 SELECT 'turn' AS source, conv_id AS file_id, turn AS part_no, line AS text
 FROM (SELECT conv_id, turn, {_TURN_LINE_SQL} AS line FROM conversations) WHERE {o.not_blank('line')}""")
 def q_corpus_union(spark, sf):
-    pages = jobs.page_corpus(_docs(spark, sf)).select(
+    pages = jobs.page_corpus(fx.elements(_docs(spark, sf))).select(
         F.lit("page").alias("source"), F.col("doc_id").alias("file_id"), F.col("page_no").alias("part_no"), "text")
     turns = jobs.turn_corpus(_t(spark, sf, "conversations")).select(
         F.lit("turn").alias("source"), F.col("conv_id").alias("file_id"), F.col("turn").alias("part_no"),
@@ -385,17 +385,6 @@ def _signature(spark: SparkSession, path: str) -> tuple:
     Spark from its own listing (contents are not read): file count, total
     length, latest modification time and an order-free digest of
     (path, length, time) over all files."""
-    import os
-
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if os.path.exists(local):
-        # a local path: the same identity from the file system directly
-        entries = []
-        for root, _, names in os.walk(local) if os.path.isdir(local) else [(os.path.dirname(local), [], [os.path.basename(local)])]:
-            for name in names:
-                st = os.stat(os.path.join(root, name))
-                entries.append((os.path.join(root, name), st.st_size, st.st_mtime_ns))
-        return (path, tuple(sorted(entries)))
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     row = listing.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"),
                       F.max("modificationTime").alias("latest"),
@@ -504,7 +493,7 @@ def q_topk_ordered(spark, sf):
     q = spark.range(1).select(F.lit(0).cast("bigint").alias("query_id"), F.lit(EXAMPLE_QUERY).alias("query"))
     s = search.sparse_scores(idx, idx.query_weights(q)).drop("query_id")
     top = search.topk(s, K, group=None)
-    out = search.attach_passages(top, psg)
+    out = search.attach_passages(top, psg, hits_small=True)  # k rows
     return out.select(_big(F.col("rank")).alias("rank"), "doc_id", "line_no", "corpus_passage", "score")
 
 
@@ -566,6 +555,38 @@ def q_retrieve_and_prompt(spark, sf):
                                     pages=_pages(spark, sf), page_index=_page_index(spark, sf))
 
 
+def _written(spark, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sifter-files/{name}-{uuid.uuid4().hex}"
+
+
+@register("page_dict_files", o.with_views("page_records") + """
+SELECT CAST(doc_id AS VARCHAR) AS file, page_no, array_to_string(page_content, '') AS text FROM page_records""")
+def q_page_dict_files(spark, sf):
+    """Page dictionaries written as JSON lines and read back."""
+    path = _written(spark, "page-dict")
+    write_page_dict(layout.nest_pages(_records(spark, sf)), path)
+    return read_page_dict(spark, path).select("file", "page_no", "text")
+
+
+@register("corpus_files", f"""
+SELECT line, CAST(count(*) AS BIGINT) AS n_lines
+FROM (SELECT {_TURN_LINE_SQL} AS line FROM conversations) WHERE {o.not_blank('line')} GROUP BY line""")
+def q_corpus_files(spark, sf):
+    """The clean corpus written as text and its lines read back."""
+    path = _written(spark, "corpus")
+    write_corpus(jobs.turn_corpus(_t(spark, sf, "conversations")), path, ["conv_id", "turn"])
+    return read_lines(spark, path, line_sep="\n").groupBy("line").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@register("generate_echo", o.with_views("queries") + """
+SELECT query_id, split_part(query, chr(10), 1) AS answer FROM queries""")
+def q_generate_echo(spark, sf):
+    """M1: a generator that answers with the query line of the prompt."""
+    q = _queries(spark, sf).select("query_id", tx.render_prompt({"context": F.lit(""), "query": "query"}).alias("prompt"))
+    return hooks.generate(q, "prompt", hooks.echo_generator).select("query_id", "answer")
+
+
 def _emb(spark, sf):
     e = _t(spark, sf, "embeddings")
     return e.filter(F.col("vec_id") >= 10), e.filter(F.col("vec_id") < 10)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import (DEFAULT_CONTEXT_SKIP, DEFAULT_PROMPT_TEMPLATE, clean_corpus_profile, clean_slide,
@@ -14,8 +14,13 @@ from ..operators.context import find_context, prepare_pages, prompts
 from ..operators.layout import assemble_pages, with_page_text
 from ..operators.search import (DEFAULT_K, TfidfIndex, best_match, dedupe_hits, dense_scores, search_passages,
                                 topk, validate_passages)
-from ..session import materialise, materialise_bucketed
-from ..sources.fixtures import doc_pages, elements, passages as make_passages
+from ..session import DEFAULT_BROADCAST_ROWS, materialise, materialise_bucketed
+from ..sources.fixtures import clean_passages, doc_lines
+
+
+def make_passages(documents: DataFrame) -> DataFrame:
+    """``(doc_id, line_no, passage)``: cleaned, non-blank lines; keys of any type."""
+    return clean_passages(doc_lines(documents)).select("doc_id", "line_no", "passage")
 
 
 def _materialise(df: DataFrame, on: bool, name: str = "table", bucket_key: str | list[str] | None = None) -> DataFrame:
@@ -41,6 +46,9 @@ def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAU
 
     ``passages``/``index``/``pages`` take corpus tables built earlier from the
     same documents (reused across query batches); missing ones are built.
+    ``pages`` is a page table ``(doc_id, page_no, text)``, such as P2 or a page
+    dictionary gives, or one that ``prepare_pages`` made; without it every
+    document is one page.
     ``page_index`` (``page_term_index`` of the pages) serves the anchor plan.
     With ``generator_factory`` (M1) an ``answer`` column is added by the
     caller's model, one model per Python worker; null prompts stay
@@ -50,7 +58,9 @@ def retrieve_and_prompt(documents: DataFrame, queries: DataFrame, k: int = DEFAU
     hits, _ = search_passages(psg, q, k, index=index)
     best = _materialise(best_match(hits), materialise, "best")
     if pages is None:
-        pages = _materialise(prepare_pages(doc_pages(documents)), materialise, "pages")
+        pages = documents.select("doc_id", F.lit(0).cast("bigint").alias("page_no"), "text")
+    if "page_lc" not in pages.columns:
+        pages = _materialise(prepare_pages(pages, "text"), materialise, "pages")
     found = find_context(best, pages, method=method, page_index=page_index)
     out = prompts(found, q, skip=skip, template=template)
     result = q.select("query_id").join(best, "query_id", "left").join(out, "query_id", "left").select("query_id", "best_match", "score", "doc_id", "page_no", "prompt")
@@ -69,11 +79,11 @@ def search_unique(documents: DataFrame, queries: DataFrame, k: int = DEFAULT_K,
     return dedupe_hits(hits)
 
 
-def page_corpus(documents: DataFrame) -> DataFrame:
-    """Layout elements -> page records -> page text per page,
-    ``(doc_id, page_no, page_key, text)``."""
-    pages = with_page_text(assemble_pages(elements(documents)))
-    return pages.select("doc_id", "page_no", "page_key", "text")
+def page_corpus(elements: DataFrame, page_keys: Sequence[str] = ("doc_id", "page_no")) -> DataFrame:
+    """The caller's layout elements (``operators.layout``) -> page records
+    -> page text per page, ``(file, page_no, page_key, text)``."""
+    pages = with_page_text(assemble_pages(elements, page_keys))
+    return pages.select(*page_keys, "page_key", "text")
 
 
 def turn_corpus(parts: DataFrame, file_col: str = "conv_id", order: Sequence[str] = ("turn",),
@@ -127,11 +137,13 @@ def clean_tokens_with_stopword_table(lines: DataFrame, stopwords: DataFrame, key
 
 
 def clean_corpus_job(lines: DataFrame, stopwords: list[str] | None = None, apply_profile: bool = True,
-                     keys: Sequence[str] = ("doc_id", "line_no"), line_col: str = "line") -> DataFrame:
+                     keys: Sequence[str] = ("doc_id", "line_no"), line_col: str = "line",
+                     terminated: bool | Column = True) -> DataFrame:
     """Tokenise each line (as read, with its terminator), mask damaged
     tokens, drop stopwords, rejoin, then the corpus profile. With
-    ``apply_profile=False`` the profile is skipped, as the original wrote."""
-    joined = clean_tokens_line(F.col(line_col), stopwords)
+    ``apply_profile=False`` the profile is skipped, as the original wrote.
+    ``terminated`` says (per line, if a column) that the terminator was there."""
+    joined = clean_tokens_line(F.col(line_col), stopwords, terminated)
     out = clean_corpus_profile(joined) if apply_profile else joined
     return lines.select(*keys, out.alias("line"))
 
@@ -165,7 +177,8 @@ def semantic_search_passages(passages: DataFrame, queries: DataFrame, encoder_fa
                "query", encoder_factory)
     scores = dense_scores(vecs, qv, k, keys, "embedding", "query_id", "embedding")
     hits = topk(scores, k, keys)
-    return dedupe_hits(attach_passages(hits, passages, keys, text_col))
+    hits_small = queries.count() * k <= DEFAULT_BROADCAST_ROWS
+    return dedupe_hits(attach_passages(hits, passages, keys, text_col, hits_small=hits_small))
 
 
 __all__ = ["semantic_search_passages", "retrieve_and_prompt", "search_unique", "page_corpus", "turn_corpus", "slide_corpus", "clean_corpus_job",

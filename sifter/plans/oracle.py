@@ -86,7 +86,7 @@ CTE = {
   SELECT doc_id, line_no // {P} AS page_no, string_agg(line, chr(10) ORDER BY line_no) AS page_raw
   FROM doc_lines GROUP BY doc_id, line_no // {P})""",
     "pages_clean": f"""pages_clean AS (
-  SELECT doc_id, page_no, context, lower(context) AS page_lc FROM (
+  SELECT doc_id, page_no, context, replace(lower(context), chr(962), chr(963)) AS page_lc FROM (
     SELECT doc_id, page_no, {t2('page_raw')} AS context FROM doc_pages))""",
     "elements": f"""elements AS (
   SELECT doc_id, line_no // {P} AS page_no, CAST(line_no % {P} AS BIGINT) AS elem_ix,
@@ -177,7 +177,7 @@ q_post AS (
     SELECT * FROM (
       SELECT b.query_id, pc.doc_id, pc.page_no, pc.context,
              row_number() OVER (PARTITION BY b.query_id ORDER BY pc.doc_id, pc.page_no) AS rn
-      FROM best b JOIN pages_clean pc ON contains(pc.page_lc, lower(b.best_match)))
+      FROM best b JOIN pages_clean pc ON contains(pc.page_lc, replace(lower(b.best_match), chr(962), chr(963))))
     WHERE rn = 1) m USING (query_id))""",
     # dense vectors: vec_id < 10 are queries
     "dense": """qv AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id < 10),
@@ -186,8 +186,6 @@ dense AS (
   SELECT qv.query_id, cv.vec_id,
          list_dot_product(qv.e, cv.e) / (sqrt(list_dot_product(qv.e, qv.e)) * sqrt(list_dot_product(cv.e, cv.e))) AS score
   FROM qv CROSS JOIN cv)""",
-    "turns": """turns AS (
-  SELECT conv_id, turn, text FROM conversations)""",
 }
 
 # dependencies between the views, in definition order
@@ -197,7 +195,7 @@ DEPS = {
     "page_tables": ["marked"], "entries": ["marked", "page_tables"], "page_records": ["entries"],
     "tfidf": ["passages"], "queries": [], "q_post": ["tfidf", "queries"], "sparse": ["tfidf", "q_post"],
     "hits": ["sparse"], "hit_text": ["hits", "passages"], "best": ["hit_text"],
-    "found": ["best", "pages_clean"], "dense": [], "turns": [],
+    "found": ["best", "pages_clean"], "dense": [],
 }
 
 

@@ -76,33 +76,36 @@ def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | N
     otherwise put all text work in one task). At scale the scan already has
     far more splits than cores and this is a no-op. Partitioning on the
     document key also clusters every later per-document/page aggregate."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= want:
-            return df
-    except Exception:  # noqa: BLE001 - no RDD view (remote session): leave the scan as it is
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    if splits >= 4 * want:
+        return df
+    # a file of one row group can be cut into many splits of which one has rows:
+    # count the splits that do (no column is read, only the footers)
+    if splits >= want and df.select(F.spark_partition_id()).distinct().count() >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
 
 
 def materialise_bucketed(df: DataFrame, key: str | list[str] | tuple[str, ...], buckets: int | None = None,
-                         name: str = "table") -> DataFrame:
+                         name: str = "table", clustered: bool = False) -> DataFrame:
     """Like ``materialise`` but as a table bucketed on ``key``
     in the checkpoint folder: reads of it are hash-partitioned on ``key``, so
     aggregates and windows keyed on it (or on a superset of it) need no
-    exchange. ``buckets`` defaults to ``spark.sql.shuffle.partitions``."""
+    exchange. ``buckets`` defaults to ``spark.sql.shuffle.partitions``. The
+    table is registered in the session's catalog, of whatever kind. Unless
+    ``clustered`` says that ``df`` is partitioned on ``key`` already, it is
+    first, so that a bucket is one file and not one per task."""
     import uuid
 
     spark = df.sparkSession
-    if spark.conf.get("spark.sql.catalogImplementation", "in-memory") != "in-memory":
-        # bucketed tables need a catalog entry: keep to the session's own
-        # in-memory catalog, never an external metastore
-        return materialise(df, name)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = ensure_checkpoint_dir(spark).rstrip("/")
     tag = uuid.uuid4().hex
     table_name = f"sifter_{name}_{tag}"
     cols = [key] if isinstance(key, str) else list(key)
+    if not clustered:
+        df = df.repartition(n, *cols)
     (df.write.mode("overwrite").bucketBy(n, *cols)
      .option("path", f"{base}/sifter-tables/{name}-{tag}").saveAsTable(table_name))
     return spark.table(table_name)

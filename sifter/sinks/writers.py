@@ -36,13 +36,10 @@ def write_corpus(lines: DataFrame, path: str, order: Sequence[str], text_col: st
 
 def write_page_dict(nested: DataFrame, path: str, file_col: str = "doc_id", value_col: str = "pages") -> None:
     """K5: one JSON object ``{file: {"Page_n": record}}`` (or ``{file:
-    [part, ...]}`` for slides) per nested row, i.e. per chunk of a file; the
-    union of the lines is the whole dictionary, parse-equal for any
-    language. Lines are written in (file, chunk) order, range partitioned,
-    so a file's list chunks follow each other."""
+    [part, ...]}`` for slides) per file and line, parse-equal for any
+    language, in file order (range partitioned)."""
     obj = F.to_json(F.create_map(F.col(file_col).cast("string"), F.col(value_col)))
-    order = [file_col] + (["chunk"] if "chunk" in nested.columns else [])
-    (nested.select(*order, obj.alias("value")).repartitionByRange(*order).sortWithinPartitions(*order)
+    (nested.select(file_col, obj.alias("value")).repartitionByRange(file_col).sortWithinPartitions(file_col)
      .select("value").write.mode("overwrite").text(path))
 
 

@@ -127,3 +127,70 @@ def test_semantic_search_passages_with_encoder(spark, small_dir):
                         if not np.isnan(s)))[:3]
         want |= {(r.query_id, text, -neg) for neg, _, text in order}
     assert {(g.query_id, g.corpus_passage, g.score) for g in got} == want
+
+
+def test_short_odd_and_null_passages_anchor_equals_nested(spark):
+    pages = ctx.prepare_pages(spark.createDataFrame(
+        [("f:/b", 0, "one two three"), ("f:/a", 1, "xthree four"), ("f:/a", 0, "nothing\nhere"), ("f:/c", 0, ""),
+         ("f:/c", 1, "\u039f\u0394\u039f\u03a3next \u03bf\u03b4\u03bf\u03c2"), ("f:/d", 0, None)],
+        "doc_id string, page_no long, page_raw string"))
+    best = spark.createDataFrame(
+        [(1, "thre"), (2, "o three"), (3, "ne t"), (4, ""), (5, None), (6, "\u039f\u0394\u039f\u03a3"), (7, "absent"),
+         (8, "one two three"), (9, "e"), (10, "two three four")], "query_id long, best_match string")
+    want = {1: ("f:/a", 1), 2: ("f:/b", 0), 3: ("f:/b", 0), 4: ("f:/a", 0), 5: (None, None),
+            6: ("f:/c", 1), 7: (None, None), 8: ("f:/b", 0), 9: ("f:/a", 0), 10: (None, None)}
+    rows = lambda m, **k: {r.query_id: (r.doc_id, r.page_no) for r in ctx.find_context(best, pages, method=m, **k).collect()}
+    nested = rows("nested")
+    assert nested == want
+    assert rows("anchor") == nested
+    assert rows("anchor", max_broadcast_rows=0) == nested
+    assert rows("anchor", page_index=ctx.page_term_index(pages)) == nested
+
+
+def test_anchor_plan_has_no_nested_loop(spark):
+    pages = ctx.prepare_pages(spark.createDataFrame([(1, 0, "a b c d")], "doc_id long, page_no long, page_raw string"))
+    best = spark.createDataFrame([(1, "b c"), (2, "a b c d")], "query_id long, best_match string")
+    for bound in (0, 1000):
+        plan = ctx.find_context(best, pages, max_broadcast_rows=bound)._jdf.queryExecution().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_string_keys_in_dense_search_and_prompt(spark):
+    from sifter.plans import jobs
+
+    docs = spark.createDataFrame([("file:/a.txt", "the red cat\nsat down here"), ("file:/b.txt", "a blue dog")],
+                                 "doc_id string, text string")
+    q = spark.createDataFrame([("q1", "red cat"), ("q2", "zzz")], "query_id string, query string")
+    rows = {r.query_id: r for r in jobs.retrieve_and_prompt(docs, q, skip=0).collect()}
+    assert rows["q1"].doc_id == "file:/a.txt" and rows["q2"].doc_id is None
+    pages = spark.createDataFrame([("file:/a.txt", 7, "the red cat sat")], "doc_id string, page_no long, text string")
+    rows = {r.query_id: r for r in jobs.retrieve_and_prompt(docs, q, skip=0, pages=pages).collect()}
+    assert rows["q1"].page_no == 7
+    hits = jobs.semantic_search_passages(jobs.make_passages(docs), q, hooks.hashing_encoder, k=1).collect()
+    assert {(h.query_id, h.corpus_passage) for h in hits if h.query_id == "q1"} == {("q1", "the red cat")}
+
+
+def test_one_model_per_worker_and_factory(spark):
+    def factory(tag):
+        def make():
+            import uuid
+
+            me = f"{tag}-{uuid.uuid4().hex}"
+            return lambda prompts: [me] * len(prompts)
+        return make
+
+    df = spark.range(64).repartition(32).selectExpr("cast(id as string) AS prompt")
+    workers = spark.sparkContext.defaultParallelism
+    for tag in ("a", "b"):
+        answers = {r.answer for r in hooks.generate(df, "prompt", factory(tag)).collect()}
+        assert all(a.startswith(tag + "-") for a in answers)
+        assert len(answers) <= workers
+
+
+def test_first_record_of_a_page_wins(spark):
+    from sifter.operators.layout import nest_pages
+
+    p = spark.createDataFrame([(1, 0, 5, "a second"), (1, 0, 2, "z first"), (1, 3, 9, "other")],
+                              "doc_id long, page_no long, pos long, page_content string")
+    got = nest_pages(p, value_cols=["page_content"], position_col="pos").collect()[0].pages
+    assert {k: v.page_content for k, v in got.items()} == {"Page_0": "z first", "Page_3": "other"}
