@@ -136,6 +136,16 @@ def hashing_encoder(dim: int = 64) -> Encoder:
     return enc
 
 
+def letter_encoder() -> Encoder:
+    """Counts of the letters a-z, either case."""
+    import string
+
+    def enc(texts: list[str]) -> np.ndarray:
+        return np.array([[t.count(a) + t.count(b) for a, b in zip(string.ascii_lowercase, string.ascii_uppercase)]
+                         for t in texts], dtype=np.float64).reshape(len(texts), 26)
+    return enc
+
+
 def echo_generator() -> Generator:
     """Answers with the last line of the prompt's query."""
     def gen(prompts: list[str]) -> list[str]:

@@ -9,9 +9,9 @@ Scale notes
   key already clusters it), and top-k runs a partial ``WindowGroupLimit``
   before the only exchange: at most k rows per query per partition move.
 * Dense scoring broadcasts a size-checked block of query vectors and scores
-  each corpus partition with one matrix product, keeping only the rows that
-  can reach the global top-k (ties at the cut included), so no all-pairs
-  rows are produced. Query sets above the bound are scored block by block.
+  each corpus batch with matrix products, keeping each query's best k rows,
+  so no all-pairs rows are produced. Query sets above the bound meet the
+  corpus in a grid of blocks, from one scan of each.
 """
 
 from __future__ import annotations
@@ -32,6 +32,10 @@ from ..session import DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialise, ma
 DEFAULT_K = 5
 # Most query vectors broadcast to the dense scorer in one block.
 MAX_QUERY_BLOCK = 4096
+# Corpus vectors in one cell when the queries exceed a block.
+CORPUS_BLOCK = 16_384
+# Most scores held at once by a dense scoring task.
+PAIRS_AT_ONCE = 1_000_000
 
 
 # ---------------------------------------------------------------------------
@@ -169,81 +173,98 @@ def sparse_scores(index: TfidfIndex, query_weights: DataFrame, queries_small: bo
         F.sum(F.col("nqweight") * F.col("nweight")).alias("score"))
 
 
-def _query_blocks(queries: DataFrame, id_col: str, vec_col: str, block: int):
-    """Yield (ids, matrix) blocks of at most ``block`` query vectors. Blocks are
-    cut by position, so rows that share an id are all kept; the query plan runs
-    once and only query vectors reach the driver, ``block`` at a time."""
-    ids, vecs = [], []
-    for r in queries.select(F.col(id_col).alias("_qid"), F.col(vec_col).cast("array<double>").alias("_qv")).toLocalIterator():
-        ids.append(r["_qid"])
-        vecs.append(r["_qv"])
-        if len(ids) == block:
-            yield pd.Series(ids).to_numpy(), np.array(vecs, dtype=np.float64)
-            ids, vecs = [], []
-    if ids:
-        yield pd.Series(ids).to_numpy(), np.array(vecs, dtype=np.float64)
+def _unit_rows(vectors: pd.Series) -> np.ndarray:
+    """Vectors as rows of length one; a zero vector stays zero."""
+    m = np.vstack(vectors.to_numpy()).astype(np.float64)
+    norm = np.linalg.norm(m, axis=1)
+    return m / np.where(norm == 0, 1.0, norm)[:, None]
+
+
+def _score_block(q_ids, q_mat: np.ndarray, keys: pd.DataFrame, c_mat: np.ndarray, k: int | None):
+    """Frames of scores of all query rows against all corpus rows, a bounded
+    number of pairs at a time. With ``k`` only each query's best ``k`` rows by
+    rounded score, then key, as ``topk`` orders them."""
+    by_key = None
+    if k is not None and len(keys) > k:
+        order = keys.reset_index(drop=True).sort_values(list(keys.columns), na_position="first", kind="stable").index
+        by_key = np.empty(len(keys), dtype=np.int64)
+        by_key[order.to_numpy()] = np.arange(len(keys))
+    step = max(1, PAIRS_AT_ONCE // max(1, len(keys)))
+    for lo in range(0, len(q_mat), step):
+        s = q_mat[lo:lo + step] @ c_mat.T
+        if by_key is None:
+            rows = [np.arange(len(keys))] * len(s)
+        else:
+            rounded = np.floor(s * 10.0 ** SCORE_DIGITS + 0.5)
+            rounded[np.isnan(rounded)] = np.inf  # Spark orders NaN above every number
+            rows = []
+            for r in rounded:
+                cand = np.nonzero(r >= np.partition(r, len(r) - k)[len(r) - k])[0]
+                rows.append(cand[np.lexsort((by_key[cand], -r[cand]))[:k]])
+        pick = np.concatenate(rows)
+        which = np.repeat(np.arange(len(s)), [len(r) for r in rows])
+        out = {"query_id": q_ids[lo:lo + step][which]}
+        out.update({c: keys[c].to_numpy()[pick] for c in keys.columns})
+        out["score"] = s[which, pick]
+        yield pd.DataFrame(out)
 
 
 def dense_scores(corpus: DataFrame, queries: DataFrame, k: int | None = None,
                  key_col: str | Sequence[str] = "vec_id", vec_col: str = "embedding", query_id_col: str = "vec_id",
-                 query_vec_col: str = "embedding", block: int = MAX_QUERY_BLOCK) -> DataFrame:
+                 query_vec_col: str = "embedding", block: int = MAX_QUERY_BLOCK,
+                 corpus_block: int = CORPUS_BLOCK) -> DataFrame:
     """Exact cosine of every query against every corpus vector (0 if either is
-    a zero vector).
+    a zero vector; a null vector has no score).
 
     ``key_col`` names the corpus key: one or more columns of any type, as is
-    the query id (a file path, say).
+    the query id (a file path, say); queries that share an id are all scored.
     ``k=None`` returns every ``(query_id, keys..., score)``; with ``k`` each
-    partition returns only rows that can be in the global top-k (its own
-    top-k by rounded score then key, plus rows tied at the cut), and
-    ``topk`` makes the final cut."""
+    batch returns only its own best k rows per query, and ``topk`` makes the
+    final cut.
+
+    Up to ``block`` queries are broadcast and the corpus is scanned once
+    without a shuffle. A larger query set is never collected: queries and corpus
+    are cut into blocks of bounded size, and one grouped job scores every
+    (query block, corpus block) cell, also from a single scan of each."""
     spark = corpus.sparkSession
     key_cols = [key_col] if isinstance(key_col, str) else list(key_col)
     out_schema = T.StructType([T.StructField("query_id", queries.schema[query_id_col].dataType)]
                               + [T.StructField(c, corpus.schema[c].dataType) for c in key_cols]
                               + [T.StructField("score", T.DoubleType())])
-    results = []
-    for qid, qmat in _query_blocks(queries, query_id_col, query_vec_col, block):
-        qnorm = np.linalg.norm(qmat, axis=1)
-        qn = qmat / np.where(qnorm == 0, 1.0, qnorm)[:, None]
-        bq = spark.sparkContext.broadcast((qid, qn))
+    c = corpus.filter(F.col(vec_col).isNotNull()).select(*key_cols, F.col(vec_col).alias("_vec"))
+    q = queries.filter(F.col(query_vec_col).isNotNull()).select(
+        F.col(query_id_col).alias("_qid"), F.col(query_vec_col).cast("array<double>").alias("_qv"))
+    head = q.limit(block + 1).collect()
+    if not head:
+        return spark.createDataFrame([], out_schema)
+    if len(head) <= block:
+        bq = spark.sparkContext.broadcast((pd.Series([r["_qid"] for r in head]).to_numpy(),
+                                           _unit_rows(pd.Series([r["_qv"] for r in head]))))
 
-        def score_part(batches, bq=bq, k=k):
+        def score_part(batches):
             q_ids, q_mat = bq.value
             for pdf in batches:
-                if pdf.empty:
-                    continue
-                keys = {c: pdf[c].to_numpy() for c in key_cols}
-                cmat = np.vstack(pdf[vec_col].to_numpy()).astype(np.float64)
-                cn = np.linalg.norm(cmat, axis=1)
-                s = (q_mat @ cmat.T) / np.where(cn == 0, 1.0, cn)[None, :]
-                if k is None:
-                    cols = {"query_id": np.repeat(q_ids, len(cmat))}
-                    cols.update({c: np.tile(v, len(q_ids)) for c, v in keys.items()})
-                    cols["score"] = s.ravel()
-                    yield pd.DataFrame(cols)
-                    continue
-                rs = np.round(s, SCORE_DIGITS)
-                for i in range(len(q_ids)):
-                    row = np.nan_to_num(rs[i], nan=-np.inf)
-                    if len(row) > k:
-                        cut = np.partition(row, len(row) - k)[len(row) - k]
-                        # keep a margin of one rounding step so that engine
-                        # rounding differences can never drop a true member
-                        keep = np.nonzero(row >= cut - 10.0 ** -SCORE_DIGITS)[0]
-                    else:
-                        keep = np.arange(len(row))
-                    cols = {"query_id": np.repeat(q_ids[i:i + 1], len(keep))}
-                    cols.update({c: v[keep] for c, v in keys.items()})
-                    cols["score"] = s[i, keep]
-                    yield pd.DataFrame(cols)
-
-        results.append(corpus.select(*key_cols, vec_col).mapInPandas(score_part, out_schema))
-    if not results:
-        return spark.createDataFrame([], out_schema)
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out
+                if len(pdf):
+                    yield from _score_block(q_ids, q_mat, pdf[key_cols], _unit_rows(pdf["_vec"]), k)
+
+        return c.mapInPandas(score_part, out_schema)
+
+    if k is None:  # every pair leaves the cell: smaller cells
+        corpus_block = max(1, min(corpus_block, 4 * PAIRS_AT_ONCE // block))
+    n_q, n_c = -(-q.count() // block), max(1, -(-c.count() // corpus_block))
+    # dealt by position, so repeated ids or vectors do not pile up in a block
+    dealt = lambda n: F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = q.withColumn("_qb", dealt(n_q)).select("*", every(n_c).alias("_cb"))
+    c = c.withColumn("_cb", dealt(n_c)).select("*", every(n_q).alias("_qb"))
+
+    def score_cell(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
+        if qs.empty or cs.empty:
+            return pd.DataFrame({f.name: [] for f in out_schema})
+        return pd.concat(_score_block(qs["_qid"].to_numpy(), _unit_rows(qs["_qv"]), cs[key_cols],
+                                      _unit_rows(cs["_vec"]), k), ignore_index=True)
+
+    return q.groupBy("_qb", "_cb").cogroup(c.groupBy("_qb", "_cb")).applyInPandas(score_cell, out_schema)
 
 
 # ---------------------------------------------------------------------------

@@ -18,9 +18,9 @@ from ..operators import context as ctx
 from ..operators import hooks, layout, search
 from ..plans import jobs
 from ..session import ensure_checkpoint_dir, materialise, materialise_bucketed
-from ..sinks.writers import write_corpus, write_page_dict
+from ..sinks.writers import write_corpus, write_page_dict, write_per_document, write_result_csv
 from ..sources import fixtures as fx
-from ..sources.files import read_lines, read_page_dict
+from ..sources.files import read_lines, read_page_dict, read_passages
 from . import oracle as o
 
 SEP = " || "  # separator when an array is compared as one string
@@ -579,6 +579,42 @@ def q_corpus_files(spark, sf):
     return read_lines(spark, path, line_sep="\n").groupBy("line").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+@register("per_document_files", f"""
+SELECT conv_id, CAST(generate_subscripts(parts, 1) - 1 AS BIGINT) AS passage_no, unnest(parts) AS passage FROM (
+  SELECT conv_id, regexp_split_to_array(string_agg({o.slide('text', 'en')} || chr(10), '' ORDER BY turn), '\r\n|\r|\n') AS parts
+  FROM conversations GROUP BY conv_id)""")
+def q_per_document_files(spark, sf):
+    """One folder of text per conversation, read back as passages."""
+    path = _written(spark, "documents")
+    turns = _t(spark, sf, "conversations").select("conv_id", "turn", tx.clean_slide("text", "en").alias("text"))
+    write_per_document(turns, path, "conv_id", ["turn"])
+    p = read_passages(spark, path)
+    return p.select(F.regexp_extract("file", r"conv_id=(\d+)/", 1).cast("bigint").alias("conv_id"), "passage_no", "passage")
+
+
+@register("cleaned_files", o.with_views("damaged_lines") + f"""
+SELECT line, CAST(count(*) AS BIGINT) AS n_lines
+FROM (SELECT {o.t3(o.clean_tokens_line('line'))} AS line FROM damaged_lines) GROUP BY line""")
+def q_cleaned_files(spark, sf):
+    """The cleaned corpus written as text and its lines read back."""
+    path = _written(spark, "cleaned")
+    write_corpus(jobs.clean_corpus_job(fx.damaged_lines(_docs(spark, sf)), fx.TEST_STOPWORDS), path, ["doc_id", "line_no"])
+    return read_lines(spark, path, line_sep="\n").groupBy("line").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@register("result_csv_files", o.with_views("hit_text") + """
+SELECT corpus_passage, score, CAST(count(*) AS BIGINT) AS n_rows
+FROM (SELECT DISTINCT query_id, corpus_passage, score FROM hit_text) GROUP BY ALL""")
+def q_result_csv_files(spark, sf):
+    """K6: the result table written as CSV and read back."""
+    path = _written(spark, "results")
+    psg, idx = _index(spark, sf)
+    write_result_csv(jobs.search_unique(_docs(spark, sf), _queries(spark, sf), K, passages=psg, index=idx), path)
+    back = (spark.read.schema("corpus_passage string, score double").option("header", True).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return back.groupBy("corpus_passage", "score").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @register("generate_echo", o.with_views("queries") + """
 SELECT query_id, split_part(query, chr(10), 1) AS answer FROM queries""")
 def q_generate_echo(spark, sf):
@@ -588,8 +624,9 @@ def q_generate_echo(spark, sf):
 
 
 def _emb(spark, sf):
+    """All vectors, and as queries those whose id is divisible by 20."""
     e = _t(spark, sf, "embeddings")
-    return e.filter(F.col("vec_id") >= 10), e.filter(F.col("vec_id") < 10)
+    return e, e.filter(F.col("vec_id") % 20 == 0)
 
 
 @register("cosine_dense", o.with_views("dense") + "SELECT query_id, vec_id, round(score, 6) AS score FROM dense")
@@ -617,3 +654,10 @@ def q_semantic_search(spark, sf):
     corpus, qs = _emb(spark, sf)
     out = jobs.semantic_search(corpus, qs, K)
     return out.select("query_id", _big(F.col("rank")).alias("rank"), "vec_id", "score")
+
+
+@register("semantic_search_passages", o.with_views("letters") + """
+SELECT DISTINCT query_id, corpus_passage, score FROM letter_hits""")
+def q_semantic_search_passages(spark, sf):
+    """P5 with an encoder (V1): letter counts, which the check can repeat."""
+    return jobs.semantic_search_passages(_passages(spark, sf), _queries(spark, sf), hooks.letter_encoder, K)

@@ -173,11 +173,12 @@ def semantic_search_passages(passages: DataFrame, queries: DataFrame, encoder_fa
     validate_passages(passages, text_col)
     vecs = corpus_vectors if corpus_vectors is not None else materialise(
         embed(passages.select(*keys, text_col), text_col, encoder_factory).drop(text_col), "passage_vectors")
-    qv = embed(queries.select(F.col(query_id_col).alias("query_id"), F.col(query_col).alias("query")),
-               "query", encoder_factory)
+    # written too: the model runs once per query, and the count comes from the files
+    qv = materialise(embed(queries.select(F.col(query_id_col).alias("query_id"), F.col(query_col).alias("query")),
+                           "query", encoder_factory), "query_vectors")
     scores = dense_scores(vecs, qv, k, keys, "embedding", "query_id", "embedding")
     hits = topk(scores, k, keys)
-    hits_small = queries.count() * k <= DEFAULT_BROADCAST_ROWS
+    hits_small = qv.count() * k <= DEFAULT_BROADCAST_ROWS
     return dedupe_hits(attach_passages(hits, passages, keys, text_col, hits_small=hits_small))
 
 

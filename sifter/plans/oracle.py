@@ -4,6 +4,8 @@ FIXTURES.md as common table expressions."""
 
 from __future__ import annotations
 
+import string
+
 from ..functions.text import (CORPUS_PROFILE, REPLACEMENT_CHAR, RETRIEVAL_PROFILE, SLIDE_PROFILE_DE,
                               SLIDE_PROFILE_OTHER, WHITESPACE_CHARS, re2_class)
 from ..sources.fixtures import LINES_PER_PAGE, TEST_STOPWORDS
@@ -65,6 +67,13 @@ def clean_tokens_line(expr: str, with_stopwords: bool = True, terminated: bool =
     return f"array_to_string({masked}, ' ')"
 
 
+def letters(expr: str) -> str:
+    """Counts of the letters a-z, either case, as a list of doubles."""
+    counts = (f"2 * length({expr}) - length(replace({expr}, '{c}', '')) - length(replace({expr}, '{c.upper()}', ''))"
+              for c in string.ascii_lowercase)
+    return "CAST([" + ", ".join(counts) + "] AS DOUBLE[])"
+
+
 P = LINES_PER_PAGE
 
 # ---------------------------------------------------------------------------
@@ -179,13 +188,28 @@ q_post AS (
              row_number() OVER (PARTITION BY b.query_id ORDER BY pc.doc_id, pc.page_no) AS rn
       FROM best b JOIN pages_clean pc ON contains(pc.page_lc, replace(lower(b.best_match), chr(962), chr(963))))
     WHERE rn = 1) m USING (query_id))""",
-    # dense vectors: vec_id < 10 are queries
-    "dense": """qv AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id < 10),
-cv AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id >= 10),
+    # dense vectors: queries are the rows whose id is divisible by 20
+    "dense": """ev AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm
+  FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL)),
 dense AS (
-  SELECT qv.query_id, cv.vec_id,
-         list_dot_product(qv.e, cv.e) / (sqrt(list_dot_product(qv.e, qv.e)) * sqrt(list_dot_product(cv.e, cv.e))) AS score
-  FROM qv CROSS JOIN cv)""",
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CASE WHEN q.norm = 0 OR c.norm = 0 THEN 0.0
+              ELSE list_dot_product(q.e, c.e) / (q.norm * c.norm) END AS score
+  FROM ev q CROSS JOIN ev c WHERE q.vec_id % 20 = 0)""",
+    # passages and queries as letter counts
+    "letters": f"""q_vec AS (
+  SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM (SELECT query_id, {letters('query')} AS e FROM queries)),
+p_vec AS (
+  SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM (SELECT doc_id, line_no, passage, {letters('passage')} AS e FROM passages)),
+letter_hits AS (
+  SELECT * FROM (
+    SELECT query_id, corpus_passage, score,
+           row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, line_no) AS rank
+    FROM (SELECT q.query_id, p.doc_id, p.line_no, p.passage AS corpus_passage,
+                 round(CASE WHEN q.norm = 0 OR p.norm = 0 THEN 0.0
+                            ELSE list_dot_product(q.e, p.e) / (q.norm * p.norm) END, 6) AS score
+          FROM q_vec q CROSS JOIN p_vec p)) WHERE rank <= 5)""",
 }
 
 # dependencies between the views, in definition order
@@ -195,7 +219,7 @@ DEPS = {
     "page_tables": ["marked"], "entries": ["marked", "page_tables"], "page_records": ["entries"],
     "tfidf": ["passages"], "queries": [], "q_post": ["tfidf", "queries"], "sparse": ["tfidf", "q_post"],
     "hits": ["sparse"], "hit_text": ["hits", "passages"], "best": ["hit_text"],
-    "found": ["best", "pages_clean"], "dense": [],
+    "found": ["best", "pages_clean"], "dense": [], "letters": ["passages", "queries"],
 }
 
 

@@ -44,5 +44,7 @@ def write_page_dict(nested: DataFrame, path: str, file_col: str = "doc_id", valu
 
 
 def write_result_csv(result: DataFrame, path: str, columns: Sequence[str] = ("corpus_passage", "score")) -> None:
-    """K6: result table as CSV with a header, overwritten each run."""
-    result.select(*columns).write.mode("overwrite").option("header", True).csv(path)
+    """K6: result table as CSV with a header, overwritten each run. Quotes are
+    doubled and blanks at the ends kept, as common CSV readers expect."""
+    (result.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))

@@ -4,7 +4,6 @@ directory walk."""
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +14,11 @@ from pyspark.sql import types as T
 SPECIAL_NAME_CHARS = "(~$)_#-"
 
 
-def _root_uri(path: str) -> str:
-    """Spark's rendering of a folder path (``file:/abs`` for local paths)."""
-    if re.match(r"^[a-zA-Z][a-zA-Z0-9+.-]*:", path):
-        return path.rstrip("/")
-    return "file:" + os.path.abspath(path).rstrip("/")
+def _root_uri(spark: SparkSession, path: str) -> str:
+    """Spark's rendering of a folder path; one without a scheme belongs to the
+    session's default file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString().rstrip("/")
 
 
 def _file_name(path_col: F.Column) -> F.Column:
@@ -45,7 +44,7 @@ def scan_slides(spark: SparkSession, path: str, require_special: bool = False) -
     ``path`` are not taken). With ``require_special`` the name must hold one
     of ``( ~ $ ) _ # -``; each file is read once."""
     df = scan_documents(spark, path, "*.pptx")
-    root = re.escape(_root_uri(path))
+    root = re.escape(_root_uri(spark, path))
     df = df.filter(~F.col("path").rlike(f"^{root}/[^/]+$"))
     if require_special:
         df = df.filter(_file_name(F.col("path")).rlike("[" + re.escape(SPECIAL_NAME_CHARS) + "]"))
@@ -94,30 +93,71 @@ def number_lines(lines: DataFrame) -> DataFrame:
                       "line")
 
 
+#: Diff of a file's length from its lines' bytes and one separator each, if
+#: the last line is terminated: none, or the byte order mark that is not read.
+TERMINATED_EXCESS = (0, 3)
+#: Files of these endings are read decompressed, so their length tells nothing.
+COMPRESSED = {".gz": "gzip", ".bz2": "bz2"}
+
+
+def _ends_of_compressed(files: DataFrame) -> DataFrame:
+    """``(path, _term)`` for compressed files: whether the text is empty or ends
+    in a newline. One file is decompressed in pieces in one task, as such a file
+    is never split by the text reader either."""
+    endings = dict(COMPRESSED)
+
+    def run(batches):
+        import importlib
+        import io
+
+        import pandas as pd
+
+        for pdf in batches:
+            terms = []
+            for path, content in zip(pdf["path"], pdf["content"]):
+                opener = importlib.import_module(endings["." + path.rsplit(".", 1)[-1].lower()]).open
+                last = b"\n"
+                with opener(io.BytesIO(content)) as f:
+                    while piece := f.read(1 << 20):
+                        last = piece[-1:]
+                terms.append(last in (b"\n", b"\r"))
+            yield pd.DataFrame({"path": pdf["path"], "_term": terms})
+
+    return files.mapInPandas(run, "path string, _term boolean")
+
+
 def read_passages(spark: SparkSession, path: str) -> DataFrame:
-    """Files split on ``\n`` keeping every empty string, also the
-    trailing one: ``(file, passage_no, passage)``.
-
-    Lines are read split-parallel with ``\n`` as the only separator; a
-    file that ends in ``\n`` (or is empty) gets one more, empty, passage.
-    Whether it does is told by its length in the listing: the bytes of its
-    lines plus one per separator equal the length exactly when the last
-    line is terminated. Spark's file listing skips zero-length files, so an
-    empty file yields no passage (the original yields one empty one)."""
-    lines = read_lines(spark, path, line_sep="\n")
-    numbered = number_lines(lines).select("file", F.col("line_no").alias("passage_no"), F.col("line").alias("passage"))
-    per_file = _split_offsets(lines).groupBy("file").agg(F.sum("_n").alias("_n"), F.sum("_bytes").alias("_bytes"))
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
-        F.col("path").alias("_path"), "length")
-    # the text reader names files like the listing, but URL-decoded paths can
-    # differ in form: compare on the path after the scheme
+    """Files split at line ends keeping every empty string, also the
+    trailing one: ``(file, passage_no, passage)``. ``\n``, ``\r\n`` and
+    ``\r`` end a line, as in Python's text reading; a byte order mark is not
+    part of the text.
+
+    Lines are read split-parallel; a file that ends in a line end (or is empty)
+    gets one more, empty, passage. Whether it does is told by its length in the
+    listing: the bytes of its ``\n`` lines plus one per separator equal the
+    length (less a byte order mark) exactly when the last line is terminated, or
+    that line ends in ``\r``. Gzip and bzip2 files, which no reader splits, are
+    decompressed once more for it. Spark's file listing skips zero-length files,
+    so an empty file yields no passage (the original yields one empty one)."""
+    numbered = number_lines(read_lines(spark, path)).select(
+        "file", F.col("line_no").alias("passage_no"), F.col("line").alias("passage"))
+    n_lines = numbered.groupBy("file").agg(F.count(F.lit(1)).alias("_n"))
+    raw = read_lines(spark, path, line_sep="\n")
+    ends = raw.groupBy("file").agg(
+        F.count(F.lit(1)).alias("_raw_n"), F.sum(F.octet_length("line")).alias("_bytes"),
+        F.max_by(F.col("line").endswith("\r"), F.struct("block_start", "row_id")).alias("_cr"))
+    compressed = F.lower(F.col("path")).rlike("[.](" + "|".join(e[1:] for e in COMPRESSED) + ")$")
+    listing = scan_documents(spark, path).select("path", "length")
+    zipped = scan_documents(spark, path, "*.{gz,GZ,bz2,BZ2}").select("path", "content")
+    # the text reader names files like the listing, but the paths can differ in form
     norm = lambda c: F.regexp_replace(c, "^file:(//)?", "file:")
-    files = listing.join(per_file, norm(F.col("_path")) == norm(F.col("file")), "left").select(
-        F.coalesce(F.col("file"), F.col("_path")).alias("file"),
-        F.coalesce(F.col("_n"), F.lit(0)).alias("_n"),
-        (F.col("length") == F.coalesce(F.col("_bytes"), F.lit(0)) + F.coalesce(F.col("_n"), F.lit(0))).alias("_term"))
-    trailing = files.filter("_term").select("file", F.col("_n").cast("bigint").alias("passage_no"),
-                                            F.lit("").alias("passage"))
+    excess = F.col("length") - F.coalesce(F.col("_bytes"), F.lit(0)) - F.coalesce(F.col("_raw_n"), F.lit(0))
+    plain_ends = (listing.filter(~compressed).join(ends, norm(F.col("path")) == norm(F.col("file")), "left")
+                  .select("path", (excess.isin(*TERMINATED_EXCESS) | F.coalesce(F.col("_cr"), F.lit(False))).alias("_term")))
+    terminated = plain_ends.unionByName(_ends_of_compressed(zipped)).filter("_term")
+    trailing = terminated.join(n_lines, norm(F.col("path")) == norm(F.col("file")), "left").select(
+        F.coalesce("file", "path").alias("file"), F.coalesce("_n", F.lit(0)).cast("bigint").alias("passage_no"),
+        F.lit("").alias("passage"))
     return numbered.unionByName(trailing)
 
 
@@ -150,13 +190,16 @@ def read_page_dict(spark: SparkSession, path: str) -> DataFrame:
 def read_page_dict_positional(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """S7 for the positional layout ``{file: {"Page_n": [page_text,
     line_format, text_from_images, text_from_tables, page_content]}}``:
-    ``(file, page_key, page_no, page_content, text)``. Elements other than
-    strings arrive as their JSON text, so position 4 is parsed on its own."""
+    ``(file, page_key, page_no, the five fields..., text)``. ``line_format``
+    holds each entry's JSON text, since its entries are lists of mixed kinds
+    or single words. With ``multi_line=False`` each line is an object of its
+    own (one file a line, say), so the input splits."""
     schema = T.MapType(T.StringType(), T.MapType(T.StringType(), T.ArrayType(T.StringType())))
     raw = spark.read.text(path, wholetext=multi_line)
     d = raw.select(F.explode(F.from_json("value", schema)).alias("file", "pages"))
     p = d.select("file", F.explode("pages").alias("page_key", "rec"))
-    content = F.from_json(F.get(F.col("rec"), 4), T.ArrayType(T.StringType()))
+    fields = [F.from_json(F.get(F.col("rec"), i), T.ArrayType(T.StringType())).alias(f.name)
+              for i, f in enumerate(PAGE_RECORD.fields)]
     return p.select("file", "page_key",
                     F.regexp_extract("page_key", r"^Page_(\d+)$", 1).cast("bigint").alias("page_no"),
-                    content.alias("page_content")).withColumn("text", F.array_join("page_content", ""))
+                    *fields).withColumn("text", F.array_join("page_content", ""))

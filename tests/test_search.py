@@ -38,6 +38,27 @@ def test_dense_topk_equals_numpy(spark, small_dir):
     assert {(r.query_id, r.vec_id) for r in got} == want
 
 
+def test_dense_grid_equals_broadcast_block(spark):
+    """Queries above the block: repeated ids, zero and null vectors, many ties."""
+    rng = np.random.default_rng(3)
+    rows = [(i % 37, f"k{i}", [float(x) for x in rng.integers(-2, 3, 4)]) for i in range(300)] + [(1, "n", None), (2, "z", [0.0] * 4)]
+    rows += [(9, f"same{i}", [1.0, 2.0, 0.0, 1.0]) for i in range(150)]
+    df = spark.createDataFrame(rows, "qid long, key string, v array<float>")
+    args = dict(key_col=["key"], vec_col="v", query_id_col="qid", query_vec_col="v")
+    for k in (None, 3):
+        one = search.dense_scores(df, df, k, **args)
+        grid = search.dense_scores(df, df, k, block=50, corpus_block=64, **args)
+        if k is None:
+            assert one.count() == grid.count() == 451 * 451
+            assert one.filter("score = 0").count() >= 451
+        as_rows = lambda d: sorted((r.query_id, r["rank"], r.key, r.score) for r in search.topk(d, 3, ["key"]).collect())
+        got = as_rows(grid)
+        assert as_rows(one) == got
+        if k is None:
+            full = got
+    assert got == full
+
+
 def test_anchor_equals_nested_and_brute_force(spark, small_dir):
     docs = fx.table(spark, small_dir, "documents")
     psg = materialise(fx.passages(docs), "passages")

@@ -94,17 +94,25 @@ def test_read_lines_and_passages(spark):
 
 
 def test_read_passages_edge_files(spark):
+    import bz2
+    import gzip
+    import re
+
     d = tempfile.mkdtemp(prefix="sifter-psg-")
-    texts = {"a.txt": "x\r\ny\n\n", "b.txt": "no newline at end", "c.txt": "", "d.txt": "\n"}
+    texts = {"a.txt": "x\r\ny\n\n", "b.txt": "no newline at end", "c.txt": "", "d.txt": "\n", "e.txt": "a\rb\r",
+             "f.txt": "a\r\nb\r\n", "g.txt.gz": "a\nb\n", "h.txt.gz": "a\nb", "i.txt.bz2": "a\r\nb\r\n",
+             "j.txt": "\ufeffa\nb\n", "k.txt": "\ufeffa\nb"}
     for name, t in texts.items():
-        with open(os.path.join(d, name), "w", encoding="utf-8", newline="") as f:
-            f.write(t)
+        opener = {"gz": gzip.open, "bz2": bz2.open}.get(name.rsplit(".", 1)[-1], open)
+        with opener(os.path.join(d, name), "wb") as f:
+            f.write(t.encode("utf-8"))
     got = files.read_passages(spark, d).collect()
     for name, t in texts.items():
         rows = sorted((r.passage_no, r.passage) for r in got if r.file.endswith("/" + name))
         # Spark's file listing skips zero-length files, so an empty file
         # gives no passage instead of one empty one
-        assert rows == (list(enumerate(t.split("\n"))) if t else []), name
+        want = re.split("\r\n|\r|\n", t.removeprefix("\ufeff"))
+        assert rows == (list(enumerate(want)) if t else []), name
 
 
 def test_sinks_and_page_dict_roundtrip(spark, small_dir):
@@ -126,8 +134,9 @@ def test_sinks_and_page_dict_roundtrip(spark, small_dir):
     pos = os.path.join(out, "positional.json")
     with open(pos, "w", encoding="utf-8") as f:
         json.dump({"f.pdf": {"Page_0": [["t"], [["F", 1.0]], [], [], ["a\n", "b"]], "Page_1": [[], [], [], [], []]}}, f)
-    prow = sorted((r.page_no, r.text) for r in files.read_page_dict_positional(spark, pos).collect())
-    assert prow == [(0, "a\nb"), (1, "")]
+    prow = {r.page_no: r for r in files.read_page_dict_positional(spark, pos).collect()}
+    assert {n: r.text for n, r in prow.items()} == {0: "a\nb", 1: ""}
+    assert (prow[0].page_text, [json.loads(x) for x in prow[0].line_format], prow[1].text_from_tables) == (["t"], [["F", 1.0]], [])
     # K1 / K2 / K6
     texts = with_page_text(pages)
     write_per_document(texts, os.path.join(out, "docs"))
