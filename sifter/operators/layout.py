@@ -93,10 +93,11 @@ def entries(el: DataFrame, page_keys: Sequence[str] = ("doc_id", "page_no")) ->
 def assemble_pages(el: DataFrame, page_keys: Sequence[str] = ("doc_id", "page_no")) -> DataFrame:
     """One record per page with the five ordered arrays
     ``page_text, line_format, text_from_images, text_from_tables,
-    page_content``. Every page that has any element gets a record (possibly
-    with empty arrays)."""
+    page_content``. Every page that has any element, of whatever kind, gets a
+    record (possibly with empty arrays)."""
     page_keys = list(page_keys)
-    marked = mark_table_suppression(order_elements(classify(el), page_keys), page_keys)
+    # an element of another kind is never kept, but its page has a record
+    marked = mark_table_suppression(order_elements(el, page_keys), page_keys)
     ent = entries(marked, page_keys)
     # collect only the kept entries (collect_list skips nulls), so a page whose
     # elements were all dropped still gets a record with empty arrays; the

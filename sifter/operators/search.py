@@ -21,19 +21,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import WS_CLASS
 from ..functions.vectors import SCORE_DIGITS, round_score
-from ..session import DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialise, materialise_bucketed, row_count_at_most
+from ..session import (DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialise, materialise_bucketed, open_bucketed,
+                       row_count_at_most)
 
 DEFAULT_K = 5
 # Most query vectors broadcast to the dense scorer in one block.
 MAX_QUERY_BLOCK = 4096
 # Corpus vectors in one cell when the queries exceed a block.
 CORPUS_BLOCK = 16_384
+# Most query terms pushed to the scan of the postings.
+MAX_PUSHED_TERMS = 64
 # Most scores held at once by a dense scoring task.
 PAIRS_AT_ONCE = 1_000_000
 
@@ -81,6 +84,26 @@ class TfidfIndex:
     n_docs: int
     keys: tuple[str, ...]
 
+    def save(self, path: str) -> None:
+        """Write the index below ``path``, a folder that later applications
+        reach too; ``load`` opens it again."""
+        base, spark = path.rstrip("/"), self.postings.sparkSession
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.doc_freq.write.mode("overwrite").parquet(f"{base}/doc_freq")
+        materialise_bucketed(self.postings, self.keys, buckets, "postings", sort="term", path=f"{base}/postings")
+        # last: a folder without it is not a whole index
+        spark.range(1).select(F.lit(self.n_docs).cast("bigint").alias("n_docs"), F.lit(buckets).alias("buckets"),
+                              F.array(*map(F.lit, self.keys)).alias("keys")).write.mode("overwrite").parquet(f"{base}/about")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TfidfIndex:
+        """The index that ``save`` wrote, in this or another application."""
+        base = path.rstrip("/")
+        about = spark.read.parquet(f"{base}/about").first()
+        keys = tuple(about["keys"])
+        return cls(open_bucketed(spark, f"{base}/postings", keys, about["buckets"], "term", "postings"),
+                   spark.read.parquet(f"{base}/doc_freq"), about["n_docs"], keys)
+
     def query_weights(self, queries: DataFrame, id_col: str = "query_id", text_col: str = "query",
                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
         """``(query_id, term, qweight, nqweight)`` using corpus document
@@ -135,7 +158,7 @@ def tfidf_index(passages: DataFrame, keys: Sequence[str] = ("doc_id", "line_no")
         # bucketed on the whole passage key: scoring sums per (query, passage)
         # inside each bucket, so candidate pairs are never shuffled, and one
         # very large document still spreads over all buckets
-        postings = materialise_bucketed(postings, keys, name="postings", clustered=True)
+        postings = materialise_bucketed(postings, keys, name="postings", clustered=True, sort="term")
     return TfidfIndex(postings=postings, doc_freq=doc_freq, n_docs=n_docs, keys=keys)
 
 
@@ -148,6 +171,14 @@ def query_terms_at_most(queries: DataFrame, text_col: str = "query", bound: int
     return row_count_at_most(queries.select(F.explode(term_tokens(F.col(text_col)))), bound)
 
 
+def few_query_terms(queries: DataFrame, text_col: str = "query") -> list[str] | None:
+    """The distinct terms of a small query batch; none if they are more than
+    ``MAX_PUSHED_TERMS``."""
+    terms = queries.select(F.explode(term_tokens(F.col(text_col))).alias("t")).distinct().limit(MAX_PUSHED_TERMS + 1)
+    got = [r["t"] for r in terms.collect()]
+    return got if len(got) <= MAX_PUSHED_TERMS else None
+
+
 def query_batch_size(queries: DataFrame, text_col: str = "query") -> tuple[int, int]:
     """``(queries, tokens)`` of a query batch in one pass over it. The token
     total bounds the distinct query terms and the query-weight rows; the
@@ -157,18 +188,34 @@ def query_batch_size(queries: DataFrame, text_col: str = "query") -> tuple[int,
     return int(row["n"]), int(row["t"])
 
 
-def sparse_scores(index: TfidfIndex, query_weights: DataFrame, queries_small: bool | None = None) -> DataFrame:
+def _any_of(conditions: list[Column]) -> Column:
+    """``OR`` as a balanced tree. (An ``IN`` of more than ten values reaches
+    Parquet only as its least and greatest value.)"""
+    if len(conditions) == 1:
+        return conditions[0]
+    half = len(conditions) // 2
+    return _any_of(conditions[:half]) | _any_of(conditions[half:])
+
+
+def sparse_scores(index: TfidfIndex, query_weights: DataFrame, queries_small: bool | None = None,
+                  query_terms: Sequence[str] | None = None) -> DataFrame:
     """``(query_id, keys..., score)`` for every passage sharing a weighted
     term with the query (exact cosine; other passages score 0).
 
     The query weights are broadcast when ``queries_small`` (see
     ``query_terms_at_most``); ``None`` counts them here, which runs the
-    query weighting once more. Beyond the bound the join shuffles on term."""
+    query weighting once more. Beyond the bound the join shuffles on term.
+    ``query_terms``, if the caller holds them, are pushed to the scan when they
+    are few: the postings of a bucket are in term order, so only the Parquet
+    pages that hold these terms are read. The rows are the same without."""
     qw = query_weights.select("query_id", "term", "nqweight")
     if queries_small is None:
         queries_small = row_count_at_most(qw, DEFAULT_BROADCAST_ROWS)
+    postings = index.postings.select(*index.keys, "term", "nweight")
+    if query_terms is not None and 0 < len(query_terms) <= MAX_PUSHED_TERMS:
+        postings = postings.filter(_any_of([F.col("term") == F.lit(t) for t in sorted(set(query_terms))]))
     qw = F.broadcast(qw) if queries_small else qw
-    joined = index.postings.select(*index.keys, "term", "nweight").join(qw, "term")
+    joined = postings.join(qw, "term")
     return joined.groupBy("query_id", *index.keys).agg(
         F.sum(F.col("nqweight") * F.col("nweight")).alias("score"))
 
@@ -325,7 +372,9 @@ def search_passages(passages: DataFrame, queries: DataFrame, k: int = DEFAULT_K,
     n_queries, n_tokens = query_batch_size(queries, query_text_col)
     small = n_tokens <= DEFAULT_BROADCAST_ROWS
     qw = index.query_weights(queries, query_id_col, query_text_col, small=small)
-    hits = topk(sparse_scores(index, qw, small), k, keys)
+    # a batch of few tokens may read few pages of the postings
+    terms = few_query_terms(queries, query_text_col) if n_tokens <= 16 * MAX_PUSHED_TERMS else None
+    hits = topk(sparse_scores(index, qw, small, terms), k, keys)
     # at most k hits per query: the query count bounds the hit count
     hits_small = n_queries <= max(1, DEFAULT_BROADCAST_ROWS // max(k, 1))
     return attach_passages(hits, passages, keys, text_col, hits_small=hits_small), index

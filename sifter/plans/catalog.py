@@ -241,7 +241,7 @@ def q_layout_formats(spark, sf):
 
 
 @register("layout_suppress", o.with_views("marked") + """
-SELECT doc_id, page_no, elem_ix, kind, keep FROM marked""")
+SELECT doc_id, page_no, elem_ix, kind, keep FROM marked WHERE kind IN ('text', 'figure', 'rect')""")
 def q_layout_suppress(spark, sf):
     return _marked(spark, sf).select("doc_id", "page_no", _big(F.col("elem_ix")).alias("elem_ix"), "kind", "keep")
 
@@ -491,12 +491,24 @@ SELECT CAST(rank AS BIGINT) AS rank, doc_id, line_no, passage AS corpus_passage,
 def q_topk_ordered(spark, sf):
     psg, idx = _index(spark, sf)
     q = spark.range(1).select(F.lit(0).cast("bigint").alias("query_id"), F.lit(EXAMPLE_QUERY).alias("query"))
-    s = search.sparse_scores(idx, idx.query_weights(q)).drop("query_id")
+    # one query: its few tokens bound its weights
+    s = search.sparse_scores(idx, idx.query_weights(q, small=True), True, search.few_query_terms(q)).drop("query_id")
     top = search.topk(s, K, group=None)
     out = search.attach_passages(top, psg, hits_small=True)  # k rows
     return out.select(_big(F.col("rank")).alias("rank"), "doc_id", "line_no", "corpus_passage", "score")
 
 
+@register("saved_index", o.with_views("hits") + """
+SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, line_no, score FROM hits""")
+def q_saved_index(spark, sf):
+    """V1b kept between runs: the index saved, opened again and searched."""
+    path = _written(spark, "index")
+    psg, idx = _index(spark, sf)
+    idx.save(path)
+    hits, _ = search.search_passages(psg, _queries(spark, sf), K, index=search.TfidfIndex.load(spark, path))
+    return hits.select("query_id", _big(F.col("rank")).alias("rank"), "doc_id", "line_no", "score")
+
+
 @register("search_unique", o.with_views("hit_text") + """
 SELECT DISTINCT query_id, corpus_passage, score FROM hit_text""")
 def q_search_unique(spark, sf):

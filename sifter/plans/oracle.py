@@ -99,13 +99,15 @@ CTE = {
     SELECT doc_id, page_no, {t2('page_raw')} AS context FROM doc_pages))""",
     "elements": f"""elements AS (
   SELECT doc_id, line_no // {P} AS page_no, CAST(line_no % {P} AS BIGINT) AS elem_ix,
-         CAST(800 AS DOUBLE) - CAST(10 AS DOUBLE) * CAST(line_no % {P} AS DOUBLE) AS y1,
-         CASE WHEN contains(line, '|') THEN 'rect'
-              WHEN (doc_id + line_no) % 11 = 0 THEN 'figure' ELSE 'text' END AS kind,
-         line,
-         CASE WHEN contains(line, '|') THEN NULL ELSE line || chr(10) END AS text,
-         CASE WHEN contains(line, '|') THEN [string_split(line, '|')] END AS tbl
-  FROM doc_lines)""",
+         CAST(800 AS DOUBLE) - CAST(10 AS DOUBLE) * CAST((line_no * 3 % {P}) // 2 AS DOUBLE) AS y1,
+         kind, line,
+         CASE WHEN kind IN ('text', 'figure') THEN line || chr(10) END AS text,
+         CASE WHEN kind = 'rect' THEN [list_transform(string_split(line, '|'),
+                                                      lambda c: nullif(replace(c, ' ', chr(10)), ''))] END AS tbl
+  FROM (SELECT *, CASE WHEN contains(line, '|') THEN 'rect'
+                       WHEN (doc_id + line_no) % 11 = 0 THEN 'figure'
+                       WHEN (doc_id + line_no) % 7 = 0 THEN 'curve' ELSE 'text' END AS kind
+        FROM doc_lines))""",
     # reading order and the table-suppression rule per element
     "marked": """ordered AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY doc_id, page_no ORDER BY y1 DESC, elem_ix) - 1 AS BIGINT) AS ord

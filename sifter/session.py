@@ -88,26 +88,46 @@ def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | N
 
 
 def materialise_bucketed(df: DataFrame, key: str | list[str] | tuple[str, ...], buckets: int | None = None,
-                         name: str = "table", clustered: bool = False) -> DataFrame:
+                         name: str = "table", clustered: bool = False, sort: str | None = None,
+                         path: str | None = None) -> DataFrame:
     """Like ``materialise`` but as a table bucketed on ``key``
     in the checkpoint folder: reads of it are hash-partitioned on ``key``, so
     aggregates and windows keyed on it (or on a superset of it) need no
     exchange. ``buckets`` defaults to ``spark.sql.shuffle.partitions``. The
     table is registered in the session's catalog, of whatever kind. Unless
     ``clustered`` says that ``df`` is partitioned on ``key`` already, it is
-    first, so that a bucket is one file and not one per task."""
+    first, so that a bucket is one file and not one per task. With ``sort`` the
+    rows of a bucket are in that column's order, so a filter on it skips
+    most of each file by its page index. ``path`` names the folder."""
     import uuid
 
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    base = "" if path else ensure_checkpoint_dir(spark).rstrip("/")
     tag = uuid.uuid4().hex
     table_name = f"sifter_{name}_{tag}"
     cols = [key] if isinstance(key, str) else list(key)
     if not clustered:
         df = df.repartition(n, *cols)
-    (df.write.mode("overwrite").bucketBy(n, *cols)
-     .option("path", f"{base}/sifter-tables/{name}-{tag}").saveAsTable(table_name))
+    w = df.write.mode("overwrite").bucketBy(n, *cols)
+    if sort:
+        w = w.sortBy(sort)
+    w.option("path", path or f"{base}/sifter-tables/{name}-{tag}").saveAsTable(table_name)
+    return spark.table(table_name)
+
+
+def open_bucketed(spark: SparkSession, path: str, key: list[str] | tuple[str, ...], buckets: int, sort: str,
+                  name: str = "table") -> DataFrame:
+    """A table that ``materialise_bucketed`` wrote to ``path``, perhaps in
+    another application, with its buckets known to the planner again."""
+    import uuid
+
+    table_name = f"sifter_{name}_{uuid.uuid4().hex}"
+    quoted = ", ".join(f"`{c}`" for c in key)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {table_name} ({columns}) USING parquet CLUSTERED BY ({quoted}) SORTED BY (`{sort}`) "
+              f"INTO {buckets} BUCKETS LOCATION '{location}'")
     return spark.table(table_name)
 
 

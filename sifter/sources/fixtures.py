@@ -76,14 +76,18 @@ def elements(documents: DataFrame) -> DataFrame:
     """Layout elements ``(doc_id, page_no, elem_ix, y1, kind, text, table, chars)``.
 
     A line with ``|`` is a rectangle whose detected table is that one row of
-    cells; every eleventh line (by ``doc_id + line_no``) is a figure whose
-    recognised text is the line; the rest are text boxes. Text and figure
-    text end in a newline, as a layout parser emits them. Each word is one
-    character record: font = its first letter, size = its length."""
+    cells (an empty cell is null, a blank in a cell a newline); every eleventh
+    line (by ``doc_id + line_no``) is a figure whose recognised text is the
+    line, every seventh of the others a curve, a kind that no page text takes;
+    the rest are text boxes. Text and figure text end in a newline, as a layout
+    parser emits them. The top edges do not follow the input order, and two
+    elements at a time share one. Each word is one character record: font = its
+    first letter, size = its length."""
     lines = doc_lines(documents)
     kind = (
         F.when(F.col("line").contains("|"), F.lit("rect"))
         .when((F.col("doc_id") + F.col("line_no")) % 11 == 0, F.lit("figure"))
+        .when((F.col("doc_id") + F.col("line_no")) % 7 == 0, F.lit("curve"))
         .otherwise(F.lit("text"))
     )
     words = F.filter(F.split(F.col("line"), " ", -1), lambda w: w != "")
@@ -91,14 +95,16 @@ def elements(documents: DataFrame) -> DataFrame:
         words,
         lambda w: F.struct(F.substring(w, 1, 1).alias("font"), F.length(w).cast("double").alias("size")),
     )
+    cells = F.transform(F.split(F.col("line"), "\\|", -1),
+                        lambda c: F.when(c != "", F.replace(c, F.lit(" "), F.lit("\n"))))
     return lines.select(
         "doc_id",
         F.floor(F.col("line_no") / LINES_PER_PAGE).cast("bigint").alias("page_no"),
         (F.col("line_no") % LINES_PER_PAGE).cast("int").alias("elem_ix"),
-        (F.lit(800.0) - F.lit(10.0) * (F.col("line_no") % LINES_PER_PAGE)).alias("y1"),
+        (F.lit(800.0) - F.lit(10.0) * F.floor(F.col("line_no") * 3 % LINES_PER_PAGE / 2)).alias("y1"),
         kind.alias("kind"),
-        F.when(kind != "rect", F.concat(F.col("line"), F.lit("\n"))).alias("text"),
-        F.when(kind == "rect", F.array(F.split(F.col("line"), "\\|", -1))).alias("table"),
+        F.when(kind.isin("text", "figure"), F.concat(F.col("line"), F.lit("\n"))).alias("text"),
+        F.when(kind == "rect", F.array(cells)).alias("table"),
         chars.alias("chars"),
     )
 

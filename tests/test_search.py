@@ -59,6 +59,34 @@ def test_dense_grid_equals_broadcast_block(spark):
     assert got == full
 
 
+def test_saved_index_keeps_buckets_and_pushes_terms(spark, small_dir, tmp_path):
+    psg = materialise(fx.passages(fx.table(spark, small_dir, "documents")), "passages")
+    idx = search.tfidf_index(psg)
+    idx.save(str(tmp_path / "it's saved"))
+    back = search.TfidfIndex.load(spark, str(tmp_path / "it's saved"))
+    assert (back.n_docs, back.keys) == (idx.n_docs, idx.keys)
+    q = spark.createDataFrame([(1, psg.orderBy("doc_id", "line_no").first().passage)], "query_id long, query string")
+    terms = search.few_query_terms(q)
+    assert terms
+    plain = search.sparse_scores(idx, idx.query_weights(q))
+    pushed = search.sparse_scores(back, back.query_weights(q), True, terms)
+    as_rows = lambda d: sorted((r.doc_id, r.line_no, round(r.score, 9)) for r in d.collect())
+    assert as_rows(plain) == as_rows(pushed) != []
+    plan = pushed._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    scan = next(x for x in plan.split("\n\n") if "postings" in x and "PushedFilters" in x)
+    assert "EqualTo(term," in scan and "Bucketed: true" in scan
+
+
+def test_page_of_unhandled_elements_has_a_record(spark):
+    from sifter.operators.layout import assemble_pages
+
+    el = fx.elements(spark.createDataFrame([(7, "a curve only"), (6, "a b|| c")], "doc_id long, text string"))
+    rows = {r.doc_id: r for r in assemble_pages(el).collect()}
+    assert rows[7].page_content == [] and rows[7].page_no == 0
+    assert rows[6].page_content == ["|a b|None| c|"]
+
+
 def test_anchor_equals_nested_and_brute_force(spark, small_dir):
     docs = fx.table(spark, small_dir, "documents")
     psg = materialise(fx.passages(docs), "passages")
