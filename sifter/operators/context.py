@@ -20,11 +20,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import DEFAULT_CONTEXT_SKIP, DEFAULT_PROMPT_TEMPLATE, clean_retrieval, cut_context, fold_case, render_prompt
-from ..session import DEFAULT_BROADCAST_ROWS
+from ..session import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS
 
 
 def prepare_pages(pages: DataFrame, text_col: str = "page_raw", order: Sequence[str] = ("doc_id", "page_no")) -> DataFrame:
@@ -70,19 +70,30 @@ def page_term_index(pages: DataFrame, order: Sequence[str] = ("doc_id", "page_no
 GRAM = 3
 
 
-def _short_anchors(short: DataFrame, vocabulary: DataFrame, small: bool) -> DataFrame:
+def _piece() -> Column:
+    """The longest token of a passage."""
+    return F.element_at(F.array_sort(F.transform("_toks", lambda t: F.struct(F.length(t).alias("n"), t.alias("t")))), -1)["t"]
+
+
+def _grams(n: int) -> Column:
+    """The runs of ``n`` characters of ``term``."""
+    if n == 0:
+        return F.array(F.lit(""))
+    starts = F.sequence(F.lit(1), F.greatest(F.length("term") - (n - 1), F.lit(1)))
+    return F.transform(starts, lambda i: F.substring(F.col("term"), i, n))
+
+
+def _short_anchors(short: DataFrame, vocabulary: DataFrame, small: bool, lengths: list[int]) -> DataFrame:
     """``(query_id, _p_lc, term)``: every distinct page token that holds the
-    longest token of a passage of one or two tokens."""
-    piece = F.element_at(F.array_sort(F.transform("_toks", lambda t: F.struct(F.length(t).alias("n"), t.alias("t")))), -1)["t"]
-    wanted = short.select("query_id", "_p_lc", piece.alias("_piece")).withColumn("gram", F.substring("_piece", 1, GRAM))
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda g: F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length("term"), F.lit(1))), lambda i: F.substring(F.col("term"), i, g))))
+    longest token of a passage of one or two tokens. ``lengths`` are those of
+    the wanted grams; only such grams are cut from the vocabulary."""
+    wanted = short.select("query_id", "_p_lc", _piece().alias("_piece")).withColumn("gram", F.substring("_piece", 1, GRAM))
     # the empty gram belongs to every token: an empty passage is on every page
-    held = vocabulary.select("term", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), grams))).alias("gram"))
+    held = vocabulary.select("term", F.explode(F.array_distinct(F.concat(*map(_grams, lengths)))).alias("gram"))
     return held.join(_hint(wanted, small), "gram").where(F.contains(F.col("term"), F.col("_piece"))).select("query_id", "_p_lc", "term")
 
 
-def _anchors(b: DataFrame, vocabulary: DataFrame, small: bool, any_short: bool) -> DataFrame:
+def _anchors(b: DataFrame, vocabulary: DataFrame, small: bool, lengths: list[int]) -> DataFrame:
     """``(query_id, _p_lc, term)``: the page tokens by which each passage finds
     its candidate pages. The vocabulary is cut into grams only if there is a
     short passage."""
@@ -96,9 +107,9 @@ def _anchors(b: DataFrame, vocabulary: DataFrame, small: bool, any_short: bool)
     ranked = interior.join(_hint(term_df, small), "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     rarest = ranked.groupBy("query_id", "_p_lc").agg(F.min(F.struct("df", "term")).alias("_a")).select(
         "query_id", "_p_lc", F.col("_a.term").alias("term"))
-    if not any_short:
+    if not lengths:
         return rarest
-    return rarest.unionByName(_short_anchors(b.where(F.size("_toks").between(1, 2)), vocabulary, small))
+    return rarest.unionByName(_short_anchors(b.where(F.size("_toks").between(1, 2)), vocabulary, small, lengths))
 
 
 def _folded(needles: DataFrame, text_col: str) -> DataFrame:
@@ -106,12 +117,16 @@ def _folded(needles: DataFrame, text_col: str) -> DataFrame:
         "_toks", F.split(F.col("_p_lc"), " ", -1)).where(F.col("_p_lc").isNotNull())
 
 
-def _stats(b: DataFrame, max_broadcast_rows: int) -> tuple[bool, bool]:
-    # one pass over the query-sized table: its count and token total bound
+def _stats(b: DataFrame, max_broadcast_rows: int) -> tuple[bool, list[int]]:
+    """Whether the frames that the passages bound may be broadcast, and the
+    lengths of the short passages' grams."""
+    # one pass over the query-sized table: its count, tokens and text bound
     # everything derived from it
+    gram_length = F.least(F.length(_piece()), F.lit(GRAM))
     s = b.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("_toks")), F.lit(0)).alias("t"),
-              F.count(F.when(F.size("_toks") < 3, 1)).alias("short")).collect()[0]
-    return max(s["n"], s["t"]) <= max_broadcast_rows, s["short"] > 0
+              F.coalesce(F.sum(F.octet_length("_p_lc")), F.lit(0)).alias("bytes"),
+              F.sort_array(F.collect_set(F.when(F.size("_toks") < 3, gram_length))).alias("lengths")).first()
+    return max(s["n"], s["t"]) <= max_broadcast_rows and s["bytes"] <= DEFAULT_BROADCAST_BYTES, s["lengths"]
 
 
 def containing(needles: DataFrame, pages: DataFrame, passage_col: str, order: Sequence[str] = ("doc_id", "page_no"),
@@ -122,7 +137,7 @@ def containing(needles: DataFrame, pages: DataFrame, passage_col: str, order: Se
     matches every page."""
     order = list(order)
     b = _folded(needles, passage_col)
-    small, any_short = _stats(b, max_broadcast_rows)
+    small, lengths = _stats(b, max_broadcast_rows)
     if method == "nested":
         return _nested_matches(b, pages, order, small)
     if method != "anchor":
@@ -131,7 +146,7 @@ def containing(needles: DataFrame, pages: DataFrame, passage_col: str, order: Se
         pterms = page_terms(pages, order)
         page_index = pterms, pterms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     pterms, vocabulary = page_index
-    anchors = _hint(_anchors(b, vocabulary, small, any_short), small and not any_short)
+    anchors = _hint(_anchors(b, vocabulary, small, lengths), small and not lengths)
     # a short passage can meet one page through several of its tokens
     cand = pterms.join(anchors, "term").select("query_id", *order, "_p_lc").distinct()
     return (pages.select(*order, "page_lc").join(cand, order)

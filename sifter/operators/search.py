@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 
 from ..functions.text import WS_CLASS
 from ..functions.vectors import SCORE_DIGITS, round_score
-from ..session import (DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialise, materialise_bucketed, open_bucketed,
-                       row_count_at_most)
+from ..session import (DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialise,
+                       materialise_bucketed, open_bucketed, row_count_at_most)
 
 DEFAULT_K = 5
 # Most query vectors broadcast to the dense scorer in one block.
@@ -141,9 +141,11 @@ def tfidf_index(passages: DataFrame, keys: Sequence[str] = ("doc_id", "line_no")
     keys = tuple(keys)
     validate_passages(passages, text_col)
     counts = term_frequencies(passages, keys, text_col)
-    # each passage's distinct terms, counted per term (partial aggregate)
-    doc_freq = (passages.select(F.explode(F.array_distinct(term_tokens(F.col(text_col)))).alias("term"))
-                .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    if checkpoint:
+        # the text is tokenised once; the frequencies and the weights read the counts
+        counts = materialise_bucketed(counts, keys, name="term_counts", clustered=True)
+    # one row per passage and term: a partial aggregate on the term
+    doc_freq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     if checkpoint:
         doc_freq = materialise(doc_freq, "doc_freq")
     if n_docs is None:
@@ -179,13 +181,15 @@ def few_query_terms(queries: DataFrame, text_col: str = "query") -> list[str] |
     return got if len(got) <= MAX_PUSHED_TERMS else None
 
 
-def query_batch_size(queries: DataFrame, text_col: str = "query") -> tuple[int, int]:
-    """``(queries, tokens)`` of a query batch in one pass over it. The token
-    total bounds the distinct query terms and the query-weight rows; the
-    query count bounds the hits (k per query)."""
+def query_batch_size(queries: DataFrame, text_col: str = "query") -> tuple[int, int, bool]:
+    """``(queries, tokens, small)`` of a query batch in one pass over it. The
+    token total bounds the distinct query terms and the query-weight rows, the
+    text their bytes, and the query count the hits (k per query); ``small`` says
+    that the weights can be broadcast."""
     row = queries.agg(F.count(F.lit(1)).alias("n"),
-                      F.coalesce(F.sum(F.size(term_tokens(F.col(text_col)))), F.lit(0)).alias("t")).collect()[0]
-    return int(row["n"]), int(row["t"])
+                      F.coalesce(F.sum(F.size(term_tokens(F.col(text_col)))), F.lit(0)).alias("t"),
+                      F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("b")).first()
+    return row["n"], row["t"], row["t"] <= DEFAULT_BROADCAST_ROWS and row["b"] <= DEFAULT_BROADCAST_BYTES
 
 
 def _any_of(conditions: list[Column]) -> Column:
@@ -369,8 +373,7 @@ def search_passages(passages: DataFrame, queries: DataFrame, k: int = DEFAULT_K,
     """Lexical search of many queries at once: top-k hits with passage text,
     ``(query_id, rank, keys..., corpus_passage, score)``."""
     index = index or tfidf_index(passages, keys, text_col)
-    n_queries, n_tokens = query_batch_size(queries, query_text_col)
-    small = n_tokens <= DEFAULT_BROADCAST_ROWS
+    n_queries, n_tokens, small = query_batch_size(queries, query_text_col)
     qw = index.query_weights(queries, query_id_col, query_text_col, small=small)
     # a batch of few tokens may read few pages of the postings
     terms = few_query_terms(queries, query_text_col) if n_tokens <= 16 * MAX_PUSHED_TERMS else None

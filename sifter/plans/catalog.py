@@ -150,7 +150,7 @@ def q_clean_corpus_lines(spark, sf):
 SELECT doc_id, line_no, {o.clean_tokens_line('line')} AS line FROM damaged_lines""")
 def q_clean_corpus_lines_join(spark, sf):
     """T7-T10 with the stopword list as a table: anti join."""
-    return jobs.clean_tokens_with_stopword_table(fx.damaged_lines(_docs(spark, sf)), fx.stopwords_frame(spark))
+    return jobs.clean_tokens_with_stopword_table(fx.damaged_lines(_docs(spark, sf)), fx.stopwords_frame(spark), max_inline=0)
 
 
 @register("clean_corpus_job", o.with_views("damaged_lines") + f"""
@@ -435,9 +435,9 @@ def _page_index(spark, sf):
 
 def build_corpus(spark: SparkSession, sf: str) -> None:
     """Build the reusable corpus tables (passages, TF-IDF index, cleaned
-    pages) for ``sf`` now."""
+    pages and their term index) for ``sf`` now."""
     _index(spark, sf)
-    _pages(spark, sf)
+    _page_index(spark, sf)
 
 
 @register("tfidf_weights", o.with_views("tfidf") + """
@@ -544,17 +544,17 @@ def q_find_context(spark, sf):
     psg, idx = _index(spark, sf)
     hits, _ = search.search_passages(psg, _queries(spark, sf), K, index=idx)
     best = materialise(search.best_match(hits), "best")
-    return ctx.find_context(best, _pages(spark, sf))
+    return ctx.find_context(best, _pages(spark, sf), page_index=_page_index(spark, sf))
 
 
 @register("find_context_anchor", o.with_views("found") + "SELECT query_id, doc_id, page_no, context FROM found")
 def q_find_context_anchor(spark, sf):
-    """J3 on the anchor-token join (the plan at every size, here on large
-    inputs), checked against the same oracle."""
+    """J3 without a page index built before: the page tokens are taken from the
+    pages, filtered by the wanted terms."""
     psg, idx = _index(spark, sf)
     hits, _ = search.search_passages(psg, _queries(spark, sf), K, index=idx)
     best = materialise(search.best_match(hits), "best")
-    return ctx.find_context(best, _pages(spark, sf), method="anchor", page_index=_page_index(spark, sf))
+    return ctx.find_context(best, _pages(spark, sf), method="anchor")
 
 
 @register("retrieve_and_prompt", o.with_views("found", "queries") + f"""

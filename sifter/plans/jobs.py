@@ -9,15 +9,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import (DEFAULT_CONTEXT_SKIP, DEFAULT_PROMPT_TEMPLATE, clean_corpus_profile, clean_slide,
-                              clean_tokens_line, is_not_blank, strip)
+                              clean_tokens_line, is_not_blank, strip, tokens)
 from ..operators.context import find_context, prepare_pages, prompts
 from ..operators.layout import assemble_pages, with_page_text
 from ..operators.search import (DEFAULT_K, TfidfIndex, best_match, dedupe_hits, dense_scores, search_passages,
                                 topk, validate_passages)
-from ..session import DEFAULT_BROADCAST_ROWS, materialise, materialise_bucketed
+from ..session import DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialise, materialise_bucketed
 from ..sources.fixtures import clean_passages, doc_lines
 
 
+# Most stopwords of a table that are filtered in the row.
+MAX_INLINE_STOPWORDS = 10_000
+
+
 def make_passages(documents: DataFrame) -> DataFrame:
     """``(doc_id, line_no, passage)``: cleaned, non-blank lines; keys of any type."""
     return clean_passages(doc_lines(documents)).select("doc_id", "line_no", "passage")
@@ -113,27 +117,26 @@ def slide_corpus(shapes: DataFrame, lang: str = "de") -> tuple[DataFrame, DataFr
 
 def clean_tokens_with_stopword_table(lines: DataFrame, stopwords: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"),
                                      line_col: str = "line", word_col: str = "word",
-                                     terminated: bool = True) -> DataFrame:
-    """T7-T10 with the stopword list as a table (J4), for lists too large to
-    inline: tokens are exploded with their position, removed by a left anti
-    join (the list is broadcast only when its size passes the check; else a
-    shuffle join), and re-collected per line in position order (a line's
-    tokens: a bounded group). Damaged tokens are exempt and masked.
-    ``(keys..., line)``, the same rows as ``clean_tokens_line`` with a list."""
-    from ..functions.text import REPLACEMENT_CHAR, UNKNOWN_TOKEN, tokens
-    from ..session import bounded_broadcast
-
-    text = F.concat(F.col(line_col), F.lit("\n")) if terminated else F.col(line_col)
-    toks = lines.select(*keys, F.posexplode(tokens(text)).alias("pos", "tok"))
-    damaged = F.contains(F.col("tok"), F.lit(REPLACEMENT_CHAR))
-    sw = bounded_broadcast(stopwords.select(F.col(word_col).alias("tok")).distinct())
-    kept = toks.filter(damaged).unionByName(toks.filter(~damaged).join(sw, "tok", "left_anti"))
-    masked = F.when(F.contains(F.col("tok"), F.lit(REPLACEMENT_CHAR)), F.lit(UNKNOWN_TOKEN)).otherwise(F.col("tok"))
-    joined = kept.groupBy(*keys).agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct(F.col("pos"), masked.alias("t")))), lambda x: x["t"]), " ").alias("line"))
-    # a line whose every token was a stopword keeps an empty line
-    return lines.select(*keys).join(joined, list(keys), "left").select(
-        *keys, F.coalesce(F.col("line"), F.lit("")).alias("line"))
+                                     terminated: bool | Column = True,
+                                     max_inline: int = MAX_INLINE_STOPWORDS) -> DataFrame:
+    """T7-T10 with the stopword list as a table (J4). Up to ``max_inline``
+    words are filtered in the row. Beyond, each line's distinct tokens meet the
+    table in a semi join, only the words found move on (one small set per line
+    that holds any), and the line drops them in the row. Damaged tokens are
+    exempt and masked. ``(keys..., line)``, the same rows as
+    ``clean_tokens_line`` with a list."""
+    words = stopwords.select(F.col(word_col).alias("tok")).filter(F.col("tok").isNotNull()).distinct()
+    head = [r["tok"] for r in words.limit(max_inline + 1).collect()]
+    if len(head) <= max_inline:
+        return lines.select(*keys, clean_tokens_line(F.col(line_col), head, terminated).alias("line"))
+    # the terminator adds an empty token, so the words are sought as the line is cut
+    end = F.when(terminated, F.lit("\n")).otherwise(F.lit("")) if isinstance(terminated, Column) else F.lit("\n" if terminated else "")
+    toks = F.array_distinct(tokens(F.concat(F.col(line_col), end)))
+    found = (lines.select(*keys, F.explode(toks).alias("tok")).join(bounded_broadcast(words), "tok", "left_semi")
+             .groupBy(*keys).agg(F.collect_set("tok").alias("_found")))
+    listed = F.coalesce(F.col("_found"), F.array().cast("array<string>"))
+    return lines.join(found, list(keys), "left").select(
+        *keys, clean_tokens_line(F.col(line_col), listed, terminated).alias("line"))
 
 
 def clean_corpus_job(lines: DataFrame, stopwords: list[str] | None = None, apply_profile: bool = True,

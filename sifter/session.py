@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Largest number of rows we agree to broadcast when the caller gives no bound.
 DEFAULT_BROADCAST_ROWS = 200_000
+# Most text in a frame that is broadcast.
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "sifter") -> SparkSession:
@@ -56,14 +58,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows and, written
+    out as text, ``max_bytes`` bytes.
 
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the frame is large; beyond the bound the frame is returned as is and the
+    The check runs ``df`` until it has ``max_rows + 1`` rows, so give it frames
+    that are cheap to run; beyond a bound the frame is returned as is and the
     planner picks a shuffle join (with AQE skew handling)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(
+        F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if size["n"] <= max_rows and size["b"] <= max_bytes else df
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:

@@ -122,3 +122,18 @@ def test_table_to_text_edge_cases(spark):
     assert got[0] == "|a b|None|\n|c||"
     nth = df.select("i", tf.nth_table(F.array("t"), 1).alias("out"))
     assert collect(nth) == [None] * len(tables)
+
+
+def test_stopword_table_in_row_and_by_join(spark):
+    from sifter.plans.jobs import clean_tokens_with_stopword_table
+
+    rows = [(1, 0, "the cat the", True), (1, 1, "the of", False), (1, 2, "", True), (1, 3, "no listed word", False),
+            (2, 0, "th\ufffde the  The", True), (2, 1, None, True)]
+    lines = spark.createDataFrame(rows, "doc_id long, line_no long, line string, ended boolean")
+    words = spark.createDataFrame([("the",), ("of",), ("the",), (None,)], "word string")
+    want = {(r.doc_id, r.line_no): r.line for r in lines.select(
+        "doc_id", "line_no", tx.clean_tokens_line("line", ["the", "of"], F.col("ended")).alias("line")).collect()}
+    for most in (0, 10):
+        got = clean_tokens_with_stopword_table(lines, words, terminated=F.col("ended"), max_inline=most).collect()
+        assert {(r.doc_id, r.line_no): r.line for r in got} == want and len(got) == len(rows)
+    assert want[(1, 0)] == "cat " and want[(2, 0)] == "<UNK>  The "
