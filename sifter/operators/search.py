@@ -141,11 +141,10 @@ def tfidf_index(passages: DataFrame, keys: Sequence[str] = ("doc_id", "line_no")
     keys = tuple(keys)
     validate_passages(passages, text_col)
     counts = term_frequencies(passages, keys, text_col)
-    if checkpoint:
-        # the text is tokenised once; the frequencies and the weights read the counts
-        counts = materialise_bucketed(counts, keys, name="term_counts", clustered=True)
-    # one row per passage and term: a partial aggregate on the term
-    doc_freq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # each passage's distinct terms, counted per term (partial aggregate); cutting
+    # the text again measured no slower than writing and reading the counts
+    doc_freq = (passages.select(F.explode(F.array_distinct(term_tokens(F.col(text_col)))).alias("term"))
+                .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     if checkpoint:
         doc_freq = materialise(doc_freq, "doc_freq")
     if n_docs is None:
