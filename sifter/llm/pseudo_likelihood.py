@@ -5,17 +5,25 @@ summed conditional log-probabilities score the document. The network sees two
 tokens to the left and two to the right: an embedding per place, summed,
 squashed, then a two-step softmax (the token's class, the token in its class).
 
-Tokens are blank-separated words, A-Z lower-cased. The vocabulary is the
-``WORDS`` most frequent words of the whole corpus; any other word is one of
-``BUCKETS`` hash buckets, the place beyond an end of the text its own token.
-The class of a token goes by its corpus frequency, and the output biases start
-from the corpus counts, bucket counts included.
+Tokens are blank-separated words, A-Z lower-cased. The most frequent words of
+the whole corpus have an id of their own; any other word goes by one of the hash
+buckets, the place beyond an end of the text by its own token. Ids grow with the
+number of distinct words, from ``LEAST`` to ``MOST``; a sixteenth of them are
+buckets. The class of a token goes by its corpus frequency, and the output biases
+start from the corpus counts, bucket counts included.
+
+A word that shares a bucket has P(bucket | context) times P(word | bucket). The
+second factor is its corpus count over the bucket's, smoothed by ``SMOOTH`` a
+word; the words that the corpus does not have share one word's smoothing. The
+counts stay on Spark: texts are dealt into pieces of about ``PIECE`` tokens, each
+with a list of its bucketed words; the lists are joined with the word counts by
+shuffle, and each piece's counts meet its texts again where these are scored.
 
 What is gathered follows the corpus: word counts of every document, and
 gradient steps on ``1 / TRAIN_EVERY`` of all positions of every document. Each
 partition trains its own copy; the copies, weighted by their positions, are
 averaged on Spark block by block (``ROUNDS`` times); only the averaged network
-(about half a megabyte) comes to the driver.
+(half a megabyte to two) comes to the driver.
 
 Defined results: null and word-less texts have no tokens, log-probability 0 and
 a null mean; repeated rows score alike; an empty corpus gives an untrained
@@ -35,8 +43,9 @@ from pyspark.sql import functions as F
 from sifter.llm._common import read_table
 from sifter.session import materialise
 
-WORDS = 960
-BUCKETS = 63
+#: Ids of a network, powers of two; one more for every DISTINCT distinct words.
+LEAST, MOST = 1024, 4096
+DISTINCT = 64
 CLASSES = 32
 EMBED = 24
 SIDE = 2
@@ -44,6 +53,10 @@ TRAIN_EVERY = 16
 ROUNDS = 2
 BATCH = 512
 RATE = 0.15
+#: Tokens of a piece, and words in a row of its list.
+PIECE, LISTED = 1 << 21, 8192
+#: Added to the count of every word of a bucket, and once for all unseen ones.
+SMOOTH = 0.5
 #: Floats per row when networks are averaged.
 BLOCK = 8192
 
@@ -52,7 +65,8 @@ class WindowNet:
     """The network over token ids 0 .. size - 1, dealt to classes by id: token
     ``t`` is number ``t % width`` of class ``t // width``. The last id pads."""
 
-    def __init__(self, size: int, classes: int = CLASSES, embed: int = EMBED, seed: int = 3):
+    def __init__(self, size: int, classes: int | None = None, embed: int = EMBED, seed: int = 3):
+        classes = classes or max(CLASSES, 1 << (size.bit_length() // 2))
         rng = np.random.default_rng(seed)
         self.size, self.classes, self.width = size, classes, -(-size // classes)
         self.emb = rng.normal(0, 0.1, (2 * SIDE, size, embed)).astype(np.float32)
@@ -182,42 +196,107 @@ def word_counts(docs: DataFrame, text_col: str = "text", flush: int = 200_000) -
     return docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _bucket(word: bytes, words: int, buckets: int) -> int:
-    import zlib
+class Vocabulary(dict):
+    """Ids of the most frequent words. ``words`` and ``buckets`` are the numbers
+    of ids, ``rare`` the logarithm of each bucket's smoothed count."""
 
-    return words + zlib.crc32(word) % buckets
+    words: int
+    buckets: int
+    rare: np.ndarray
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text", words: int = WORDS, buckets: int = BUCKETS) -> tuple[dict[bytes, int], np.ndarray]:
+def vocabulary(docs: DataFrame, text_col: str = "text", words: int | None = None, buckets: int | None = None,
+               counted: DataFrame | None = None) -> tuple[Vocabulary, np.ndarray]:
     """Ids of the most frequent words and the corpus counts of every id."""
-    counted = materialise(word_counts(docs, text_col), "words")
+    import zlib
+
+    counted = materialise(word_counts(docs, text_col), "words") if counted is None else counted
+    size = LEAST
+    if words is None:
+        distinct = counted.count()
+        while size < MOST and size * DISTINCT < distinct:
+            size *= 2
+    words, buckets = words or size - size // 16, buckets or size // 16 - 1
     top = counted.orderBy(F.col("n").desc(), "word").limit(words).collect()
-    vocab = {bytes(r.word): i for i, r in enumerate(top)}
-    counts = np.zeros(words + buckets + 1)
+    vocab = Vocabulary((bytes(r.word), i) for i, r in enumerate(top))
+    counts, kinds = np.zeros(words + buckets + 1), np.zeros(buckets)
     counts[:len(top)] = [r.n for r in top]
-    for r in (counted.groupBy((F.crc32("word") % buckets).cast("int").alias("b")).agg(F.sum("n").alias("n")).collect()):
-        counts[words + r.b] = r.n
+    for r in counted.groupBy((F.crc32("word") % buckets).cast("int").alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("d")).collect():
+        counts[words + r.b], kinds[r.b] = r.n, r.d
     for w, i in vocab.items():
-        counts[_bucket(w, words, buckets)] -= counts[i]
-    return vocab, np.maximum(counts, 0)
+        b = zlib.crc32(w) % buckets
+        counts[words + b] -= counts[i]
+        kinds[b] -= 1
+    counts = np.maximum(counts, 0)
+    vocab.words, vocab.buckets = words, buckets
+    vocab.rare = np.log(counts[words:words + buckets] + SMOOTH * (kinds + 1))
+    return vocab, counts
+
+
+def token_pieces(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col: str = "text", piece: int = PIECE) -> DataFrame:
+    """``(piece, id, ids binary, rare binary, first, words)``. A text's row has
+    its 16-bit token ids and, for those that are buckets, the 32-bit numbers of
+    the words in the piece's list. The other rows, without ids, are that list:
+    ``words`` from number ``first`` on. To be written before it is used."""
+    words, buckets = vocab.words, vocab.buckets
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zlib
 
-def token_ids(docs: DataFrame, vocab: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-              buckets: int = BUCKETS) -> DataFrame:
-    """``(id, ids binary)``: 16-bit token ids of every text."""
+        from pyspark import TaskContext
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        class Ids(dict):
+        class Numbers(dict):
             def __missing__(self, word: bytes) -> int:
-                return _bucket(word, words, buckets)
-
-        get = Ids(vocab).__getitem__
-        for b in batches:
-            out = [np.fromiter(map(get, w), np.uint16, len(w)).tobytes() for w in ((t.as_py() or b"").lower().split() for t in b.column(1).cast(pa.binary()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["id", "ids"])
+                got = self[word] = words + len(listed)
+                listed.append(word)
+                home.append(words + zlib.crc32(word) % buckets)
+                return got
+
+        names = ["piece", "id", "ids", "rare", "first", "words"]
+        context = TaskContext.get()
+        key, size, kind = (context.partitionId() if context else 0) << 24, 0, None
+        listed, home, numbers = [], [], Numbers(vocab)
+
+        def binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+            offsets = np.concatenate(([0], ends)) * data.itemsize
+            return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+
+        def words_listed() -> pa.RecordBatch:
+            firsts = range(0, len(listed), LISTED)
+            n = len(firsts)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([key] * n, pa.int64()), pa.nulls(n, kind), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.array(firsts, pa.int32()),
+                 pa.array([listed[i:i + LISTED] for i in firsts], pa.list_(pa.binary()))], names=names)
+
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            for i in range(0, batch.num_rows, 512):
+                b = batch.slice(i, 512)
+                split = [(t.as_py() or b"").lower().split() for t in b.column(1).cast(pa.binary())]
+                ends = np.cumsum([len(w) for w in split])
+                got = np.fromiter((n for w in split for n in map(numbers.__getitem__, w)), np.uint32, int(ends[-1]))
+                at = got >= words
+                rare = got[at] - np.uint32(words)
+                got[at] = np.array(home, np.uint32)[rare] if len(rare) else 0
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(b.num_rows, key)), b.column(0), binary(got.astype(np.uint16), ends),
+                     binary(rare, np.concatenate(([0], np.cumsum(at)))[ends]), pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.list_(pa.binary()))],
+                    names=names)
+                size += len(got)
+                if size >= piece:
+                    yield words_listed()
+                    key, size = key + 1, 0
+                    listed, home, numbers = [], [], Numbers(vocab)
+        if listed:
+            yield words_listed()
 
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
-    return slim.mapInArrow(run, f"id {slim.schema['id'].dataType.simpleString()}, ids binary")
+    return slim.mapInArrow(run, f"piece bigint, id {slim.schema['id'].dataType.simpleString()}, ids binary, rare binary, first int, words array<binary>")
+
+
+def token_ids(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, ids binary)``: 16-bit token ids of every text."""
+    return token_pieces(docs, vocab, id_col, text_col).where("ids is not null").select("id", "ids")
 
 
 def _windows(column: pa.Array, pad: int, most: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -289,38 +368,93 @@ def train(tokens: DataFrame, counts: np.ndarray, every: int = TRAIN_EVERY, round
     return net
 
 
+def _scores(own: WindowNet, texts: pa.Array, more=None) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and log-probability of each text; ``more(ids)`` is added by token."""
+    n, total = [np.zeros(0, np.int64)], [np.zeros(0)]
+    for ids, lengths, ctx in _windows(texts, own.size - 1):
+        lp = np.zeros(len(ids))
+        for i in range(0, len(ids), 1 << 15):
+            lp[i:i + (1 << 15)] = own.log_probs(ctx[:, i:i + (1 << 15)], ids[i:i + (1 << 15)])
+        if more:
+            lp += more(ids)
+        sums = np.concatenate(([0.0], np.cumsum(lp)))
+        ends = np.cumsum(lengths)
+        n.append(lengths)
+        total.append(sums[ends] - sums[ends - lengths])
+    return np.concatenate(n), np.concatenate(total)
+
+
+def _scored(ids: pa.Array, n: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+    mean = pa.array(total / np.maximum(n, 1), pa.float64(), mask=n == 0)
+    return pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(total, pa.float64()), mean], names=["id", "n_tokens", "log_prob", "mean_log_prob"])
+
+
 def score(tokens: DataFrame, net: WindowNet) -> DataFrame:
-    """``(id, n_tokens, log_prob, mean_log_prob)`` per row."""
+    """``(id, n_tokens, log_prob, mean_log_prob)`` per row, of token ids: a
+    bucketed word counts as its bucket."""
     size, flat = net.size, net.flat()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = WindowNet(size).load(flat)
         for b in batches:
-            n, total = [], []
-            for ids, lengths, ctx in _windows(b.column(1), size - 1):
-                lp = np.zeros(len(ids) + 1)
-                for i in range(0, len(ids), 1 << 15):
-                    lp[i:i + (1 << 15)][:len(ids) - i] = own.log_probs(ctx[:, i:i + (1 << 15)], ids[i:i + (1 << 15)])
-                sums = np.concatenate(([0.0], np.cumsum(lp[:-1])))
-                ends = np.cumsum(lengths)
-                n.append(lengths)
-                total.append(sums[ends] - sums[ends - lengths])
-            n = np.concatenate(n) if n else np.zeros(0, np.int64)
-            total = np.concatenate(total) if total else np.zeros(0)
-            mean = pa.array(total / np.maximum(n, 1), pa.float64(), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(total, pa.float64()), mean],
-                                             names=["id", "n_tokens", "log_prob", "mean_log_prob"])
+            yield _scored(b.column(0), *_scores(own, b.column(1)))
 
     kind = tokens.schema["id"].dataType.simpleString()
     return tokens.select("id", "ids").mapInArrow(run, f"id {kind}, n_tokens bigint, log_prob double, mean_log_prob double")
 
 
+def score_words(pieces: DataFrame, net: WindowNet, vocab: Vocabulary, counted: DataFrame) -> DataFrame:
+    """``(id, n_tokens, log_prob, mean_log_prob)`` per text of ``pieces``
+    (durable), of words: a bucketed word has its share of the bucket."""
+    size, flat, words, rare = net.size, net.flat(), vocab.words, vocab.rare
+    kind = pieces.schema["id"].dataType.simpleString()
+    listed = pieces.where("ids is null").select("piece", "first", F.posexplode("words").alias("k", "word"))
+    known = counted.select(F.col("word").alias("word_"), "n")
+    listed = listed.join(known, F.col("word") == F.col("word_"), "left").select(
+        "piece", F.lit(None).cast(kind).alias("id"), F.lit(None).cast("binary").alias("ids"), F.lit(None).cast("binary").alias("rare"),
+        (F.col("first") + F.col("k")).alias("at"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    texts = pieces.where("ids is not null").select("piece", "id", "ids", "rare", F.lit(None).cast("int").alias("at"), F.lit(None).cast("bigint").alias("n"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = WindowNet(size).load(flat)
+        piece, found, log_n = None, [], np.zeros(0)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, texts = batch.column(0).to_numpy(), batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((np.diff(keys) != 0) | np.diff(texts)) + 1
+            for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
+                if keys[a] != piece:
+                    piece, found, log_n = keys[a], [], np.zeros(0)
+                if not texts[a]:  # a piece's list comes before its texts, in order
+                    found.append(batch.column(5).slice(a, z - a).to_numpy())
+                    continue
+                if found:
+                    log_n, found = np.log(np.concatenate(found) + SMOOTH), []
+                for i in range(a, z, 1024):
+                    b = batch.slice(i, min(1024, z - i))
+                    number, used = np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint32), 0
+
+                    def share(ids: np.ndarray) -> np.ndarray:
+                        nonlocal used
+                        out, at = np.zeros(len(ids)), np.flatnonzero(ids >= words)
+                        out[at] = log_n[number[used:used + len(at)]] - rare[ids[at] - words]
+                        used += len(at)
+                        return out
+
+                    yield _scored(b.column(1), *_scores(own, b.column(2), share))
+
+    both = listed.unionByName(texts).repartition("piece").sortWithinPartitions("piece", F.col("at").asc_nulls_last())
+    return both.mapInArrow(run, f"id {kind}, n_tokens bigint, log_prob double, mean_log_prob double")
+
+
 def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_tokens, log_prob, mean_log_prob)`` per row of ``docs``, by a
     network trained on ``docs``."""
-    vocab, counts = vocabulary(docs, text_col)
-    tokens = materialise(token_ids(docs, vocab, id_col, text_col), "token-ids")
-    return score(tokens, train(tokens, counts))
+    counted = materialise(word_counts(docs, text_col), "words")
+    vocab, counts = vocabulary(docs, text_col, counted=counted)
+    pieces = materialise(token_pieces(docs, vocab, id_col, text_col), "token-ids")
+    return score_words(pieces, train(pieces.where("ids is not null"), counts), vocab, counted)
 
 
 def op8_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:

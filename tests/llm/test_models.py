@@ -1,5 +1,7 @@
 """Trained operators: held-out accuracy, gradients, brute force on small data."""
 
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -87,6 +89,41 @@ def test_pseudo_likelihood_beats_shuffled_words(spark):
     assert [r.n_tokens for r in rows] == [0, 0, 2] and rows[0].mean_log_prob is None and rows[2].log_prob < 0
 
 
+def test_pseudo_likelihood_of_bucketed_words(spark):
+    texts = [" ".join(f"w{(i * 7 + j * j) % 1500 if j % 3 else j % 5}" for j in range(60)) for i in range(100)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, None)], "doc_id long, text string").repartition(3)
+    counted = pseudo_likelihood.word_counts(docs)
+    vocab, counts = pseudo_likelihood.vocabulary(docs, words=48, buckets=7, counted=counted)
+    net = pseudo_likelihood.WindowNet(len(counts)).set_counts(counts)
+    odd = docs.union(spark.createDataFrame([(900, "w0 neverseen w1")], "doc_id long, text string"))
+    pieces = pseudo_likelihood.materialise(pseudo_likelihood.token_pieces(odd, vocab, piece=600), "t")
+    got = {r.id: r for r in pseudo_likelihood.score_words(pieces, net, vocab, counted).collect()}
+    by_id = {r.id: r.log_prob for r in pseudo_likelihood.score(pseudo_likelihood.token_ids(odd, vocab), net).collect()}
+    n = {bytes(r.word): r.n for r in counted.collect()}
+    bucket = lambda w: zlib.crc32(w) % 7
+    rare = [w for w in n if w not in vocab]
+
+    def share(w):
+        own = [n[v] for v in rare if bucket(v) == bucket(w)]
+        return (n.get(w, 0) + 0.5) / (sum(own) + 0.5 * (len(own) + 1))
+
+    assert pieces.select("piece").distinct().count() > 3 and len(got) == len(by_id) == 102
+    for i, t in [*enumerate(texts), (900, "w0 neverseen w1")]:
+        more = sum(np.log(share(w)) for w in t.encode().split() if w not in vocab)
+        assert np.isclose(got[i].log_prob, by_id[i] + more), i
+    assert got[None].n_tokens == 0 and got[None].mean_log_prob is None
+    once, top = min(rare, key=n.get), max(vocab, key=n.get)
+    docs = spark.createDataFrame([(0, "madeupword"), (1, once.decode()), (2, top.decode())], "doc_id long, text string")
+    pieces = pseudo_likelihood.materialise(pseudo_likelihood.token_pieces(docs, vocab), "t")
+    alone = {r.id: r.log_prob for r in pseudo_likelihood.score_words(pieces, net, vocab, counted).collect()}
+    assert alone[0] < alone[1] < alone[2]
+
+
+def test_pseudo_likelihood_ids_grow_with_distinct_words(spark):
+    sizes = [len(pseudo_likelihood.vocabulary(None, counted=spark.range(n).selectExpr("cast(string(id) as binary) word", "1L n"))[1]) for n in (10, 100_000, 1_000_000)]
+    assert sizes == [1024, 2048, 4096]
+
+
 def test_decontamination_equals_brute_force(spark):
     items = [r for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     words = [decontaminate.words_of(i.text) for i in items]
