@@ -20,9 +20,9 @@ with a list of its bucketed words; the lists are joined with the word counts by
 shuffle, and each piece's counts meet its texts again where these are scored.
 
 What is gathered follows the corpus: word counts of every document, and
-gradient steps on ``1 / TRAIN_EVERY`` of all positions of every document. Each
-partition trains its own copy; the copies, weighted by their positions, are
-averaged on Spark block by block (``ROUNDS`` times); only the averaged network
+gradient steps on every position of every document, each in one of the
+``ROUNDS``. Each partition trains its own copy; the copies, weighted by their positions, are
+averaged on Spark block by block after every round; only the averaged network
 (half a megabyte to two) comes to the driver.
 
 Defined results: null and word-less texts have no tokens, log-probability 0 and
@@ -49,9 +49,11 @@ DISTINCT = 64
 CLASSES = 32
 EMBED = 24
 SIDE = 2
-TRAIN_EVERY = 16
+#: Positions are dealt into TRAIN_EVERY classes, the classes to the rounds.
+TRAIN_EVERY = 2
 ROUNDS = 2
-BATCH = 512
+#: Positions of a step: the larger where a group of texts has enough for several.
+BATCH, LARGE_BATCH = 512, 4096
 RATE = 0.15
 #: Tokens of a piece, and words in a row of its list.
 PIECE, LISTED = 1 << 21, 8192
@@ -104,45 +106,41 @@ class WindowNet:
             z += self.emb[i].take(context[i], axis=0)
         return np.tanh(z, out=z)
 
+    def by_class(self, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """Order of targets by class, and ``(class, first, last + 1)`` of each in it."""
+        cls = (target // self.width).astype(np.uint16)
+        ends = np.cumsum(np.bincount(cls, minlength=self.classes)).tolist()
+        return np.argsort(cls, kind="stable"), [(c, a, z) for c, a, z in zip(range(self.classes), [0, *ends], ends) if z > a]
+
     def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log-probability of each target given its context (places, n)."""
-        h = self.hidden(context)
-        cls = target // self.width
-        rows = np.arange(len(target))
+        order, parts = self.by_class(target)
+        h, t = self.hidden(context[:, order]), target[order]
         a = h @ self.top + self.top_bias
-        out = a[rows, cls] - _log_sum(a)
-        order = np.argsort(cls, kind="stable")
-        ends = np.cumsum(np.bincount(cls, minlength=self.classes))
-        for c in range(self.classes):
-            at = order[ends[c - 1] if c else 0:ends[c]]
-            if len(at):
-                b = h[at] @ self.low[c] + self.low_bias[c]
-                out[at] += b[np.arange(len(at)), target[at] % self.width] - _log_sum(b)
+        got = a[np.arange(len(t)), t // self.width] - _log_sum(a)
+        for c, lo, hi in parts:
+            b = h[lo:hi] @ self.low[c] + self.low_bias[c]
+            got[lo:hi] += b[np.arange(hi - lo), t[lo:hi] % self.width] - _log_sum(b)
+        out = np.empty_like(got)
+        out[order] = got
         return out
 
     def step(self, context: np.ndarray, target: np.ndarray, memory: list[np.ndarray], rate: float) -> None:
         """One Adagrad step on a batch."""
         n = len(target)
+        order, parts = self.by_class(target)
+        context, target = context[:, order], target[order]
         h = self.hidden(context)
-        cls, rows = target // self.width, np.arange(n)
-        a = h @ self.top + self.top_bias
-        p = np.exp(a - a.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        p[rows, cls] -= 1
+        p = _softmax(h @ self.top + self.top_bias)
+        p[np.arange(n), target // self.width] -= 1
         dh = p @ self.top.T
         d_top, d_tb = h.T @ p, p.sum(0)
         d_low, d_lb = np.zeros_like(self.low), np.zeros_like(self.low_bias)
-        order = np.argsort(cls, kind="stable")
-        ends = np.cumsum(np.bincount(cls, minlength=self.classes))
-        for c in range(self.classes):
-            at = order[ends[c - 1] if c else 0:ends[c]]
-            if len(at):
-                q = h[at] @ self.low[c] + self.low_bias[c]
-                q = np.exp(q - q.max(1, keepdims=True))
-                q /= q.sum(1, keepdims=True)
-                q[np.arange(len(at)), target[at] % self.width] -= 1
-                d_low[c], d_lb[c] = h[at].T @ q, q.sum(0)
-                dh[at] += q @ self.low[c].T
+        for c, lo, hi in parts:
+            q = _softmax(h[lo:hi] @ self.low[c] + self.low_bias[c])
+            q[np.arange(hi - lo), target[lo:hi] % self.width] -= 1
+            d_low[c], d_lb[c] = h[lo:hi].T @ q, q.sum(0)
+            dh[lo:hi] += q @ self.low[c].T
         dz = (dh * (1 - h * h)).astype(np.float32)
         for name, g, m in (("bias", dz.sum(0), memory[1]), ("top", d_top, memory[2]), ("top_bias", d_tb, memory[3]),
                            ("low", d_low, memory[4]), ("low_bias", d_lb, memory[5])):
@@ -150,12 +148,22 @@ class WindowNet:
             m += g * g
             setattr(self, name, (getattr(self, name) - rate * g / np.sqrt(m + 1e-8)).astype(np.float32))
         for i in range(2 * SIDE):  # only the rows that the batch names
-            seen, at = np.unique(context[i], return_inverse=True)
-            g = np.zeros((len(seen), dz.shape[1]), np.float32)
-            np.add.at(g, at, dz)
-            g /= n
-            memory[0][i][seen] += g * g
-            self.emb[i][seen] -= rate * g / np.sqrt(memory[0][i][seen] + 1e-8)
+            at = context[i].astype(np.uint16)
+            by = np.argsort(at, kind="stable")
+            at = at[by]
+            first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+            seen = at[first]
+            g = np.add.reduceat(dz[by], first, axis=0) / np.float32(n)
+            m = memory[0][i][seen] + g * g
+            memory[0][i][seen] = m
+            self.emb[i][seen] -= rate * g / np.sqrt(m + 1e-8)
+
+
+def _softmax(a: np.ndarray) -> np.ndarray:
+    a -= a.max(1, keepdims=True)
+    np.exp(a, out=a)
+    a /= a.sum(1, keepdims=True)
+    return a
 
 
 def _log_sum(a: np.ndarray) -> np.ndarray:
@@ -319,6 +327,15 @@ def _windows(column: pa.Array, pad: int, most: int = 1 << 17) -> Iterator[tuple[
         yield made()
 
 
+def picked(ids: np.ndarray, turn: int, every: int = TRAIN_EVERY, rounds: int = ROUNDS) -> np.ndarray:
+    """Positions that round ``turn`` trains on, mixed: of the ``every`` classes
+    of positions those that are ``turn`` modulo ``rounds``, so that each
+    position comes in exactly one round."""
+    mix = (np.arange(len(ids), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + ids.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    pick = np.flatnonzero((mix >> np.uint64(40)) % np.uint64(every) % np.uint64(rounds) == np.uint64(turn))
+    return pick[np.argsort(mix[pick] >> np.uint64(20))]
+
+
 def train(tokens: DataFrame, counts: np.ndarray, every: int = TRAIN_EVERY, rounds: int = ROUNDS) -> WindowNet:
     """Averaged local training over all partitions of ``tokens`` (durable)."""
     size = len(counts)
@@ -332,12 +349,10 @@ def train(tokens: DataFrame, counts: np.ndarray, every: int = TRAIN_EVERY, round
             seen = 0
             for b in batches:
                 for ids, _, ctx in _windows(b.column(0), size - 1):
-                    # a fixed share of the positions of every text, others each round
-                    mix = (np.arange(len(ids), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + ids.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-                    pick = np.flatnonzero((mix >> np.uint64(40)) % np.uint64(every) == np.uint64((turn * 7 + 3) % every))
-                    pick = pick[np.argsort(mix[pick] >> np.uint64(20))]
-                    for i in range(0, len(pick), BATCH):
-                        at = pick[i:i + BATCH]
+                    pick = picked(ids, turn, every, rounds)
+                    batch = LARGE_BATCH if len(pick) >= 8 * LARGE_BATCH else BATCH
+                    for i in range(0, len(pick), batch):
+                        at = pick[i:i + batch]
                         own.step(ctx[:, at], ids[at], memory, RATE / (1 + turn))
                     seen += len(pick)
             if seen:

@@ -124,6 +124,18 @@ def test_pseudo_likelihood_ids_grow_with_distinct_words(spark):
     assert sizes == [1024, 2048, 4096]
 
 
+def test_pseudo_likelihood_trains_on_every_position_once(spark):
+    ids = np.random.default_rng(2).integers(0, 1024, 5000)
+    for every in (pseudo_likelihood.TRAIN_EVERY, 4, 1):
+        rounds = [pseudo_likelihood.picked(ids, turn, every) for turn in range(pseudo_likelihood.ROUNDS)]
+        assert sorted(np.concatenate(rounds).tolist()) == list(range(5000))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(300)
+    vocab, counts = pseudo_likelihood.vocabulary(docs)
+    tokens = pseudo_likelihood.materialise(pseudo_likelihood.token_ids(docs, vocab), "t")
+    mean = lambda n: pseudo_likelihood.score(tokens, n).agg(F.sum("log_prob") / F.sum("n_tokens")).first()[0]
+    assert mean(pseudo_likelihood.train(tokens, counts)) > mean(pseudo_likelihood.WindowNet(len(counts)).set_counts(counts)) + 0.1
+
+
 def test_decontamination_equals_brute_force(spark):
     items = [r for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     words = [decontaminate.words_of(i.text) for i in items]
