@@ -19,6 +19,10 @@ document is a candidate:
 ``RADIUS`` is set so that the fingerprints of texts of similarity 0.8 are beyond
 it with a probability below 1e-5 (9.7 bits differ on average, deviation 2.9).
 
+A document of fewer words than the item is one window, the whole of it. If its
+shingles can reach the similarity and enough of them occur in any item, it is
+compared exactly with every item of that length, without fingerprints.
+
 Items of fewer than five words have one shingle, the whole item. The items are
 a query set: they are read in blocks of at most ``block_bytes`` of text, and
 each block is matched against all documents in one pass without a shuffle of
@@ -149,7 +153,9 @@ class ItemIndex:
         hashed: dict[int, tuple] = {}
         for length, own in self.by_length.items():
             n, k = own["n"], own["k"]
-            if length > len(words):
+            short = length > len(words)
+            size = min(n, len(words) - k + 1)  # shingles of a window
+            if size < max(1, self.sim * n - 1e-9):
                 continue
             if k not in hashed:
                 s = shingle_hashes(hashes, k)
@@ -157,9 +163,16 @@ class ItemIndex:
                 total = int(hit.sum())
                 hashed[k] = (s, np.concatenate(([0], np.cumsum(hit))) if total else None, total, [])
             s, hits, total, sums = hashed[k]
-            least = int(np.ceil(self.need * n - 1e-9))
+            least = int(np.ceil(self.need * (size + n) / 2 - 1e-9))
             if total < least:
                 continue
+            if short:
+                mine = word_shingles(words, self.shingle)
+                for item, theirs in zip(own["ids"], own["shingles"]):
+                    got = similarity(mine, theirs, n)
+                    if got >= self.sim:
+                        out.append((item, 0, len(words), got))
+                continue
             starts = np.flatnonzero(hits[n:] - hits[:-n] >= least)
             if len(starts) == 0:
                 continue

@@ -157,3 +157,22 @@ def test_decontamination_equals_brute_force(spark):
     kept = decontaminate.decontaminate(docs, bench).collect()
     assert {r.doc_id for r in kept} == set(range(len(texts))) - {d for d, _ in want}
     assert decontaminate.decontaminate(docs, bench.limit(0)).count() == len(texts)
+
+
+def test_decontamination_of_documents_shorter_than_the_item(spark):
+    items = [(i, " ".join(f"i{i}w{j}" for j in range(n))) for i, n in enumerate((40, 41, 12, 9, 6, 5, 4, 2))] + [(50, "only " * 30)]
+    texts = [" ".join(w[:len(w) - cut]) for _, t in items for w in [t.split()] for cut in range(12) if cut < len(w)]
+    texts += [" ".join(w[:len(w) // 2] + w[len(w) // 2 + 1:]) for w in (t.split() for _, t in items)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string"), block_bytes=300).collect()}
+    want = {}
+    for d, t in enumerate(texts):
+        own = decontaminate.words_of(t)
+        for i, text in items:
+            w = decontaminate.words_of(text)
+            b = decontaminate.Counter(decontaminate.word_shingles(w))
+            sims = [decontaminate.similarity(decontaminate.word_shingles(own[s:s + len(w)]), b, sum(b.values())) for s in range(max(1, len(own) - len(w) + 1))]
+            if max(sims) >= 0.8:
+                want[d, i] = max(sims)
+    assert {k: r.similarity for k, r in got.items()} == want
+    assert got[1, 0].n_words == 39 and got[1, 0].first_word == 0 and sum(len(decontaminate.words_of(texts[d])) < len(items[i][1].split()) for d, i in want if i < 50) > 10
