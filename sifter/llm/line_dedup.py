@@ -4,7 +4,8 @@ A text is split on ``\\n`` and every line hashed. A rolling hash over each
 neighbouring pair of line hashes decides whether a chunk ends between them, so
 boundaries depend on content alone and move with it: a passage that other
 documents share is cut alike inside, wherever it stands. Four chunkings on other
-bits of the hash keep short passages from being missed. A chunk is named by its
+bits of the hash keep short passages from being missed. A line that has
+``min_words`` words alone is a chunk of its own, wherever the cuts fall. A chunk is named by its
 sequence of line hashes. Chunks that occur again anywhere in the corpus are
 candidates; the first occurrence (smallest id, text hash and place) stays.
 
@@ -116,9 +117,10 @@ def _colliding(docs: DataFrame, text_col: str, bitmap: bytes) -> DataFrame:
     return lines.groupBy("h", "line").count().groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
 
 
-def _units(table: DataFrame, cut: int, of: int, bitmap: bytes) -> DataFrame:
-    """Chunks and neighbouring pairs of every document:
-    ``(key array<bigint>, kind, id, th, at, n)``; kind 0 is a chunk, 1 a pair.
+def _units(table: DataFrame, cut: int, of: int, bitmap: bytes, min_words: int = MIN_WORDS) -> DataFrame:
+    """Chunks, long lines and neighbouring pairs of every document:
+    ``(key array<bigint>, kind, id, th, at, n)``; kind 0 is a chunk or a line of
+    ``min_words`` words, each once, 1 a pair.
     A unit with a line that occurs once in the corpus can't repeat: the bitmap
     of repeated lines drops it here."""
 
@@ -133,9 +135,12 @@ def _units(table: DataFrame, cut: int, of: int, bitmap: bytes) -> DataFrame:
             own, at, n, kind, keys, off = [], [], [], [], [], [0]
             lines = b.column(2)
             o, v = lines.offsets.to_numpy(), lines.values.to_numpy()
+            ow, long = b.column(3).offsets.to_numpy(), b.column(3).values.to_numpy() >= min_words
             for r in range(b.num_rows):
                 h = v[o[r]:o[r + 1]]
                 s, size = chunks_of(h.view(np.uint64), cut, of)
+                alone = np.setdiff1d(np.flatnonzero(long[ow[r]:ow[r + 1]]), s[size == 1])
+                s, size = np.concatenate((s, alone)), np.concatenate((size, np.ones(len(alone), size.dtype)))
                 pairs = len(h) - 1
                 own.append(np.full(len(s) + max(pairs, 0), r))
                 at.append(np.concatenate((s, np.arange(max(pairs, 0)))))
@@ -155,7 +160,7 @@ def _units(table: DataFrame, cut: int, of: int, bitmap: bytes) -> DataFrame:
                 names=["key", "kind", "id", "th", "at", "n"]))
 
     kind = table.schema["id"].dataType.simpleString()
-    return table.select("id", "th", "lines").mapInArrow(run, f"key array<bigint>, kind int, id {kind}, th bigint, at int, n int")
+    return table.select("id", "th", "lines", "words").mapInArrow(run, f"key array<bigint>, kind int, id {kind}, th bigint, at int, n int")
 
 
 def runs_to_remove(n_lines: int, words: np.ndarray, chunks: list[tuple[int, int]], pairs: set[int], min_words: int) -> list[tuple[int, int]]:
@@ -182,7 +187,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bitmap = hash_bitmap(counts, "h")
     bad = materialise(_colliding(docs, text_col, bitmap), "colliding")
 
-    units = materialise(_units(table, cut, of, bitmap), "units")
+    units = materialise(_units(table, cut, of, bitmap, min_words), "units")
     if bad.limit(1).count():
         hurt = units.withColumn("h", F.explode("key")).join(bad, "h", "left_semi").select("key").distinct()
         units = units.join(hurt, "key", "left_anti")

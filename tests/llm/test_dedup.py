@@ -111,6 +111,17 @@ def test_line_dedup_removes_passages_and_keeps_the_first(spark):
     assert got[1] == got[2] == ""  # a copy of document 4, repeated rows alike
 
 
+def test_line_dedup_removes_every_copy_of_a_long_line(spark):
+    r = random.Random(21)
+    shared = prose(60, r)
+    twice = [prose(55, r) for _ in range(150)]
+    rows = [(i, "\n".join([prose(9, r), shared, prose(8, r), twice[i // 2], prose(7, r)])) for i in range(300)]
+    got = {x.doc_id: x.text.split("\n") for x in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        want = [x for k, x in enumerate(t.split("\n")) if not (k == 1 and i > 0) and not (k == 3 and i % 2)]
+        assert got[i] == want, i
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash_dedup.simhash_components(docs).count() == 0
