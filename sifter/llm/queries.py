@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from sifter.llm import (chat_format, decontaminate, language_id, line_dedup, line_quality, pseudo_likelihood,
-                        quality_classifier, sentencepiece_codec, simhash_dedup, token_store)
+                        quality_classifier, sentencepiece_codec, simhash_dedup, token_counts, token_store)
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -21,6 +21,7 @@ QUERIES = {
     "op8_pseudo_likelihood": pseudo_likelihood.op8_pseudo_likelihood,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op11_token_counts": token_counts.op11_token_counts,
     "pipeline": corpus_pipeline.run,
 }
 
