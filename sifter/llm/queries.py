@@ -7,7 +7,7 @@ held-out accuracy."""
 from __future__ import annotations
 
 import corpus_pipeline
-from sifter.llm import (centroid_clustering, chat_format, decontaminate, language_id, line_dedup, line_quality, pseudo_likelihood,
+from sifter.llm import (centroid_clustering, chat_format, conversation_repair, decontaminate, language_id, line_dedup, line_quality, pseudo_likelihood,
                         quality_classifier, sentencepiece_codec, simhash_dedup, token_counts, token_store)
 
 QUERIES = {
@@ -22,6 +22,7 @@ QUERIES = {
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "op11_token_counts": token_counts.op11_token_counts,
+    "op12_conversation_repair": conversation_repair.op12_conversation_repair,
     "op13_centroid_clustering": centroid_clustering.op13_centroid_clustering,
     "pipeline": corpus_pipeline.run,
 }
@@ -29,6 +30,7 @@ QUERIES = {
 ORACLES = {
     "op4_line_quality": line_quality.ORACLE,
     "op7_chat_format": chat_format.ORACLE,
+    "op12_conversation_repair": conversation_repair.ORACLE,
     "op13_centroid_clustering": centroid_clustering.ORACLE,
 }
 if corpus_pipeline.ORACLE_SQL:
