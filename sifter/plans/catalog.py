@@ -18,9 +18,11 @@ from ..operators import context as ctx
 from ..operators import hooks, layout, search
 from ..plans import jobs
 from ..session import ensure_checkpoint_dir, materialise, materialise_bucketed
+from ..sinks.documents import document_key, write_document_files, write_files
 from ..sinks.writers import write_corpus, write_page_dict, write_per_document, write_result_csv
 from ..sources import fixtures as fx
-from ..sources.files import read_lines, read_page_dict, read_passages
+from ..sources.decks import read_decks
+from ..sources.files import read_lines, read_page_dict, read_passages, scan_documents
 from . import oracle as o
 
 SEP = " || "  # separator when an array is compared as one string
@@ -604,6 +606,39 @@ def q_per_document_files(spark, sf):
     return p.select(F.regexp_extract("file", r"conv_id=(\d+)/", 1).cast("bigint").alias("conv_id"), "passage_no", "passage")
 
 
+@register("document_files", f"""
+SELECT 'conv_' || CAST(conv_id AS VARCHAR) || '/a.pptx' AS file, string_agg({o.slide('text', 'en')} || chr(10), '' ORDER BY turn) AS text
+FROM conversations GROUP BY conv_id""")
+def q_document_files(spark, sf):
+    """K1: one text file per conversation, named by its key, read back whole."""
+    path = _written(spark, "document-files")
+    key = F.concat(F.lit("conv_"), F.col("conv_id"), F.lit("/a.pptx"))
+    write_document_files(_t(spark, sf, "conversations").select(key.alias("file"), "turn", tx.clean_slide("text", "en").alias("text")),
+                         path, "file", ["turn"])
+    return scan_documents(spark, path, "*.txt").select(
+        document_key(F.substring_index("path", "/", -1)).alias("file"), F.decode("content", "UTF-8").alias("text"))
+
+
+@register("deck_files", f"""
+WITH turns AS (
+  SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS slide_no, role, text
+  FROM conversations WHERE conv_id % {fx.PLAIN_DECKS} <> 0)
+SELECT conv_id, slide_no, CAST(0 AS BIGINT) AS shape_ix, role AS text, FALSE AS damaged FROM turns WHERE conv_id % {fx.CUT_DECKS} <> 3
+UNION ALL
+SELECT conv_id, slide_no, CAST(1 AS BIGINT) AS shape_ix, text, FALSE AS damaged FROM turns WHERE conv_id % {fx.CUT_DECKS} <> 3
+UNION ALL
+SELECT DISTINCT conv_id, NULL, NULL, NULL, TRUE FROM turns WHERE conv_id % {fx.CUT_DECKS} = 3""")
+def q_deck_files(spark, sf):
+    """Decks written as files, found by name and read back; those
+    without a special character in their name are not taken, those cut off give
+    an error row."""
+    path = _written(spark, "decks")
+    write_files(fx.decks(_t(spark, sf, "conversations")), f"{path}/lectures")
+    rows = read_decks(spark, path, require_special=True)
+    return rows.select(F.regexp_extract("file", r"conv_(\d+)[.]pptx$", 1).cast("bigint").alias("conv_id"), "slide_no", "shape_ix", "text",
+                       F.col("error").isNotNull().alias("damaged"))
+
+
 @register("cleaned_files", o.with_views("damaged_lines") + f"""
 SELECT line, CAST(count(*) AS BIGINT) AS n_lines
 FROM (SELECT {o.t3(o.clean_tokens_line('line'))} AS line FROM damaged_lines) GROUP BY line""")

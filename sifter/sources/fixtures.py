@@ -7,6 +7,11 @@ lines, passages or pages at any scale."""
 
 from __future__ import annotations
 
+import io
+import zipfile
+from xml.sax.saxutils import escape
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,6 +114,51 @@ def elements(documents: DataFrame) -> DataFrame:
     )
 
 
+def deck_bytes(slides: list[list[str]]) -> bytes:
+    """A slide deck (zip of XML parts) with the given text shapes on each slide;
+    newlines part paragraphs."""
+    names = {"p": "presentationml", "a": "drawingml"}
+    head = " ".join(f'xmlns:{k}="http://schemas.openxmlformats.org/{v}/2006/main"' for k, v in names.items())
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+
+    def shape(text: str) -> str:
+        paragraphs = "".join(f"<a:p><a:r><a:t>{escape(p, {chr(13): '&#13;'})}</a:t></a:r></a:p>" for p in text.split("\n"))
+        return f"<p:sp><p:txBody>{paragraphs}</p:txBody></p:sp>"
+
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        ids = "".join(f'<p:sldId id="{256 + i}" r:id="rId{i}"/>' for i in range(len(slides)))
+        z.writestr("ppt/presentation.xml", f'<p:presentation {head} xmlns:r="{rel}"><p:sldIdLst>{ids}</p:sldIdLst></p:presentation>')
+        z.writestr("ppt/_rels/presentation.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(
+            f'<Relationship Id="rId{i}" Target="slides/slide{i + 1}.xml"/>' for i in range(len(slides))) + "</Relationships>")
+        for i, shapes in enumerate(slides):
+            z.writestr(f"ppt/slides/slide{i + 1}.xml", f"<p:sld {head}><p:cSld><p:spTree>{''.join(map(shape, shapes))}</p:spTree></p:cSld></p:sld>")
+    return out.getvalue()
+
+
+#: Every so-manyth conversation's deck has a plain name, or is cut off half way.
+PLAIN_DECKS, CUT_DECKS = 5, 7
+
+
+def decks(conversations: DataFrame) -> DataFrame:
+    """``(name, content)``: a deck for each conversation, a slide for each turn
+    with the shapes role and text. Some names hold no special character; some
+    decks are cut off."""
+    turns = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda t: F.array(t["role"], t["text"]))
+    rows = conversations.groupBy("conv_id").agg(turns.alias("slides"))
+
+    def run(batches):
+        for b in batches:
+            ids, slides = b.column("conv_id").to_pylist(), b.column("slides").to_pylist()
+            contents = [deck_bytes(s) for s in slides]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f"conv{i}.pptx" if i % PLAIN_DECKS == 0 else f"conv_{i}.pptx" for i in ids]),
+                 pa.array([c[:len(c) // 2] if i % CUT_DECKS == 3 else c for i, c in zip(ids, contents)], pa.binary())],
+                names=["name", "content"])
+
+    return rows.mapInArrow(run, "name string, content binary")
+
+
 def damaged_lines(documents: DataFrame) -> DataFrame:
     """``doc_lines`` with every ``é`` replaced by U+FFFD."""
     return doc_lines(documents).withColumn("line", F.replace(F.col("line"), F.lit("é"), F.lit(REPLACEMENT_CHAR)))

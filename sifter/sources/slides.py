@@ -16,6 +16,7 @@ from __future__ import annotations
 import io
 import posixpath
 import zipfile
+from typing import BinaryIO
 from xml.etree import ElementTree as ET
 
 import pandas as pd
@@ -64,10 +65,11 @@ def slide_paths(z: zipfile.ZipFile) -> list[str]:
     return out
 
 
-def deck_shapes(content: bytes) -> list[tuple[int, int, str]]:
-    """``(slide_no, shape_ix, text)`` of one deck's text shapes."""
+def deck_shapes(content: bytes | BinaryIO) -> list[tuple[int, int, str]]:
+    """``(slide_no, shape_ix, text)`` of one deck's text shapes; from its bytes
+    or from a seekable stream, of which only the parts needed are read."""
     rows = []
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
+    with zipfile.ZipFile(io.BytesIO(content) if isinstance(content, bytes) else content) as z:
         for slide_no, part in enumerate(slide_paths(z)):
             root = ET.fromstring(z.read(part))
             tree = root.find("p:cSld/p:spTree", NS)
