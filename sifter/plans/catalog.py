@@ -23,6 +23,7 @@ from ..sinks.writers import write_corpus, write_page_dict, write_per_document, w
 from ..sources import fixtures as fx
 from ..sources.decks import read_decks
 from ..sources.files import read_lines, read_page_dict, read_passages, scan_documents
+from ..sources.page_dict import read_page_dict_object, write_page_dict_object
 from . import oracle as o
 
 SEP = " || "  # separator when an array is compared as one string
@@ -583,6 +584,21 @@ def q_page_dict_files(spark, sf):
     return read_page_dict(spark, path).select("file", "page_no", "text")
 
 
+@register("page_dict_object", o.with_views("page_records") + f"""
+SELECT CAST(doc_id AS VARCHAR) AS file, page_no, array_to_string(page_text, '{SEP}') AS page_text,
+       CAST(len(line_format) AS BIGINT) AS n_formats, array_to_string(text_from_images, '{SEP}') AS text_from_images,
+       array_to_string(text_from_tables, '{SEP}') AS text_from_tables, array_to_string(page_content, '') AS text FROM page_records""")
+def q_page_dict_object(spark, sf):
+    """The corpus written as one JSON object in one file and read
+    back by as many tasks as it has splits."""
+    path = _written(spark, "page-object")
+    write_page_dict_object(_records(spark, sf), path)
+    d = read_page_dict_object(spark, f"{path}/pages.json")
+    return d.select("file", "page_no", _joined(F.col("page_text")).alias("page_text"), _big(F.size("line_format")).alias("n_formats"),
+                    _joined(F.col("text_from_images")).alias("text_from_images"),
+                    _joined(F.col("text_from_tables")).alias("text_from_tables"), "text")
+
+
 @register("corpus_files", f"""
 SELECT line, CAST(count(*) AS BIGINT) AS n_lines
 FROM (SELECT {_TURN_LINE_SQL} AS line FROM conversations) WHERE {o.not_blank('line')} GROUP BY line""")
