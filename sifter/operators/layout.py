@@ -70,13 +70,54 @@ def _table_0(page_keys: Sequence[str]) -> Column:
     return F.min_by("table", F.when(has_table, F.col("ord"))).over(_page_window(page_keys))
 
 
+def mark_tables(el: DataFrame, page_keys: Sequence[str] = ("doc_id", "page_no")) -> DataFrame:
+    """L4 for pages with several tables (needs ``ord``; other kinds than text,
+    figure and rectangle are passed over).
+
+    The rectangles of a page, in reading order, fall into regions: a rectangle
+    goes on with the region before it if no other element stands between them, or
+    if it lies in the extent of an earlier rectangle (its top edge is above the
+    lowest lower edge so far; ``table_y0`` is the lower edge of the table detected
+    at a rectangle, null if it has none). The n-th region takes the page's n-th
+    table, shown at its first rectangle; a region beyond the number of tables
+    shows nothing. Text whose top edge lies in the extent of a region that has a
+    table is part of the table and dropped; all other text, and every figure,
+    stays.
+
+    Adds ``region`` (of a rectangle, from 0), ``n_tables``, ``keep`` and
+    ``emits_table``. All windows share one partitioning and one order."""
+    handled, rect = F.col("kind").isin(*KINDS), F.col("kind") == RECT
+    if "table_y0" not in el.columns:
+        el = el.withColumn("table_y0", F.lit(None).cast("double"))
+    page = _page_window(page_keys)
+    order = page.orderBy("ord")
+    above = order.rowsBetween(Window.unboundedPreceding, -1)
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lowest = F.min(F.when(rect, F.col("table_y0"))).over(above)
+    last_kind = F.last(F.when(handled, F.col("kind")), ignorenulls=True).over(above)
+    inside = F.coalesce(F.col("y1") > lowest, F.lit(False))
+    starts = rect & ~inside & F.coalesce(last_kind != RECT, F.lit(True))
+    el = el.withColumn("_starts", starts)
+    el = el.withColumn("region", F.when(rect, F.sum(F.col("_starts").cast("int")).over(upto) - 1))
+    el = el.withColumn("n_tables", F.count(F.when(rect, F.col("table"))).over(page).cast("int"))
+    shown = F.col("region") < F.col("n_tables")
+    covered = F.coalesce(F.col("y1") > F.min(F.when(rect & shown, F.col("table_y0"))).over(above), F.lit(False))
+    emits = F.col("_starts") & shown
+    keep = F.when(F.col("kind") == FIGURE, True).when(F.col("kind") == TEXT, ~covered).otherwise(emits)
+    return el.withColumn("emits_table", F.coalesce(emits, F.lit(False))).withColumn(
+        "keep", F.coalesce(keep, F.lit(False))).drop("_starts")
+
+
 def entries(el: DataFrame, page_keys: Sequence[str] = ("doc_id", "page_no")) -> DataFrame:
     """One entry per element with ``keep`` and the parts it contributes (L5, L6):
     ``part_text`` (page_text), ``fmt_kind``/``fonts``/``sizes`` (line_format)
     and ``content`` (page_content)."""
-    fonts, sizes = text_formats(F.col("chars"))
     el = el.withColumn("_table_0", _table_0(page_keys))
-    table0 = table_to_text(F.col("_table_0"))
+    return _entries(el, page_keys, table_to_text(F.col("_table_0")))
+
+
+def _entries(el: DataFrame, page_keys: Sequence[str], table_text: Column, *more: str) -> DataFrame:
+    fonts, sizes = text_formats(F.col("chars"))
     kind = F.col("kind")
     return el.select(
         *page_keys, "ord", "kind", "keep",
@@ -86,24 +127,34 @@ def entries(el: DataFrame, page_keys: Sequence[str] = ("doc_id", "page_no")) ->
         .otherwise(F.lit(TABLE_PLACEHOLDER)).alias("fmt_kind"),
         F.when(kind == TEXT, fonts).otherwise(F.array().cast("array<string>")).alias("fonts"),
         F.when(kind == TEXT, sizes).otherwise(F.array().cast("array<double>")).alias("sizes"),
-        F.when(kind == RECT, table0).otherwise(F.col("text")).alias("content"),
+        F.when(kind == RECT, table_text).otherwise(F.col("text")).alias("content"), *more,
     )
 
 
-def assemble_pages(el: DataFrame, page_keys: Sequence[str] = ("doc_id", "page_no")) -> DataFrame:
+def assemble_pages(el: DataFrame, page_keys: Sequence[str] = ("doc_id", "page_no"), multi_table: bool = False) -> DataFrame:
     """One record per page with the five ordered arrays
     ``page_text, line_format, text_from_images, text_from_tables,
     page_content``. Every page that has any element, of whatever kind, gets a
-    record (possibly with empty arrays)."""
+    record (possibly with empty arrays). With ``multi_table`` a page shows all
+    its tables and the text between them (see ``mark_tables``)."""
     page_keys = list(page_keys)
     # an element of another kind is never kept, but its page has a record
-    marked = mark_table_suppression(order_elements(el, page_keys), page_keys)
-    ent = entries(marked, page_keys)
+    ordered = order_elements(el, page_keys)
     # collect only the kept entries (collect_list skips nulls), so a page whose
     # elements were all dropped still gets a record with empty arrays; the
     # aggregate reuses the window's partitioning on the page key
-    packed = F.struct("ord", "kind", "part_text", "fmt_kind", "fonts", "sizes", "content")
-    pages = ent.groupBy(*page_keys).agg(F.array_sort(F.collect_list(F.when(F.col("keep"), packed))).alias("_e"))
+    columns = ["ord", "kind", "part_text", "fmt_kind", "fonts", "sizes", "content"]
+    if multi_table:
+        # a region's table is looked up among the page's tables once the page is whole
+        ent = _entries(mark_tables(ordered, page_keys), page_keys, F.lit(None).cast("string"), "region", "table")
+        tables = F.array_sort(F.collect_list(F.when((F.col("kind") == RECT) & F.col("table").isNotNull(), F.struct("ord", "table"))))
+        pages = ent.groupBy(*page_keys).agg(F.array_sort(F.collect_list(F.when(F.col("keep"), F.struct(*columns, "region")))).alias("_e"),
+                                            tables.alias("_t"))
+        pages = pages.withColumn("_e", F.transform("_e", lambda x: F.when(x["kind"] == RECT, x.withField(
+            "content", table_to_text(F.get(F.col("_t"), x["region"])["table"]))).otherwise(x)))
+    else:
+        ent = entries(mark_table_suppression(ordered, page_keys), page_keys)
+        pages = ent.groupBy(*page_keys).agg(F.array_sort(F.collect_list(F.when(F.col("keep"), F.struct(*columns)))).alias("_e"))
     return pages.select(
         *page_keys,
         F.transform("_e", lambda x: x["part_text"]).alias("page_text"),

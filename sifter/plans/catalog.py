@@ -301,6 +301,25 @@ def q_assemble_pages(spark, sf):
     return _records_as_strings(_records(spark, sf))
 
 
+@register("layout_multi_table", o.with_views("regions") + """
+SELECT doc_id, page_no, elem_ix, kind, CAST(region AS BIGINT) AS region, CAST(n_tables AS BIGINT) AS n_tables, keep FROM regions""")
+def q_layout_multi_table(spark, sf):
+    el = layout.mark_tables(layout.order_elements(fx.table_extents(fx.elements(_docs(spark, sf)))))
+    return layout.classify(el).select("doc_id", "page_no", _big(F.col("elem_ix")).alias("elem_ix"), "kind", _big(F.col("region")).alias("region"),
+                                      _big(F.col("n_tables")).alias("n_tables"), "keep")
+
+
+@register("assemble_pages_multi", o.with_views("multi_records") + f"""
+SELECT doc_id, page_no, array_to_string(page_text, '{SEP}') AS page_text, array_to_string(kinds, ',') AS kinds,
+       array_to_string(text_from_tables, '{SEP}') AS text_from_tables, array_to_string(page_content, '{SEP}') AS page_content
+FROM multi_records""")
+def q_assemble_pages_multi(spark, sf):
+    r = layout.assemble_pages(fx.table_extents(fx.elements(_docs(spark, sf))), multi_table=True)
+    return r.select("doc_id", "page_no", _joined(F.col("page_text")).alias("page_text"),
+                    F.array_join(F.transform("line_format", lambda x: x["kind"]), ",").alias("kinds"),
+                    _joined(F.col("text_from_tables")).alias("text_from_tables"), _joined(F.col("page_content")).alias("page_content"))
+
+
 @register("page_text", o.with_views("page_records") + """
 SELECT doc_id, page_no, array_to_string(page_content, '') AS text FROM page_records""")
 def q_page_text(spark, sf):

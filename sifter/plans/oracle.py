@@ -146,6 +146,32 @@ marked AS (
          coalesce(list(content ORDER BY ord) FILTER (WHERE keep AND kind = 'rect'), []) AS text_from_tables,
          coalesce(list(content ORDER BY ord) FILTER (WHERE keep), []) AS page_content
   FROM entries GROUP BY doc_id, page_no)""",
+    # several tables a page: regions of rectangles by their extents
+    "regions": """handled AS (
+  SELECT *, lag(kind) OVER w AS last_kind, min(table_y0) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lowest FROM (
+    SELECT *, CASE WHEN kind = 'rect' AND (doc_id + elem_ix) % 3 > 0 THEN y1 - 10 * ((doc_id + elem_ix) % 3) + 5 END AS table_y0
+    FROM ordered WHERE kind IN ('text', 'figure', 'rect'))
+  WINDOW w AS (PARTITION BY doc_id, page_no ORDER BY ord)),
+numbered AS (
+  SELECT *, CASE WHEN kind = 'rect' THEN sum(starts) OVER (PARTITION BY doc_id, page_no ORDER BY ord) - 1 END AS region,
+         count(tbl) OVER (PARTITION BY doc_id, page_no) AS n_tables
+  FROM (SELECT *, CASE WHEN kind = 'rect' AND (lowest IS NULL OR y1 <= lowest) AND (last_kind IS NULL OR last_kind <> 'rect')
+                       THEN 1 ELSE 0 END AS starts FROM handled)),
+regions AS (
+  SELECT n.*, CASE WHEN kind = 'figure' THEN TRUE WHEN kind = 'rect' THEN starts = 1 AND region < n_tables
+                   ELSE NOT EXISTS (SELECT 1 FROM numbered r WHERE r.doc_id = n.doc_id AND r.page_no = n.page_no AND r.kind = 'rect'
+                                    AND r.ord < n.ord AND r.region < r.n_tables AND r.table_y0 < n.y1) END AS keep
+  FROM numbered n)""",
+    "multi_records": """multi_records AS (
+  SELECT e.doc_id, e.page_no,
+         coalesce(list(e.part_text ORDER BY e.ord) FILTER (WHERE r.keep), []) AS page_text,
+         coalesce(list(e.fmt_kind ORDER BY e.ord) FILTER (WHERE r.keep), []) AS kinds,
+         coalesce(list(TABLE_TEXT(pt.tables[CAST(r.region + 1 AS BIGINT)]) ORDER BY e.ord) FILTER (WHERE r.keep AND r.kind = 'rect'), []) AS text_from_tables,
+         coalesce(list(CASE WHEN r.kind = 'rect' THEN TABLE_TEXT(pt.tables[CAST(r.region + 1 AS BIGINT)]) ELSE e.content END ORDER BY e.ord)
+                  FILTER (WHERE r.keep), []) AS page_content
+  FROM entries e LEFT JOIN regions r ON r.doc_id = e.doc_id AND r.page_no = e.page_no AND r.ord = e.ord
+  LEFT JOIN page_tables pt ON pt.doc_id = e.doc_id AND pt.page_no = e.page_no
+  GROUP BY e.doc_id, e.page_no)""",
     # lexical TF-IDF over passages, queries = benchmark items
     "tfidf": f"""p_tf AS (
   SELECT doc_id, line_no, term, count(*) AS tf FROM (
@@ -219,6 +245,7 @@ DEPS = {
     "doc_lines": [], "damaged_lines": ["doc_lines"], "passages": ["doc_lines"], "doc_pages": ["doc_lines"],
     "pages_clean": ["doc_pages"], "elements": ["doc_lines"], "marked": ["elements"],
     "page_tables": ["marked"], "entries": ["marked", "page_tables"], "page_records": ["entries"],
+    "regions": ["marked"], "multi_records": ["regions", "entries", "page_tables"],
     "tfidf": ["passages"], "queries": [], "q_post": ["tfidf", "queries"], "sparse": ["tfidf", "q_post"],
     "hits": ["sparse"], "hit_text": ["hits", "passages"], "best": ["hit_text"],
     "found": ["best", "pages_clean"], "dense": [], "letters": ["passages", "queries"],

@@ -114,6 +114,14 @@ def elements(documents: DataFrame) -> DataFrame:
     )
 
 
+def table_extents(el: DataFrame) -> DataFrame:
+    """``elements`` with ``table_y0``, the lower edge of the table detected at a
+    rectangle: by the rectangle's position it covers nothing (null), its own
+    height or the one below it too."""
+    size = (F.col("doc_id") + F.col("elem_ix")) % 3
+    return el.withColumn("table_y0", F.when((F.col("kind") == "rect") & (size > 0), F.col("y1") - 10.0 * size + 5.0))
+
+
 def deck_bytes(slides: list[list[str]]) -> bytes:
     """A slide deck (zip of XML parts) with the given text shapes on each slide;
     newlines part paragraphs."""
