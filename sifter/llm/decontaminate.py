@@ -39,6 +39,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -62,15 +63,19 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def word_hashes(words: list[str], cache: dict[str, int]) -> np.ndarray:
-    import xxhash
+class WordHashes(dict):
+    """Hash by word; words not seen before are hashed as they are asked for."""
 
-    fresh = set(words).difference(cache)
-    if fresh:
-        if len(cache) > 1_000_000:
-            cache.clear()
-            fresh = set(words)
-        cache.update((w, xxhash.xxh3_64_intdigest(w.encode())) for w in fresh)
+    def __missing__(self, word: str) -> int:
+        import xxhash
+
+        got = self[word] = xxhash.xxh3_64_intdigest(word.encode())
+        return got
+
+
+def word_hashes(words: list[str], cache: WordHashes) -> np.ndarray:
+    if len(cache) > 1_000_000:
+        cache.clear()
     return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 
 
@@ -116,7 +121,7 @@ class ItemIndex:
     def __init__(self, items: list[tuple], shingle: int = SHINGLE, sim: float = SIMILARITY, radius: int = RADIUS):
         self.shingle, self.sim, self.radius = shingle, sim, radius
         self.need = 2 * sim / (1 + sim)
-        cache: dict[str, int] = {}
+        cache = WordHashes()
         self.by_length: dict[int, dict] = {}
         self.bitmaps: dict[int, np.ndarray] = {}
         near = radius // 8
@@ -130,7 +135,7 @@ class ItemIndex:
             bits = self.bitmaps.setdefault(k, np.zeros(1 << (_BITMAP - 6), np.int64))
             pos = (h & np.uint64((1 << _BITMAP) - 1)).astype(np.int64)
             np.bitwise_or.at(bits, pos >> 6, np.int64(1) << (pos & 63))
-            own = self.by_length.setdefault(len(words), {"ids": [], "fps": [], "shingles": [], "blocks": [{} for _ in range(8)], "n": len(h), "k": k})
+            own = self.by_length.setdefault(len(words), {"ids": [], "fps": [], "shingles": [], "blocks": [[0] * 256 for _ in range(8)], "n": len(h), "k": k})
             at, fp = len(own["ids"]), simhash(h)
             own["ids"].append(item)
             own["fps"].append(fp)
@@ -138,34 +143,40 @@ class ItemIndex:
             for b in range(8):
                 part = (fp >> (8 * b)) & 255
                 for f in flips:
-                    own["blocks"][b].setdefault(part ^ f, []).append(at)
-        for own in self.by_length.values():
-            own["fps"] = np.array(own["fps"], np.uint64)
-            own["blocks"] = [[np.array(x.get(v, ()), np.int64) for v in range(256)] for x in own["blocks"]]
-
-    def matches(self, text: str, cache: dict[str, int]) -> list[tuple]:
+                    own["blocks"][b][part ^ f] |= 1 << at  # the items of a block value, as bits
+        # items of one shingle length by rising length: what a window needs rises too
+        self.lengths: dict[int, list[tuple[int, dict]]] = {}
+        for length in sorted(self.by_length):
+            own = self.by_length[length]
+            self.lengths.setdefault(own["k"], []).append((length, own))
+
+    def matches(self, text: str, cache: WordHashes) -> list[tuple]:
         """``(item, first word, words, similarity)`` of every window that matches."""
         words = words_of(text)
         if not words:
             return []
         hashes = word_hashes(words, cache)
         out: list[tuple] = []
-        hashed: dict[int, tuple] = {}
-        for length, own in self.by_length.items():
-            n, k = own["n"], own["k"]
-            short = length > len(words)
-            size = min(n, len(words) - k + 1)  # shingles of a window
-            if size < max(1, self.sim * n - 1e-9):
-                continue
-            if k not in hashed:
+        for k, lengths in self.lengths.items():
+            if k <= len(words):
                 s = shingle_hashes(hashes, k)
                 hit = bitmap_hits(self.bitmaps[k], s, _BITMAP)
                 total = int(hit.sum())
-                hashed[k] = (s, np.concatenate(([0], np.cumsum(hit))) if total else None, total, [])
-            s, hits, total, sums = hashed[k]
-            least = int(np.ceil(self.need * (size + n) / 2 - 1e-9))
-            if total < least:
-                continue
+                if total:
+                    out += self._of_lengths(lengths, words, s, np.concatenate(([0], np.cumsum(hit))), total)
+        return out
+
+    def _of_lengths(self, lengths: list[tuple[int, dict]], words: list[str], s: np.ndarray, hits: np.ndarray, total: int) -> list[tuple]:
+        """Matches of items whose shingles are as long as those hashed in ``s``;
+        ``hits`` are running sums of the shingles that occur in some item."""
+        out: list[tuple] = []
+        for length, own in lengths:
+            n = own["n"]
+            short = length > len(words)
+            size = min(n, len(s))  # shingles of a window
+            least = ceil(self.need * (size + n) / 2 - 1e-9)
+            if total < least or size < max(1, self.sim * n - 1e-9):
+                break  # so it is for every longer item
             if short:
                 mine = word_shingles(words, self.shingle)
                 for item, theirs in zip(own["ids"], own["shingles"]):
@@ -177,12 +188,14 @@ class ItemIndex:
             if len(starts) == 0:
                 continue
             fps = self._fingerprints(s, starts, n)
+            b0, b1, b2, b3, b4, b5, b6, b7 = own["blocks"]
             for start, fp in zip(starts.tolist(), fps.tolist()):
-                found = np.unique(np.concatenate([own["blocks"][b][(fp >> (8 * b)) & 255] for b in range(8)]))
-                found = found[np.bitwise_count(own["fps"][found] ^ np.uint64(fp)) <= self.radius]
-                if len(found):
+                found = (b0[fp & 255] | b1[fp >> 8 & 255] | b2[fp >> 16 & 255] | b3[fp >> 24 & 255]
+                         | b4[fp >> 32 & 255] | b5[fp >> 40 & 255] | b6[fp >> 48 & 255] | b7[fp >> 56])
+                near = [at for at in _bits(found) if (own["fps"][at] ^ fp).bit_count() <= self.radius]
+                if near:
                     mine = word_shingles(words[start:start + length], self.shingle)
-                    for at in found.tolist():
+                    for at in near:
                         got = similarity(mine, own["shingles"][at], n)
                         if got >= self.sim:
                             out.append((own["ids"][at], start, length, got))
@@ -206,6 +219,16 @@ class ItemIndex:
         return fps
 
 
+def _bits(mask: int) -> list[int]:
+    """Numbers of the bits set."""
+    out = []
+    while mask:
+        low = mask & -mask
+        out.append(low.bit_length() - 1)
+        mask ^= low
+    return out
+
+
 def best_per_item(found: list[tuple]) -> list[tuple]:
     """The most similar window of each item (the first of equals), and how many matched."""
     best: dict = {}
@@ -225,11 +248,12 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int =
     slim = items.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
     block, size = [], 0
     for r in slim.orderBy("i", "t").toLocalIterator():
-        block.append((r.i, r.t))
-        size += len(r.t)
-        if size >= block_bytes or len(block) >= block_items:
+        # rows of one id stay together: the best window of an item is one row
+        if (size >= block_bytes or len(block) >= block_items) and r.i != block[-1][0]:
             yield block
             block, size = [], 0
+        block.append((r.i, r.t))
+        size += len(r.t)
     if block:
         yield block
 
@@ -253,7 +277,7 @@ def with_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item
 
         def run(batches: Iterator[pa.RecordBatch], block=block, at=cols.index(text_col)) -> Iterator[pa.RecordBatch]:
             index = ItemIndex(block, shingle, sim, radius)
-            cache = worker_cache("decontaminate_words")
+            cache = worker_cache("decontaminate_words").setdefault("hashes", WordHashes())
             for b in batches:
                 got = []
                 for t, old in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
