@@ -97,61 +97,58 @@ class WordEncoder:
         got = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
+    def _learn(self, words: list[str]) -> list[bytes]:
         """Ids of unseen words: many words per call, parted by a mark no word holds."""
-        out: dict[str, bytes] = {}
-        odd = [w for w in words if _MARK in w] if self.mark is not None else words
-        if odd:
-            out.update(zip(odd, self._plain(odd)))
-        if self.mark is not None:
-            even = [w for w in words if _MARK not in w] if odd else words
-            groups = [even[i:i + 200] for i in range(0, len(even), 200)]
-            for group, e in zip(groups, self.tok.encode_batch_fast([f" {_MARK} ".join(g) for g in groups], add_special_tokens=False)):
-                ids = np.array(e.ids, "<u4")
-                cut = np.flatnonzero(ids == self.mark)
-                if len(cut) != len(group) - 1:  # the mark's id came from a word after all
-                    out.update(zip(group, self._plain(group)))
-                    continue
-                raw = ids.tobytes()
-                starts = np.concatenate(([0], cut + 1)) * 4
-                stops = np.concatenate((cut, [len(ids)])) * 4
-                out.update((w, raw[a:b]) for w, a, b in zip(group, starts.tolist(), stops.tolist()))
+        if self.mark is None:
+            return self._plain(words)
+        out: list[bytes] = []
+        groups = [words[i:i + 200] for i in range(0, len(words), 200)]
+        for group, e in zip(groups, self.tok.encode_batch_fast([f" {_MARK} ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            cut = np.flatnonzero(ids == self.mark)
+            if len(cut) != len(group) - 1:  # a word holds the mark, or its id came from a word
+                out += self._plain(group)
+                continue
+            raw = ids.tobytes()
+            at = 0
+            for c in (cut * 4).tolist():
+                out.append(raw[at:c])
+                at = c + 4
+            out.append(raw[at:])
         return out
 
-    def _add(self, fresh: list[bytes]) -> None:
+    def _add(self, fresh: set[bytes]) -> None:
         """Put unseen words in the cache. Spellings that differ in A-Z or in one
         full stop or comma after an ASCII letter share the work: the mark is a
         pre-token of its own there, and the tokenizer lower-cases."""
-        now = self.now
+        now, lower, marks = self.now, self.lower, self.marks
         forms, need = [], {}
         for w in fresh:
-            base, tail = w, b""
-            if self.lower and b"<|" not in w:
-                base = w.lower()
-            if self.marks and base[-1:] in self.marks and base[-2:-1].isalpha():
-                base, tail = base[:-1], base[-1:]
-            forms.append((w, base, tail))
+            base = w.lower() if lower and b"<|" not in w else w
+            tail = base[-1:]
+            if tail in marks and base[-2:-1].isalpha():
+                base = base[:-1]
+                forms.append((w, base, tail))
+            elif base != w:
+                forms.append((w, base, b""))
             if base not in now:
                 need[base] = None
         if need:
-            learned = self._learn([w.decode() for w in need])
-            now.update((w, learned[w.decode()]) for w in need)
-        now.update((w, now[base] + self.marks[tail] if tail else now[base]) for w, base, tail in forms)
+            words = list(need)
+            now.update(zip(words, self._learn([w.decode() for w in words])))
+        for w, base, tail in forms:
+            now[w] = now[base] + marks[tail] if tail else now[base]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._plain(texts)
         split = [t.encode().split() for t in texts]  # bytes: ASCII blanks only
         now, old = self.now, self.old
-        seen: set[bytes] = set().union(*split) if split else set()
-        fresh = []
-        for w in seen:
-            if w not in now:
-                got = old.get(w)
-                if got is None:
-                    fresh.append(w)
-                else:
-                    now[w] = got
+        fresh: set[bytes] = set().union(*split).difference(now)
+        if old:
+            for w in [w for w in fresh if w in old]:
+                now[w] = old[w]
+                fresh.discard(w)
         if fresh:
             self._add(fresh)
         look = now.__getitem__
