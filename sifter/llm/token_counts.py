@@ -36,10 +36,13 @@ further columns pass, and an existing ``prefix_tokens`` column is replaced.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,7 +51,10 @@ from sifter.llm._common import read_table, worker_cache
 
 LIMIT = 512
 #: Units whose counts a worker keeps; two generations of this size at most.
-CACHE_UNITS = 250_000
+CACHE_UNITS = 300_000
+#: Characters of the texts whose units are counted together (a longer text is a
+#: slice of its own).
+SLICE_CHARS = 4_000_000
 #: Longer units are counted each time.
 CACHE_CHARS = 64
 #: Neighbour pairs whose answer a worker keeps.
@@ -85,21 +91,27 @@ class _Pairs(dict):
 class _Units(dict):
     """Differences of prefix counts by unit, two generations."""
 
-    def __init__(self, count, limit: int):
+    def __init__(self, steps, limit: int):
         super().__init__()
-        self.count, self.limit, self.old = count, limit, {}
+        self.steps, self.limit, self.old = steps, limit, {}
 
     def __missing__(self, unit: str) -> bytes:
         got = self.old.get(unit)
         if got is None:
-            got = self.count(unit)
+            got = self.steps(unit)
         if len(unit) <= CACHE_CHARS:
-            if len(self) >= self.limit:
-                self.old = dict(self)
-                self.clear()
             self[unit] = got
         return got
 
+    def learn(self, units: set[str]) -> None:
+        """Count the unseen of ``units`` in order, so that each shares the
+        prefixes of the one before; afterwards the old generation may go."""
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        for unit in sorted(units.difference(self)):
+            self[unit]
+
 
 class PrefixTable:
     """Counts of every prefix under one tokenizer file."""
@@ -115,12 +127,14 @@ class PrefixTable:
         self.special_pattern = regex.compile("|".join(map(regex.escape, self.specials))) if self.specials else None
         self.split = regex.compile(_UNITS).findall
         self.spans = regex.compile(_UNITS).finditer
+        self.space = regex.compile(r"\s*").match
         self.beyond = regex.compile(f"[^\\x00-{chr(_AGREED - 1)}]")
         self.words = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self.own_words = regex.compile(rf"'(?:{_CONTRACTIONS})| ?\p{{L}}+| ?\p{{N}}+| ?[^\s\p{{L}}\p{{N}}]+|\s+(?!\S)|\s+").finditer
         self.stand_in: dict[str, str] = {}
         self._load_merges(spec["model"]["merges"])
         self.pairs = _Pairs(self.may_follow)
+        self.word, self.last, self.count = b"", [-1], [0]
         self.units = _Units(self.unit_steps, cache_units)
 
     @staticmethod
@@ -158,11 +172,11 @@ class PrefixTable:
         for t in range(256, len(self.made)):
             a, b = self.left[t], self.right[t]
             usable.append(usable[a] and usable[b] and self._apart(a, b, self.made[t]))
-        self.trie: dict = {}
+        self.trie: dict = {}  # tokens from their last byte to their first
         for w, t in number.items():
             if usable[t]:
                 node = self.trie
-                for byte in w:
+                for byte in reversed(w):
                     node = node.setdefault(byte, {})
                 node[-1] = t
 
@@ -190,34 +204,45 @@ class PrefixTable:
     # -- one word ---------------------------------------------------------
 
     def word_counts(self, word: bytes) -> list[int]:
-        """Tokens of ``word[:i]`` for every i."""
-        n = len(word)
-        last, count = [-1] * (n + 1), [0] * (n + 1)
-        pairs, trie = self.pairs, self.trie
-        for j in range(n):
-            node, before, c = trie, last[j] << 20, count[j] + 1
-            for i in range(j, n):
-                node = node.get(word[i])
-                if node is None:
-                    break
+        """Tokens of ``word[:i]`` for every i.
+
+        The entries of the prefix shared with the word before are kept, so
+        words that come in order cost their new prefixes only."""
+        last, count, pairs, trie = self.last, self.count, self.pairs, self.trie
+        k = 0
+        for x, y in zip(self.word, word):
+            if x != y:
+                break
+            k += 1
+        del last[k + 1:], count[k + 1:]
+        for i in range(k, len(word)):
+            node, j = trie, i
+            while True:
+                node = node[word[j]]
                 t = node.get(-1)
-                if t is not None and last[i + 1] < 0 and (j == 0 or pairs[before | t]):
-                    last[i + 1], count[i + 1] = t, c
+                if t is not None and (j == 0 or pairs[last[j] << 20 | t]):
+                    break
+                j -= 1
+            last.append(t)
+            count.append(count[j] + 1)
+        self.word = word
         return count
 
     def char_counts(self, word: str) -> list[int]:
         raw = word.encode()
         count = self.word_counts(raw)
         if len(raw) == len(word):
-            return count
+            return count.copy()
         return [count[i] for i in range(len(raw)) if raw[i] & 0xC0 != 0x80] + [count[-1]]
 
     # -- one unit ---------------------------------------------------------
 
     def unit_counts(self, unit: str) -> list[int]:
         """Tokens of ``unit[:k]``, each prefix a text of its own, k from 0."""
-        body = unit.lstrip() if unit[:1].isspace() else unit
-        return self._spaced(unit[:len(unit) - len(body)], body)
+        m = self.space(unit).end()
+        if m < len(unit) and (m == 0 and unit[0] != "'" or m == 1 and unit[0] == " "):
+            return self.char_counts(unit)  # one word
+        return self._spaced(unit[:m], unit[m:])
 
     def _spaced(self, space: str, body: str) -> list[int]:
         m = len(space)
@@ -233,7 +258,8 @@ class PrefixTable:
         return runs + [before + c for c in counts[1:]]
 
     def unit_steps(self, unit: str) -> bytes:
-        return np.diff(np.array(self.unit_counts(unit))).astype("<i2").tobytes()
+        c = self.unit_counts(unit)
+        return array("h", map(sub, c[1:], c)).tobytes()
 
     # -- texts ------------------------------------------------------------
 
@@ -281,9 +307,17 @@ class PrefixTable:
     @staticmethod
     def _sum(steps: bytes) -> np.ndarray:
         out = np.zeros(len(steps) // 2 + 1, np.int32)
-        np.cumsum(np.frombuffer(steps, "<i2"), dtype=np.int32, out=out[1:])
+        np.cumsum(np.frombuffer(steps, np.int16), dtype=np.int32, out=out[1:])
         return out
 
+    def counts_of(self, texts: list[str]) -> list[np.ndarray]:
+        """``counts`` of many texts; their unseen units are counted in order."""
+        special = self.special_pattern
+        split = [None if special is not None and special.search(t) else self._split(t) for t in texts]
+        self.units.learn(set().union(*(s for s in split if s is not None)))
+        look = self.units.__getitem__
+        return [self.counts(t) if s is None else self._sum(b"".join(map(look, s))) for t, s in zip(texts, split)]
+
 
 def prefix_table(path: str) -> PrefixTable:
     """The worker's table for ``path`` (made once per worker)."""
@@ -293,11 +327,24 @@ def prefix_table(path: str) -> PrefixTable:
     return home[path]
 
 
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of slices of about ``SLICE_CHARS``."""
+    sizes = pc.utf8_length(texts).to_pylist()
+    first = chars = 0
+    for i, n in enumerate(sizes):
+        if chars and chars + n > SLICE_CHARS:
+            yield first, i - first
+            first, chars = i, 0
+        chars += n
+    if first < len(sizes):
+        yield first, len(sizes) - first
+
+
 def prefix_counts(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "prefix_tokens") -> DataFrame:
     """``docs`` plus ``out_col array<int>``: tokens of the first i characters.
 
-    Narrow: one pass over the rows, some hundred a time; memory is that of a
-    slice of texts and the bounded caches."""
+    Narrow: one pass over the rows; memory is that of a slice of texts and the
+    bounded caches."""
     kept = [c for c in docs.columns if c != out_col]
     at = len(kept)
     # by position: names may clash
@@ -307,9 +354,9 @@ def prefix_counts(docs: DataFrame, path: str, text_col: str = "text", out_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = prefix_table(path)
         for b in batches:
-            for i in range(0, b.num_rows, 256):
-                part = b.slice(i, 256)
-                got = [table.counts(t) for t in part.column(at).to_pylist()]
+            for i, n in _slices(b.column(at)):
+                part = b.slice(i, n)
+                got = table.counts_of(part.column(at).to_pylist())
                 offsets = np.concatenate(([0], np.cumsum([len(c) for c in got])))
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(got)))
                 yield pa.RecordBatch.from_arrays([*part.columns[:at], lists], names=[*part.schema.names[:at], "t"])
