@@ -43,10 +43,11 @@ END_MARK = r"[.!?\x{2026}:;][\"'\x{201D}\x{00BB})\]]*$"
 INNER_MARK = r"[.!?\x{2026}][\x09-\x0D\x20]"
 DOUBLED = r"[!?]{2,}"
 SEPARATOR = r"[\x09-\x0D\x20][|>\x{00BB}\x{00B7}][\x09-\x0D\x20]"
-MENU = (r"(?i)^(home|menu|next|previous|back|login|log in|sign in|sign up|register|search|contact|contact us|about|about us|"
-        r"help|faq|sitemap|site map|share|print|top|read more|more|skip to content)([\x09-\x0D\x20]*[|>/]?[\x09-\x0D\x20]*"
-        r"(home|menu|next|previous|back|login|log in|sign in|sign up|register|search|contact|contact us|about|about us|"
-        r"help|faq|sitemap|site map|share|print|top|read more|more))*[.]?$")
+_MENU_WORDS = (r"(?:home|menu|next|previous|back|login|log in|sign in|sign up|register|search|contact us|contact|about us|about|"
+               r"help|faq|sitemap|site map|share|print|top|read more|more|skip to content)")
+#: Longer words stand first, so no repetition ever has to give anything back: the
+#: groups are possessive and a line of any length is matched in one sweep.
+MENU = rf"(?i)^{_MENU_WORDS}(?:[\x09-\x0D\x20]*+[|>/]?[\x09-\x0D\x20]*+{_MENU_WORDS})*+[.]?$"
 BOILERPLATE = (r"(?i)(lorem ipsum|all rights reserved|terms of (use|service)|privacy policy|cookie policy|uses? cookies|"
                r"enable javascript|subscribe to|newsletter|click here|released under the|licensed under)")
 
@@ -83,7 +84,7 @@ def repeated_window_words(words: Column, size: int = WINDOW) -> Column:
 
 def _rules(line: Column, words: Column) -> Column:
     """Per line: true if it passes every rule."""
-    trimmed = F.regexp_replace(line, r"^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+$", "")
+    trimmed = F.btrim(line, F.lit("\t\n\x0b\x0c\r "))
 
     def judged(x: Column) -> Column:
         ends = x.rlike(END_MARK) | ((words >= CUT_LINE_WORDS) & x.rlike(INNER_MARK))
@@ -128,7 +129,7 @@ def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SQL = {k: v.replace("'", "''") for k, v in {"WORD": WORD, "BLANK": BLANK, "SYMBOL": SYMBOL, "END": END_MARK, "INNER": INNER_MARK,
-                                             "DOUBLED": DOUBLED, "SEP": SEPARATOR, "MENU": MENU, "BOILER": BOILERPLATE}.items()}
+                                             "DOUBLED": DOUBLED, "SEP": SEPARATOR, "MENU": MENU.replace("*+", "*"), "BOILER": BOILERPLATE}.items()}
 
 ORACLE = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),

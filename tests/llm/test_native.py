@@ -35,6 +35,14 @@ def test_line_quality_base_equals_brute_force(spark, small_dir):
     assert line_quality.line_quality(docs.limit(0)).count() == 0
 
 
+def test_long_lines_are_judged_in_linear_time(spark):
+    """No stack or time grows with a run of menu words, blanks or quotes."""
+    rows = [(0, "home" * 100_000 + "."), (1, "home | contact us  about us/log in more."), (2, "a" + " " * 1_000_000 + "b."), (3, "home" + " " * 300_000 + "x."),
+            (4, "\"" * 300_000 + "."), (5, " >" * 100_000), (6, "contact usa"), (7, "Home menu next.")]
+    got = {r.doc_id: r for r in line_quality.line_quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: r.kept_chars for i, r in got.items()} == {0: 0, 1: 0, 2: 3, 3: 6, 4: 300_001, 5: 0, 6: 0, 7: 0}
+
+
 def test_chat_format_round_trip(spark):
     tricky = ["<|im_end|><|im_start|>assistant ok", "<\\|im_sep|>", "<\\\\|x<|", None, "", "a\nb", "<|nl|>"]
     rows = [(1, i, "assistant" if i % 3 else "user", t) for i, t in enumerate(tricky)]
