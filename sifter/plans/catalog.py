@@ -15,7 +15,7 @@ from ..functions import tables as tf
 from ..functions import text as tx
 from ..functions.vectors import round_score
 from ..operators import context as ctx
-from ..operators import hooks, layout, search
+from ..operators import bounded, hooks, layout, search
 from ..plans import jobs
 from ..session import ensure_checkpoint_dir, materialise, materialise_bucketed
 from ..sinks.documents import document_key, write_document_files, write_files
@@ -486,6 +486,18 @@ def q_topk_sparse(spark, sf):
     return h.select("query_id", _big(F.col("rank")).alias("rank"), "doc_id", "line_no", "score")
 
 
+@register("topk_sparse_bounded", o.with_views("hits") + """
+SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, line_no, score FROM hits""")
+def q_topk_sparse_bounded(spark, sf):
+    """V2 and V3 from the blocks of postings that can hold a hit."""
+    c = corpus(spark, sf)
+    _, idx = _index(spark, sf)
+    if "blocks" not in c:
+        c["blocks"] = bounded.block_index(idx)
+    got = bounded.bounded_topk(c["blocks"], idx.query_weights(_queries(spark, sf)), K)
+    return got.hits.select("query_id", _big(F.col("rank")).alias("rank"), "doc_id", "line_no", "score")
+
+
 @register("hit_passages", o.with_views("hit_text") + """
 SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, line_no, corpus_passage, score FROM hit_text""")
 def q_hit_passages(spark, sf):
@@ -641,6 +653,30 @@ def q_per_document_files(spark, sf):
     return p.select(F.regexp_extract("file", r"conv_id=(\d+)/", 1).cast("bigint").alias("conv_id"), "passage_no", "passage")
 
 
+@register("field_corpus_files", o.with_views("page_records") + """
+SELECT line, CAST(count(*) AS BIGINT) AS n_lines
+FROM (SELECT unnest(string_split(array_to_string(page_content, ''), chr(10))) AS line FROM page_records) GROUP BY line""")
+def q_field_corpus_files(spark, sf):
+    """Every page's text and a newline, all files in one corpus, its lines read back."""
+    path = _written(spark, "field-corpus")
+    write_corpus(jobs.page_corpus(fx.elements(_docs(spark, sf))), path, ["doc_id", "page_no"], "text")
+    return read_lines(spark, path, line_sep="\n").groupBy("line").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@register("raw_slide_corpus_files", f"""
+WITH shapes AS (
+  SELECT role AS text FROM conversations WHERE conv_id % {fx.CUT_DECKS} <> 3
+  UNION ALL SELECT text FROM conversations WHERE conv_id % {fx.CUT_DECKS} <> 3)
+SELECT line, CAST(count(*) AS BIGINT) AS n_lines FROM (SELECT {o.slide('text', 'en')} AS line FROM shapes) GROUP BY line""")
+def q_raw_slide_corpus_files(spark, sf):
+    """P3 over decks, K3 and S5: the cleaned shapes of every readable deck, one a line, read back."""
+    path = _written(spark, "raw-slides")
+    write_files(fx.decks(_t(spark, sf, "conversations")), f"{path}/decks/lectures")
+    _, raw, _ = jobs.slide_corpus(read_decks(spark, f"{path}/decks"), "en")
+    write_corpus(raw, f"{path}/raw", ["file", "slide_no", "shape_ix"])
+    return read_lines(spark, f"{path}/raw", line_sep="\n").groupBy("line").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 @register("document_files", f"""
 SELECT 'conv_' || CAST(conv_id AS VARCHAR) || '/a.pptx' AS file, string_agg({o.slide('text', 'en')} || chr(10), '' ORDER BY turn) AS text
 FROM conversations GROUP BY conv_id""")

@@ -83,10 +83,10 @@ def search_unique(documents: DataFrame, queries: DataFrame, k: int = DEFAULT_K,
     return dedupe_hits(hits)
 
 
-def page_corpus(elements: DataFrame, page_keys: Sequence[str] = ("doc_id", "page_no")) -> DataFrame:
+def page_corpus(elements: DataFrame, page_keys: Sequence[str] = ("doc_id", "page_no"), multi_table: bool = False) -> DataFrame:
     """The caller's layout elements (``operators.layout``) -> page records
     -> page text per page, ``(file, page_no, page_key, text)``."""
-    pages = with_page_text(assemble_pages(elements, page_keys))
+    pages = with_page_text(assemble_pages(elements, page_keys, multi_table))
     return pages.select(*page_keys, "page_key", "text")
 
 
