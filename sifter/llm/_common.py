@@ -65,6 +65,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered_columns(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns named ``c0``, ``c1``, ... and {old name: new name},
+    so that no name of the caller meets one of an operator."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def hash_bitmap(keys: DataFrame, col: str, log2: int = BITMAP_LOG2) -> bytes:
     """Bitmap with bit ``key & (2**log2 - 1)`` set for every long in ``col``.
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm._common import bitmap_hits, hash_bitmap, read_table, worker_cache
+from sifter.llm._common import bitmap_hits, hash_bitmap, read_table, worker_cache, numbered_columns
 from sifter.session import materialise
 
 #: A boundary falls between two lines if their rolling hash is below CUT of OF.
@@ -219,19 +219,22 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with repeated runs taken out of the text (all columns, same
-    rows), plus ``__removed_lines`` and ``__removed_runs``."""
-    cols = docs.columns
+    rows), plus ``__removed_lines`` and ``__removed_runs`` (columns of these names
+    are replaced; all others pass, whatever their names)."""
     runs = materialise(repeated_runs(docs, id_col, text_col, min_words), "runs")
     # the same plan at every size: the runs grow with the corpus, so they are never broadcast
     runs = runs.select(F.col("id").alias("__id"), F.col("th").alias("__th"), "firsts", "stops").hint("merge")
-    on = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_col)) == F.col("__th"))
-    lines = F.split(F.col(text_col), "\n", -1)
+    rows, at = numbered_columns(docs)
+    text = F.col(at[text_col])
+    on = F.col(at[id_col]).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__th"))
+    lines = F.split(text, "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.exists(F.sequence(F.lit(0), F.size("firsts") - 1),
                                                   lambda k: (i >= F.col("firsts")[k]) & (i < F.col("stops")[k])))
     gone = F.aggregate(F.zip_with("stops", "firsts", lambda a, b: a - b), F.lit(0), lambda a, x: a + x)
     hit = F.col("firsts").isNotNull()
-    return docs.join(runs, on, "left").select(
-        *[(F.when(hit, F.array_join(kept, "\n")).otherwise(F.col(text_col)).alias(c) if c == text_col else F.col(f"`{c}`")) for c in cols],
+    return rows.join(runs, on, "left").select(
+        *[(F.when(hit, F.array_join(kept, "\n")).otherwise(text) if c == text_col else F.col(n)).alias(c)
+          for c, n in at.items() if c not in ("__removed_lines", "__removed_runs")],
         F.when(hit, gone).otherwise(0).alias("__removed_lines"), F.when(hit, F.size("firsts")).otherwise(0).alias("__removed_runs"))
 
 

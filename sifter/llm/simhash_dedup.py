@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sifter.llm._common import connected_components, read_table, worker_cache
+from sifter.llm._common import connected_components, read_table, worker_cache, numbered_columns
 from sifter.session import materialise
 
 SEED = 42
@@ -254,16 +254,17 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Rows of ``docs`` with one row of every component left: that with the
     smallest id (ids that are null come last, then the smallest text hash; of
     rows that repeat id and text, the one with the smallest row hash). All
-    columns of ``docs`` are returned."""
+    columns of ``docs`` are returned, whatever their names."""
     comp = simhash_components(docs, id_col, text_col, shingle, radius)
     each = comp.groupBy("root", "id", "th").agg(F.count("*").alias("n"))
     won = each.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("z"), "id", "th", "n")).alias("w"))
     won = materialise(won.select(F.col("w.id").alias("__id"), F.col("w.th").alias("__th"), F.col("w.n").alias("__n")), "won")
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    kept = docs.join(won, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__th")))
+    rows, at = numbered_columns(docs)
+    cols = [F.col(n) for n in at.values()]
+    kept = rows.join(won, F.col(at[id_col]).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(at[text_col]).cast("string")) == F.col("__th")))
     order = Window.partitionBy("__id", "__th").orderBy(F.xxhash64(*cols))
     again = kept.where("__n > 1").withColumn("__rn", F.row_number().over(order)).where("__rn = 1")
-    return kept.where("__n = 1").select(*cols).unionByName(again.select(*cols))
+    return kept.where("__n = 1").select(*cols).unionByName(again.select(*cols)).toDF(*at)
 
 
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

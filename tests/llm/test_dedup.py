@@ -126,3 +126,27 @@ def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash_dedup.simhash_components(docs).count() == 0
     assert line_dedup.line_dedup(docs).count() == 0
+
+
+def test_columns_of_any_name_pass(spark):
+    """Extra columns may have the names that the operators use inside."""
+    from sifter.llm import decontaminate, line_dedup, simhash_dedup
+
+    names = ["firsts", "stops", "__n", "__id", "__th", "__rn", "id", "th", "c0", "a.b", "__removed_runs"]
+    shared = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, f"own line {i} of this text\n{shared}\nlast words {i * 7}", *[f"{n}{i}" for n in names]) for i in range(4)]
+    rows += [rows[0], (None, None, *[None] * len(names))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    cut = line_dedup.line_dedup(docs)
+    assert cut.columns == ["doc_id", "text", *names[:-1], "__removed_lines", "__removed_runs"]
+    got = cut.collect()
+    assert sorted((r.doc_id is not None, r.doc_id or 0, r.firsts, r["a.b"]) for r in got if r.doc_id is not None) == sorted(
+        (True, r[0], f"firsts{r[0]}", f"a.b{r[0]}") for r in rows if r[0] is not None)
+    assert {r.doc_id for r in got if shared not in (r.text or shared)} == {1, 2, 3}
+    left = simhash_dedup.simhash_dedup(docs)
+    assert left.columns == docs.columns
+    assert {(r.doc_id, r["__n"], r["c0"]) for r in left.collect()} <= {(r[0], r[4], r[10]) for r in rows}
+    # rows of one item id make one row, however small the blocks of items are
+    items = spark.createDataFrame([(5, shared), (5, f"{shared} and more"), (6, "not in any of them at all today")], "item_id long, text string")
+    whole = decontaminate.contaminated(docs, items).collect()
+    assert sorted(whole) == sorted(decontaminate.contaminated(docs, items, block_bytes=1).collect()) and len(whole) == 5
