@@ -15,7 +15,7 @@ from ..functions import tables as tf
 from ..functions import text as tx
 from ..functions.vectors import round_score
 from ..operators import context as ctx
-from ..operators import bounded, hooks, layout, search
+from ..operators import bounded, cells, hooks, layout, needles, search, store
 from ..plans import jobs
 from ..session import ensure_checkpoint_dir, materialise, materialise_bucketed
 from ..sinks.documents import document_key, write_document_files, write_files
@@ -162,19 +162,32 @@ def q_clean_corpus_job(spark, sf):
     return jobs.clean_corpus_job(fx.damaged_lines(_docs(spark, sf)), fx.TEST_STOPWORDS)
 
 
-@register("contains_ci", """
+_CONTAINS_SQL = """
 SELECT b.item_id, CAST(count(d.doc_id) AS BIGINT) AS n_docs
 FROM benchmark b LEFT JOIN documents d
   ON contains(replace(lower(d.text), chr(962), chr(963)), replace(lower(b.text), chr(962), chr(963)))
-GROUP BY b.item_id""")
-def q_contains_ci(spark, sf):
+GROUP BY b.item_id"""
+
+
+def _items_found(spark, sf, containing) -> DataFrame:
     items = _t(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     d = _docs(spark, sf).select("doc_id", tx.fold_case("text").alias("page_lc"))
-    hits = ctx.containing(items, d, "text", ["doc_id"]).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_docs"))
+    hits = containing(items, d, "text", ["doc_id"]).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_docs"))
     return items.select("query_id").join(hits, "query_id", "left").select(
         F.col("query_id").alias("item_id"), F.coalesce(F.col("n_docs"), F.lit(0)).cast("bigint").alias("n_docs"))
 
 
+@register("contains_ci", _CONTAINS_SQL)
+def q_contains_ci(spark, sf):
+    return _items_found(spark, sf, ctx.containing)
+
+
+@register("contains_ci_automaton", _CONTAINS_SQL)
+def q_contains_ci_automaton(spark, sf):
+    """F2 for all needles in one scan of the texts."""
+    return _items_found(spark, sf, needles.containing_any)
+
+
 @register("cut_context", "SELECT doc_id, substring(text, 1501) AS context FROM documents")
 def q_cut_context(spark, sf):
     return _docs(spark, sf).select("doc_id", tx.cut_context("text").alias("context"))
@@ -741,6 +754,27 @@ def q_generate_echo(spark, sf):
     return hooks.generate(q, "prompt", hooks.echo_generator).select("query_id", "answer")
 
 
+@register("generate_resumed", o.with_views("queries") + """
+SELECT query_id, split_part(query, chr(10), 1) AS answer FROM queries""")
+def q_generate_resumed(spark, sf):
+    """M1 from stored answers: a second run finds every prompt answered."""
+    q = _queries(spark, sf).select("query_id", tx.render_prompt({"context": F.lit(""), "query": "query"}).alias("prompt"))
+    answers = store.ContentStore(spark, _written(spark, "answers"), "string")
+    store.generate_resumable(q, "prompt", hooks.echo_generator, answers)
+    return store.generate_resumable(q, "prompt", hooks.echo_generator, answers)[0].select("query_id", "answer")
+
+
+@register("stored_vectors", o.with_views("letters") + """
+SELECT doc_id, line_no, array_to_string(list_transform(e, lambda x: CAST(x AS BIGINT)), ',') AS vector FROM p_vec""")
+def q_stored_vectors(spark, sf):
+    """V1 by content: the queries' vectors are stored first, then the passages
+    that are not among them, each distinct text once."""
+    vectors = store.ContentStore(spark, _written(spark, "vectors"), "array<float>")
+    store.embed_stored(_queries(spark, sf), "query", hooks.letter_encoder, vectors)
+    got, _ = store.embed_stored(_passages(spark, sf), "passage", hooks.letter_encoder, vectors)
+    return got.select("doc_id", "line_no", F.array_join(F.col("embedding").cast("array<bigint>"), ",").alias("vector"))
+
+
 def _emb(spark, sf):
     """All vectors, and as queries those whose id is divisible by 20."""
     e = _t(spark, sf, "embeddings")
@@ -767,6 +801,14 @@ def q_topk_dense(spark, sf):
     return t.select("query_id", _big(F.col("rank")).alias("rank"), "vec_id", "score")
 
 
+@register("topk_dense_bounded", _DENSE_TOPK_SQL)
+def q_topk_dense_bounded(spark, sf):
+    """V2 and V3 from the cells of vectors that can hold a hit."""
+    vectors, qs = _emb(spark, sf)
+    t = cells.bounded_dense_topk(cells.cell_index(vectors), qs, K).hits
+    return t.select("query_id", _big(F.col("rank")).alias("rank"), "vec_id", "score")
+
+
 @register("semantic_search", _DENSE_TOPK_SQL)
 def q_semantic_search(spark, sf):
     corpus, qs = _emb(spark, sf)
