@@ -34,6 +34,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,8 @@ RATE = 0.15
 PIECE, LISTED = 1 << 21, 8192
 #: Added to the count of every word of a bucket, and once for all unseen ones.
 SMOOTH = 0.5
+#: Rows whose logits are held at once.
+RUN = 1024
 #: Floats per row when networks are averaged.
 BLOCK = 8192
 
@@ -112,63 +115,123 @@ class WindowNet:
         ends = np.cumsum(np.bincount(cls, minlength=self.classes)).tolist()
         return np.argsort(cls, kind="stable"), [(c, a, z) for c, a, z in zip(range(self.classes), [0, *ends], ends) if z > a]
 
+    def _shifted(self, w: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, bool]:
+        """Output weights above their bias, as a row of values and a one meets
+        them. The bias is less the greatest value that a row can get, which
+        drops out of the softmax; if a row's own greatest value could be so far
+        below that its exponentials vanish, it is not, and the answer is no."""
+        reach = np.abs(w).sum(-2)  # squashed values are within -1 and 1
+        most, least = (bias + reach).max(-1, keepdims=True), (bias - reach).max(-1, keepdims=True)
+        close = bool((most - least < 80).all())
+        return np.concatenate((w, np.expand_dims(bias - most if close else bias, -2)), axis=-2), close
+
+    def _logits(self, h: np.ndarray, parts: list[tuple[int, int, int]], first: int, top: tuple[np.ndarray, bool], low: tuple[np.ndarray, bool]) -> tuple[np.ndarray, np.ndarray]:
+        """Shifted logits of the classes, and of the tokens of each row's class,
+        for the rows from ``first`` on, which ``parts`` name."""
+        a, b = h @ top[0], np.empty((len(h), self.width), np.float32)
+        for c, lo, hi in parts:
+            np.matmul(h[lo - first:hi - first], low[0][c], out=b[lo - first:hi - first])
+        for x, close in ((a, top[1]), (b, low[1])):
+            if not close:
+                x -= x.max(1, keepdims=True)
+        return a, b
+
     def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log-probability of each target given its context (places, n)."""
         order, parts = self.by_class(target)
-        h, t = self.hidden(context[:, order]), target[order]
-        a = h @ self.top + self.top_bias
-        got = a[np.arange(len(t)), t // self.width] - _log_sum(a)
-        for c, lo, hi in parts:
-            b = h[lo:hi] @ self.low[c] + self.low_bias[c]
-            got[lo:hi] += b[np.arange(hi - lo), t[lo:hi] % self.width] - _log_sum(b)
+        h, t = _with_one(self.hidden(context[:, order])), target[order]
+        top, low = self._shifted(self.top, self.top_bias), self._shifted(self.low, self.low_bias)
+        got = np.zeros(len(t), np.float32)
+        for first, last, some in _runs(parts):
+            rows = np.arange(last - first)
+            for x, at in zip(self._logits(h[first:last], some, first, top, low), (t[first:last] // self.width, t[first:last] % self.width)):
+                got[first:last] += x[rows, at]
+                np.exp(x, out=x)
+                got[first:last] -= np.log(x @ np.ones(x.shape[1], np.float32))
         out = np.empty_like(got)
         out[order] = got
         return out
 
+    def gradients(self, context: np.ndarray, target: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """Sums over a batch of the gradients of minus the log-probability:
+        those of ``params()`` after the embeddings, then the rows of the squashed
+        sum's input and the contexts they belong to."""
+        order, parts = self.by_class(target)
+        context, target = context[:, order], target[order]
+        h = _with_one(self.hidden(context))
+        width = h.shape[1] - 1
+        top, low = self._shifted(self.top, self.top_bias), self._shifted(self.low, self.low_bias)
+        d_top, d_low = np.zeros((width + 1, self.classes), np.float32), np.zeros((self.classes, width + 1, self.width), np.float32)
+        dz = np.empty((len(h), width), np.float32)
+        for first, last, some in _runs(parts):
+            # with exponentials e of sum s, the gradient (e / s - target) is (e - s * target) / s: the narrow side is divided
+            own, t, rows = h[first:last], target[first:last], np.arange(last - first)
+            p, q = self._logits(own, some, first, top, low)
+            np.exp(p, out=p)
+            s = p @ np.ones(self.classes, np.float32)
+            p[rows, t // self.width] -= s
+            part = 1 / s[:, None]
+            d_top += (own * part).T @ p
+            dh = (p @ self.top.T) * part
+            np.exp(q, out=q)
+            s = q @ np.ones(self.width, np.float32)
+            q[rows, t % self.width] -= s
+            part = 1 / s[:, None]
+            divided = own * part
+            back = np.empty_like(dh)
+            for c, lo, hi in some:
+                np.matmul(divided[lo - first:hi - first].T, q[lo - first:hi - first], out=d_low[c])
+                np.matmul(q[lo - first:hi - first], self.low[c].T, out=back[lo - first:hi - first])
+            back *= part
+            dh += back
+            own = own[:, :width]
+            np.multiply(dh, 1 - own * own, out=dz[first:last])
+        return [dz.sum(0), d_top[:width], d_top[width], d_low[:, :width], d_low[:, width]], dz, context
+
     def step(self, context: np.ndarray, target: np.ndarray, memory: list[np.ndarray], rate: float) -> None:
         """One Adagrad step on a batch."""
         n = len(target)
-        order, parts = self.by_class(target)
-        context, target = context[:, order], target[order]
-        h = self.hidden(context)
-        p = _softmax(h @ self.top + self.top_bias)
-        p[np.arange(n), target // self.width] -= 1
-        dh = p @ self.top.T
-        d_top, d_tb = h.T @ p, p.sum(0)
-        d_low, d_lb = np.zeros_like(self.low), np.zeros_like(self.low_bias)
-        for c, lo, hi in parts:
-            q = _softmax(h[lo:hi] @ self.low[c] + self.low_bias[c])
-            q[np.arange(hi - lo), target[lo:hi] % self.width] -= 1
-            d_low[c], d_lb[c] = h[lo:hi].T @ q, q.sum(0)
-            dh[lo:hi] += q @ self.low[c].T
-        dz = (dh * (1 - h * h)).astype(np.float32)
-        for name, g, m in (("bias", dz.sum(0), memory[1]), ("top", d_top, memory[2]), ("top_bias", d_tb, memory[3]),
-                           ("low", d_low, memory[4]), ("low_bias", d_lb, memory[5])):
-            g = g / n
+        grads, dz, context = self.gradients(context, target)
+        for p, g, m in zip(self.params()[1:], grads, memory[1:]):
+            g = g / np.float32(n)
             m += g * g
-            setattr(self, name, (getattr(self, name) - rate * g / np.sqrt(m + 1e-8)).astype(np.float32))
-        for i in range(2 * SIDE):  # only the rows that the batch names
-            at = context[i].astype(np.uint16)
-            by = np.argsort(at, kind="stable")
-            at = at[by]
-            first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-            seen = at[first]
-            g = np.add.reduceat(dz[by], first, axis=0) / np.float32(n)
-            m = memory[0][i][seen] + g * g
-            memory[0][i][seen] = m
-            self.emb[i][seen] -= rate * g / np.sqrt(m + 1e-8)
-
-
-def _softmax(a: np.ndarray) -> np.ndarray:
-    a -= a.max(1, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(1, keepdims=True)
-    return a
-
-
-def _log_sum(a: np.ndarray) -> np.ndarray:
-    m = a.max(1)
-    return m + np.log(np.exp(a - m[:, None]).sum(1))
+            g *= np.float32(rate)
+            g /= np.sqrt(m + np.float32(1e-8))
+            p -= g
+        # only the rows that the batch names, of all places at once
+        at = (context + np.arange(2 * SIDE)[:, None] * self.size).ravel().astype(np.uint32 if 2 * SIDE * self.size > 1 << 16 else np.uint16)
+        by = np.argsort(at, kind="stable")
+        at = at[by]
+        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+        seen = at[first].astype(np.intp)
+        dz *= np.float32(1 / n)
+        g = np.add.reduceat(dz.take(by % n, axis=0), first, axis=0)
+        m = memory[0].reshape(-1, dz.shape[1])
+        own = g * g
+        own += m.take(seen, axis=0)
+        m[seen] = own
+        own += np.float32(1e-8)
+        np.sqrt(own, out=own)
+        g *= np.float32(rate)
+        g /= own
+        rows = self.emb.reshape(-1, dz.shape[1])
+        rows[seen] = rows.take(seen, axis=0) - g
+
+
+def _runs(parts: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
+    """Parts in runs of ``RUN`` rows or one part: their logits stay in the cache."""
+    run: list[tuple[int, int, int]] = []
+    for part in parts:
+        run.append(part)
+        if part[2] - run[0][1] >= RUN:
+            yield run[0][1], part[2], run
+            run = []
+    if run:
+        yield run[0][1], run[-1][2], run
+
+
+def _with_one(h: np.ndarray) -> np.ndarray:
+    return np.concatenate((h, np.ones((len(h), 1), np.float32)), axis=1)
 
 
 def contexts(ids: np.ndarray, lengths: np.ndarray, pad: int) -> np.ndarray:
@@ -195,10 +258,11 @@ def word_counts(docs: DataFrame, text_col: str = "text", flush: int = 200_000) -
 
         counts: Counter = Counter()
         for b in batches:
-            for t in b.column(0).cast(pa.binary()):
-                counts.update((t.as_py() or b"").lower().split())
-                if len(counts) > flush:
-                    yield rows()
+            for i in range(0, b.num_rows, 512):
+                for t in b.column(0).slice(i, 512).cast(pa.binary()).to_pylist():
+                    counts.update((t or b"").lower().split())
+                    if len(counts) > flush:
+                        yield rows()
         yield rows()
 
     return docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -280,9 +344,9 @@ def token_pieces(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", tex
             kind = batch.schema.field(0).type
             for i in range(0, batch.num_rows, 512):
                 b = batch.slice(i, 512)
-                split = [(t.as_py() or b"").lower().split() for t in b.column(1).cast(pa.binary())]
+                split = [(t or b"").lower().split() for t in b.column(1).cast(pa.binary()).to_pylist()]
                 ends = np.cumsum([len(w) for w in split])
-                got = np.fromiter((n for w in split for n in map(numbers.__getitem__, w)), np.uint32, int(ends[-1]))
+                got = np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), np.uint32, int(ends[-1]))
                 at = got >= words
                 rare = got[at] - np.uint32(words)
                 got[at] = np.array(home, np.uint32)[rare] if len(rare) else 0

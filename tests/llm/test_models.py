@@ -76,6 +76,44 @@ def test_pseudo_likelihood_probabilities_and_context(spark):
     assert pseudo_likelihood.contexts(ids, lengths, 99).tolist() == want
 
 
+def _plain_log_probs(net, context, target):
+    out = []
+    for n, t in enumerate(target):
+        h = np.tanh(sum((net.emb[i, context[i, n]] for i in range(2 * pseudo_likelihood.SIDE)), net.bias).astype(float))
+        c, j = divmod(int(t), net.width)
+        a, b = h @ net.top + net.top_bias, h @ net.low[c] + net.low_bias[c]
+        out.append(a[c] - a.max() - np.log(np.exp(a - a.max()).sum()) + b[j] - b.max() - np.log(np.exp(b - b.max()).sum()))
+    return np.array(out)
+
+
+def test_pseudo_likelihood_gradients_and_far_logits(monkeypatch):
+    r = np.random.default_rng(5)
+    for scale, run in ((1, 1024), (1, 3), (400, 4)):  # 400: a row's greatest logit may be far below what it could be
+        monkeypatch.setattr(pseudo_likelihood, "RUN", run)
+        net = pseudo_likelihood.WindowNet(30, classes=5, embed=6).set_counts(r.integers(0, 9, 30).astype(float))
+        for p in net.params():
+            p += (0.3 * r.normal(size=p.shape)).astype(np.float32)
+        net.low *= np.float32(scale)
+        net.top *= np.float32(scale)
+        context, target = r.integers(0, 30, (2 * pseudo_likelihood.SIDE, 41)), r.integers(0, 30, 41)
+        assert np.allclose(net.log_probs(context, target), _plain_log_probs(net, context, target), rtol=1e-4, atol=1e-3)
+        if scale > 1:
+            continue
+        grads, dz, at = net.gradients(context, target)
+        by_row = np.zeros_like(net.emb)
+        for i in range(2 * pseudo_likelihood.SIDE):
+            np.add.at(by_row[i], at[i], dz)
+        for p, g in zip(net.params(), [by_row, *grads]):
+            for k in r.choice(p.size, min(p.size, 12), replace=False):
+                flat, kept = p.reshape(-1), p.reshape(-1)[k]
+                flat[k] = kept + 1e-3
+                up = _plain_log_probs(net, context, target).sum()
+                flat[k] = kept - 1e-3
+                down = _plain_log_probs(net, context, target).sum()
+                flat[k] = kept
+                assert abs((down - up) / 2e-3 - g.reshape(-1)[k]) < 0.02
+
+
 def test_pseudo_likelihood_beats_shuffled_words(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").where(F.length("text") > 500)
     vocab, counts = pseudo_likelihood.vocabulary(docs)
