@@ -32,9 +32,10 @@ network and no rows; columns other than id and text are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
+import uuid
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sifter.llm._common import read_table
-from sifter.session import materialise
+from sifter.session import ensure_checkpoint_dir, materialise
 
 #: Ids of a network, powers of two; one more for every DISTINCT distinct words.
 LEAST, MOST = 1024, 4096
@@ -317,17 +318,14 @@ def token_pieces(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", tex
 
         from pyspark import TaskContext
 
-        class Numbers(dict):
-            def __missing__(self, word: bytes) -> int:
-                got = self[word] = words + len(listed)
-                listed.append(word)
-                home.append(words + zlib.crc32(word) % buckets)
-                return got
+        def numbering() -> defaultdict:
+            """Ids of the vocabulary; other words get the next number as they come."""
+            return defaultdict(count(words).__next__, vocab)
 
         names = ["piece", "id", "ids", "rare", "first", "words"]
         context = TaskContext.get()
         key, size, kind = (context.partitionId() if context else 0) << 24, 0, None
-        listed, home, numbers = [], [], Numbers(vocab)
+        listed, home, numbers = [], np.zeros(0, np.uint32), numbering()
 
         def binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
             offsets = np.concatenate(([0], ends)) * data.itemsize
@@ -347,9 +345,14 @@ def token_pieces(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", tex
                 split = [(t or b"").lower().split() for t in b.column(1).cast(pa.binary()).to_pylist()]
                 ends = np.cumsum([len(w) for w in split])
                 got = np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), np.uint32, int(ends[-1]))
+                # the words that are new stand last, in the order of their numbers
+                fresh = list(islice(reversed(numbers), len(numbers) - len(vocab) - len(listed)))[::-1]
+                listed += fresh
+                hashes = np.fromiter(map(zlib.crc32, fresh), np.uint32, len(fresh))
+                home = np.concatenate((home, hashes % np.uint32(buckets) + np.uint32(words)))
                 at = got >= words
                 rare = got[at] - np.uint32(words)
-                got[at] = np.array(home, np.uint32)[rare] if len(rare) else 0
+                got[at] = home[rare]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(b.num_rows, key)), b.column(0), binary(got.astype(np.uint16), ends),
                      binary(rare, np.concatenate(([0], np.cumsum(at)))[ends]), pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.list_(pa.binary()))],
@@ -358,7 +361,7 @@ def token_pieces(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", tex
                 if size >= piece:
                     yield words_listed()
                     key, size = key + 1, 0
-                    listed, home, numbers = [], [], Numbers(vocab)
+                    listed, home, numbers = [], np.zeros(0, np.uint32), numbering()
         if listed:
             yield words_listed()
 
@@ -496,7 +499,7 @@ def score_words(pieces: DataFrame, net: WindowNet, vocab: Vocabulary, counted: D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = WindowNet(size).load(flat)
-        piece, found, log_n = None, [], np.zeros(0)
+        piece, places, found, log_n = None, [], [], np.zeros(0)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -504,12 +507,15 @@ def score_words(pieces: DataFrame, net: WindowNet, vocab: Vocabulary, counted: D
             cuts = np.flatnonzero((np.diff(keys) != 0) | np.diff(texts)) + 1
             for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
                 if keys[a] != piece:
-                    piece, found, log_n = keys[a], [], np.zeros(0)
-                if not texts[a]:  # a piece's list comes before its texts, in order
+                    piece, places, found, log_n = keys[a], [], [], np.zeros(0)
+                if not texts[a]:  # a piece's list comes before its texts
+                    places.append(batch.column(4).slice(a, z - a).to_numpy())
                     found.append(batch.column(5).slice(a, z - a).to_numpy())
                     continue
                 if found:
-                    log_n, found = np.log(np.concatenate(found) + SMOOTH), []
+                    log_n = np.zeros(sum(map(len, found)))
+                    log_n[np.concatenate(places)] = np.log(np.concatenate(found) + SMOOTH)
+                    places, found = [], []
                 for i in range(a, z, 1024):
                     b = batch.slice(i, min(1024, z - i))
                     number, used = np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint32), 0
@@ -523,7 +529,8 @@ def score_words(pieces: DataFrame, net: WindowNet, vocab: Vocabulary, counted: D
 
                     yield _scored(b.column(1), *_scores(own, b.column(2), share))
 
-    both = listed.unionByName(texts).repartition("piece").sortWithinPartitions("piece", F.col("at").asc_nulls_last())
+    # one number to sort by: lists before texts in each piece
+    both = listed.unionByName(texts).repartition("piece").sortWithinPartitions(F.col("piece") * 2 + F.col("at").isNull().cast("int"))
     return both.mapInArrow(run, f"id {kind}, n_tokens bigint, log_prob double, mean_log_prob double")
 
 
@@ -532,7 +539,9 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     network trained on ``docs``."""
     counted = materialise(word_counts(docs, text_col), "words")
     vocab, counts = vocabulary(docs, text_col, counted=counted)
-    pieces = materialise(token_pieces(docs, vocab, id_col, text_col), "token-ids")
+    path = f"{ensure_checkpoint_dir(docs.sparkSession).rstrip('/')}/sifter-tables/token-ids-{uuid.uuid4().hex}"
+    token_pieces(docs, vocab, id_col, text_col).write.option("compression", "zstd").parquet(path)
+    pieces = docs.sparkSession.read.parquet(path)
     return score_words(pieces, train(pieces.where("ids is not null"), counts), vocab, counted)
 
 
