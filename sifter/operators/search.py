@@ -272,7 +272,7 @@ def dense_scores(corpus: DataFrame, queries: DataFrame, k: int | None = None,
     batch returns only its own best k rows per query, and ``topk`` makes the
     final cut.
 
-    Up to ``block`` queries are broadcast and the corpus is scanned once
+    Up to ``block`` queries, and 64 MB of them, are broadcast and the corpus is scanned once
     without a shuffle. A larger query set is never collected: queries and corpus
     are cut into blocks of bounded size, and one grouped job scores every
     (query block, corpus block) cell, also from a single scan of each."""
@@ -284,6 +284,8 @@ def dense_scores(corpus: DataFrame, queries: DataFrame, k: int | None = None,
     c = corpus.filter(F.col(vec_col).isNotNull()).select(*key_cols, F.col(vec_col).alias("_vec"))
     q = queries.filter(F.col(query_vec_col).isNotNull()).select(
         F.col(query_id_col).alias("_qid"), F.col(query_vec_col).cast("array<double>").alias("_qv"))
+    widest = q.agg(F.max(F.size("_qv"))).first()[0] or 1
+    block = max(1, min(block, DEFAULT_BROADCAST_BYTES // (8 * widest)))  # by bytes too
     head = q.limit(block + 1).collect()
     if not head:
         return spark.createDataFrame([], out_schema)
@@ -301,8 +303,10 @@ def dense_scores(corpus: DataFrame, queries: DataFrame, k: int | None = None,
 
     if k is None:  # every pair leaves the cell: smaller cells
         corpus_block = max(1, min(corpus_block, 4 * PAIRS_AT_ONCE // block))
+    q, c = materialise(q, "dense-queries"), materialise(c, "dense-corpus")
     n_q, n_c = -(-q.count() // block), max(1, -(-c.count() // corpus_block))
-    # dealt by position, so repeated ids or vectors do not pile up in a block
+    # dealt by position, so repeated ids or vectors do not pile up in a block; of
+    # written tables, so that a task that runs again deals the same
     dealt = lambda n: F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     q = q.withColumn("_qb", dealt(n_q)).select("*", every(n_c).alias("_cb"))
