@@ -167,14 +167,16 @@ class SentencePieceCodec:
         self.now: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.mismatches = 0
+        self.corrected: set[str] = set()
 
-    def _checked(self, texts: list[str], encodings) -> list[bytes]:
+    def _checked(self, texts: list[str], encodings, units: list[str] | None = None) -> list[bytes]:
         out = [np.array(e.ids, "<u4").tobytes() for e in encodings]
         if self.ref is not None:
             for i, want in enumerate(self.ref.encode(texts, num_threads=1)):
                 want = np.array(want, "<u4").tobytes()
                 if want != out[i] and texts[i]:
                     self.mismatches += 1
+                    self.corrected.add((units or texts)[i])
                     out[i] = want
         return out
 
@@ -182,7 +184,7 @@ class SentencePieceCodec:
         """Units start with the blank that stands for the marker: for the
         sentencepiece library that blank is its dummy prefix. A lone blank is
         the marker itself (the library gives an empty text no prefix)."""
-        got = self._checked([u[1:] for u in units], self.unit_tok.encode_batch_fast(units, add_special_tokens=False))
+        got = self._checked([u[1:] for u in units], self.unit_tok.encode_batch_fast(units, add_special_tokens=False), units)
         return [self.lone if u == " " else g for u, g in zip(units, got)]
 
     def _learn(self, units: list[str]) -> dict[str, bytes]:
@@ -208,8 +210,15 @@ class SentencePieceCodec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit id bytes per text."""
+        return self.encode_counted(texts)[0]
+
+    def encode_counted(self, texts: list[str]) -> tuple[list[bytes], list[int]]:
+        """``encode``, and for each text the number of its units whose ids are
+        those of the sentencepiece library, since the two libraries differ."""
         if not self.units:
-            return self._checked(texts, self.tok.encode_batch_fast(texts, add_special_tokens=False))
+            self.corrected.clear()
+            out = self._checked(texts, self.tok.encode_batch_fast(texts, add_special_tokens=False))
+            return out, [int(t in self.corrected) for t in texts]
         find = self._UNIT.findall
         split = [find(" " + t.replace(MARK, " ")) if t else [] for t in texts]
         now, old = self.now, self.old
@@ -226,9 +235,12 @@ class SentencePieceCodec:
             now.update(self._learn(fresh))
         look = now.__getitem__
         out = [b"".join(map(look, us)) for us in split]
+        bad = self.corrected
+        counts = [sum(u in bad for u in us) for us in split] if bad else [0] * len(texts)
         if len(now) > self.limit:
             self.old, self.now = now, {}
-        return out
+            self.corrected = {u for u in bad if u in now}
+        return out, counts
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tok.decode_batch(ids, skip_special_tokens=False)
@@ -284,11 +296,12 @@ def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", out_col: str
 
 def round_trip(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
     """``docs`` with ``ids``, ``n_tokens``, ``ids_crc32`` (of the ids as
-    little-endian 32-bit integers) and ``round_trip`` (decoding the ids gives
-    the text back, blanks for marker characters): encode and decode in one
+    little-endian 32-bit integers), ``round_trip`` (decoding the ids gives
+    the text back, blanks for marker characters) and ``n_corrected`` (units on
+    which the libraries differ, with the sentencepiece library's ids): encode and decode in one
     pass over the rows, so neither ids nor texts travel twice."""
     fields = [StructField("ids", ArrayType(IntegerType())), StructField("n_tokens", LongType()),
-              StructField("ids_crc32", LongType()), StructField("round_trip", BooleanType())]
+              StructField("ids_crc32", LongType()), StructField("round_trip", BooleanType()), StructField("n_corrected", LongType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
@@ -296,15 +309,15 @@ def round_trip(docs: DataFrame, model_path: str, text_col: str = "text") -> Data
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
                 texts = [t or "" for t in part.column(part.num_columns - 1).to_pylist()]
-                raw = c.encode(texts)
+                raw, corrected = c.encode_counted(texts)
                 flat = np.frombuffer(b"".join(raw), "<i4")
                 offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in raw])))
                 ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
                 back = c.decode([np.frombuffer(x, "<u4").tolist() for x in raw])
                 same = [x == t.replace(MARK, " ") for x, t in zip(back, texts)]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], ids, pa.array(np.diff(offsets), pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64()), pa.array(same)],
-                    names=[f"c{k}" for k in range(part.num_columns + 3)])
+                    [*part.columns[:-1], ids, pa.array(np.diff(offsets), pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64()), pa.array(same),
+                     pa.array(corrected, pa.int64())], names=[f"c{k}" for k in range(part.num_columns + 4)])
 
     return _appended(docs, fields, text_col, run)
 
@@ -316,5 +329,5 @@ def model_path() -> str:
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: doc_id, ids, n_tokens, ids_crc32, round_trip."""
+    """Per document: doc_id, ids, n_tokens, ids_crc32, round_trip, n_corrected."""
     return round_trip(read_table(spark, sf_dir, "documents").select("doc_id", "text"), model_path()).drop("text")

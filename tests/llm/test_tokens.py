@@ -56,8 +56,28 @@ def test_sentencepiece_columns(spark):
     docs = spark.createDataFrame([(1, "a b", "q"), (None, None, None), (1, "a b", "q")], "doc_id long, text string, ids string")
     out = sp.round_trip(docs, sp.model_path())
     rows = out.collect()
-    assert out.columns == ["doc_id", "text", "ids", "n_tokens", "ids_crc32", "round_trip"]
+    assert out.columns == ["doc_id", "text", "ids", "n_tokens", "ids_crc32", "round_trip", "n_corrected"]
     assert all(r.round_trip for r in rows) and sorted(r.n_tokens for r in rows)[0] == 0
     back = sp.decode(sp.encode(docs, sp.model_path()), sp.model_path()).collect()
     assert [r.decoded for r in back] == [r.text or "" for r in back]
     assert sp.round_trip(docs.limit(0), sp.model_path()).count() == 0
+
+
+def test_sentencepiece_corrections_are_counted():
+    c = sp.SentencePieceCodec(sp.model_path(), cache_units=4)
+    library = c.ref
+
+    class Other:
+        """A library that gives one word other ids."""
+
+        def encode(self, texts, num_threads=1):
+            return [ids + [7] if "odd" in t else ids for t, ids in zip(texts, library.encode(texts, num_threads=num_threads))]
+
+    c.ref = Other()
+    texts = ["an odd word and an odd one", "plain words only", "", "odd"]
+    for _ in range(3):  # also from the cache, and after it was cut
+        raw, counts = c.encode_counted(texts)
+        assert counts == [2, 0, 0, 1]
+        assert np.frombuffer(raw[3], "<u4").tolist() == library.encode("odd") + [7]
+    c.units = False
+    assert c.encode_counted(texts)[1] == [1, 0, 0, 1]
