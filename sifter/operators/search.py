@@ -3,11 +3,11 @@ top-k per query, hit text, de-duplication and best match.
 
 Scale notes
 -----------
-* The TF-IDF postings end hash-partitioned by passage key (the norm window).
-  Scoring joins them with the *broadcast* query weights, so the per
-  ``(query, passage)`` sum needs no shuffle (the partitioning on the passage
-  key already clusters it), and top-k runs a partial ``WindowGroupLimit``
-  before the only exchange: at most k rows per query per partition move.
+* The TF-IDF postings are bucketed by passage key. ``sparse_topk`` turns those
+  of the query terms into a row a passage, without a shuffle, and scores them in
+  arrays against all queries; few rows leave a task, and top-k runs a partial
+  ``WindowGroupLimit`` before the only exchange. ``sparse_scores`` gives every
+  pair that shares a term, also without a shuffle of the pairs.
 * Dense scoring broadcasts a size-checked block of query vectors and scores
   each corpus batch with matrix products, keeping each query's best k rows,
   so no all-pairs rows are produced. Query sets above the bound meet the
@@ -21,11 +21,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import WS_CLASS
+from ..functions.text import WHITESPACE_CHARS, WS_CLASS, re2_class
 from ..functions.vectors import SCORE_DIGITS, round_score
 from ..session import (DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, bounded_broadcast, materialise,
                        materialise_bucketed, open_bucketed, row_count_at_most)
@@ -37,7 +39,11 @@ MAX_QUERY_BLOCK = 4096
 CORPUS_BLOCK = 16_384
 # Most query terms pushed to the scan of the postings.
 MAX_PUSHED_TERMS = 64
-# Most scores held at once by a dense scoring task.
+# Text of the passages that are weighted at once.
+CHUNK_BYTES = 8 << 20
+# Most queries scored at once against a batch of passages.
+QUERY_COLUMNS = 256
+# Most scores held at once by a scoring task.
 PAIRS_AT_ONCE = 1_000_000
 
 
@@ -130,31 +136,35 @@ def tfidf_index(passages: DataFrame, keys: Sequence[str] = ("doc_id", "line_no")
     """Weight ``tf * ln((n + 1) / (df + 1))`` over lower-cased whitespace
     tokens; zero weights are dropped and zero-norm passages vanish.
 
-    Term counts are a partial aggregate per (passage, term); document
-    frequencies a partial aggregate on term (hot terms collapse map-side); the weights join
-    them on term (AQE broadcasts the vocabulary when its measured size is
-    small, otherwise a shuffle join with skew splitting); the norm is a
-    window on the passage key. With ``checkpoint`` (default) ``doc_freq`` and
+    Passages are dealt by their key into chunks of about ``CHUNK_BYTES`` of
+    text. Only texts and each chunk's distinct terms move: the terms are summed
+    to the document frequencies and joined with them, and the frequencies meet
+    their chunk again, where tokens are counted, weighted and normed as arrays.
+    So no row a token is shuffled or sorted on the way. With ``checkpoint`` (default) ``doc_freq`` and
     the postings are written as Parquet under the session's checkpoint
     folder, so later query batches reuse them (lineage cut, survives executor
     loss); pass materialised passages for the same reason."""
     keys = tuple(keys)
     validate_passages(passages, text_col)
-    counts = term_frequencies(passages, keys, text_col)
-    # each passage's distinct terms, counted per term (partial aggregate); cutting
-    # the text again measured no slower than writing and reading the counts
-    doc_freq = (passages.select(F.explode(F.array_distinct(term_tokens(F.col(text_col)))).alias("term"))
-                .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    words = F.lower(text_col).alias("_words")
+    size = passages.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("b")).first()
+    n_docs = size["n"] if n_docs is None else n_docs
+    # a chunk lies in one bucket of the postings: its number is that of the
+    # bucket, modulo the number of buckets
+    buckets = int(passages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunk = F.pmod(F.hash(*keys), F.lit(buckets * max(1, -(-size["b"] // (CHUNK_BYTES * buckets))))).alias("_chunk")
+    vocabulary = passages.select(chunk, words).groupBy("_chunk").applyInArrow(_chunk_vocabulary, "_chunk int, term string, n bigint")
+    if checkpoint:
+        vocabulary = materialise(vocabulary, "chunk_terms")
+    doc_freq = vocabulary.groupBy("term").agg(F.sum("n").alias("df"))
     if checkpoint:
         doc_freq = materialise(doc_freq, "doc_freq")
-    if n_docs is None:
-        n_docs = passages.count()
-    weighted = (counts.join(doc_freq, "term")
-                .select(*keys, "term", (F.col("tf") * idf(F.col("df"), n_docs)).alias("weight"))
-                .filter(F.col("weight") > 0))
-    by_passage = Window.partitionBy(*keys)
-    postings = weighted.withColumn("nweight", F.col("weight") / F.sqrt(
-        F.sum(F.col("weight") * F.col("weight")).over(by_passage)))
+    weights = vocabulary.join(doc_freq, "term").select("_chunk", "term", idf(F.col("df"), n_docs).alias("idf"))
+    # rows that repeat a key are one passage
+    whole = passages.select(*keys, words).groupBy(*keys).agg(F.concat_ws(" ", F.collect_list("_words")).alias("_words"))
+    schema = T.StructType([passages.schema[c] for c in keys] + [T.StructField("term", T.StringType()), T.StructField("weight", T.DoubleType()),
+                                                                T.StructField("nweight", T.DoubleType())])
+    postings = whole.select(*keys, "_words", chunk).groupBy("_chunk").cogroup(weights.groupBy("_chunk")).applyInArrow(_chunk_postings(keys), schema)
     if checkpoint:
         # bucketed on the whole passage key: scoring sums per (query, passage)
         # inside each bucket, so candidate pairs are never shuffled, and one
@@ -163,6 +173,54 @@ def tfidf_index(passages: DataFrame, keys: Sequence[str] = ("doc_id", "line_no")
     return TfidfIndex(postings=postings, doc_freq=doc_freq, n_docs=n_docs, keys=keys)
 
 
+#: Whitespace but the blank.
+_OTHER_WS = re2_class(WHITESPACE_CHARS.replace(" ", ""))
+
+
+def _coded_terms(words: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The row and the term number of every token (as ``term_tokens`` cuts them)
+    of lower-cased texts, and the distinct terms in byte order."""
+    words = pa.chunked_array([c.cast(pa.large_string()) for c in words.chunks], pa.large_string()).combine_chunks()
+    odd = pc.match_substring_regex(words, _OTHER_WS)
+    if pc.any(odd).as_py():
+        words = pc.if_else(odd, pc.replace_substring_regex(words, _OTHER_WS, " "), words)
+    cut = pc.split_pattern(words, " ")
+    rows, flat = pc.list_parent_indices(cut).to_numpy(), cut.flatten()
+    told = pc.not_equal(flat, "")
+    coded = flat.filter(told).dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return rows[told.to_numpy(zero_copy_only=False)], rank[coded.indices.to_numpy()], coded.dictionary.take(order).cast(pa.string())
+
+
+def _chunk_vocabulary(texts: pa.Table) -> pa.Table:
+    """``(_chunk, term, n)``: the distinct terms of a chunk and how many of its
+    rows hold each."""
+    rows, codes, terms = _coded_terms(texts["_words"])
+    codes = np.unique(codes * max(1, len(texts)) + rows, return_index=True)[0] // max(1, len(texts))  # by sorting: much faster than without the index
+    n = np.bincount(codes, minlength=len(terms)).astype(np.int64)
+    return pa.table({"_chunk": pa.array(np.full(len(terms), texts["_chunk"][0].as_py(), np.int32)), "term": terms, "n": n})
+
+
+def _chunk_postings(keys: Sequence[str]):
+    """``(keys..., term, weight, nweight)`` of a chunk of passages, in term
+    order, from their tokens and the ``(term, idf)`` of the chunk."""
+    def run(texts: pa.Table, weights: pa.Table) -> pa.Table:
+        rows, codes, terms = _coded_terms(texts["_words"])
+        pairs, tf = np.unique(codes * max(1, len(texts)) + rows, return_counts=True)
+        codes, rows = pairs // max(1, len(texts)), pairs % max(1, len(texts))
+        at = pc.index_in(terms, value_set=weights["term"].combine_chunks())
+        of_term = weights["idf"].combine_chunks().take(at).to_numpy(zero_copy_only=False)
+        weight = tf * of_term[codes]
+        keep = weight > 0
+        codes, rows, weight = codes[keep], rows[keep], weight[keep]
+        norm = np.sqrt(np.bincount(rows, weights=weight * weight, minlength=len(texts)))
+        return pa.table({**{c: texts[c].take(rows) for c in keys}, "term": terms.take(codes), "weight": weight, "nweight": weight / norm[rows]})
+
+    return run
+
+
 # ---------------------------------------------------------------------------
 # V2: cosine scoring
 # ---------------------------------------------------------------------------
@@ -223,6 +281,93 @@ def sparse_scores(index: TfidfIndex, query_weights: DataFrame, queries_small: bo
         F.sum(F.col("nqweight") * F.col("nweight")).alias("score"))
 
 
+def _best(q: np.ndarray, r: np.ndarray, keys: pa.Table, k: int) -> np.ndarray:
+    """Places of each query's best ``k`` of the scored rows, as ``topk`` orders
+    them; all of them where the keys are of a type that Arrow doesn't sort."""
+    try:
+        by = pa.table({"_q": q, "_r": -r, **{f"_{i}": keys.column(i) for i in range(keys.num_columns)}})
+        order = pc.sort_indices(by, sort_keys=[(c, "ascending") for c in by.column_names], null_placement="at_start").to_numpy()
+    except (pa.ArrowNotImplementedError, pa.ArrowInvalid, pa.ArrowTypeError):
+        return np.arange(len(q))
+    q = q[order]
+    nth = np.arange(len(q)) - np.searchsorted(q, q)
+    return order[nth < k]
+
+
+def sparse_topk(index: TfidfIndex, query_weights: DataFrame, k: int = DEFAULT_K, queries_small: bool | None = None,
+                query_terms: Sequence[str] | None = None) -> DataFrame:
+    """The rows of ``topk(sparse_scores(...), k)``, without a row a (query,
+    passage) pair.
+
+    Small query weights are broadcast. A bucket's postings of their terms become
+    one row a passage, without a shuffle; a batch of passages is scored against
+    all queries by array sums, a bounded number of scores at a time, and only
+    rows leave that can be among the best ``k`` of their task. More queries than
+    ``MAX_QUERY_BLOCK``, or larger weights, take the join."""
+    spark, keys = index.postings.sparkSession, list(index.keys)
+    weights = query_weights.select("query_id", "term", "nqweight")
+    if queries_small is None:
+        queries_small = row_count_at_most(weights, DEFAULT_BROADCAST_ROWS)
+    got = weights.toArrow() if queries_small else None
+    ids = got["query_id"].combine_chunks().dictionary_encode(null_encoding="encode") if queries_small and len(got) else None
+    if ids is None or len(ids.dictionary) > MAX_QUERY_BLOCK:
+        return topk(sparse_scores(index, query_weights, queries_small, query_terms), k, keys)
+    terms = got["term"].combine_chunks().dictionary_encode()
+    query, term, weight = ids.indices.to_numpy(), terms.indices.to_numpy(), got["nqweight"].to_numpy()
+    blocks = []  # the queries, the numbers of their terms in the block and their weights, a column a query
+    step = max(1, min(QUERY_COLUMNS, PAIRS_AT_ONCE // max(1, int(np.bincount(query).max()))))
+    for lo in range(0, len(ids.dictionary), step):
+        at = (query >= lo) & (query < lo + step)
+        used, row = np.unique(term[at], return_inverse=True)
+        number = np.full(len(terms.dictionary), -1)
+        number[used] = np.arange(len(used))
+        matrix = np.zeros((len(used), min(step, len(ids.dictionary) - lo)))
+        matrix[row, query[at] - lo] = weight[at]
+        blocks.append((lo, number, matrix))
+    shared = spark.sparkContext.broadcast((ids.dictionary, blocks))
+    numbered = F.broadcast(spark.createDataFrame(list(enumerate(terms.dictionary.to_pylist())), "_no int, term string"))
+    postings = index.postings.select(*keys, "term", "nweight")
+    if query_terms is not None and 0 < len(query_terms) <= MAX_PUSHED_TERMS:
+        postings = postings.filter(_any_of([F.col("term") == F.lit(t) for t in sorted(set(query_terms))]))
+    passages = postings.join(numbered, "term").groupBy(*keys).agg(F.collect_list(F.struct("_no", "nweight")).alias("_p"))
+    schema = T.StructType([T.StructField("query_id", weights.schema["query_id"].dataType)] + [index.postings.schema[c] for c in keys]
+                          + [T.StructField("score", T.DoubleType())])
+
+    def score(batches):
+        dictionary, blocks = shared.value
+        least = [np.full((k, m.shape[1]), -np.inf) for _, _, m in blocks]  # each query's best k scores so far
+        for batch in batches:
+            lists, held = batch.column("_p"), pa.Table.from_batches([batch.select(keys)])
+            flat = lists.flatten()
+            row, no, w = pc.list_parent_indices(lists).to_numpy(), flat.field("_no").to_numpy(), flat.field("nweight").to_numpy()
+            for b, (lo, number, matrix) in enumerate(blocks):
+                there = np.flatnonzero(number[no] >= 0)
+                step = max(1, PAIRS_AT_ONCE // matrix.shape[1])
+                first = 0
+                while first < len(there):
+                    # whole passages, as many as fit
+                    last = len(there) if first + step >= len(there) else int(np.searchsorted(row[there], row[there[first + step]]))
+                    if last <= first:
+                        last = int(np.searchsorted(row[there], row[there[first]], side="right"))
+                    at, first = there[first:last], last
+                    starts = np.flatnonzero(np.r_[True, row[at][1:] != row[at][:-1]])
+                    part = matrix[number[no[at]]]
+                    part *= w[at][:, None]
+                    s = np.add.reduceat(part, starts, axis=0)
+                    rounded = np.where(s > 0, np.floor(s * 10.0 ** SCORE_DIGITS + 0.5), -np.inf)
+                    seen = np.concatenate([least[b], rounded])
+                    least[b] = np.partition(seen, len(seen) - k, axis=0)[len(seen) - k:]
+                    p, q = np.nonzero((rounded >= least[b].min(axis=0)) & (s > 0))
+                    if len(p):
+                        of = held.take(row[at][starts][p])
+                        best = _best(q, rounded[p, q], of, k)
+                        out = {"query_id": dictionary.take(pa.array(q[best] + lo)), **{c: of[c].take(best).combine_chunks() for c in keys},
+                               "score": s[p, q][best]}
+                        yield from pa.table(out).to_batches()
+
+    return topk(passages.mapInArrow(score, schema), k, keys)
+
+
 def _unit_rows(vectors: pd.Series) -> np.ndarray:
     """Vectors as rows of length one; a zero vector stays zero."""
     m = np.vstack(vectors.to_numpy()).astype(np.float64)
@@ -380,7 +525,7 @@ def search_passages(passages: DataFrame, queries: DataFrame, k: int = DEFAULT_K,
     qw = index.query_weights(queries, query_id_col, query_text_col, small=small)
     # a batch of few tokens may read few pages of the postings
     terms = few_query_terms(queries, query_text_col) if n_tokens <= 16 * MAX_PUSHED_TERMS else None
-    hits = topk(sparse_scores(index, qw, small, terms), k, keys)
+    hits = sparse_topk(index, qw, k, small, terms)
     # at most k hits per query: the query count bounds the hit count
     hits_small = n_queries <= max(1, DEFAULT_BROADCAST_ROWS // max(k, 1))
     return attach_passages(hits, passages, keys, text_col, hits_small=hits_small), index

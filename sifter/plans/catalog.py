@@ -495,7 +495,7 @@ def q_cosine_sparse(spark, sf):
 SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, line_no, score FROM hits""")
 def q_topk_sparse(spark, sf):
     _, idx = _index(spark, sf)
-    h = search.topk(search.sparse_scores(idx, idx.query_weights(_queries(spark, sf))), K)
+    h = search.sparse_topk(idx, idx.query_weights(_queries(spark, sf)), K)
     return h.select("query_id", _big(F.col("rank")).alias("rank"), "doc_id", "line_no", "score")
 
 

@@ -49,12 +49,11 @@ def doc_lines(documents: DataFrame) -> DataFrame:
 
 
 def clean_passages(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Strip, apply the retrieval profile and drop blank rows."""
-    return (
-        lines.withColumn("passage", clean_retrieval(strip(F.col(line_col))))
-        .filter(is_not_blank(F.col("passage")))
-        .drop(line_col)
-    )
+    """Strip, apply the retrieval profile and drop blank rows. The cleaned text
+    passes through a generator, which the filter is not pushed below: else every
+    line were cleaned twice, for the filter and for the row."""
+    cleaned = F.explode(F.array(clean_retrieval(strip(F.col(line_col))))).alias("passage")
+    return lines.select(*[c for c in lines.columns if c != line_col], cleaned).filter(is_not_blank(F.col("passage")))
 
 
 def passages(documents: DataFrame) -> DataFrame:
