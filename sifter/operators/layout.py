@@ -117,7 +117,7 @@ def entries(el: DataFrame, page_keys: Sequence[str] = ("doc_id", "page_no")) ->
 
 
 def _entries(el: DataFrame, page_keys: Sequence[str], table_text: Column, *more: str) -> DataFrame:
-    fonts, sizes = text_formats(F.col("chars"))
+    fonts, sizes = (F.col("_fonts"), F.col("_sizes")) if "_fonts" in el.columns else text_formats(F.col("chars"))
     kind = F.col("kind")
     return el.select(
         *page_keys, "ord", "kind", "keep",
@@ -138,6 +138,9 @@ def assemble_pages(el: DataFrame, page_keys: Sequence[str] = ("doc_id", "page_no
     record (possibly with empty arrays). With ``multi_table`` a page shows all
     its tables and the text between them (see ``mark_tables``)."""
     page_keys = list(page_keys)
+    # the distinct fonts and sizes move and are sorted, not a record a character
+    fonts, sizes = (F.when(F.col("kind") == TEXT, c) for c in text_formats(F.col("chars")))
+    el = el.withColumns({"_fonts": fonts, "_sizes": sizes}).drop("chars")
     # an element of another kind is never kept, but its page has a record
     ordered = order_elements(el, page_keys)
     # collect only the kept entries (collect_list skips nulls), so a page whose
