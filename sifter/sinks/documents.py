@@ -24,11 +24,13 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from ..session import ensure_checkpoint_dir
 from ..sources.files import _root_uri
 from ..sources.storage import open_store
 
@@ -37,6 +39,9 @@ from ..sources.storage import open_store
 _ANYWHERE = [("%", "%25"), ("/", "%2F"), ("\\", "%5C"), ("\0", "%00"), (":", "%3A"), ("\n", "%0A"), ("\r", "%0D")]
 _FIRST = [(".", "%2E"), ("_", "%5F")]
 
+#: Bytes of a piece held at once by the task that joins the pieces of a file.
+PIECE_BYTES = 4 << 20
+
 
 def file_name(key: Column, suffix: str = ".txt") -> Column:
     """File name of a document key: the key as text with the few characters
@@ -155,6 +160,31 @@ def write_files(rows: DataFrame, path: str, name_col: str = "name", content_col:
      .write.format(NamedFiles.name()).mode(mode).option("path", _root_uri(spark, path)).save())
 
 
+def write_one_file(rows: DataFrame, path: str, name: str, order: Sequence[str], content_col: str = "content") -> None:
+    """The contents of all rows, by ``order``, as one file ``path/name``. All
+    tasks sort and write pieces of it; one task then streams the pieces into the
+    file, a few megabytes at a time, so none sorts or holds the whole."""
+    spark = rows.sparkSession
+    spark.dataSource.register(NamedFiles)
+    pieces = _root_uri(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/sifter-files/pieces-{uuid.uuid4().hex}")
+    # range partitions follow each other in order, as their numbers do
+    (rows.select(*order, F.col(content_col).cast("binary").alias("content")).repartitionByRange(*order).sortWithinPartitions(*order)
+     .select(F.format_string("%08d", F.spark_partition_id()).alias("name"), "content")
+     .write.format(NamedFiles.name()).mode("overwrite").option("path", pieces).save())
+
+    def stream(batches):
+        for _ in batches:
+            store, folder = open_store(pieces)
+            files = [i for i in store.get_file_info(pafs.FileSelector(folder)) if not i.base_name.startswith("_")]
+            for info in sorted(files, key=lambda i: i.base_name):
+                with store.open_input_stream(info.path) as piece:
+                    while data := piece.read(PIECE_BYTES):
+                        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([data], pa.binary())], names=["name", "content"])
+
+    (spark.range(0, 1, 1, 1).mapInArrow(stream, "name string, content binary")
+     .write.format(NamedFiles.name()).mode("overwrite").option("path", _root_uri(spark, path)).save())
+
+
 def write_document_files(pages: DataFrame, path: str, file_col: str = "doc_id", order: Sequence[str] = ("page_no",),
                          text_col: str = "text", mode: str = "overwrite") -> None:
     """K1: ``<document>.txt`` for each document: its page texts in page order, a

@@ -17,8 +17,8 @@ window over the split's rows, across splits by a running value over one row a
 split (its number of keys and the last file it opened). So no task sees more than
 a split, however large the object is.
 
-**Writing.** The records are written out as text pieces in order, which stream
-into one file by ``sinks.documents.write_files``.
+**Writing.** All tasks sort the records and write them as text pieces, which stream
+into one file by ``sinks.documents.write_one_file``.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import bounded_broadcast, materialise
-from ..sinks.documents import write_files
+from ..sinks.documents import write_one_file
 from .files import PAGE_RECORD, read_lines
 
 CUT = '"Page_'
@@ -137,8 +137,8 @@ def write_page_dict_object(pages: DataFrame, path: str, file_col: str = "doc_id"
     """K5: the corpus as one JSON object in ``path/name``, files by their name,
     pages by number. ``pages`` has one row a page with the five arrays of a page
     record; an entry of ``line_format`` becomes the list of its fonts and sizes,
-    or a word. One file is one stream, so one task writes it, a batch of pages
-    at a time. A null file is named ``""``; an empty corpus is ``{}``."""
+    or a word. One file is one stream, so one task writes it, from the sorted
+    pieces of all tasks. A null file is named ``""``; an empty corpus is ``{}``."""
     spark = pages.sparkSession
     rows = pages.withColumn("file", F.coalesce(F.col(file_col).cast("string"), F.lit("")))
     first_file = rows.agg(F.min("file")).first()[0]
@@ -152,7 +152,7 @@ def write_page_dict_object(pages: DataFrame, path: str, file_col: str = "doc_id"
     content = F.concat(F.when(F.col("first"), opening).otherwise(","), F.lit(CUT), F.col("page_no").cast("string"), F.lit('":['), record, F.lit("]"))
     body = rows.select(F.lit(1).alias("part"), "file", "page_no", content.alias("content"))
     ends = spark.createDataFrame([(0, "{"), (2, "}" if first_file is None else "}}")], "part int, content string")
-    write_files(body.unionByName(ends, allowMissingColumns=True).withColumn("name", F.lit(name)), path, order=["part", "file", "page_no"])
+    write_one_file(body.unionByName(ends, allowMissingColumns=True), path, name, ["part", "file", "page_no"])
 
 
 def _quoted(text: Column) -> Column:

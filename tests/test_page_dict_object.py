@@ -121,3 +121,17 @@ def test_many_tasks_read_one_object(spark, small_dir):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert len(used) >= 15 and max(r["count"] for r in used) < sum(r["count"] for r in used) / 5
+
+
+def test_no_task_sorts_the_whole_object(spark, tmp_path, monkeypatch):
+    from sifter.sinks import documents
+
+    monkeypatch.setattr(documents, "PIECE_BYTES", 100)
+    rows = spark.range(5000).select(F.col("id").alias("n"), F.format_string("%d\u00e9;", "id").alias("content"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        documents.write_one_file(rows.repartition(7), str(tmp_path / "one"), "all.txt", ["n"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert (tmp_path / "one" / "all.txt").read_text() == "".join(f"{i}\u00e9;" for i in range(5000))
+    assert sorted(os.listdir(tmp_path / "one")) == ["_SUCCESS", "all.txt"]
