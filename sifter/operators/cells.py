@@ -36,6 +36,8 @@ MAX_CENTRES = 2048
 PART_ROWS = CORPUS_BLOCK
 #: Cells of vectors without a direction.
 ZERO, NO_NUMBER = -1, -2
+#: Vectors, or queries, that meet all centres at once.
+ROWS_AT_ONCE = 512
 #: Angles and bounds are widened by this much for rounding.
 _SLACK = 1e-6
 
@@ -88,18 +90,18 @@ def cell_index(corpus: DataFrame, key_col: str | Sequence[str] = "vec_id", vec_c
         centres = np.unique(units[~zero & ~odd], axis=0)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            units, zero, odd = _units(pdf["vec"])
-            cell, near = np.zeros(len(pdf), np.int64), np.ones(len(pdf))
-            if len(centres):
-                cos = units @ centres.T
-                cell, near = cos.argmax(1), cos.max(1)
-            else:  # the sample has no direction: what has one is read by all
-                odd = ~zero
-            cell = np.where(odd, NO_NUMBER, np.where(zero, ZERO, cell))
-            yield pdf.assign(cell=cell.astype(np.int32), angle=np.where(cell >= 0, np.arccos(np.clip(near, -1, 1)), 0.0))
+        for whole in batches:
+            for i in range(0, len(whole), ROWS_AT_ONCE):
+                pdf = whole.iloc[i:i + ROWS_AT_ONCE]
+                units, zero, odd = _units(pdf["vec"])
+                cell, near = np.zeros(len(pdf), np.int64), np.ones(len(pdf))
+                if len(centres):
+                    cos = units @ centres.T
+                    cell, near = cos.argmax(1), cos.max(1)
+                else:  # the sample has no direction: what has one is read by all
+                    odd = ~zero
+                cell = np.where(odd, NO_NUMBER, np.where(zero, ZERO, cell))
+                yield pdf.assign(cell=cell.astype(np.int32), angle=np.where(cell >= 0, np.arccos(np.clip(near, -1, 1)), 0.0))
 
     schema = T.StructType(c.schema.fields + [T.StructField("cell", T.IntegerType()), T.StructField("angle", T.DoubleType())])
     dealt = materialise(c.mapInPandas(assign, schema), "vectors-of-cells")
@@ -134,15 +136,16 @@ def _first_cells(bounds: np.ndarray, rows: np.ndarray, k: int) -> list[np.ndarra
 
 
 def _pairs(index: CellIndex, queries: DataFrame, k: int, rest: bool) -> DataFrame:
-    """``(_qid, _qv, cell)``: each query's first cells or, with ``rest``, the
-    others that can reach its ``threshold`` (all of them where it is null)."""
+    """``(_qid, _qv, cells)``: each query's first cells or, with ``rest``, the
+    others that can reach its ``threshold`` (all of them where it is null). A
+    query stays one row, so its vector is not repeated for each of its cells."""
     cells = np.array(sorted(index.rows), np.int64)
     rows = np.array([index.rows[c] for c in cells.tolist()])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
-            for i in range(0, len(whole), 512):
-                pdf = whole.iloc[i:i + 512].reset_index(drop=True)
+            for i in range(0, len(whole), ROWS_AT_ONCE):
+                pdf = whole.iloc[i:i + ROWS_AT_ONCE].reset_index(drop=True)
                 bounds = _bounds(index_only, cells, *_units(pdf["_qv"]))
                 first = _first_cells(bounds, rows, k)
                 if rest:
@@ -152,18 +155,17 @@ def _pairs(index: CellIndex, queries: DataFrame, k: int, rest: bool) -> DataFram
                     for q, f in enumerate(first):
                         take[q, f] = False
                     first = [np.flatnonzero(t) for t in take]
-                out = pdf.loc[np.repeat(np.arange(len(pdf)), [len(f) for f in first]), ["_qid", "_qv"]]
-                yield out.assign(cell=np.concatenate([cells[f] for f in first]).astype(np.int32))
+                yield pdf[["_qid", "_qv"]].assign(cells=[cells[f].astype(np.int32) for f in first])
 
     index_only = CellIndex(None, index.keys, index.centres, index.width, index.rows)  # frames don't travel
-    schema = T.StructType([queries.schema["_qid"], queries.schema["_qv"], T.StructField("cell", T.IntegerType())])
+    schema = T.StructType([queries.schema["_qid"], queries.schema["_qv"], T.StructField("cells", T.ArrayType(T.IntegerType()))])
     return queries.mapInPandas(run, schema)
 
 
 def _scored(index: CellIndex, pairs: DataFrame, groups: int, k: int) -> DataFrame:
     """Each query's best k rows of every part of its cells."""
     keys = list(index.keys)
-    q = pairs.join(index.sizes(), "cell").select("_qid", "_qv", "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    q = pairs.select("_qid", "_qv", F.explode("cells").alias("cell")).join(index.sizes(), "cell").select("_qid", "_qv", "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     q = q.withColumn("group", F.pmod(F.xxhash64("_qid", "_qv"), F.lit(groups)).cast("int"))
     wanted = q.select("cell", "part", F.col("group").alias("to")).distinct()
     vectors = index.vectors.join(wanted, ["cell", "part"])  # a part goes to the query groups that read it
@@ -198,5 +200,5 @@ def bounded_dense_topk(index: CellIndex, queries: DataFrame, k: int = DEFAULT_K,
     left = materialise(_pairs(index, known, k, rest=True), "cells-left")
     more = topk(_scored(index, left, groups, k), k, keys)
     hits = topk(found.drop("rank").unionByName(more.drop("rank")), k, keys)
-    read = start.select("cell").unionAll(left.select("cell")).join(index.sizes(), "cell").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    read = start.select("cells").unionAll(left.select("cells")).select(F.explode("cells").alias("cell")).join(index.sizes(), "cell").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     return CellHits(hits, n * rows, read)
