@@ -18,20 +18,26 @@ candidates has no threshold and reads all its blocks. Small blocks have sharper
 bounds and a larger table of greatest weights.
 
 Postings and greatest weights are bucketed on the block: bounds and scores are
-summed inside a bucket, and only (query, block) bounds and at most k rows a query
-and bucket move.
+summed inside a bucket. Queries that can be broadcast are scored in arrays: a block
+is one row with a bit for each query that it can serve, and besides these only a
+query's best rows of each task move. Other query sets take joins, with a row a
+(query, block) pair.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.vectors import round_score
+from ..functions.vectors import SCORE_DIGITS, round_score
 from ..session import bounded_broadcast, materialise, materialise_bucketed
-from .search import DEFAULT_K, TfidfIndex, _any_of, topk
+from .search import DEFAULT_K, PAIRS_AT_ONCE, QueryBlocks, TfidfIndex, _any_of, _scored_rows, query_blocks, topk
 
 #: Passages of one block.
 BLOCK_PASSAGES = 16
@@ -82,12 +88,17 @@ def block_index(index: TfidfIndex, size: int = BLOCK_PASSAGES) -> BlockIndex:
 
 
 def _pair_scores(index: BlockIndex, pairs: DataFrame, weights: DataFrame) -> DataFrame:
-    """Scores of the passages of the (query, block) pairs given."""
-    few = [r["block"] for r in pairs.select("block").distinct().limit(MAX_PUSHED_BLOCKS + 1).collect()]
+    """Scores of the passages of the (query, block) pairs given. Postings meet
+    the weights on their term before the pairs: on the block alone each would
+    meet every query of its block."""
+    blocks = pairs.select("block").distinct()
+    few = [r["block"] for r in blocks.limit(MAX_PUSHED_BLOCKS + 1).collect()]
     postings = index.postings
     if 0 < len(few) <= MAX_PUSHED_BLOCKS:  # a bucket is in block order: other pages are not read
         postings = postings.where(_any_of([F.col("block") == F.lit(b) for b in sorted(few)]))
-    return (postings.join(bounded_broadcast(pairs.select("query_id", "block")), "block").join(weights, ["query_id", "term"])
+    else:
+        postings = postings.join(bounded_broadcast(blocks), "block", "left_semi")
+    return (postings.join(weights, "term").join(bounded_broadcast(pairs.select("query_id", "block")), ["query_id", "block"])
             .groupBy("query_id", "block", *index.keys).agg(F.sum(F.col("nqweight") * F.col("nweight")).alias("score")).drop("block"))
 
 
@@ -98,7 +109,11 @@ def _can_reach(bound: Column, threshold: Column) -> Column:
 def bounded_topk(index: BlockIndex, query_weights: DataFrame, k: int = DEFAULT_K, first: int = FIRST_BLOCKS) -> BoundedHits:
     """The rows of ``topk(sparse_scores(...), k)`` from the blocks that can
     hold them; ``query_weights`` as ``TfidfIndex.query_weights`` gives them."""
-    weights = bounded_broadcast(materialise(query_weights.select("query_id", "term", "nqweight"), "query-weights"))
+    weights = materialise(query_weights.select("query_id", "term", "nqweight").where("query_id is not null"), "query-weights")
+    blocks = query_blocks(weights)
+    if blocks is not None:
+        return _bounded_by_arrays(index, weights, blocks, k, first)
+    weights = bounded_broadcast(weights)
     bounds = materialise(index.greatest.join(weights, "term").groupBy("query_id", "block")
                          .agg(F.sum(F.col("nqweight") * F.col("top")).alias("bound")), "block-bounds")
     best = Window.partitionBy("query_id").orderBy(F.col("bound").desc(), "block")
@@ -107,3 +122,41 @@ def bounded_topk(index: BlockIndex, query_weights: DataFrame, k: int = DEFAULT_K
     reached = bounded_broadcast(materialise(reached.select("query_id", F.col("score").alias("threshold")), "thresholds"))
     left = materialise(bounds.join(reached, "query_id", "left").where(_can_reach(F.col("bound"), F.col("threshold"))), "blocks-left")
     return BoundedHits(topk(_pair_scores(index, left, weights), k, index.keys), bounds.count(), left.count())
+
+
+def _bounded_by_arrays(index: BlockIndex, weights: DataFrame, blocks: QueryBlocks, k: int, first: int) -> BoundedHits:
+    """``bounded_topk`` of queries that can be broadcast, without a row a
+    (query, block) pair: a row a block has a bit for each query it can serve."""
+    keys = list(index.keys)
+    greatest = blocks.numbered(index.greatest, ["block"], "top")
+    id_field = weights.schema["query_id"]
+    best = T.StructType([id_field, T.StructField("block", T.LongType()), T.StructField("score", T.DoubleType())])
+    start = materialise(topk(greatest.mapInArrow(blocks.scorer(["block"], max(first, k)), best), max(first, k), ["block"]), "first-blocks")
+    reached = topk(_pair_scores(index, start, bounded_broadcast(weights)), k, keys).where(F.col("rank") == k)
+    known = {r["query_id"]: r["score"] for r in reached.select("query_id", "score").collect()}  # a row a query at most
+    threshold = np.array([known.get(q, -np.inf) for q in blocks.ids.to_pylist()])
+    shared = blocks.shared
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_queries, scale = shared.value[1], 10.0 ** SCORE_DIGITS
+        step = max(1, PAIRS_AT_ONCE // len(threshold))
+        for whole in batches:
+            for i in range(0, whole.num_rows, step):
+                batch = whole.slice(i, step)
+                take, pairs = np.zeros((batch.num_rows, len(threshold)), bool), np.zeros(batch.num_rows, np.int64)
+                for _, lo, at, s in _scored_rows(batch.column("_p"), of_queries):
+                    bound = np.floor((s * (1 + _SLACK) + _SLACK) * scale + 0.5) / scale
+                    take[at, lo:lo + s.shape[1]] = (s > 0) & (bound >= threshold[lo:lo + s.shape[1]])
+                    pairs[at] += (s > 0).sum(1)
+                bits = pa.array([x.tobytes() for x in np.packbits(take, axis=1)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("block"), bits, pa.array(pairs), pa.array(take.sum(1).astype(np.int64))],
+                                                 names=["block", "queries", "pairs", "taken"])
+
+    about = materialise(greatest.mapInArrow(reach, "block bigint, queries binary, pairs bigint, taken bigint"), "blocks-left")
+    left = about.where(F.col("taken") > 0).select(F.col("block").alias("_block"), "queries")
+    passages = blocks.numbered(index.postings, ["block", *keys], "nweight")
+    passages = passages.join(left, F.col("block") == F.col("_block")).select(*keys, "_p", "queries")
+    schema = T.StructType([id_field] + [index.postings.schema[c] for c in keys] + [T.StructField("score", T.DoubleType())])
+    hits = topk(passages.mapInArrow(blocks.scorer(keys, k, "queries"), schema), k, keys)
+    n = about.agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"), F.coalesce(F.sum("taken"), F.lit(0)).alias("taken")).first()
+    return BoundedHits(hits, n["pairs"], n["taken"])

@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -294,24 +295,62 @@ def _best(q: np.ndarray, r: np.ndarray, keys: pa.Table, k: int) -> np.ndarray:
     return order[nth < k]
 
 
-def sparse_topk(index: TfidfIndex, query_weights: DataFrame, k: int = DEFAULT_K, queries_small: bool | None = None,
-                query_terms: Sequence[str] | None = None) -> DataFrame:
-    """The rows of ``topk(sparse_scores(...), k)``, without a row a (query,
-    passage) pair.
+@dataclass
+class QueryBlocks:
+    """Weights of at most ``MAX_QUERY_BLOCK`` queries for the tasks: the query
+    ids, the terms, and in ``shared`` the ids and the blocks of queries."""
+
+    ids: pa.Array
+    terms: pa.Array
+    shared: Broadcast
+
+    def numbered(self, postings: DataFrame, by: Sequence[str], value: str, query_terms: Sequence[str] | None = None) -> DataFrame:
+        """``(by..., _p)``: the numbers of the query terms and the ``value`` of
+        the postings that ``by`` has, one row for each ``by``."""
+        terms = F.broadcast(postings.sparkSession.createDataFrame(list(enumerate(self.terms.to_pylist())), "_no int, term string"))
+        postings = postings.select(*by, "term", F.col(value).alias("nweight"))
+        if query_terms is not None and 0 < len(query_terms) <= MAX_PUSHED_TERMS:
+            postings = postings.filter(_any_of([F.col("term") == F.lit(t) for t in sorted(set(query_terms))]))
+        return postings.join(terms, "term").groupBy(*by).agg(F.collect_list(F.struct("_no", "nweight")).alias("_p"))
+
+    def scorer(self, keys: Sequence[str], k: int, mask_col: str | None = None):
+        """A map function over ``numbered`` rows: ``(query_id, keys..., score)``
+        of the rows that can be among each query's best ``k`` of the task.
+        ``mask_col`` has a bit for each query that may take the row."""
+        shared, keys = self.shared, list(keys)
+
+        def score(batches):
+            dictionary, blocks = shared.value
+            least = [np.full((k, m.shape[1]), -np.inf) for _, _, m in blocks]  # each query's best k scores so far
+            for batch in batches:
+                held = pa.Table.from_batches([batch.select(keys)])
+                allowed = None if mask_col is None else _bits(batch.column(mask_col))
+                for b, lo, at, s in _scored_rows(batch.column("_p"), blocks):
+                    rounded = np.where(s > 0, np.floor(s * 10.0 ** SCORE_DIGITS + 0.5), -np.inf)
+                    if allowed is not None:
+                        rounded[np.unpackbits(allowed[at], axis=1)[:, lo:lo + s.shape[1]] == 0] = -np.inf
+                    seen = np.concatenate([least[b], rounded])
+                    least[b] = np.partition(seen, len(seen) - k, axis=0)[len(seen) - k:]
+                    p, q = np.nonzero((rounded >= least[b].min(axis=0)) & (rounded > -np.inf))
+                    if len(p):
+                        of = held.take(at[p])
+                        best = _best(q, rounded[p, q], of, k)
+                        out = {"query_id": dictionary.take(pa.array(q[best] + lo)), **{c: of[c].take(best).combine_chunks() for c in keys},
+                               "score": s[p, q][best]}
+                        yield from pa.table(out).to_batches()
 
-    Small query weights are broadcast. A bucket's postings of their terms become
-    one row a passage, without a shuffle; a batch of passages is scored against
-    all queries by array sums, a bounded number of scores at a time, and only
-    rows leave that can be among the best ``k`` of their task. More queries than
-    ``MAX_QUERY_BLOCK``, or larger weights, take the join."""
-    spark, keys = index.postings.sparkSession, list(index.keys)
-    weights = query_weights.select("query_id", "term", "nqweight")
+        return score
+
+
+def query_blocks(weights: DataFrame, queries_small: bool | None = None) -> QueryBlocks | None:
+    """``(query_id, term, nqweight)`` as blocks of queries; none if they are too
+    large to be broadcast, or empty."""
     if queries_small is None:
         queries_small = row_count_at_most(weights, DEFAULT_BROADCAST_ROWS)
     got = weights.toArrow() if queries_small else None
     ids = got["query_id"].combine_chunks().dictionary_encode(null_encoding="encode") if queries_small and len(got) else None
     if ids is None or len(ids.dictionary) > MAX_QUERY_BLOCK:
-        return topk(sparse_scores(index, query_weights, queries_small, query_terms), k, keys)
+        return None
     terms = got["term"].combine_chunks().dictionary_encode()
     query, term, weight = ids.indices.to_numpy(), terms.indices.to_numpy(), got["nqweight"].to_numpy()
     blocks = []  # the queries, the numbers of their terms in the block and their weights, a column a query
@@ -324,48 +363,57 @@ def sparse_topk(index: TfidfIndex, query_weights: DataFrame, k: int = DEFAULT_K,
         matrix = np.zeros((len(used), min(step, len(ids.dictionary) - lo)))
         matrix[row, query[at] - lo] = weight[at]
         blocks.append((lo, number, matrix))
-    shared = spark.sparkContext.broadcast((ids.dictionary, blocks))
-    numbered = F.broadcast(spark.createDataFrame(list(enumerate(terms.dictionary.to_pylist())), "_no int, term string"))
-    postings = index.postings.select(*keys, "term", "nweight")
-    if query_terms is not None and 0 < len(query_terms) <= MAX_PUSHED_TERMS:
-        postings = postings.filter(_any_of([F.col("term") == F.lit(t) for t in sorted(set(query_terms))]))
-    passages = postings.join(numbered, "term").groupBy(*keys).agg(F.collect_list(F.struct("_no", "nweight")).alias("_p"))
+    return QueryBlocks(ids.dictionary, terms.dictionary, weights.sparkSession.sparkContext.broadcast((ids.dictionary, blocks)))
+
+
+def _bits(column: pa.Array) -> np.ndarray:
+    """Binary values of one length as rows of bytes."""
+    flat = np.frombuffer(b"".join(column.to_pylist()), np.uint8)
+    return flat.reshape(len(column), -1)
+
+
+def _scored_rows(lists: pa.Array, blocks: list):
+    """``(block, first query, rows, scores)`` of lists of term numbers and
+    weights, a bounded number of scores at a time; rows that share no term with
+    the block's queries are left out."""
+    flat = lists.flatten()
+    row, no, w = pc.list_parent_indices(lists).to_numpy(), flat.field("_no").to_numpy(), flat.field("nweight").to_numpy()
+    for b, (lo, number, matrix) in enumerate(blocks):
+        there = np.flatnonzero(number[no] >= 0)
+        step = max(1, PAIRS_AT_ONCE // matrix.shape[1])
+        first = 0
+        while first < len(there):
+            # whole rows, as many as fit
+            last = len(there) if first + step >= len(there) else int(np.searchsorted(row[there], row[there[first + step]]))
+            if last <= first:
+                last = int(np.searchsorted(row[there], row[there[first]], side="right"))
+            at, first = there[first:last], last
+            starts = np.flatnonzero(np.r_[True, row[at][1:] != row[at][:-1]])
+            part = matrix[number[no[at]]]
+            part *= w[at][:, None]
+            yield b, lo, row[at][starts], np.add.reduceat(part, starts, axis=0)
+
+
+def sparse_topk(index: TfidfIndex, query_weights: DataFrame, k: int = DEFAULT_K, queries_small: bool | None = None,
+                query_terms: Sequence[str] | None = None) -> DataFrame:
+    """The rows of ``topk(sparse_scores(...), k)``, without a row a (query,
+    passage) pair.
+
+    Small query weights are broadcast. A bucket's postings of their terms become
+    one row a passage, without a shuffle; a batch of passages is scored against
+    all queries by array sums, a bounded number of scores at a time, and only
+    rows leave that can be among the best ``k`` of their task. More queries than
+    ``MAX_QUERY_BLOCK``, or larger weights, take the join."""
+    keys = list(index.keys)
+    weights = query_weights.select("query_id", "term", "nqweight")
+    blocks = query_blocks(weights, queries_small)
+    if blocks is None:
+        return topk(sparse_scores(index, query_weights, queries_small, query_terms), k, keys)
+    passages = blocks.numbered(index.postings, keys, "nweight", query_terms)
     schema = T.StructType([T.StructField("query_id", weights.schema["query_id"].dataType)] + [index.postings.schema[c] for c in keys]
                           + [T.StructField("score", T.DoubleType())])
 
-    def score(batches):
-        dictionary, blocks = shared.value
-        least = [np.full((k, m.shape[1]), -np.inf) for _, _, m in blocks]  # each query's best k scores so far
-        for batch in batches:
-            lists, held = batch.column("_p"), pa.Table.from_batches([batch.select(keys)])
-            flat = lists.flatten()
-            row, no, w = pc.list_parent_indices(lists).to_numpy(), flat.field("_no").to_numpy(), flat.field("nweight").to_numpy()
-            for b, (lo, number, matrix) in enumerate(blocks):
-                there = np.flatnonzero(number[no] >= 0)
-                step = max(1, PAIRS_AT_ONCE // matrix.shape[1])
-                first = 0
-                while first < len(there):
-                    # whole passages, as many as fit
-                    last = len(there) if first + step >= len(there) else int(np.searchsorted(row[there], row[there[first + step]]))
-                    if last <= first:
-                        last = int(np.searchsorted(row[there], row[there[first]], side="right"))
-                    at, first = there[first:last], last
-                    starts = np.flatnonzero(np.r_[True, row[at][1:] != row[at][:-1]])
-                    part = matrix[number[no[at]]]
-                    part *= w[at][:, None]
-                    s = np.add.reduceat(part, starts, axis=0)
-                    rounded = np.where(s > 0, np.floor(s * 10.0 ** SCORE_DIGITS + 0.5), -np.inf)
-                    seen = np.concatenate([least[b], rounded])
-                    least[b] = np.partition(seen, len(seen) - k, axis=0)[len(seen) - k:]
-                    p, q = np.nonzero((rounded >= least[b].min(axis=0)) & (s > 0))
-                    if len(p):
-                        of = held.take(row[at][starts][p])
-                        best = _best(q, rounded[p, q], of, k)
-                        out = {"query_id": dictionary.take(pa.array(q[best] + lo)), **{c: of[c].take(best).combine_chunks() for c in keys},
-                               "score": s[p, q][best]}
-                        yield from pa.table(out).to_batches()
-
-    return topk(passages.mapInArrow(score, schema), k, keys)
+    return topk(passages.mapInArrow(blocks.scorer(keys, k), schema), k, keys)
 
 
 def _unit_rows(vectors: pd.Series) -> np.ndarray:
