@@ -4,7 +4,9 @@ and M1 answers that resume.
 A store is a folder of batches. A row is the SHA-256 of a text, the text itself and
 the value; a text is looked up by both, so two texts of one digest could not change
 places. Only texts that the store lacks go to the model, each once however often it
-stands in the table. They are dealt into groups of about ``GROUP_ROWS`` by digest;
+stands in the table. Texts are joined as they are, so a text moves alone and its digest
+is made where it arrives; a stored text whose digest is another's is no match. Missing
+texts are written once, in files of a small share of ``GROUP_ROWS``; some files are a group;
 each group is one Spark job, written to a folder of its own and then named in the
 list of committed batches. A run that breaks keeps its committed groups: the next
 finds them by the anti join and goes on with the rest. A folder that was never
@@ -18,16 +20,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import WS_CLASS
 from ..session import ensure_checkpoint_dir
-from .hooks import Encoder, Generator, _model, _pickled
+from .hooks import Encoder, Generator, _model, _pickled, vector_lists
 
 #: Texts of one commit.
 GROUP_ROWS = 1_000_000
+#: Files that the texts of a full group are written to, at least.
+FILES_OF_A_GROUP = 16
 #: Words of a batch of prompts, each counted as long as the longest.
 WORD_BUDGET = 16_384
 
@@ -64,8 +69,12 @@ class ContentStore:
 
     def missing(self, texts: DataFrame) -> DataFrame:
         """``(digest, text)``: the distinct non-null texts that the store lacks."""
-        wanted = texts.where(F.col("text").isNotNull()).select(_digest().alias("digest"), "text").distinct()
-        return wanted.join(self.rows().select("digest", "text"), ["digest", "text"], "left_anti")
+        wanted = texts.where(F.col("text").isNotNull()).select("text").distinct()
+        return wanted.join(self._sound().select("text"), "text", "left_anti").select(_digest().alias("digest"), "text")
+
+    def _sound(self) -> DataFrame:
+        """``(text, value)`` of the rows that stand under their text's digest."""
+        return self.rows().where(F.col("digest") == _digest()).select("text", "value")
 
     def commit(self, rows: DataFrame) -> None:
         """Add ``(digest, text, value)`` rows: all of them or none."""
@@ -77,23 +86,26 @@ class ContentStore:
         """Add the values of the texts that the store lacks, ``compute`` taking
         ``(digest, text)`` rows; returns how many there were."""
         path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/sifter-tables/missing-{uuid.uuid4().hex}"
-        self.missing(texts).write.parquet(f"{path}/all")
-        todo = self.spark.read.parquet(f"{path}/all")
-        n = todo.count()
-        groups = -(-n // group_rows)
-        if groups > 1:  # a group reads its own folder only
-            part = F.pmod(F.xxhash64("digest"), F.lit(groups)).cast("int")
-            todo.withColumn("part", part).repartitionByRange("part", "digest").write.partitionBy("part").parquet(f"{path}/parts")
-            parts = self.spark.read.schema("digest string, text string, part int").parquet(f"{path}/parts")
-        for g in range(groups):
-            self.commit(compute(todo if groups == 1 else parts.where(F.col("part") == g).drop("part")))
-        return n
+        self.missing(texts).write.option("maxRecordsPerFile", max(1, group_rows // FILES_OF_A_GROUP)).parquet(path)
+        todo = self.spark.read.schema("digest string, text string").parquet(path)
+        # rows of each file, from the footers; a group reads its own files only
+        files = sorted((f"{path}/{r['name']}", r["n"]) for r in todo.groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count(F.lit(1)).alias("n")).collect())
+        groups: list[list[str]] = []
+        rows = 0
+        for name, n in files:
+            if not groups or rows + n > group_rows:
+                groups.append([])
+                rows = 0
+            groups[-1].append(name)
+            rows += n
+        for names in groups:
+            self.commit(compute(self.spark.read.schema("digest string, text string").parquet(*names)))
+        return sum(n for _, n in files)
 
     def look_up(self, df: DataFrame, text_col: str, out_col: str) -> DataFrame:
         """``df`` with the stored value of each row's text; null for a null text."""
-        kept = self.rows().select(F.col("digest").alias("_digest"), F.col("text").alias("_text"), F.col("value").alias(out_col))
-        same = (F.sha2(F.col(text_col).cast("binary"), 256) == F.col("_digest")) & (F.col(text_col) == F.col("_text"))
-        return df.join(kept, same, "left").select(*[df[c] for c in df.columns], out_col)
+        kept = self._sound().select(F.col("text").alias("_text"), F.col("value").alias(out_col))
+        return df.join(kept, F.col(text_col) == F.col("_text"), "left").select(*[df[c] for c in df.columns], out_col)
 
 
 def embed_stored(df: DataFrame, text_col: str, encoder_factory: Callable[[], Encoder], store: ContentStore, out_col: str = "embedding",
@@ -103,13 +115,13 @@ def embed_stored(df: DataFrame, text_col: str, encoder_factory: Callable[[], Enc
     factory = _pickled(encoder_factory)
 
     def compute(rows: DataFrame) -> DataFrame:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                if len(pdf):
-                    vectors = np.asarray(_model(factory)(pdf["text"].tolist()), np.float32)
-                    yield pdf.assign(value=list(vectors))
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    vectors = np.asarray(_model(factory)(batch.column("text").to_pylist()), np.float32)
+                    yield pa.RecordBatch.from_arrays([batch.column("digest"), batch.column("text"), vector_lists(vectors)], names=["digest", "text", "value"])
 
-        return rows.mapInPandas(run, "digest string, text string, value array<float>")
+        return rows.select("digest", "text").mapInArrow(run, "digest string, text string, value array<float>")
 
     n = store.fill(df.select(F.col(text_col).alias("text")), compute, group_rows)
     return store.look_up(df, text_col, out_col), n
