@@ -14,6 +14,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,13 +50,18 @@ def embed(df: DataFrame, text_col: str, encoder_factory: Callable[[], Encoder],
 
     def run(batches):
         enc = _model(factory)
-        for pdf in batches:
-            texts = pdf[text_col].fillna("").tolist()
+        for batch in batches:
+            texts = [t or "" for t in batch.column(text_col).to_pylist()]
             vecs = np.asarray(enc(texts), dtype=np.float32) if texts else np.zeros((0, 0), np.float32)
-            pdf[out_col] = list(vecs)
-            yield pdf
+            yield pa.RecordBatch.from_arrays([*batch.columns, vector_lists(vecs)], names=schema.names)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
+
+
+def vector_lists(vectors: np.ndarray) -> pa.Array:
+    """The rows of a matrix as a list array of 32-bit floats."""
+    n, width = vectors.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), pa.array(np.ascontiguousarray(vectors, np.float32).ravel()))
 
 
 def rerank(hits: DataFrame, scorer_factory: Callable[[], PairScorer], query_col: str = "query",
@@ -138,11 +144,15 @@ def hashing_encoder(dim: int = 64) -> Encoder:
 
 def letter_encoder() -> Encoder:
     """Counts of the letters a-z, either case."""
-    import string
+    code = np.full(256, 26, np.int64)  # no other byte of UTF-8 is a letter's
+    for i in range(26):
+        code[ord("a") + i] = code[ord("A") + i] = i
 
     def enc(texts: list[str]) -> np.ndarray:
-        return np.array([[t.count(a) + t.count(b) for a, b in zip(string.ascii_lowercase, string.ascii_uppercase)]
-                         for t in texts], dtype=np.float64).reshape(len(texts), 26)
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        flat = code[np.frombuffer(b"".join(raw), np.uint8)]
+        flat += 27 * np.repeat(np.arange(len(raw)), [len(r) for r in raw])
+        return np.bincount(flat, minlength=27 * len(raw)).reshape(len(raw), 27)[:, :26].astype(np.float64)
     return enc
 
 
