@@ -441,7 +441,8 @@ def _scored_vectors(q_ids: pa.Array, q_mat: np.ndarray, keys: pa.Table, c_mat: n
     """Batches ``(query_id, keys..., score)`` of all query rows against all
     corpus rows, a bounded number of pairs at a time. With ``k`` only rows that
     can be among each query's best ``k``, whose rounded scores so far ``least``
-    keeps; rows equal in score are cut by key, as ``topk`` orders them."""
+    keeps; rows equal in score are cut by key, as ``topk`` orders them. A score
+    that is no number is null, and no row with ``k``."""
     n = len(c_mat)
     step = max(1, PAIRS_AT_ONCE // max(1, n))
     for lo in range(0, len(q_mat), step):
@@ -450,19 +451,20 @@ def _scored_vectors(q_ids: pa.Array, q_mat: np.ndarray, keys: pa.Table, c_mat: n
             q, p = np.repeat(np.arange(len(s)), n), np.tile(np.arange(n), len(s))
         else:
             rounded = np.floor(s * 10.0 ** SCORE_DIGITS + 0.5)
-            rounded[np.isnan(rounded)] = np.inf  # Spark orders NaN above every number
+            rounded[np.isnan(rounded)] = -np.inf  # no score: takes no hit's place
             own = least[lo:lo + step]  # a view
             better = np.flatnonzero((rounded > own.min(axis=1)[:, None]).any(axis=1))
             if len(better):
                 seen = np.concatenate([own[better], rounded[better]], axis=1)
                 own[better] = np.partition(seen, n, axis=1)[:, n:]
-            q, p = np.nonzero(rounded >= own.min(axis=1)[:, None])
+            q, p = np.nonzero((rounded >= own.min(axis=1)[:, None]) & (rounded > -np.inf))
             if not len(q):
                 continue
             best = _best(q, rounded[q, p], keys.take(p), k)
             q, p = q[best], p[best]
         of = keys.take(p)
-        yield from pa.table({"query_id": q_ids.take(pa.array(q + lo)), **{c: of[c].combine_chunks() for c in keys.column_names}, "score": s[q, p]}).to_batches()
+        yield from pa.table({"query_id": q_ids.take(pa.array(q + lo)), **{c: of[c].combine_chunks() for c in keys.column_names},
+                             "score": pa.array(s[q, p], from_pandas=True)}).to_batches()  # no number: null
 
 
 def _score_block(q_ids, q_mat: np.ndarray, keys: pd.DataFrame, c_mat: np.ndarray, k: int | None):
