@@ -33,16 +33,17 @@ network and no rows; columns other than id and text are ignored.
 from __future__ import annotations
 
 import uuid
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, count, islice
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm._common import read_table
+from sifter.llm._common import numbered_words, read_table, text_chunks
 from sifter.session import ensure_checkpoint_dir, materialise
 
 #: Ids of a network, powers of two; one more for every DISTINCT distinct words.
@@ -61,6 +62,8 @@ RATE = 0.15
 PIECE, LISTED = 1 << 21, 8192
 #: Added to the count of every word of a bucket, and once for all unseen ones.
 SMOOTH = 0.5
+#: Text whose words are counted at once, in bytes.
+COUNTED = 16 << 20
 #: Rows whose logits are held at once.
 RUN = 1024
 #: Floats per row when networks are averaged.
@@ -248,23 +251,25 @@ def contexts(ids: np.ndarray, lengths: np.ndarray, pad: int) -> np.ndarray:
     return out
 
 
-def word_counts(docs: DataFrame, text_col: str = "text", flush: int = 200_000) -> DataFrame:
-    """``(word binary, n)`` over every text; counted per task first."""
+def word_counts(docs: DataFrame, text_col: str = "text", most: int = COUNTED) -> DataFrame:
+    """``(word binary, n)`` over every text; counted per ``most`` bytes of text first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-            counts.clear()
-            return out
+            words, at, _ = numbered_words(pa.concat_arrays(held))
+            held.clear()
+            return pa.RecordBatch.from_arrays([words.cast(pa.binary()), pa.array(np.bincount(at, minlength=len(words)).astype(np.int64))], names=["word", "n"])
 
-        counts: Counter = Counter()
+        held, size = [], 0
         for b in batches:
-            for i in range(0, b.num_rows, 512):
-                for t in b.column(0).slice(i, 512).cast(pa.binary()).to_pylist():
-                    counts.update((t or b"").lower().split())
-                    if len(counts) > flush:
-                        yield rows()
-        yield rows()
+            for first, n in text_chunks(b.column(0), most):
+                held.append(b.column(0).slice(first, n))
+                size += pc.sum(pc.binary_length(held[-1])).as_py() or 0
+                if size >= most:
+                    yield rows()
+                    size = 0
+        if held:
+            yield rows()
 
     return docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -342,9 +347,8 @@ def token_pieces(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", tex
             kind = batch.schema.field(0).type
             for i in range(0, batch.num_rows, 512):
                 b = batch.slice(i, 512)
-                split = [(t or b"").lower().split() for t in b.column(1).cast(pa.binary()).to_pylist()]
-                ends = np.cumsum([len(w) for w in split])
-                got = np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), np.uint32, int(ends[-1]))
+                distinct, at, ends = numbered_words(b.column(1))
+                got = np.fromiter(map(numbers.__getitem__, distinct.to_numpy(zero_copy_only=False).tolist()), np.uint32, len(distinct))[at]
                 # the words that are new stand last, in the order of their numbers
                 fresh = list(islice(reversed(numbers), len(numbers) - len(vocab) - len(listed)))[::-1]
                 listed += fresh

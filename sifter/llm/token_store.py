@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sifter.llm._common import read_table, worker_cache
+from sifter.llm._common import read_table, text_chunks, worker_cache
 from sifter.session import ensure_checkpoint_dir, materialise
 
 END_ID = 1
@@ -92,17 +92,6 @@ def letters_apart(path: str) -> bool:
     return lower and apart and added and whole and [p["type"] for p in pre[1:]] == ["ByteLevel"]
 
 
-def _chunks(texts: pa.Array, most: int | None = None) -> Iterator[tuple[int, int]]:
-    """``(first, rows)`` of runs of at most ``most`` bytes of text, or of one text."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    first, most = 0, most or CHUNK_BYTES
-    while first < len(ends):
-        before = int(ends[first - 1]) if first else 0
-        last = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
-        yield first, last - first
-        first = last
-
-
 class WordEncoder:
     """Encodes texts to little-endian 32-bit ids with a word cache.
 
@@ -224,7 +213,7 @@ class WordEncoder:
 
     def encode_array(self, texts: pa.Array, end: bytes = b"") -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """``(first, ids, lengths)`` of runs of whole texts, ``end`` behind each text's ids."""
-        for first, rows in _chunks(texts):
+        for first, rows in text_chunks(texts, CHUNK_BYTES):
             yield first, *self._chunk(texts.slice(first, rows), end)
 
     def encode(self, texts: list[str]) -> list[bytes]:

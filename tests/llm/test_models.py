@@ -1,11 +1,13 @@
 """Trained operators: held-out accuracy, gradients, brute force on small data."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from sifter.llm import decontaminate, language_id, pseudo_likelihood, quality_classifier
+from sifter.llm import _common, decontaminate, language_id, pseudo_likelihood, quality_classifier
 
 SF = "/root/testdata/sf0.01"
 
@@ -157,6 +159,32 @@ def test_pseudo_likelihood_of_bucketed_words(spark):
     assert alone[0] < alone[1] < alone[2]
 
 
+def test_words_numbered_by_arrow(spark):
+    texts = [None, "", " \n", "B a\tb\x0bB", "  É é\x1cE\x85x\u00a0y  a\r\n", "a" * 300, None, "\x00 b", "x"]
+    own = [(t or "").encode().lower().split() for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(["skipped", *texts], kind).slice(1)
+        words, at, ends = _common.numbered_words(column)
+        assert words.to_pylist() == list(dict.fromkeys(w for ws in own for w in ws))
+        flat = [words[i].as_py() for i in at.tolist()]
+        assert [flat[a:z] for a, z in zip([0, *ends.tolist()], ends.tolist())] == own
+        runs = list(_common.text_chunks(column, 12))
+        assert [i for first, n in runs for i in range(first, first + n)] == list(range(len(texts)))
+        assert all(n == 1 or sum(len((t or "").encode()) for t in texts[first:first + n]) <= 12 for first, n in runs)
+    assert [len(x) for x in _common.numbered_words(pa.array([], pa.string()))] == [0, 0, 0]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "doc_id long, text string").repartition(2)
+    want = Counter(w for ws in own * 3 for w in ws)
+    for most in (1, 40, 1 << 20):
+        assert {bytes(r.word): r.n for r in pseudo_likelihood.word_counts(docs, most=most).collect()} == want
+    assert pseudo_likelihood.word_counts(docs.limit(0)).count() == 0
+
+
+def test_word_counts_of_many_distinct_words(spark):
+    docs = spark.range(1).selectExpr("id doc_id", "concat_ws(' ', transform(sequence(0, 449999), x -> string(x % 225000))) text")
+    counted = pseudo_likelihood.materialise(pseudo_likelihood.word_counts(docs.unionByName(docs).coalesce(1)), "w")
+    assert counted.agg(F.count("*"), F.min("n"), F.max("n")).first()[:] == (225000, 4, 4)
+
+
 def test_pseudo_likelihood_ids_grow_with_distinct_words(spark):
     sizes = [len(pseudo_likelihood.vocabulary(None, counted=spark.range(n).selectExpr("cast(string(id) as binary) word", "1L n"))[1]) for n in (10, 100_000, 1_000_000)]
     assert sizes == [1024, 2048, 4096]
