@@ -153,9 +153,10 @@ def tfidf_index(passages: DataFrame, keys: Sequence[str] = ("doc_id", "line_no")
     size = passages.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("b")).first()
     n_docs = size["n"] if n_docs is None else n_docs
     # a chunk lies in one bucket of the postings: its number is that of the
-    # bucket, modulo the number of buckets
+    # bucket, modulo the number of buckets; a bucket has a power of two of them,
+    # as it has of the blocks of ``bounded``, so that a block lies in one chunk
     buckets = int(passages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunk = F.pmod(F.hash(*keys), F.lit(buckets * max(1, -(-size["b"] // (CHUNK_BYTES * buckets))))).alias("_chunk")
+    chunk = F.pmod(F.hash(*keys), F.lit(buckets << (max(1, -(-size["b"] // (CHUNK_BYTES * buckets))) - 1).bit_length())).alias("_chunk")
     vocabulary = passages.select(chunk, words).groupBy("_chunk").applyInArrow(_chunk_vocabulary, "_chunk int, term string, n bigint")
     if checkpoint:
         vocabulary = materialise(vocabulary, "chunk_terms")
