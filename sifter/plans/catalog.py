@@ -22,7 +22,7 @@ from ..sinks.documents import document_key, write_document_files, write_files
 from ..sinks.writers import write_corpus, write_page_dict, write_per_document, write_result_csv
 from ..sources import fixtures as fx
 from ..sources.decks import read_decks
-from ..sources.files import read_lines, read_page_dict, read_passages, scan_documents
+from ..sources.files import read_folder_passages, read_lines, read_page_dict, scan_documents
 from ..sources.page_dict import read_page_dict_object, write_page_dict_object
 from . import oracle as o
 
@@ -658,11 +658,12 @@ SELECT conv_id, CAST(generate_subscripts(parts, 1) - 1 AS BIGINT) AS passage_no,
   SELECT conv_id, regexp_split_to_array(string_agg({o.slide('text', 'en')} || chr(10), '' ORDER BY turn), '\r\n|\r|\n') AS parts
   FROM conversations GROUP BY conv_id)""")
 def q_per_document_files(spark, sf):
-    """One folder of text per conversation, read back as passages."""
+    """One folder of text per conversation, read back as passages. A
+    conversation that spans several part files is one text."""
     path = _written(spark, "documents")
     turns = _t(spark, sf, "conversations").select("conv_id", "turn", tx.clean_slide("text", "en").alias("text"))
     write_per_document(turns, path, "conv_id", ["turn"])
-    p = read_passages(spark, path)
+    p = read_folder_passages(spark, path)
     return p.select(F.regexp_extract("file", r"conv_id=(\d+)/", 1).cast("bigint").alias("conv_id"), "passage_no", "passage")
 
 

@@ -55,6 +55,21 @@ def file_name(key: Column, suffix: str = ".txt") -> Column:
     return name
 
 
+#: Characters that Spark escapes in the names of partition folders, "%" first.
+_IN_FOLDERS = "%" + "".join(map(chr, range(1, 32))) + "\"#'*/:=?\\\x7f{[]^"
+_NO_KEY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def folder_name(column: str, key: Column) -> Column:
+    """``column=key``, the folder that ``partitionBy(column)`` writes a key to."""
+    text = name = key.cast("string")
+    for char in _IN_FOLDERS:
+        name = F.replace(name, F.lit(char), F.lit(f"%{ord(char):02X}"))
+        column = column.replace(char, f"%{ord(char):02X}")
+    odd = F.length(F.translate(text, _IN_FOLDERS, "")) < F.length(text)
+    return F.concat(F.lit(f"{column}="), F.when(text.isNull() | (text == ""), _NO_KEY).when(odd, name).otherwise(text))
+
+
 def document_key(name: Column, suffix: str = ".txt") -> Column:
     """The key that ``file_name`` made ``name`` from."""
     for char, escape in [*_FIRST, *reversed(_ANYWHERE)]:
@@ -83,7 +98,7 @@ class _FilesWriter(DataSourceArrowWriter):
         store, _, staging = self._places()
         attempt = f"{staging}/attempt-{uuid.uuid4().hex}"
         store.create_dir(attempt, recursive=True)
-        name, out, files, size = None, None, 0, 0
+        name, out, names, size = None, None, [], 0
         try:
             for batch in iterator:
                 for row_name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -92,8 +107,10 @@ class _FilesWriter(DataSourceArrowWriter):
                             raise ValueError(f"rows must be sorted by file name: {row_name!r} after {name!r}")
                         if out is not None:
                             out.close()
+                        if "/" in row_name:
+                            store.create_dir(posixpath.dirname(f"{attempt}/{row_name}"), recursive=True)
                         name, out = row_name, store.open_output_stream(f"{attempt}/{row_name}")
-                        files += 1
+                        names.append(name)
                     if content.is_valid:
                         data = content.as_buffer()
                         out.write(data)
@@ -103,13 +120,26 @@ class _FilesWriter(DataSourceArrowWriter):
                 out.close()
         done = f"{staging}/files"
         store.create_dir(done, recursive=True)
-        for info in store.get_file_info(pafs.FileSelector(attempt)):
-            place = f"{done}/{info.base_name}"
+        moved = set()
+        for name in names:
+            place, folder = f"{done}/{name}", posixpath.dirname(name)
+            if folder in moved:
+                continue
+            # a folder of this task alone moves at once; names are sorted, so only the first and last may be others' too
+            if folder not in ("", posixpath.dirname(names[0]), posixpath.dirname(names[-1])) and store.get_file_info(f"{done}/{folder}").type == pafs.FileType.NotFound:
+                try:
+                    store.move(f"{attempt}/{folder}", f"{done}/{folder}")
+                    moved.add(folder)
+                    continue
+                except OSError:  # the store moves files only
+                    pass
+            if folder:
+                store.create_dir(posixpath.dirname(place), recursive=True)
             if store.get_file_info(place).type != pafs.FileType.NotFound:
                 store.delete_file(place)
-            store.move(info.path, place)
+            store.move(f"{attempt}/{name}", place)
         store.delete_dir(attempt)
-        return _Written(files, size)
+        return _Written(len(names), size)
 
     def commit(self, messages):
         store, target, staging = self._places()
@@ -135,7 +165,8 @@ class _FilesWriter(DataSourceArrowWriter):
 
 class NamedFiles(DataSource):
     """Sink ``sifter_files``: rows (name, content binary), sorted by name in
-    each partition, every name in one partition."""
+    each partition, every name in one partition. A name may hold folders where
+    the whole target is overwritten."""
 
     @classmethod
     def name(cls) -> str:
@@ -160,6 +191,22 @@ def write_files(rows: DataFrame, path: str, name_col: str = "name", content_col:
      .write.format(NamedFiles.name()).mode(mode).option("path", _root_uri(spark, path)).save())
 
 
+def write_folders(rows: DataFrame, path: str, column: str, order: Sequence[str] = (), text_col: str = "text") -> None:
+    """A folder ``column=key`` for each key, as ``partitionBy(column).text`` writes
+    it: the key's texts by ``order``, a newline after each (a null is an empty
+    line). Rows are range partitioned, so a large key spans several tasks, whose
+    part files follow each other. The files are made by a task and named at its
+    end; the job ends with one rename, however many folders there are."""
+    spark = rows.sparkSession
+    spark.dataSource.register(NamedFiles)
+    folder = F.concat(folder_name(column, F.col(column)), F.lit("/")).alias("_folder")
+    content = F.concat(F.coalesce(F.col(text_col), F.lit("")), F.lit("\n")).cast("binary").alias("_content")
+    name = F.concat("_folder", F.format_string("part-%05d.txt", F.spark_partition_id())).alias("name")
+    (rows.select(folder, *order, content).repartitionByRange("_folder", *order).sortWithinPartitions("_folder", *order)
+     .select(name, F.col("_content").alias("content"))
+     .write.format(NamedFiles.name()).mode("overwrite").option("path", _root_uri(spark, path)).save())
+
+
 def write_one_file(rows: DataFrame, path: str, name: str, order: Sequence[str], content_col: str = "content") -> None:
     """The contents of all rows, by ``order``, as one file ``path/name``. All
     tasks sort and write pieces of it; one task then streams the pieces into the

@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .documents import write_folders
+
 
 def write_per_document(pages: DataFrame, path: str, file_col: str = "doc_id", order: Sequence[str] = ("page_no",),
                        text_col: str = "text") -> None:
@@ -16,11 +18,7 @@ def write_per_document(pages: DataFrame, path: str, file_col: str = "doc_id", or
     one per line, in page order. Range partitioning on (file, page) lets a
     very large document span several tasks, whose part files follow each
     other in page order."""
-    (pages.select(file_col, *order, text_col)
-     .repartitionByRange(file_col, *order)
-     .sortWithinPartitions(file_col, *order)
-     .select(file_col, F.col(text_col).alias("value"))
-     .write.mode("overwrite").partitionBy(file_col).text(path))
+    write_folders(pages, path, file_col, order, text_col)
 
 
 def write_corpus(lines: DataFrame, path: str, order: Sequence[str], text_col: str = "line") -> None:

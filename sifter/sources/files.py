@@ -5,11 +5,17 @@ directory walk."""
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import bounded_broadcast, materialise
+
 # characters of which a deck name must hold one when ``require_special``
 SPECIAL_NAME_CHARS = "(~$)_#-"
 
@@ -51,17 +57,20 @@ def scan_slides(spark: SparkSession, path: str, require_special: bool = False) -
     return df
 
 
-def read_lines(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, line_sep: str | None = None, where: F.Column | None = None) -> DataFrame:
     """Text lines ``(file, block_start, row_id, line)``. Order within a
     file is ``(block_start, row_id)``: the split's offset, then the row's
     position in its task (``monotonically_increasing_id`` grows along a
     split). Files are split across tasks as usual; no task sees a whole
     large file. ``line_sep=None`` ends lines at ``\n``, ``\r\n`` or
-    ``\r``, as Python's text reading does."""
+    ``\r``, as Python's text reading does. ``where`` chooses files by their
+    ``_metadata``."""
     r = spark.read.format("text")
     if line_sep is not None:
         r = r.option("lineSep", line_sep)
     df = r.load(path)
+    if where is not None:
+        df = df.where(where)
     return df.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
@@ -126,33 +135,128 @@ def _ends_of_compressed(files: DataFrame) -> DataFrame:
     return files.mapInPandas(run, "path string, _term boolean")
 
 
+#: Files of at most this length are read whole.
+WHOLE_FILE_BYTES = 8 << 20
+#: Partitions of a scan of whole files that one task reads: the scan counts a
+#: file as 4 MB at least, so each has a few files, however short they are.
+PARTITIONS_OF_A_TASK = 32
+#: Text that is cut into lines at once, or one file.
+CUT_BYTES = 4 << 20
+_BOM = b"\xef\xbb\xbf"
+
+
+def _in_fewer_tasks(files: DataFrame) -> DataFrame:
+    n = files.rdd.getNumPartitions()
+    return files.coalesce(max(1, -(-n // PARTITIONS_OF_A_TASK), min(n, 4 * files.sparkSession.sparkContext.defaultParallelism)))
+
+
+def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(file, passage_no, passage)`` of whole files ``(file, content)``, in the
+    bytes that they have."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("content")).to_numpy(), dtype=np.int64)
+        first = 0
+        while first < batch.num_rows:
+            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + CUT_BYTES, side="right")))
+            part, first = batch.slice(first, last - first), last
+            text = part.column("content").cast(pa.large_binary())
+            marked = pc.starts_with(text, _BOM)
+            if pc.any(marked).as_py():
+                text = pc.if_else(marked, pc.binary_replace_slice(text, 0, len(_BOM), b""), text)
+            for end in (b"\r\n", b"\r"):
+                text = pc.replace_substring(text, end, b"\n")
+            cut = pc.split_pattern(text, b"\n")
+            of, lines = pc.list_parent_indices(cut), cut.flatten()
+            number = np.arange(len(lines)) - np.searchsorted(of.to_numpy(), of.to_numpy())
+            lines = pc.cast(lines, options=pc.CastOptions(target_type=pa.string(), allow_invalid_utf8=True))
+            yield pa.RecordBatch.from_arrays([part.column("file").take(of), pa.array(number, pa.int64()), lines], names=["file", "passage_no", "passage"])
+
+
 def read_passages(spark: SparkSession, path: str) -> DataFrame:
     """Files split at line ends keeping every empty string, also the
     trailing one: ``(file, passage_no, passage)``. ``\n``, ``\r\n`` and
     ``\r`` end a line, as in Python's text reading; a byte order mark is not
     part of the text.
 
+    Files of up to ``WHOLE_FILE_BYTES`` are read whole in one scan, many of them
+    in a task, and cut where they are read; nothing is shuffled. If there are
+    longer or compressed ones, these are read by their lines (see
+    ``_split_passages``). Spark's file listing skips zero-length files, so an
+    empty file yields no passage (the original yields one empty one)."""
+    return _file_passages(spark, path, scan_documents(spark, path))
+
+
+def _file_passages(spark: SparkSession, path: str, files: DataFrame, named: list[str] | None = None) -> DataFrame:
+    """``read_passages`` of the listing ``files`` or, with ``named``, of these files of it."""
+    file = F.col("_metadata.file_path")
+    if named is not None:
+        files = files.filter(file.isin(named))
+    # of the listing alone: the other files are not opened
+    whole = ~F.lower(file).rlike(_COMPRESSED) & (F.col("_metadata.file_size") <= WHOLE_FILE_BYTES)
+    texts = _in_fewer_tasks(files.filter(whole).select(file.alias("file"), "content"))
+    passages = texts.mapInArrow(_cut_texts, "file string, passage_no bigint, passage string")
+    if files.filter(~whole).select("length").isEmpty():
+        return passages
+    return passages.unionByName(_split_passages(spark, path, named))
+
+
+#: Most files that stand in a filter.
+MAX_NAMED_FILES = 1000
+
+
+def read_folder_passages(spark: SparkSession, path: str) -> DataFrame:
+    """``read_passages`` of what ``write_per_document`` wrote: the part files of a
+    folder follow each other by name and are one text. Passages are numbered in
+    it, ``file`` is the part that holds them, and the empty passage after the last
+    line end of a part belongs to the last part only. Few folders have more than
+    one part; they are told by the listing, and their parts alone are read once
+    more to count their passages."""
+    files = scan_documents(spark, path)
+    folder = F.regexp_extract("file", "^(.*)/[^/]*$", 1).alias("folder")
+    listed = _in_fewer_tasks(files.select(F.col("_metadata.file_path").alias("file")))
+    several = listed.groupBy(folder).agg(F.collect_list("file").alias("files")).where(F.size("files") > 1)
+    parts = materialise(several.select(F.explode("files").alias("file")), "part-files")
+    few = [r["file"] for r in parts.limit(MAX_NAMED_FILES + 1).collect()]
+    passages = _file_passages(spark, path, files)
+    if not few:
+        return passages
+    cut = _file_passages(spark, path, files, few) if len(few) <= MAX_NAMED_FILES else passages.join(parts, "file", "left_semi")
+    counts = cut.groupBy("file").agg(F.count(F.lit(1)).alias("_n")).select("file", "_n", folder)
+    w = Window.partitionBy("folder").orderBy("file")
+    before = F.coalesce(F.sum(F.col("_n") - 1).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before")
+    of_parts = bounded_broadcast(materialise(counts.select("file", "_n", before, F.lead("file").over(w).isNotNull().alias("_more")), "part-offsets"))
+    return (passages.join(of_parts, "file", "left").where(F.col("_more").isNull() | ~F.col("_more") | (F.col("passage_no") < F.col("_n") - 1))
+            .select("file", (F.col("passage_no") + F.coalesce("_before", F.lit(0))).alias("passage_no"), "passage"))
+
+
+_COMPRESSED = "[.](" + "|".join(e[1:] for e in COMPRESSED) + ")$"
+
+
+def _split_passages(spark: SparkSession, path: str, named: list[str] | None = None) -> DataFrame:
+    """``read_passages`` of long and compressed files.
+
     Lines are read split-parallel; a file that ends in a line end (or is empty)
     gets one more, empty, passage. Whether it does is told by its length in the
     listing: the bytes of its ``\n`` lines plus one per separator equal the
     length (less a byte order mark) exactly when the last line is terminated, or
     that line ends in ``\r``. Gzip and bzip2 files, which no reader splits, are
-    decompressed once more for it. Spark's file listing skips zero-length files,
-    so an empty file yields no passage (the original yields one empty one)."""
-    numbered = number_lines(read_lines(spark, path)).select(
+    decompressed once more for it."""
+    wanted = F.lower("_metadata.file_path").rlike(_COMPRESSED) | (F.col("_metadata.file_size") > WHOLE_FILE_BYTES)
+    chosen = F.lit(True) if named is None else F.col("_metadata.file_path").isin(named)
+    wanted = wanted & chosen
+    numbered = number_lines(read_lines(spark, path, where=wanted)).select(
         "file", F.col("line_no").alias("passage_no"), F.col("line").alias("passage"))
     n_lines = numbered.groupBy("file").agg(F.count(F.lit(1)).alias("_n"))
-    raw = read_lines(spark, path, line_sep="\n")
+    raw = read_lines(spark, path, line_sep="\n", where=wanted)
     ends = raw.groupBy("file").agg(
         F.count(F.lit(1)).alias("_raw_n"), F.sum(F.octet_length("line")).alias("_bytes"),
         F.max_by(F.col("line").endswith("\r"), F.struct("block_start", "row_id")).alias("_cr"))
-    compressed = F.lower(F.col("path")).rlike("[.](" + "|".join(e[1:] for e in COMPRESSED) + ")$")
-    listing = scan_documents(spark, path).select("path", "length")
-    zipped = scan_documents(spark, path, "*.{gz,GZ,bz2,BZ2}").select("path", "content")
+    listing = _in_fewer_tasks(scan_documents(spark, path).filter(chosen & (F.col("length") > WHOLE_FILE_BYTES)).select("path", "length"))
+    zipped = scan_documents(spark, path, "*.{gz,GZ,bz2,BZ2}").filter(chosen).select("path", "content")
     # the text reader names files like the listing, but the paths can differ in form
     norm = lambda c: F.regexp_replace(c, "^file:(//)?", "file:")
     excess = F.col("length") - F.coalesce(F.col("_bytes"), F.lit(0)) - F.coalesce(F.col("_raw_n"), F.lit(0))
-    plain_ends = (listing.filter(~compressed).join(ends, norm(F.col("path")) == norm(F.col("file")), "left")
+    plain_ends = (listing.filter(~F.lower("path").rlike(_COMPRESSED)).join(ends, norm(F.col("path")) == norm(F.col("file")), "left")
                   .select("path", (excess.isin(*TERMINATED_EXCESS) | F.coalesce(F.col("_cr"), F.lit(False))).alias("_term")))
     terminated = plain_ends.unionByName(_ends_of_compressed(zipped)).filter("_term")
     trailing = terminated.join(n_lines, norm(F.col("path")) == norm(F.col("file")), "left").select(
